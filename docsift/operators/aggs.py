@@ -61,6 +61,11 @@ def _value(df: DataFrame, ctx: Ctx, src: Any, name: str) -> tuple[DataFrame, str
     else:
         c = ctx.col(src.field)
         arr = isinstance(ctx.dtype(src.field), T.ArrayType)
+    if src.missing is not None:  # missing substitutes the field value, before any value script
+        if arr:
+            c = F.when(F.size(F.filter(c, lambda x: x.isNotNull())) > 0, c).otherwise(F.array(F.lit(src.missing)))
+        else:
+            c = F.coalesce(c, F.lit(src.missing))
     if src.value_script is not None:
         if arr:
             df = df.withColumn(col + "_raw", F.explode_outer(c))
@@ -68,11 +73,6 @@ def _value(df: DataFrame, ctx: Ctx, src: Any, name: str) -> tuple[DataFrame, str
         else:
             df = df.withColumn(col + "_raw", c)
         c = as_script(src.value_script).column({"_value": col + "_raw"})
-    if src.missing is not None:
-        if arr:
-            c = F.when(F.size(F.filter(c, lambda x: x.isNotNull())) > 0, c).otherwise(F.array(F.lit(src.missing)))
-        else:
-            c = F.coalesce(c, F.lit(src.missing))
     return df.withColumn(col, c), col, arr
 
 
@@ -228,7 +228,8 @@ class MedianAbsoluteDeviation(_Src, Metric):
         med_of = F.percentile_approx(F.col(v).cast("double"), 0.5, self.accuracy)
         if keys:
             med = df.groupBy(*keys).agg(med_of.alias("__med"))
-            j = df.join(med, [df[k].eqNullSafe(med[k]) for k in keys], "left").select(*[df[k] for k in keys], v, "__med")
+            med = med.select(*[F.col(k).alias(f"__mk{i}") for i, k in enumerate(keys)], "__med")
+            j = df.join(med, [df[k].eqNullSafe(med[f"__mk{i}"]) for i, k in enumerate(keys)], "left").select(*keys, v, "__med")
         else:
             j = df.select(v, df.select(med_of).scalar().alias("__med"))
         return j.groupBy(*keys).agg(F.percentile_approx(F.abs(F.col(v) - F.col("__med")), 0.5, self.accuracy).alias(name))
@@ -830,7 +831,7 @@ def _top_hits(name: str, m: TopHits, df: DataFrame, keys: list[str], ctx: Ctx, i
     from docsift.operators.sort import as_sort
 
     order = []
-    for s in (m.sort or ("-_score",) if "_score" in df.columns else ()):
+    for s in (m.sort or (("-_score",) if "_score" in df.columns else ())):
         order += as_sort(s).order_columns(ctx)
     if id_col:
         order.append(F.col(id_col).asc())

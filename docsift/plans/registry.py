@@ -223,3 +223,371 @@ FROM lineitem GROUP BY 1""")
 def e3_avg(spark, sf):
     s = Search(lineitem(spark, sf), "l_id").aggs(status=A.TermsAgg("l_linestatus", aggs={"avg_disc": A.Avg("l_discount")}))
     return rnd(s.aggregations()["status"])
+
+
+@reg("e0_value_script_missing", """
+SELECT (SELECT round(avg(l_extendedprice * (1 - l_discount)), 6) FROM lineitem) AS net,
+       (SELECT round(sum(coalesce(l.quality, 2) * 10.0), 6) FROM documents d LEFT JOIN labels l USING (doc_id)) AS q10""")
+def e0_value(spark, sf):
+    a = Search(lineitem(spark, sf), "l_id").aggs(net=A.Avg(script="l_extendedprice * (1 - l_discount)")).aggregations()
+    b = Search(TB.docs_labelled(spark, sf), "doc_id").aggs(
+        q10=A.Sum("quality", value_script="_value * 10", missing=2)).aggregations()
+    return rnd(a["net"].select("net", b["q10"].select("q10").scalar().alias("q10")))
+
+
+@reg("e5_weighted_avg", """
+SELECT l_returnflag AS flag, count(*)::BIGINT AS doc_count,
+       round(sum(l_extendedprice * l_quantity) / sum(l_quantity), 6) AS wavg
+FROM lineitem GROUP BY 1""")
+def e5_wavg(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(flag=A.TermsAgg("l_returnflag", aggs={
+        "wavg": A.WeightedAvg(value=A._Src("l_extendedprice"), weight=A._Src("l_quantity"))}))
+    return rnd(s.aggregations()["flag"])
+
+
+@reg("e6_value_count", """
+SELECT count(l.quality)::BIGINT AS n_quality FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def e6_count(spark, sf):
+    return Search(TB.docs_labelled(spark, sf), "doc_id").aggs(n_quality=A.ValueCount("quality")).aggregations()["n_quality"]
+
+
+@reg("e7_cardinality", """
+SELECT l_returnflag AS flag, count(*)::BIGINT AS doc_count, count(DISTINCT l_partkey)::BIGINT AS parts
+FROM lineitem GROUP BY 1""")
+def e7_card(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(flag=A.TermsAgg("l_returnflag", aggs={"parts": A.Cardinality("l_partkey", exact=True)}))
+    return s.aggregations()["flag"]
+
+
+@reg("e8_e9_stats", """
+SELECT l_linestatus AS st, count(*)::BIGINT AS doc_count,
+  count(l_quantity)::BIGINT AS q_count, min(l_quantity) AS q_min, max(l_quantity) AS q_max,
+  round(avg(l_quantity), 6) AS q_avg, round(sum(l_quantity), 6) AS q_sum,
+  round(sum(l_quantity * l_quantity), 6) AS q_sum_of_squares, round(var_pop(l_quantity), 6) AS q_variance,
+  round(stddev_pop(l_quantity), 6) AS q_std_deviation,
+  round(avg(l_quantity) + 2 * stddev_pop(l_quantity), 6) AS q_std_upper,
+  round(avg(l_quantity) - 2 * stddev_pop(l_quantity), 6) AS q_std_lower,
+  count(l_discount)::BIGINT AS d_count, min(l_discount) AS d_min, max(l_discount) AS d_max,
+  round(avg(l_discount), 6) AS d_avg, round(sum(l_discount), 6) AS d_sum
+FROM lineitem GROUP BY 1""")
+def e8_stats(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(st=A.TermsAgg("l_linestatus", aggs={
+        "q": A.ExtendedStats("l_quantity"), "d": A.Stats("l_discount")}))
+    return rnd(s.aggregations()["st"])
+
+
+@reg("e10_percentiles", """
+SELECT l_returnflag AS flag, count(*)::BIGINT AS doc_count,
+  quantile_disc(l_extendedprice, 0.01) AS pct_p1, quantile_disc(l_extendedprice, 0.25) AS pct_p25,
+  quantile_disc(l_extendedprice, 0.5) AS pct_p50, quantile_disc(l_extendedprice, 0.95) AS pct_p95,
+  quantile_disc(l_extendedprice, 0.999) AS pct_p99_9
+FROM lineitem GROUP BY 1""")
+def e10_pct(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(flag=A.TermsAgg("l_returnflag", aggs={
+        "pct": A.Percentiles("l_extendedprice", percents=(1, 25, 50, 95, 99.9), accuracy=1_000_000)}))
+    return rnd(s.aggregations()["flag"])
+
+
+@reg("e11_median_absolute_deviation", """
+WITH m AS (SELECT l_returnflag, quantile_disc(l_extendedprice, 0.5) AS med FROM lineitem GROUP BY 1)
+SELECT l_returnflag AS flag, count(*)::BIGINT AS doc_count,
+       round(quantile_disc(abs(l_extendedprice - med), 0.5), 6) AS mad
+FROM lineitem JOIN m USING (l_returnflag) GROUP BY 1""")
+def e11_mad(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(flag=A.TermsAgg("l_returnflag", aggs={
+        "mad": A.MedianAbsoluteDeviation("l_extendedprice", accuracy=1_000_000)}))
+    return rnd(s.aggregations()["flag"])
+
+
+def _sm_map(state, pdf):
+    return state + float((pdf["l_quantity"] * pdf["l_extendedprice"]).sum())
+
+
+@reg("e12_scripted_metric", """
+SELECT l_returnflag AS flag, count(*)::BIGINT AS doc_count, round(sum(l_quantity * l_extendedprice), 2) AS revenue
+FROM lineitem GROUP BY 1""")
+def e12_scripted(spark, sf):
+    sm = A.ScriptedMetric(init=lambda: 0.0, map=_sm_map, combine=lambda s: s, reduce=lambda vs: float(sum(vs)),
+                          fields=("l_quantity", "l_extendedprice"))
+    s = Search(lineitem(spark, sf), "l_id").aggs(flag=A.TermsAgg("l_returnflag", aggs={"revenue": sm}))
+    return rnd(s.aggregations()["flag"], 2)
+
+
+@reg("e13_top_hits", """
+SELECT o_orderstatus AS status, rn AS _rank, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders)
+WHERE rn <= 3""")
+def e13_top_hits(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(status=A.TermsAgg("o_orderstatus", aggs={
+        "top": A.TopHits(size=3, sort=("-o_totalprice",), source=("o_orderkey", "o_totalprice"))}))
+    return s.aggregations()["status>top"].withColumn("_rank", F.col("_rank").cast("bigint"))
+
+
+# ----------------------------------------------------------------------------- buckets
+
+
+@reg("e14_terms_size_other", """
+WITH g AS (SELECT p_brand AS brand, count(*)::BIGINT AS doc_count FROM part GROUP BY 1),
+t AS (SELECT * FROM g ORDER BY doc_count DESC, brand LIMIT 5)
+SELECT *, ((SELECT sum(doc_count) FROM g) - (SELECT sum(doc_count) FROM t))::BIGINT AS sum_other_doc_count FROM t""")
+def e14_terms(spark, sf):
+    s = Search(TB.read(spark, sf, "part"), "p_partkey").aggs(brand=A.TermsAgg("p_brand", size=5, show_other=True))
+    return s.aggregations()["brand"]
+
+
+@reg("e15_terms_order_by_metric", """
+SELECT l_suppkey AS supp, count(*)::BIGINT AS doc_count, round(avg(l_extendedprice), 6) AS avg_price
+FROM lineitem GROUP BY 1 HAVING count(*) >= 5 ORDER BY avg(l_extendedprice) DESC, supp LIMIT 10""")
+def e15_order(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(supp=A.TermsAgg("l_suppkey", size=10, min_doc_count=5, order=(("avg_price", "desc"),),
+                                                                 aggs={"avg_price": A.Avg("l_extendedprice")}))
+    return rnd(s.aggregations()["supp"])
+
+
+@reg("e16_terms_include_exclude", """
+SELECT p_brand AS brand, count(*)::BIGINT AS doc_count FROM part
+WHERE regexp_full_match(p_brand, 'Brand#1.*') AND p_brand NOT IN ('Brand#10', 'Brand#11')
+GROUP BY 1 ORDER BY doc_count DESC, brand LIMIT 100""")
+def e16_incl(spark, sf):
+    s = Search(TB.read(spark, sf, "part"), "p_partkey").aggs(brand=A.TermsAgg("p_brand", size=100, include="Brand#1.*",
+                                                                               exclude=["Brand#10", "Brand#11"]))
+    return s.aggregations()["brand"]
+
+
+@reg("e16_terms_partition")
+def e16_part(spark, sf):
+    s = Search(TB.read(spark, sf, "part"), "p_partkey").aggs(
+        brand=A.TermsAgg("p_brand", size=None, include={"partition": 1, "num_partitions": 4}))
+    return s.aggregations()["brand"]
+
+
+@reg("e17_significant_terms", """
+WITH b AS (SELECT l_suppkey AS k, l_discount >= 0.09 AS fg FROM lineitem),
+t AS (SELECT count(*) FILTER (WHERE fg)::DOUBLE AS fgt, count(*)::DOUBLE AS bgt FROM b),
+g AS (SELECT k, count(*) FILTER (WHERE fg)::BIGINT AS doc_count, count(*)::BIGINT AS bg_count FROM b GROUP BY k)
+SELECT k AS sig, doc_count, bg_count,
+  round(((doc_count / fgt) - (bg_count / bgt)) * ((doc_count / fgt) / (bg_count / bgt)), 6) AS score
+FROM g, t WHERE doc_count >= 3 AND doc_count / fgt > bg_count / bgt
+ORDER BY ((doc_count / fgt) - (bg_count / bgt)) * ((doc_count / fgt) / (bg_count / bgt)) DESC, sig LIMIT 10""")
+def e17_sig(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").query(Q.Range("l_discount", gte=0.09)).aggs(sig=A.SignificantTerms("l_suppkey"))
+    return rnd(s.aggregations()["sig"])
+
+
+@reg("e18_histogram_gaps", """
+WITH k AS (SELECT floor((l_extendedprice - 500) / 2500) * 2500 + 500 AS price, count(*) AS n FROM lineitem
+           WHERE l_quantity <= 3 GROUP BY 1),
+r AS (SELECT unnest(generate_series(0, ((max(price) - min(price)) / 2500)::BIGINT)) AS i, min(price) AS lo FROM k)
+SELECT (lo + i * 2500)::DOUBLE AS price, coalesce(n, 0)::BIGINT AS doc_count FROM r LEFT JOIN k ON k.price = lo + i * 2500""")
+def e18_hist(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").filter(Q.Range("l_quantity", lte=3)).aggs(
+        price=A.Histogram("l_extendedprice", interval=2500, offset=500, min_doc_count=0))
+    return s.aggregations()["price"]
+
+
+@reg("e19_date_histogram_calendar", """
+SELECT epoch_ms(date_trunc('week', ts)) AS wk, count(*)::BIGINT AS doc_count, round(sum(value), 6) AS total,
+       strftime(date_trunc('week', ts), '%Y-%m-%dT%H:%M:%S.000Z') AS wk_as_string
+FROM events GROUP BY 1, 4""")
+def e19_cal(spark, sf):
+    s = Search(TB.read(spark, sf, "events"), "event_id").aggs(wk=A.DateHistogram("ts", calendar_interval="week", aggs={"total": A.Sum("value")}))
+    return rnd(s.aggregations()["wk"])
+
+
+@reg("e19_date_histogram_fixed_nested", """
+SELECT event_type AS et, (epoch_ms(ts) // 21600000) * 21600000 AS h6, count(*)::BIGINT AS doc_count,
+       strftime(make_timestamp(((epoch_ms(ts) // 21600000) * 21600000) * 1000), '%Y-%m-%dT%H:%M:%S.000Z') AS h6_as_string
+FROM events GROUP BY 1, 2""")
+def e19_fixed(spark, sf):
+    s = Search(TB.read(spark, sf, "events"), "event_id").aggs(et=A.TermsAgg("event_type", size=None, aggs={
+        "h6": A.DateHistogram("ts", fixed_interval="6h")}))
+    return s.aggregations()["et>h6"]
+
+
+@reg("e19_year_histogram_orders", """
+SELECT epoch_ms(date_trunc('year', o_orderdate)) AS yr, count(*)::BIGINT AS doc_count,
+       strftime(date_trunc('year', o_orderdate), '%Y-%m-%dT%H:%M:%S.000Z') AS yr_as_string
+FROM orders GROUP BY 1, 3""")
+def e19_year(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(yr=A.DateHistogram("o_orderdate", calendar_interval="year", min_doc_count=0))
+    return s.aggregations()["yr"]
+
+
+_RANGES_SQL = """
+SELECT r.k AS price, r.f AS price_from, r.t AS price_to, count(o.o_orderkey)::BIGINT AS doc_count,
+       round(avg(o.o_totalprice), 6) AS avg_price
+FROM (VALUES ('*-50000.0', NULL, 50000.0), ('50000.0-150000.0', 50000.0, 150000.0),
+             ('mid', 100000.0, 300000.0), ('300000.0-*', 300000.0, NULL), ('huge', 600000.0, 700000.0)) r(k, f, t)
+LEFT JOIN orders o ON (r.f IS NULL OR o.o_totalprice >= r.f) AND (r.t IS NULL OR o.o_totalprice < r.t)
+GROUP BY 1, 2, 3"""
+
+
+@reg("e20_range", _RANGES_SQL)
+def e20_range(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(price=A.RangeAgg("o_totalprice", ranges=(
+        (None, 50000), (50000, 150000), (100000, 300000, "mid"), (300000, None), (600000, 700000, "huge")),
+        aggs={"avg_price": A.Avg("o_totalprice")}))
+    return rnd(s.aggregations()["price"])
+
+
+@reg("e20_date_range", """
+SELECT r.k AS period, count(o.o_orderkey)::BIGINT AS doc_count
+FROM (VALUES ('early', NULL, TIMESTAMP '1997-01-01'), ('late', TIMESTAMP '1999-06-01', NULL),
+             ('y98', TIMESTAMP '1998-01-01', TIMESTAMP '1999-01-01')) r(k, f, t)
+LEFT JOIN orders o ON (r.f IS NULL OR o.o_orderdate >= r.f) AND (r.t IS NULL OR o.o_orderdate < r.t)
+GROUP BY 1""")
+def e20_date_range(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(period=A.DateRangeAgg("o_orderdate", ranges=(
+        (None, "1997-01-01", "early"), ("1999-06-01", None, "late"), ("1998-01-01", "1999-01-01", "y98"))))
+    return s.aggregations()["period"].select("period", "doc_count")
+
+
+@reg("e21_nested_agg", """
+WITH li AS (SELECT l.* FROM lineitem l WHERE l_orderkey IN (SELECT o_orderkey FROM orders)),
+k AS (SELECT floor(l_extendedprice / 10000) * 10000 AS price, count(*) AS n FROM li GROUP BY 1),
+r AS (SELECT unnest(generate_series(0, ((max(price) - min(price)) / 10000)::BIGINT)) AS i, min(price) AS lo FROM k)
+SELECT (lo + i * 10000)::DOUBLE AS price, coalesce(n, 0)::BIGINT AS doc_count,
+       (SELECT count(*) FROM li)::BIGINT AS lines_doc_count
+FROM r LEFT JOIN k ON k.price = lo + i * 10000""")
+def e21_nested(spark, sf):
+    s = Search(TB.orders_nested(spark, sf), "o_orderkey").aggs(lines=A.NestedAgg(path="items", aggs={
+        "price": A.Histogram("items.price", interval=10000)}))
+    a = s.aggregations()
+    return a["lines>price"].withColumn("lines_doc_count", a["lines"].select("doc_count").scalar())
+
+
+@reg("e22_filter_bucket", """
+SELECT count(*)::BIGINT AS doc_count, round(avg(l_quantity), 6) AS avg_qty FROM lineitem WHERE l_shipmode_dummy IS NULL AND l_returnflag = 'R'
+""".replace("l_shipmode_dummy IS NULL AND ", ""))
+def e22_filter(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(r=A.FilterAgg(Q.Term("l_returnflag", "R"), aggs={"avg_qty": A.Avg("l_quantity")}))
+    return rnd(s.aggregations()["r"])
+
+
+@reg("e23_filters_other", """
+SELECT k AS band, count(o_orderkey)::BIGINT AS doc_count FROM (
+  SELECT 'cheap' AS k, o_orderkey FROM orders WHERE o_totalprice < 100000
+  UNION ALL SELECT 'urgent', o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL SELECT 'other', o_orderkey FROM orders WHERE NOT (o_totalprice < 100000) AND o_orderpriority <> '1-URGENT'
+  UNION ALL SELECT 'empty', NULL FROM orders WHERE false
+  UNION ALL SELECT k, NULL FROM (VALUES ('cheap'), ('urgent'), ('other'), ('empty')) v(k)) x
+GROUP BY 1""")
+def e23_filters(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(band=A.FiltersAgg(filters={
+        "cheap": Q.Range("o_totalprice", lt=100000), "urgent": Q.Term("o_orderpriority", "1-URGENT"),
+        "empty": Q.Range("o_totalprice", gt=1e12)}, other_bucket_key="other"))
+    return s.aggregations()["band"]
+
+
+@reg("e24_global", """
+SELECT (SELECT count(*) FROM lineitem)::BIGINT AS doc_count,
+       (SELECT round(avg(l_extendedprice), 6) FROM lineitem) AS avg_all,
+       (SELECT count(*) FROM lineitem WHERE l_returnflag = 'A')::BIGINT AS matched""")
+def e24_global(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").query(Q.Term("l_returnflag", "A")).aggs(
+        all=A.GlobalAgg(aggs={"avg_all": A.Avg("l_extendedprice")}))
+    return rnd(s.aggregations()["all"].withColumn("matched", s.total().select("total").scalar()))
+
+
+@reg("e14_e19_nested_buckets", """
+SELECT o_orderpriority AS prio, epoch_ms(date_trunc('year', o_orderdate)) AS yr, count(*)::BIGINT AS doc_count,
+       round(max(o_totalprice), 6) AS top_price,
+       strftime(date_trunc('year', o_orderdate), '%Y-%m-%dT%H:%M:%S.000Z') AS yr_as_string
+FROM orders WHERE o_orderpriority IN (SELECT o_orderpriority FROM orders GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3)
+GROUP BY 1, 2, 5""")
+def e_nested_buckets(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(prio=A.TermsAgg("o_orderpriority", size=3, aggs={
+        "yr": A.DateHistogram("o_orderdate", calendar_interval="year", aggs={"top_price": A.Max("o_totalprice")})}))
+    return rnd(s.aggregations()["prio>yr"])
+
+
+# ----------------------------------------------------------------------------- sorting and shaping
+
+
+@reg("s2_sort_missing", """
+SELECT doc_id, quality FROM documents LEFT JOIN labels USING (doc_id)
+ORDER BY quality DESC NULLS FIRST, coalesce(toxic, 5), doc_id LIMIT 150""")
+def s2_missing(spark, sf):
+    s = Search(TB.docs_labelled(spark, sf), "doc_id").sort(Sort("quality", "desc", missing="_first"), Sort("toxic", missing=5)).size(150)
+    return s.hits().select("doc_id", "quality")
+
+
+@reg("s3_array_sort_mode", """
+SELECT o_orderkey FROM orders o JOIN (SELECT l_orderkey, median(l_extendedprice) AS m, max(l_quantity) AS mq FROM lineitem GROUP BY 1) l
+  ON o.o_orderkey = l.l_orderkey
+ORDER BY m DESC, mq, o_orderkey LIMIT 25""")
+def s3_mode(spark, sf):
+    s = Search(TB.orders_nested(spark, sf), "o_orderkey").sort(Sort("items.price", "desc", mode="median"),
+                                                               Sort("items.quantity", "asc", mode="max")).size(25)
+    return s.hits().select("o_orderkey")
+
+
+@reg("s4_unmapped_numeric_type", """
+SELECT o_orderkey FROM orders ORDER BY CAST(o_totalprice AS BIGINT) DESC, o_orderkey LIMIT 20""")
+def s4_unmapped(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").sort(
+        Sort("no_such_field", unmapped_type="double"), Sort("o_totalprice", "desc", numeric_type="long")).size(20)
+    return s.hits().select("o_orderkey")
+
+
+@reg("s5_nested_sort_filter", """
+SELECT o_orderkey FROM orders o LEFT JOIN (
+  SELECT l_orderkey, sum(l_quantity) AS s FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) l ON o.o_orderkey = l.l_orderkey
+ORDER BY s DESC NULLS LAST, o_orderkey LIMIT 30""")
+def s5_nested(spark, sf):
+    from docsift.operators.sort import NestedSort
+    s = Search(TB.orders_nested(spark, sf), "o_orderkey").sort(
+        Sort("items.quantity", "desc", mode="sum", nested=NestedSort("items", filter=Q.Term("items.returnflag", "R")))).size(30)
+    return s.hits().select("o_orderkey")
+
+
+@reg("s6_script_sort", """
+SELECT o_orderkey, NULL::DOUBLE AS _score FROM orders ORDER BY o_totalprice / (1 + length(o_orderpriority)) DESC, o_orderkey LIMIT 25""")
+def s6_script(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").sort(
+        Sort(script="o_totalprice / (1 + length(o_orderpriority))", order="desc")).size(25)
+    return s.hits().select("o_orderkey", "_score")
+
+
+@reg("s9_source_filter", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus = 'P'""")
+def s9_source(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Term("o_orderstatus", "P")).size(None).source(
+        includes=["o_*"], excludes=["o_orderstatus", "o_orderpriority"])
+    return s.hits().drop("_score")
+
+
+@reg("s10_formatted_fields", """
+SELECT o_orderkey, [strftime(o_orderdate, '%Y-%m')] AS fields_o_orderdate, [o_orderpriority] AS fields_o_orderpriority
+FROM orders WHERE o_orderpriority = '2-HIGH'""")
+def s10_fields(spark, sf):
+    s = (Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Term("o_orderpriority", "2-HIGH")).size(None)
+         .fields(("o_orderdate", "yyyy-MM"), "o_orderpriority"))
+    return s.hits().select("o_orderkey", "fields_o_orderdate", "fields_o_orderpriority")
+
+
+@reg("s11_stored_fields", """
+SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000""")
+def s11_stored(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Term("o_orderstatus", "F"), Q.Range("o_totalprice", gt=300000))
+    return s.size(None).stored_fields("o_orderkey", "o_totalprice").hits().drop("_score")
+
+
+@reg("s12_multi_search", """
+SELECT * FROM (SELECT 0 AS query_id, o_orderkey FROM orders WHERE o_orderstatus = 'F' ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
+UNION ALL SELECT * FROM (SELECT 1, o_orderkey FROM orders WHERE o_orderpriority = '5-LOW' ORDER BY o_orderdate, o_orderkey LIMIT 7)""")
+def s12_msearch(spark, sf):
+    from docsift.plans.search import multi_search
+    o = TB.read(spark, sf, "orders").cache()
+    a = Search(o, "o_orderkey").filter(Q.Term("o_orderstatus", "F")).sort("-o_totalprice").size(5)
+    b = Search(o, "o_orderkey").filter(Q.Term("o_orderpriority", "5-LOW")).sort("o_orderdate").size(7)
+    return multi_search([a, b]).select("query_id", "o_orderkey")
+
+
+@reg("s13_terminate_after", """
+WITH t AS (SELECT * FROM orders WHERE o_totalprice > 50000 ORDER BY o_orderkey LIMIT 500)
+SELECT o_orderstatus AS status, count(*)::BIGINT AS doc_count FROM t GROUP BY 1""")
+def s13_terminate(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Range("o_totalprice", gt=50000)).terminate_after(500).aggs(
+        status=A.TermsAgg("o_orderstatus", size=None))
+    return s.aggregations()["status"]

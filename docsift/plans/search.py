@@ -180,7 +180,7 @@ class Search:
         if self.terminate_after_ is not None:
             matched = matched.orderBy(self.id_col).limit(self.terminate_after_)
         aux = ctx.aux_columns() + (["__knn_score"] if knn_side is not None else [])
-        return matched, ctx, aux, base, pred
+        return matched, ctx, aux, df, pred
 
     def _post(self, matched: DataFrame, ctx: Ctx) -> DataFrame:
         p = F.lit(True)
@@ -213,7 +213,7 @@ class Search:
         for name, script in self.script_fields:
             extra.append(as_script(script).column().alias(name))
         for name, fmt in self.fields_:
-            extra.append(_formatted(df, name, fmt).alias(f"fields.{name}"))
+            extra.append(_formatted(df, name, fmt).alias(f"fields_{name}"))
         score = [F.col("_score")]
         if self.explain_:
             score.append(F.col("_explanation"))
