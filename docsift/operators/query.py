@@ -603,6 +603,10 @@ class Match(Query):
         return _text_score(ctx, self.field, terms, ctx.tokens(self.field)) * F.lit(self._b())
 
 
+def _pos_hit(toks: Column, hit, k: int):
+    return lambda j: F.coalesce(hit(F.element_at(toks, j), k), F.lit(False))
+
+
 def _phrase_at(toks: Column, terms: list[str], slop: int, prefix_last: bool) -> Column:
     """True when the terms occur in order; with slop, each later term may sit up
     to ``slop`` positions away from its exact place (a positional window; a
@@ -628,7 +632,7 @@ def _phrase_at(toks: Column, terms: list[str], slop: int, prefix_last: bool) ->
         for k in range(1, n):
             lo = F.greatest(i + F.lit(k - slop), F.lit(1))
             hi = F.least(i + F.lit(k + slop), size)
-            e = e & F.exists(F.sequence(lo, F.greatest(hi, lo)), lambda j, k=k: F.coalesce(hit(F.element_at(toks, j), k), F.lit(False)))
+            e = e & F.exists(F.sequence(lo, F.greatest(hi, lo)), _pos_hit(toks, hit, k))
         return e
     return F.exists(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.coalesce(at_slop(i), F.lit(False)))
 

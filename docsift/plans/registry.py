@@ -591,3 +591,141 @@ def s13_terminate(spark, sf):
     s = Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Range("o_totalprice", gt=50000)).terminate_after(500).aggs(
         status=A.TermsAgg("o_orderstatus", size=None))
     return s.aggregations()["status"]
+
+
+# ----------------------------------------------------------------------------- faceted navigation
+
+from docsift.operators import facets as FC  # noqa: E402
+
+_PART_PARAMS = {
+    "brand": [f"Brand#{i}" for i in range(1, 13)] + ["Brand#99"], "type": ["SMALL", "LARGE", "PROMO"], "words": ["red"],
+    ("price", "gte"): ["900", "920"], ("price", "lte"): ["990"], "size": ["x"] + [str(i) for i in range(5, 31)],
+    "band": ["cheap", "mid", "nope"], "sort": ["-price"], "page": ["2"], ("page", "size"): ["10", "7"],
+}
+
+
+def _part_facets(spark, sf, params=None):
+    part = TB.read(spark, sf, "part").withColumn("words", F.split("p_name", " "))
+    qf = FC.QueryFilters([
+        FC.FacetFilter("brand", "p_brand"),
+        FC.FacetFilter("type", "p_type"),
+        FC.FacetFilter("words", "words", mode=FC.INTERSECT),
+        FC.FacetRangeFilter("price", "p_retailprice", aggs={"min": A.Min("p_retailprice"), "max": A.Max("p_retailprice")}),
+        FC.SimpleFilter("size", "p_size"),
+        FC.FacetExpressionsFilter("band", {"cheap": Q.Range("p_retailprice", lt=930),
+                                           "mid": Q.Range("p_retailprice", gte=930, lt=960),
+                                           "dear": Q.Range("p_retailprice", gte=960)}),
+        FC.SortFilter("sort", {"price": ["p_retailprice"], "-price": ["-p_retailprice"], "size": ["p_size"]}),
+        FC.PageFilter("page", available_sizes=(10, 25), default_size=10, max_hits=10000),
+    ])
+    return qf.apply(Search(part, "p_partkey"), params if params is not None else _PART_PARAMS)
+
+
+_PF = """WITH base AS (SELECT *, string_split(p_name, ' ') AS words FROM part),
+sel AS (SELECT *,
+  p_brand IN ('Brand#1', 'Brand#2', 'Brand#3', 'Brand#4', 'Brand#5', 'Brand#6', 'Brand#7', 'Brand#8', 'Brand#9',
+              'Brand#10', 'Brand#11', 'Brand#12', 'Brand#99') AS f_brand,
+  p_type IN ('SMALL', 'LARGE', 'PROMO') AS f_type,
+  list_contains(words, 'red') AS f_words, (p_retailprice >= 920 AND p_retailprice <= 990) AS f_price,
+  (p_size BETWEEN 5 AND 30) AS f_size, (p_retailprice < 930 OR (p_retailprice >= 930 AND p_retailprice < 960)) AS f_band
+  FROM base)
+"""
+
+
+@reg("f1_f15_f16_facet_hits_page", _PF + """
+SELECT p_partkey, p_retailprice FROM sel WHERE f_brand AND f_type AND f_words AND f_price AND f_size AND f_band
+ORDER BY p_retailprice DESC, p_partkey LIMIT 10 OFFSET 10""")
+def f_hits(spark, sf):
+    return _part_facets(spark, sf).hits.select("p_partkey", "p_retailprice")
+
+
+@reg("f16_page_info", _PF + """
+SELECT count(*)::BIGINT AS total, 2 AS page, 10 AS per_page,
+  least(((count(*) - 1) // 10)::INT + 1, 1000) AS total_pages, 10 AS "from", 10 AS size
+FROM sel WHERE f_brand AND f_type AND f_words AND f_price AND f_size AND f_band""")
+def f_page(spark, sf):
+    return _part_facets(spark, sf).page
+
+
+@reg("f3_f4_facet_union", _PF + """
+, c AS (SELECT p_brand AS value, count(*) AS n FROM sel WHERE f_type AND f_words AND f_price AND f_size AND f_band GROUP BY 1)
+SELECT coalesce(c.value, s.value) AS value, coalesce(n, 0)::BIGINT AS doc_count, s.value IS NOT NULL AS selected
+FROM c FULL JOIN (SELECT 'Brand#' || i AS value FROM range(1, 13) t(i) UNION ALL SELECT 'Brand#99') s
+  ON c.value = s.value""")
+def f_brand(spark, sf):
+    return _part_facets(spark, sf).facets["brand"]
+
+
+@reg("f5_facet_intersect", _PF + """
+, c AS (SELECT w AS value, count(*) AS n FROM (SELECT unnest(list_distinct(words)) AS w FROM sel
+        WHERE f_brand AND f_type AND f_words AND f_price AND f_size AND f_band) GROUP BY 1)
+SELECT coalesce(c.value, s.value) AS value, coalesce(n, 0)::BIGINT AS doc_count, s.value IS NOT NULL AS selected
+FROM c FULL JOIN (VALUES ('red')) s(value) ON c.value = s.value""")
+def f_words(spark, sf):
+    return _part_facets(spark, sf).facets["words"]
+
+
+@reg("f6_range_facet", _PF + """
+SELECT count(p_retailprice)::BIGINT AS count, min(p_retailprice) AS min, max(p_retailprice) AS max
+FROM sel WHERE f_brand AND f_type AND f_words AND f_size AND f_band""")
+def f_price(spark, sf):
+    return _part_facets(spark, sf).facets["price"]
+
+
+@reg("f7_f8_expression_facet", _PF + """
+SELECT v.value, (SELECT count(*) FROM sel WHERE f_brand AND f_type AND f_words AND f_price AND f_size AND
+  CASE v.value WHEN 'cheap' THEN p_retailprice < 930 WHEN 'mid' THEN p_retailprice >= 930 AND p_retailprice < 960
+               ELSE p_retailprice >= 960 END)::BIGINT AS doc_count, v.value IN ('cheap', 'mid') AS selected
+FROM (VALUES ('cheap'), ('mid'), ('dear')) v(value)""")
+def f_band(spark, sf):
+    return _part_facets(spark, sf).facets["band"]
+
+
+_ATTR_PARAMS = {("attrs", "1", "any"): [str(i) for i in range(1, 21)], ("attrs", "2", "any"): ["3", "5", "-1"],
+                ("ranges", "5", "gte"): ["910.5"], ("ranges", "5", "lte"): ["980"]}
+
+
+def _attr_facets(spark, sf):
+    pa = TB.part_attrs(spark, sf)
+    qf = FC.QueryFilters([FC.AttrFacetFilter("attrs", "attrs"), FC.AttrRangeFacetFilter("ranges", "range_attrs")])
+    return qf.apply(Search(pa, "p_partkey"), _ATTR_PARAMS)
+
+
+_AF = """WITH b AS (SELECT p_partkey, p_size AS a1, CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INT) AS a2,
+                  CAST(p_retailprice AS FLOAT) AS a5 FROM part),
+s AS (SELECT *, a1 BETWEEN 1 AND 20 AS s1, a2 IN (3, 5) AS s2, (a5 >= 910.5 AND a5 <= 980) AS s5 FROM b)
+"""
+
+
+@reg("f9_f10_attr_facet", _AF + """
+, c AS (SELECT 1 AS attr_id, a1 AS value, count(*) AS n FROM s WHERE s2 AND s5 GROUP BY 2
+        UNION ALL SELECT 2, a2, count(*) FROM s WHERE s1 AND s5 GROUP BY 2),
+sel AS (SELECT 1 AS attr_id, unnest(range(1, 21)) AS value UNION ALL SELECT 2, 3 UNION ALL SELECT 2, 5)
+SELECT coalesce(c.attr_id, sel.attr_id) AS attr_id, coalesce(c.value, sel.value) AS value,
+       coalesce(n, 0)::BIGINT AS doc_count, sel.value IS NOT NULL AS selected
+FROM c FULL JOIN sel ON c.attr_id = sel.attr_id AND c.value = sel.value""")
+def f_attrs(spark, sf):
+    return _attr_facets(spark, sf).facets["attrs"]
+
+
+@reg("f11_f12_range_attr_facet", _AF + """
+SELECT 5 AS attr_id, count(*)::BIGINT AS doc_count, min(a5) AS min, max(a5) AS max FROM s WHERE s1 AND s2""")
+def f_ranges(spark, sf):
+    return _attr_facets(spark, sf).facets["ranges"]
+
+
+@reg("f9_f11_attr_hits_total", _AF + """
+SELECT count(*)::BIGINT AS total FROM s WHERE s1 AND s2 AND s5""")
+def f_attr_total(spark, sf):
+    return _attr_facets(spark, sf).total
+
+
+@reg("f13_f14_bool_attr_facet", """
+WITH s AS (SELECT quality = 1 AS b1, toxic = 1 AS b2 FROM labels),
+c AS (SELECT 1 AS attr_id, b1 AS value, count(*) AS n FROM s GROUP BY 2
+      UNION ALL SELECT 2, b2, count(*) FROM s WHERE b1 GROUP BY 2)
+SELECT attr_id, value, n::BIGINT AS doc_count, (attr_id = 1 AND value) AS selected FROM c""")
+def f_bool(spark, sf):
+    la = TB.label_attrs(spark, sf)
+    qf = FC.QueryFilters([FC.AttrBoolFacetFilter("flags", "bool_attrs")])
+    return qf.apply(Search(la, "doc_id"), {("flags", "1"): ["true", "maybe"]}).facets["flags"]
