@@ -44,3 +44,22 @@ def bm25_tf(tf: Column, doc_len: Column, avg_len: Column, k1: float = BM25_K1, b
     """Saturated term frequency, Lucene 8+ form tf / (tf + k1 * (1 - b + b * dl / avgdl))."""
     tf = tf.cast("double")
     return tf / (tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * doc_len.cast("double") / avg_len))
+
+
+def any_token_regex(terms: list[str]) -> str:
+    """Regex finding any of ``terms`` as a whole token in lower-cased text.
+
+    Tokens are maximal runs of letters/digits, so "whole token" means not
+    preceded or followed by a letter or digit.  A regex find needs no token
+    array, so filters stay cheap; tokens are only built for matching rows.
+    Query terms come from ``analyze`` and hold letters and digits only.
+    """
+    alt = "|".join(terms)
+    return r"(?<![\p{L}\p{N}])(?:" + alt + r")(?![\p{L}\p{N}])"
+
+
+def phrase_regex(terms: list[str], prefix_last: bool = False) -> str:
+    """Regex for the terms as consecutive tokens (the last one may be a prefix)."""
+    body = r"[^\p{L}\p{N}]+".join(terms)
+    tail = "" if prefix_last else r"(?![\p{L}\p{N}])"
+    return r"(?<![\p{L}\p{N}])" + body + tail

@@ -145,7 +145,7 @@ class Ctx:
         df = self.df if df is None else df
         r = self._root
         for keyed, lk, rk in r._joins:
-            df = df.join(keyed, df[lk] == keyed[rk], "left").drop(keyed[rk])
+            df = df.join(keyed, F.col(lk) == keyed[rk], "left").drop(keyed[rk])
         for name, c in r._derived.items():  # in order: later ones may use earlier ones
             df = df.withColumn(name, c)
         return df
@@ -169,8 +169,15 @@ class Ctx:
         """Scalar subquery over the whole collection: struct(n, avgdl, df0..dfk).
 
         One aggregate pass, only over the query's own terms; its result is a
-        single row, so no token shuffle and no broadcast of growing size.
+        single row, so no token shuffle and no broadcast of growing size.  It
+        is bound once as a column, so every reference shares one subquery.
         """
+        key = ("stats", self._prefix, name, tuple(terms))
+        if self.in_nested:
+            return self._stats_subquery(name, terms)
+        return self.derive(key, lambda: self._stats_subquery(name, terms), T.StructType())
+
+    def _stats_subquery(self, name: str, terms: Sequence[str]) -> Column:
         src = self.corpus
         if self._prefix:
             src = src.select(F.explode(F.col(self._prefix)).alias("__e"))
@@ -188,6 +195,14 @@ class Ctx:
         parts += [F.count_if(F.array_contains("tok", F.lit(w))).cast("double").alias(f"df{i}") for i, w in enumerate(terms)]
         return src.select(F.struct(*parts).alias("s")).scalar()
 
+    def text(self, name: str) -> Column:
+        """Lower-cased text of a field (arrays joined), for token-boundary regex tests."""
+        t = self.dtype(name)
+        src = self.col(name)
+        if isinstance(t, T.ArrayType):
+            src = F.array_join(src, " ")
+        return F.lower(src)
+
 
 def _lit(v: Any, t: T.DataType) -> Column:
     if isinstance(v, Column):
@@ -587,14 +602,13 @@ class Match(Query):
         terms = self._terms()
         if not terms or not ctx.has(self.field):
             return F.lit(False)
-        toks = ctx.tokens(self.field)
-        hits = [F.array_contains(toks, F.lit(w)) for w in terms]
+        txt = ctx.text(self.field)
         msm = MinimumShouldMatch.of(self.minimum_should_match)
         need = len(terms) if self.operator.lower() == "and" else (msm.resolve(len(terms)) if msm else 1)
         need = max(need, 1)
         if need == 1:
-            return F.coalesce(F.arrays_overlap(toks, F.array(*[F.lit(w) for w in terms])), F.lit(False))
-        return F.coalesce(_count_true(hits) >= F.lit(need), F.lit(False))
+            return F.coalesce(txt.rlike(TX.any_token_regex(terms)), F.lit(False))
+        return F.coalesce(_count_true([txt.rlike(TX.any_token_regex([w])) for w in terms]) >= F.lit(need), F.lit(False))
 
     def score(self, ctx):
         terms = self._terms()
@@ -652,11 +666,13 @@ class MatchPhrase(Query):
         terms = self._terms()
         if not terms or not ctx.has(self.field):
             return F.lit(False)
+        txt = ctx.text(self.field)
+        if self.slop == 0:  # adjacent tokens = separated by non-token characters only
+            return F.coalesce(txt.rlike(TX.phrase_regex(terms, self.prefix)), F.lit(False))
         toks = ctx.tokens(self.field)
-        need = _uniq(terms[:-1] if self.prefix else terms)
         pre = F.lit(True)
-        for w in need:  # cheap containment test before the positional scan
-            pre = pre & F.array_contains(toks, F.lit(w))
+        for w in _uniq(terms[:-1] if self.prefix else terms):  # cheap containment test first
+            pre = pre & txt.rlike(TX.any_token_regex([w]))
         return F.coalesce(pre & _phrase_at(toks, terms, self.slop, self.prefix), F.lit(False))
 
     def score(self, ctx):

@@ -32,22 +32,27 @@ def reg(name: str, sql: str | None = None):
 
 
 def rnd(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (summation order differs between engines)."""
+    """Round every double column (summation order differs between engines).
+
+    Scales, rounds half away from zero, scales back -- the same arithmetic as
+    SQL ``round(x, d)`` in the oracle, so values on a half agree."""
     out = []
+    scale = float(10 ** digits)
     for f in df.schema.fields:
         if f.dataType.typeName() in ("double", "float"):
-            out.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            c = F.col(f"`{f.name}`").cast("double")
+            out.append((F.round(c * F.lit(scale), 0) / F.lit(scale)).alias(f.name))
         else:
             out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
 
 
 def lineitem(spark, sf):
-    """lineitem with a unique id (order key * 16 + line number)."""
-    return TB.read(spark, sf, "lineitem").withColumn("l_id", F.col("l_orderkey") * 16 + F.col("l_linenumber"))
+    """lineitem with a unique string id (see ``tables.line_id``)."""
+    return TB.read(spark, sf, "lineitem").withColumn("l_id", TB.line_id())
 
 
-L_ID = "(l_orderkey * 16 + l_linenumber)"
+L_ID = "(l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_quantity::BIGINT)"
 
 
 # ----------------------------------------------------------------------------- minimum slice
@@ -729,3 +734,344 @@ def f_bool(spark, sf):
     la = TB.label_attrs(spark, sf)
     qf = FC.QueryFilters([FC.AttrBoolFacetFilter("flags", "bool_attrs")])
     return qf.apply(Search(la, "doc_id"), {("flags", "1"): ["true", "maybe"]}).facets["flags"]
+
+
+# ----------------------------------------------------------------------------- text and relevance
+
+from docsift.operators import scoring as SC  # noqa: E402
+from docsift.plans.search import Rescore  # noqa: E402
+
+_TOK = "regexp_extract_all(lower({f}), '[\\p{{L}}\\p{{N}}]+')"
+
+
+def bm25_sql(src: str, idc: str, field: str, terms: list[str], boost: float = 1.0) -> str:
+    """DuckDB subquery (id, s, nhit, ...) with the BM25 score of ``terms``
+    (k1=1.2, b=0.75; Lucene idf) over the whole ``src``."""
+    tok = _TOK.format(f=field)
+    dfs = ", ".join(f"count(*) FILTER (WHERE list_contains(tok, '{w}'))::DOUBLE AS df{i}" for i, w in enumerate(terms))
+    tfs = ", ".join(f"len(list_filter(tok, lambda x: x = '{w}'))::DOUBLE AS tf{i}" for i, w in enumerate(terms))
+    sc = " + ".join(f"CASE WHEN tf{i} > 0 THEN ln(1 + (n - df{i} + 0.5) / (df{i} + 0.5)) * tf{i} / "
+                    f"(tf{i} + 1.2 * (0.25 + 0.75 * dl / avgdl)) ELSE 0 END" for i in range(len(terms)))
+    hits = " + ".join(f"(tf{i} > 0)::INT" for i in range(len(terms)))
+    return (f"(SELECT id, ({sc}) * {boost} AS s, ({hits}) AS nhit, tok FROM "
+            f"(SELECT id, tok, len(tok)::DOUBLE AS dl, {tfs} FROM (SELECT {idc} AS id, {tok} AS tok FROM {src} WHERE {field} IS NOT NULL)), "
+            f"(SELECT count(*)::DOUBLE AS n, avg(len(tok)) AS avgdl, {dfs} FROM (SELECT {tok} AS tok FROM {src} WHERE {field} IS NOT NULL)))")
+
+
+def _docs(spark, sf):
+    return Search(TB.read(spark, sf, "documents"), "doc_id")
+
+
+def _scored(df):
+    return rnd(df)
+
+
+@reg("p11_r1_match_bm25", f"""
+SELECT id AS doc_id, round(s, 6) AS _score FROM {bm25_sql('documents', 'doc_id', 'text', ['und', 'der', 'xylophon'])} WHERE nhit >= 1""")
+def p11_match(spark, sf):
+    return _scored(_docs(spark, sf).query(Q.Match("text", "Und der XYLOPHON!")).matched().select("doc_id", "_score"))
+
+
+@reg("p11_match_msm", f"""
+SELECT id AS doc_id, round(s, 6) AS _score FROM {bm25_sql('documents', 'doc_id', 'text', ['the', 'of', 'und', 'la'])} WHERE nhit >= 3""")
+def p11_msm(spark, sf):
+    return _scored(_docs(spark, sf).query(Q.Match("text", "the of und la", minimum_should_match="75%")).matched().select("doc_id", "_score"))
+
+
+@reg("p12_match_phrase", f"""
+SELECT id AS doc_id, round(s, 6) AS _score FROM {bm25_sql('documents', 'doc_id', 'text', ['of', 'the'])}
+WHERE ' ' || array_to_string(tok, ' ') || ' ' LIKE '% of the %'""")
+def p12_phrase(spark, sf):
+    return _scored(_docs(spark, sf).query(Q.MatchPhrase("text", "of the")).matched().select("doc_id", "_score"))
+
+
+@reg("p12_match_phrase_slop")
+def p12_slop(spark, sf):
+    return _scored(_docs(spark, sf).query(Q.MatchPhrase("text", "the and", slop=2)).matched().select("doc_id", "_score"))
+
+
+def _mm_sql(kind: str) -> str:
+    a = bm25_sql("part", "p_partkey", "p_name", ["red", "large", "gear"])
+    b = bm25_sql("part", "p_partkey", "p_type", ["red", "large", "gear"], 2.0)
+    if kind == "best":
+        comb = "greatest(sa, sb) + 0.3 * (sa + sb - greatest(sa, sb))"
+    else:
+        comb = "sa + sb"
+    return f"""
+SELECT p_partkey, round({comb}, 6) AS _score FROM (
+  SELECT p_partkey, coalesce(CASE WHEN a.nhit > 0 THEN a.s END, 0) AS sa, coalesce(CASE WHEN b.nhit > 0 THEN b.s END, 0) AS sb,
+         coalesce(a.nhit, 0) + coalesce(b.nhit, 0) AS nh
+  FROM part LEFT JOIN {a} a ON a.id = p_partkey LEFT JOIN {b} b ON b.id = p_partkey) WHERE nh > 0"""
+
+
+@reg("p13_multi_match_best_fields", _mm_sql("best"))
+def p13_best(spark, sf):
+    q = Q.MultiMatch("red large gear", ["p_name", "p_type^2"], type="best_fields", tie_breaker=0.3)
+    return _scored(Search(TB.read(spark, sf, "part"), "p_partkey").query(q).matched().select("p_partkey", "_score"))
+
+
+@reg("p13_multi_match_most_fields", _mm_sql("most"))
+def p13_most(spark, sf):
+    q = Q.MultiMatch("red large gear", ["p_name", "p_type^2"], type="most_fields")
+    return _scored(Search(TB.read(spark, sf, "part"), "p_partkey").query(q).matched().select("p_partkey", "_score"))
+
+
+@reg("p13_multi_match_cross_fields", f"""
+SELECT p_partkey, round(greatest(coalesce(a0.s, 0), coalesce(b0.s, 0)) + greatest(coalesce(a1.s, 0), coalesce(b1.s, 0)), 6) AS _score
+FROM part
+LEFT JOIN {bm25_sql('part', 'p_partkey', 'p_name', ['small'])} a0 ON a0.id = p_partkey
+LEFT JOIN {bm25_sql('part', 'p_partkey', 'p_type', ['small'])} b0 ON b0.id = p_partkey
+LEFT JOIN {bm25_sql('part', 'p_partkey', 'p_name', ['promo'])} a1 ON a1.id = p_partkey
+LEFT JOIN {bm25_sql('part', 'p_partkey', 'p_type', ['promo'])} b1 ON b1.id = p_partkey
+WHERE a0.nhit + b0.nhit >= 1 AND a1.nhit + b1.nhit >= 1""")
+def p13_cross(spark, sf):
+    q = Q.MultiMatch("small promo", ["p_name", "p_type"], type="cross_fields", operator="and")
+    return _scored(Search(TB.read(spark, sf, "part"), "p_partkey").query(q).matched().select("p_partkey", "_score"))
+
+
+@reg("p15_r4_dis_max", f"""
+SELECT id AS doc_id, round(greatest(sa, sb) + 0.5 * (sa + sb - greatest(sa, sb)), 6) AS _score FROM (
+  SELECT a.id, CASE WHEN a.nhit > 0 THEN a.s ELSE 0 END AS sa, CASE WHEN b.nhit > 0 THEN b.s ELSE 0 END AS sb, a.nhit + b.nhit AS nh
+  FROM {bm25_sql('documents', 'doc_id', 'text', ['und'])} a JOIN {bm25_sql('documents', 'doc_id', 'text', ['les'])} b USING (id))
+WHERE nh > 0""")
+def p15_dismax(spark, sf):
+    q = Q.DisMax([Q.Match("text", "und"), Q.Match("text", "les")], tie_breaker=0.5)
+    return _scored(_docs(spark, sf).query(q).matched().select("doc_id", "_score"))
+
+
+@reg("r2_r3_bool_score_boost", f"""
+SELECT d.doc_id, round(a.s + CASE WHEN b.nhit > 0 THEN b.s ELSE 0 END + CASE WHEN d.lang = 'en' THEN 0.5 ELSE 0 END, 6) AS _score
+FROM documents d JOIN {bm25_sql('documents', 'doc_id', 'text', ['the'])} a ON a.id = d.doc_id
+JOIN {bm25_sql('documents', 'doc_id', 'text', ['of'], 2.0)} b ON b.id = d.doc_id
+WHERE a.nhit > 0 AND d.n_chars >= 500""")
+def r2_bool(spark, sf):
+    q = Q.Bool(must=[Q.Match("text", "the")], should=[Q.Match("text", "of", boost=2.0), Q.Term("lang", "en", boost=0.5)],
+               filter=[Q.Range("n_chars", gte=500)])
+    return _scored(_docs(spark, sf).query(q).matched().select("doc_id", "_score"))
+
+
+_FS_Q = bm25_sql("part", "p_partkey", "p_name", ["red", "bolt"])
+
+
+@reg("r6_r9_function_score_sum", f"""
+SELECT p_partkey, round(q * ((CASE WHEN p_type = 'SMALL' THEN 2.0 ELSE 0 END)
+    + log10(1 + 0.1 * coalesce(p_size, 1)) + (p_retailprice / 1000 + q)), 6) AS _score
+FROM part JOIN (SELECT id, s AS q FROM {_FS_Q} WHERE nhit > 0) ON id = p_partkey""")
+def r6_fs_sum(spark, sf):
+    fs = SC.FunctionScore(Q.Match("p_name", "red bolt"), [
+        SC.Weight(2.0, filter=Q.Term("p_type", "SMALL")),
+        SC.FieldValueFactor("p_size", factor=0.1, modifier="log1p", missing=1),
+        SC.ScriptScore("p_retailprice / 1000 + _score")], score_mode="sum", boost_mode="multiply")
+    return _scored(Search(TB.read(spark, sf, "part"), "p_partkey").query(fs).matched().select("p_partkey", "_score"))
+
+
+@reg("r6_r8_function_score_modes", f"""
+SELECT p_partkey, round(greatest(sqrt(p_size * 1.0), CASE WHEN p_brand = 'Brand#3' THEN 5.0 END), 6) AS _score
+FROM part WHERE greatest(sqrt(p_size * 1.0), CASE WHEN p_brand = 'Brand#3' THEN 5.0 END) >= 4""")
+def r6_fs_modes(spark, sf):
+    fs = SC.FunctionScore(Q.MatchAll(), [SC.FieldValueFactor("p_size", modifier="sqrt"), SC.Weight(5.0, filter=Q.Term("p_brand", "Brand#3"))],
+                          score_mode="max", boost_mode="replace", min_score=4)
+    return _scored(Search(TB.read(spark, sf, "part"), "p_partkey").query(fs).matched().select("p_partkey", "_score"))
+
+
+@reg("r6_function_score_avg_weighted", """
+SELECT p_partkey, round(1.0 * ((CASE WHEN p_type = 'SMALL' THEN 3.0 ELSE 0 END) + 2 * ln(p_size + 2.0) + (CASE WHEN p_size > 40 THEN 1.0 / p_size ELSE 0 END))
+  / ((CASE WHEN p_type = 'SMALL' THEN 3.0 ELSE 0 END) + 2 + (CASE WHEN p_size > 40 THEN 1.0 ELSE 0 END)), 6) AS _score
+FROM part""")
+def r6_fs_avg(spark, sf):
+    fs = SC.FunctionScore(None, [SC.Weight(3.0, filter=Q.Term("p_type", "SMALL")),
+                                 SC.FieldValueFactor("p_size", modifier="ln2p", weight=2.0),
+                                 SC.FieldValueFactor("p_size", modifier="reciprocal", filter=Q.Range("p_size", gt=40))],
+                          score_mode="avg", boost_mode="multiply")
+    return _scored(Search(TB.read(spark, sf, "part"), "p_partkey").query(fs).matched().select("p_partkey", "_score"))
+
+
+@reg("r10_random_score")
+def r10_random(spark, sf):
+    fs = SC.FunctionScore(Q.MatchAll(), [SC.RandomScore(seed=42, field="p_partkey")], boost_mode="replace")
+    return Search(TB.read(spark, sf, "part"), "p_partkey").query(fs).size(50).hits().select("p_partkey", "_score")
+
+
+_RS_A = bm25_sql("documents", "doc_id", "text", ["the"])
+_RS_B = bm25_sql("documents", "doc_id", "text", ["of", "the"])
+
+
+@reg("r11_rescore", f"""
+WITH a AS (SELECT id, s FROM {_RS_A} WHERE nhit > 0),
+r AS (SELECT *, row_number() OVER (ORDER BY s DESC, id) AS rn FROM a),
+b AS (SELECT id, s AS s2 FROM {_RS_B} WHERE ' ' || array_to_string(tok, ' ') || ' ' LIKE '% of the %'),
+x AS (SELECT r.id, rn, CASE WHEN rn <= 30 THEN (CASE WHEN s2 IS NOT NULL THEN s + 2.0 * s2 ELSE s END) ELSE s END AS ns
+      FROM r LEFT JOIN b USING (id))
+SELECT id AS doc_id, round(ns, 6) AS _score FROM x ORDER BY (rn <= 30) DESC, ns DESC, rn LIMIT 15""")
+def r11_rescore(spark, sf):
+    s = _docs(spark, sf).query(Q.Match("text", "the")).rescore(
+        Rescore(Q.MatchPhrase("text", "of the"), window_size=30, rescore_query_weight=2.0)).size(15)
+    return _scored(s.hits().select("doc_id", "_score"))
+
+
+@reg("r12_explain", f"""
+WITH a AS (SELECT id, s FROM {_RS_A} WHERE nhit > 0), b AS (SELECT id, s AS s2, nhit AS h2 FROM {bm25_sql('documents', 'doc_id', 'text', ['of'])}),
+t AS (SELECT a.id, s, CASE WHEN h2 > 0 THEN s2 ELSE 0 END AS s2 FROM a JOIN b USING (id) ORDER BY s + CASE WHEN h2 > 0 THEN s2 ELSE 0 END DESC, id LIMIT 5)
+SELECT id AS doc_id, 'query' AS path, 'Bool' AS description, round(s + s2, 6) AS value FROM t
+UNION ALL SELECT id, 'query.must[0]', 'Match', round(s, 6) FROM t
+UNION ALL SELECT id, 'query.should[0]', 'Match', round(s2, 6) FROM t""")
+def r12_explain(spark, sf):
+    q = Q.Bool(must=[Q.Match("text", "the")], should=[Q.Match("text", "of")])
+    h = _docs(spark, sf).query(q).explain().size(5).hits()
+    return rnd(h.select("doc_id", F.inline("_explanation")))
+
+
+@reg("r13_track_scores", f"""
+SELECT p_partkey, p_retailprice, round(s, 6) AS _score FROM part JOIN {bm25_sql('part', 'p_partkey', 'p_name', ['red'])} ON id = p_partkey
+WHERE nhit > 0 ORDER BY p_retailprice DESC, p_partkey LIMIT 20""")
+def r13_track(spark, sf):
+    s = Search(TB.read(spark, sf, "part"), "p_partkey").query(Q.Match("p_name", "red")).sort("-p_retailprice").track_scores().size(20)
+    return _scored(s.hits().select("p_partkey", "p_retailprice", "_score"))
+
+
+# ----------------------------------------------------------------------------- nested documents
+
+
+@reg("p14_nested_same_element", """
+SELECT o_orderkey FROM orders o WHERE EXISTS (
+  SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l_returnflag = 'R' AND l_quantity >= 45)""")
+def p14_nested(spark, sf):
+    q = Q.Nested("items", Q.Bool(filter=[Q.Term("items.returnflag", "R"), Q.Range("items.quantity", gte=45)]))
+    return Search(TB.orders_nested(spark, sf), "o_orderkey").query(q).matched().select("o_orderkey")
+
+
+@reg("r5_nested_score_modes", """
+SELECT l_orderkey AS o_orderkey, round(max(l_extendedprice * 0.01), 6) AS s_max, round(avg(l_extendedprice * 0.01), 6) AS s_avg,
+       round(sum(l_extendedprice * 0.01), 6) AS s_sum, round(min(l_extendedprice * 0.01), 6) AS s_min, count(*)::DOUBLE AS s_cnt
+FROM lineitem WHERE l_quantity >= 40 AND l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY 1""")
+def r5_nested(spark, sf):
+    inner = SC.FunctionScore(Q.Range("items.quantity", gte=40), [SC.FieldValueFactor("items.price", factor=0.01)], boost_mode="replace")
+    base = TB.orders_nested(spark, sf)
+    ctx = Q.Ctx(base, "o_orderkey")
+    cols = {m: Q.Nested("items", inner, score_mode=m).score(ctx) for m in ("max", "avg", "sum", "min")}
+    cnt = Q.Nested("items", Q.Range("items.quantity", gte=40), score_mode="sum").score(ctx)
+    pred = Q.Nested("items", inner).predicate(ctx)
+    return rnd(base.filter(pred).select("o_orderkey", *[c.alias(f"s_{m}") for m, c in cols.items()], cnt.alias("s_cnt")))
+
+
+# ----------------------------------------------------------------------------- parent / child
+
+from docsift.operators import relations as RL  # noqa: E402
+
+
+@reg("j1_has_child_min_max", """
+SELECT 'o' || l_orderkey AS _id FROM lineitem WHERE l_quantity >= 45 AND l_orderkey IN (SELECT o_orderkey FROM orders)
+GROUP BY l_orderkey HAVING count(*) BETWEEN 1 AND 2""")
+def j1_has_child(spark, sf):
+    q = RL.HasChild("line", Q.Range("l_quantity", gte=45), max_children=2)
+    return Search(TB.order_family(spark, sf), "_id").query(q).matched().select("_id")
+
+
+@reg("j2_has_child_score_modes", """
+WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_quantity * 0.1 AS s FROM lineitem
+           WHERE l_quantity >= 40 AND l_orderkey IN (SELECT o_orderkey FROM orders))
+SELECT 'o' || l_orderkey AS _id, round(sum(s), 6) AS s_sum, round(avg(s), 6) AS s_avg, round(max(s), 6) AS s_max,
+       round(min(s), 6) AS s_min, round(exp(sum(ln(s))), 6) AS s_multiply,
+       round(arg_min(s, 'l' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_quantity::BIGINT), 6)
+         AS s_first, 0.0 AS s_none
+FROM c GROUP BY l_orderkey""")
+def j2_modes(spark, sf):
+    fam = TB.order_family(spark, sf)
+    inner = SC.FunctionScore(Q.Range("l_quantity", gte=40), [SC.FieldValueFactor("l_quantity", factor=0.1)], boost_mode="replace")
+    ctx = Q.Ctx(fam, "_id")
+    modes = ("sum", "avg", "max", "min", "multiply", "first", "none")
+    qs = {m: RL.HasChild("line", inner, score_mode=m) for m in modes}
+    cols = {m: q.score(ctx) for m, q in qs.items()}
+    pred = qs["sum"].predicate(ctx)
+    return rnd(ctx.apply(fam).filter(pred).select("_id", *[c.alias(f"s_{m}") for m, c in cols.items()]))
+
+
+@reg("j3_has_parent_score", """
+SELECT 'l' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_quantity::BIGINT AS _id,
+       round(o_totalprice * 0.00001, 6) AS _score
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'""")
+def j3_has_parent(spark, sf):
+    pq = SC.FunctionScore(Q.Term("o_orderstatus", "F"), [SC.FieldValueFactor("o_totalprice", factor=0.00001)], boost_mode="replace")
+    q = RL.HasParent("order", pq, score_=True)
+    return _scored(Search(TB.order_family(spark, sf), "_id").query(q).matched().select("_id", "_score"))
+
+
+@reg("j4_family_terms", """
+SELECT 'o' || o_orderkey AS family, (1 + count(l_orderkey))::BIGINT AS doc_count
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+UNION ALL SELECT 'o' || l_orderkey, count(*)::BIGINT FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey""")
+def j4_family(spark, sf):
+    s = Search(TB.order_family(spark, sf), "_id").aggs(family=A.TermsAgg(script=RL.family_key("_id"), size=None))
+    return s.aggregations()["family"]
+
+
+@reg("j5_relation_name_filter", """
+SELECT l_returnflag AS flag, count(*)::BIGINT AS doc_count FROM lineitem WHERE l_quantity < 5 GROUP BY 1""")
+def j5_relation(spark, sf):
+    s = Search(TB.order_family(spark, sf), "_id").filter(Q.Term("join.name", "line"), Q.Range("l_quantity", lt=5)).aggs(
+        flag=A.TermsAgg("l_returnflag", size=None))
+    return s.aggregations()["flag"]
+
+
+# ----------------------------------------------------------------------------- vectors
+
+from docsift.operators.knn import Knn, KnnQuery  # noqa: E402
+
+# Fixed query vector (64 dims) used by the kNN queries.
+QV = tuple(round(((i * 37) % 11 - 5) / 10.0, 1) for i in range(64))
+_QV_SQL = "[" + ", ".join(repr(x) for x in QV) + "]::DOUBLE[]"
+_E = "embedding::DOUBLE[]"
+_DOT = f"list_sum(list_transform(list_zip({_E}, {_QV_SQL}), lambda x: x[1] * x[2]))"
+_L2 = f"list_sum(list_transform(list_zip({_E}, {_QV_SQL}), lambda x: (x[1] - x[2]) * (x[1] - x[2])))"
+_L1 = f"list_sum(list_transform(list_zip({_E}, {_QV_SQL}), lambda x: abs(x[1] - x[2])))"
+_NORM = f"sqrt(list_sum(list_transform({_E}, lambda x: x * x)))"
+_QN = sum(x * x for x in QV) ** 0.5
+
+
+@reg("r14_knn_l2_filter", f"""
+SELECT vec_id, round(1.0 / (1.0 + {_L2}), 6) AS _score FROM embeddings WHERE label = 1
+ORDER BY 1.0 / (1.0 + {_L2}) DESC, vec_id LIMIT 10""")
+def r14_l2(spark, sf):
+    s = Search(TB.read(spark, sf, "embeddings"), "vec_id").knn(Knn("embedding", QV, k=10, filter=Q.Term("label", 1))).size(10)
+    return _scored(s.hits().select("vec_id", "_score"))
+
+
+@reg("r14_knn_cosine", f"""
+SELECT vec_id, round((1 + {_DOT} / ({_NORM} * {_QN!r})) / 2, 6) AS _score FROM embeddings
+ORDER BY (1 + {_DOT} / ({_NORM} * {_QN!r})) / 2 DESC, vec_id LIMIT 7""")
+def r14_cos(spark, sf):
+    s = Search(TB.read(spark, sf, "embeddings"), "vec_id").knn(Knn("embedding", QV, k=7, similarity="cosine")).size(7)
+    return _scored(s.hits().select("vec_id", "_score"))
+
+
+@reg("r15_knn_query_l1_k", f"""
+SELECT vec_id, round(1.0 / (1.0 + {_L1}), 6) AS _score FROM embeddings ORDER BY {_L1}, vec_id LIMIT 5""")
+def r15_l1(spark, sf):
+    q = KnnQuery("embedding", QV, k=5, space="l1")
+    return _scored(Search(TB.read(spark, sf, "embeddings"), "vec_id").query(q).size(5).hits().select("vec_id", "_score"))
+
+
+@reg("r15_knn_radial", f"""
+SELECT vec_id, round(1.0 / (1.0 + {_L2}), 6) AS _score FROM embeddings WHERE sqrt({_L2}) <= 3.5""")
+def r15_radial(spark, sf):
+    q = KnnQuery("embedding", QV, max_distance=3.5, space="l2")
+    return _scored(Search(TB.read(spark, sf, "embeddings"), "vec_id").query(q).matched().select("vec_id", "_score"))
+
+
+@reg("r15_knn_min_score_inner_product", f"""
+SELECT vec_id, round(CASE WHEN {_DOT} < 0 THEN 1.0 / (1.0 - {_DOT}) ELSE {_DOT} + 1.0 END, 6) AS _score FROM embeddings
+WHERE CASE WHEN {_DOT} < 0 THEN 1.0 / (1.0 - {_DOT}) ELSE {_DOT} + 1.0 END >= 1.5""")
+def r15_ip(spark, sf):
+    q = KnnQuery("embedding", QV, min_score=1.5, space="innerproduct")
+    return _scored(Search(TB.read(spark, sf, "embeddings"), "vec_id").query(q).matched().select("vec_id", "_score"))
+
+
+@reg("r16_hybrid_knn_text", f"""
+WITH dv AS (SELECT d.*, e.embedding FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id),
+t AS (SELECT id, s FROM {bm25_sql('dv', 'doc_id', 'text', ['und', 'der'])} WHERE nhit > 0),
+k AS (SELECT doc_id AS id, 1.0 / (1.0 + {_L2}) AS ks FROM dv ORDER BY ks DESC, doc_id LIMIT 10)
+SELECT coalesce(t.id, k.id) AS doc_id, round(coalesce(s, 0) + coalesce(ks, 0), 6) AS _score
+FROM t FULL JOIN k ON t.id = k.id ORDER BY coalesce(s, 0) + coalesce(ks, 0) DESC, doc_id LIMIT 20""")
+def r16_hybrid(spark, sf):
+    s = Search(TB.doc_vectors(spark, sf), "doc_id").query(Q.Match("text", "und der")).knn(Knn("embedding", QV, k=10)).size(20)
+    return _scored(s.hits().select("doc_id", "_score"))

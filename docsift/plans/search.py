@@ -248,7 +248,7 @@ class Search:
         # rank inside the window: window_size rows at most, safe to number in one task
         from pyspark.sql import Window
         win = win.withColumn("__rs_rank", F.row_number().over(Window.orderBy(*order)))
-        rctx = self._ctx(win)
+        rctx = Ctx(win, self.id_col, corpus=self.corpus if self.corpus is not None else self._base())
         rp, rs = r.query.predicate(rctx), r.query.score(rctx)
         win = rctx.apply(win)
         s = F.col("_score") * F.lit(r.query_weight)

@@ -38,6 +38,13 @@ def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.join(items, o.o_orderkey == items.l_orderkey, "left").drop("l_orderkey")
 
 
+def line_id():
+    """Unique line key: order, line number, part, supplier and quantity (the
+    (order, line number) pair alone repeats in the data)."""
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"), F.col("l_partkey").cast("string"),
+                       F.col("l_suppkey").cast("string"), F.col("l_quantity").cast("bigint").cast("string"))
+
+
 def brand_number(c):
     return F.regexp_extract(c, r"(\d+)$", 1).cast("int")
 
@@ -79,7 +86,7 @@ def order_family(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("l_quantity"), F.lit(None).cast("double").alias("l_extendedprice"),
         F.lit(None).cast("string").alias("l_returnflag"))
     children = li.select(
-        F.concat(F.lit("l"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("_id"),
+        F.concat(F.lit("l"), line_id()).alias("_id"),
         F.struct(F.lit("line").alias("name"), F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("parent")).alias("join"),
         F.col("l_orderkey").alias("o_orderkey"), F.lit(None).cast("string").alias("o_orderstatus"),
         F.lit(None).cast("double").alias("o_totalprice"), F.lit(None).cast("string").alias("o_orderpriority"),
