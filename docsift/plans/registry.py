@@ -1075,3 +1075,110 @@ FROM t FULL JOIN k ON t.id = k.id ORDER BY coalesce(s, 0) + coalesce(ks, 0) DESC
 def r16_hybrid(spark, sf):
     s = Search(TB.doc_vectors(spark, sf), "doc_id").query(Q.Match("text", "und der")).knn(Knn("embedding", QV, k=10)).size(20)
     return _scored(s.hits().select("doc_id", "_score"))
+
+
+# ----------------------------------------------------------------------------- writes
+
+from docsift.operators import writes as WR  # noqa: E402
+
+def _act_sql(versioned: bool) -> str:
+    """Oracle for bulk outcomes: plain per-id windows in action order."""
+    if versioned:
+        okv = """, v AS (SELECT *, max(version) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pv
+                   FROM a0),
+a AS (SELECT *, pv IS NULL OR (vtype = 'external' AND version > pv) OR (vtype = 'external_gte' AND version >= pv) AS ok FROM v)"""
+    else:
+        okv = """, a AS (SELECT *, true AS ok FROM a0)"""
+    return """
+base AS (SELECT c_custkey AS id, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer),
+act AS (SELECT c_custkey AS seq,
+    CASE WHEN c_custkey % 7 = 0 THEN 'delete' WHEN c_custkey % 7 = 1 THEN 'create' WHEN c_custkey % 7 <= 3 THEN 'update' ELSE 'index' END AS op,
+    c_custkey % 1000 + CASE WHEN c_custkey % 3 = 0 THEN 5000000 ELSE 0 END AS id,
+    c_name AS d_name, c_nationkey AS d_nation, c_acctbal AS d_bal, c_mktsegment AS d_seg,
+    c_acctbal + 1 AS u_bal, CASE WHEN c_custkey % 2 = 0 THEN 'UPDATED' END AS u_seg,
+    c_custkey % 5 = 0 AS has_upsert, c_custkey % 5 = 1 AS doc_as_upsert,
+    (c_custkey * 7919) % 1000 AS version, CASE WHEN c_custkey % 2 = 0 THEN 'external' ELSE 'external_gte' END AS vtype
+  FROM customer),
+a0 AS (SELECT act.*, b.id IS NOT NULL AS bexists, b.c_name AS b_name, b.c_nationkey AS b_nation, b.c_acctbal AS b_bal,
+             b.c_mktsegment AS b_seg,
+             op = 'create' OR (op = 'update' AND (has_upsert OR doc_as_upsert)) AS creator
+      FROM act LEFT JOIN base b USING (id))""" + okv + """,
+s AS (SELECT *,
+    max(CASE WHEN ok AND op IN ('index', 'delete') THEN seq END) OVER w AS pabs_seq,
+    last_value(CASE WHEN ok AND op IN ('index', 'delete') THEN op END IGNORE NULLS) OVER w AS pabs_op,
+    max(CASE WHEN ok AND creator THEN seq END) OVER w AS pcre, max(CASE WHEN ok THEN seq END) OVER w AS peff
+  FROM a WINDOW w AS (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+e AS (SELECT *, CASE WHEN pabs_op IS NULL THEN bexists OR pcre IS NOT NULL WHEN pabs_op = 'index' THEN true
+                     ELSE coalesce(pcre > pabs_seq, false) END AS ex FROM s),
+items AS (SELECT *, CASE
+    WHEN NOT ok THEN 'conflict'
+    WHEN op = 'index' THEN CASE WHEN ex THEN 'updated' ELSE 'created' END
+    WHEN op = 'create' THEN CASE WHEN ex THEN 'conflict' ELSE 'created' END
+    WHEN op = 'delete' THEN CASE WHEN ex THEN 'deleted' ELSE 'not_found' END
+    ELSE CASE WHEN ex THEN CASE WHEN peff IS NULL AND bexists AND u_bal IS NOT DISTINCT FROM b_bal
+                                     AND (u_seg IS NULL OR u_seg IS NOT DISTINCT FROM b_seg) THEN 'noop' ELSE 'updated' END
+              WHEN has_upsert OR doc_as_upsert THEN 'created' ELSE 'not_found' END END AS status
+  FROM e)"""
+
+
+_ACT_SQL = _act_sql(False)
+
+
+@reg("w6_bulk_items", "WITH " + _ACT_SQL.strip() + """
+SELECT seq, id, op, status FROM items""")
+def w6_items(spark, sf):
+    r = WR.bulk(TB.read(spark, sf, "customer"), TB.customer_actions(spark, sf), "c_custkey")
+    return r.items.select("seq", "id", "op", "status")
+
+
+@reg("w1_w4_bulk_table", "WITH " + _ACT_SQL.strip() + """,
+est AS (SELECT id, arg_max({'s': seq, 'kind': CASE WHEN status = 'deleted' THEN 'deleted' ELSE 'live' END,
+          'name': CASE WHEN op = 'update' THEN (CASE WHEN doc_as_upsert THEN NULL ELSE 'upserted' END) ELSE d_name END,
+          'nation': CASE WHEN op = 'update' THEN (CASE WHEN doc_as_upsert THEN NULL ELSE 0 END) ELSE d_nation END,
+          'bal': CASE WHEN op = 'update' THEN (CASE WHEN doc_as_upsert THEN u_bal ELSE 0.0 END) ELSE d_bal END,
+          'seg': CASE WHEN op = 'update' THEN (CASE WHEN doc_as_upsert THEN u_seg ELSE 'NEW' END) ELSE d_seg END}, seq) AS E
+        FROM items WHERE status IN ('created', 'deleted') OR (op = 'index' AND status = 'updated') GROUP BY id),
+upd AS (SELECT i.id, arg_max(u_bal, seq) FILTER (WHERE u_bal IS NOT NULL) AS p_bal, arg_max(u_seg, seq) FILTER (WHERE u_seg IS NOT NULL) AS p_seg
+        FROM items i LEFT JOIN est USING (id) WHERE op = 'update' AND status = 'updated' AND (E IS NULL OR seq > E.s) GROUP BY i.id),
+touched AS (SELECT DISTINCT id FROM items WHERE status IN ('created', 'updated', 'deleted')),
+fin AS (SELECT t.id,
+    CASE WHEN E IS NULL THEN b.id IS NOT NULL ELSE E.kind = 'live' END AS alive,
+    CASE WHEN E IS NULL THEN b.c_name ELSE E.name END AS c_name,
+    CASE WHEN E IS NULL THEN b.c_nationkey ELSE E.nation END AS c_nationkey,
+    coalesce(p_bal, CASE WHEN E IS NULL THEN b.c_acctbal ELSE E.bal END) AS c_acctbal,
+    coalesce(p_seg, CASE WHEN E IS NULL THEN b.c_mktsegment ELSE E.seg END) AS c_mktsegment
+  FROM touched t LEFT JOIN est USING (id) LEFT JOIN upd USING (id) LEFT JOIN base b ON b.id = t.id)
+SELECT id AS c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM fin WHERE alive
+UNION ALL SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6), c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT id FROM touched)""")
+def w1_table(spark, sf):
+    r = WR.bulk(TB.read(spark, sf, "customer"), TB.customer_actions(spark, sf), "c_custkey")
+    return rnd(r.table)
+
+
+@reg("w5_versioned_items", "WITH " + _act_sql(True).strip() + """
+SELECT seq, id, op, status FROM items""")
+def w5_versioned(spark, sf):
+    r = WR.bulk(TB.read(spark, sf, "customer"), TB.customer_actions(spark, sf, versioned=True), "c_custkey")
+    return r.items.select("seq", "id", "op", "status")
+
+
+@reg("w7_update_by_query", """
+SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'P')::BIGINT AS total,
+       (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT')::BIGINT AS updated,
+       (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')::BIGINT AS noops,
+       (SELECT count(*) FROM orders WHERE o_orderpriority = '1-URGENT' OR o_orderstatus = 'P')::BIGINT AS urgent_after""")
+def w7_update(spark, sf):
+    o = TB.read(spark, sf, "orders")
+    new, rep = WR.update_by_query(o, "o_orderkey", Q.Term("o_orderstatus", "P"), {"o_orderpriority": "'1-URGENT'"})
+    return rep.withColumn("urgent_after", new.filter(F.col("o_orderpriority") == "1-URGENT").select(F.count(F.lit(1))).scalar())
+
+
+@reg("w8_delete_by_query", """
+SELECT (SELECT count(*) FROM orders WHERE o_totalprice < 50000)::BIGINT AS deleted,
+       (SELECT count(*) FROM orders WHERE NOT (o_totalprice < 50000))::BIGINT AS remaining,
+       (SELECT count(*) FROM (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 100))::BIGINT AS capped""")
+def w8_delete(spark, sf):
+    o = TB.read(spark, sf, "orders")
+    new, rep = WR.delete_by_query(o, "o_orderkey", Q.Range("o_totalprice", lt=50000))
+    _, rep2 = WR.delete_by_query(o, "o_orderkey", Q.Term("o_orderstatus", "F"), max_docs=100)
+    return rep.withColumn("remaining", new.select(F.count(F.lit(1))).scalar()).withColumn("capped", rep2.select("deleted").scalar())
