@@ -9,8 +9,11 @@ from __future__ import annotations
 
 from typing import Callable
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsift.operators import aggs as A
 from docsift.operators import query as Q
@@ -1182,3 +1185,172 @@ def w8_delete(spark, sf):
     new, rep = WR.delete_by_query(o, "o_orderkey", Q.Range("o_totalprice", lt=50000))
     _, rep2 = WR.delete_by_query(o, "o_orderkey", Q.Term("o_orderstatus", "F"), max_docs=100)
     return rep.withColumn("remaining", new.select(F.count(F.lit(1))).scalar()).withColumn("capped", rep2.select("deleted").scalar())
+
+
+# ----------------------------------------------------------------------------- schema, typing, scripts
+
+from docsift.functions import packing as PK  # noqa: E402
+from docsift.functions.dates import parse_date  # noqa: E402
+from docsift.functions.scripts import Script, register_script  # noqa: E402
+from docsift.sources import schema as SCH  # noqa: E402
+
+ORDER_DOC = SCH.Document({"o_orderkey": SCH.long().req(), "o_custkey": SCH.long(), "o_orderstatus": SCH.keyword(),
+                          "o_totalprice": SCH.double(), "o_orderdate": SCH.FieldSpec("timestamp_ntz")})
+
+
+@reg("a1_declared_schema", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'""")
+def a1_schema(spark, sf):
+    df = spark.read.schema(ORDER_DOC.struct()).parquet(f"{sf}/orders.parquet")
+    return df.filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).drop("o_orderdate")
+
+
+EVENT_DOC = SCH.Document({"id": SCH.long().req(), "user": SCH.int_(), "amount": SCH.int_(),
+                          "kind": SCH.keyword().with_default("none"), "tags": SCH.keyword().as_list()})
+
+
+def _raw_events(spark, sf):
+    e = TB.read(spark, sf, "events")
+    return e.select(F.col("event_id").cast("string").alias("id"), F.col("user_id").alias("user"), F.col("value").alias("amount"),
+                    F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind"), F.col("event_type").alias("tags"),
+                    F.lit("ignored").alias("unknown_field"))
+
+
+@reg("a2_a3_conform_valid", """
+SELECT event_id AS id, user_id::INT AS "user", value::INT AS amount, CASE WHEN event_type <> 'view' THEN event_type ELSE 'none' END AS kind,
+       [event_type] AS tags FROM events WHERE value = floor(value)""")
+def a2_valid(spark, sf):
+    ok, _ = SCH.conform(_raw_events(spark, sf), EVENT_DOC)
+    return ok
+
+
+@reg("a2_a3_conform_rejected", """
+SELECT event_id AS id, 'amount: not a valid int: ' || value::VARCHAR AS _reason FROM events WHERE value <> floor(value)""")
+def a2_rejected(spark, sf):
+    _, bad = SCH.conform(_raw_events(spark, sf), EVENT_DOC)
+    return bad.select("id", "_reason")
+
+
+@reg("a4_flexible_dates", """
+SELECT event_id, epoch_us(ts) // 1000 - 7200000 AS t_zone, epoch_ms(date_trunc('month', ts)) AS t_month,
+       epoch_ms(date_trunc('year', ts)) AS t_year, epoch_us(ts) // 1000 AS t_epoch, true AS rejects_month_13
+FROM events""")
+def a4_dates(spark, sf):
+    e = TB.read(spark, sf, "events")
+    ts = F.col("ts").cast("timestamp")
+    return e.select(
+        "event_id",
+        F.unix_millis(parse_date(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'"))).alias("t_zone"),
+        F.unix_millis(parse_date(F.date_format(ts, "yyyy-MM"))).alias("t_month"),
+        F.unix_millis(parse_date(F.date_format(ts, "yyyy"))).alias("t_year"),
+        F.unix_millis(parse_date(F.unix_millis(ts).cast("string"))).alias("t_epoch"),
+        parse_date(F.lit("2015-13")).isNull().alias("rejects_month_13"))
+
+
+_STATUS = {"F": 0, "O": 1, "P": 2}
+
+
+@reg("a5_enum_both_ways", """
+SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END AS status_id,
+       o_orderstatus AS status_back FROM orders""")
+def a5_enum(spark, sf):
+    o = TB.read(spark, sf, "orders")
+    enc = SCH.enum_encode(F.col("o_orderstatus"), _STATUS, on_unknown="error")
+    return o.select("o_orderkey", enc.alias("status_id"), SCH.enum_decode(enc, _STATUS).alias("status_back"))
+
+
+@reg("a6_schemaless_path", """
+SELECT event_id, json_extract(props, '$.k')::INT AS k, json_extract(props, '$.k')::INT + 1 AS k_set FROM events""")
+def a6_dyn(spark, sf):
+    e = TB.read(spark, sf, "events")
+    k = SCH.dyn_get(F.col("props"), "k", "int")
+    d = e.select("event_id", k.alias("k"), F.struct(F.col("event_id").alias("id")).alias("doc"))
+    d = SCH.dyn_set(d, "doc", "meta.k", F.col("k") + 1)
+    return d.select("event_id", "k", F.col("doc.meta.k").alias("k_set"))
+
+
+@reg("a7_merge_documents", """
+SELECT c_custkey AS key, c_name AS name, c_nationkey AS nation, round(c_acctbal, 6) AS acctbal, c_mktsegment AS segment,
+       'customer' AS _kind FROM customer
+UNION ALL SELECT s_suppkey, s_name, s_nationkey, round(s_acctbal, 6), NULL, 'supplier' FROM supplier""")
+def a7_merge(spark, sf):
+    c = TB.read(spark, sf, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"),
+                                              F.col("c_acctbal").alias("acctbal"), F.col("c_mktsegment").alias("segment"))
+    s = TB.read(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("name"), F.col("s_nationkey").alias("nation"),
+                                              F.col("s_acctbal").alias("acctbal"))
+    return rnd(SCH.merge_documents({"customer": c, "supplier": s}))
+
+
+@reg("a8_name_pattern_templates", """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::INT AS l_quantity, round(l_extendedprice, 6) AS l_extendedprice,
+       round(l_discount::FLOAT, 6) AS l_discount, round(l_tax::FLOAT, 6) AS l_tax, l_returnflag, l_linestatus, l_shipdate::DATE AS l_shipdate
+FROM lineitem""")
+def a8_templates(spark, sf):
+    rules = [SCH.Template("int", match="*_quantity"), SCH.Template("date", match="l_ship*", match_mapping_type="date"),
+             SCH.Template("float", match="l_(tax|discount)", match_pattern="regex"),
+             SCH.Template("string", match="l_*", unmatch="l_*key", match_mapping_type="long")]
+    return rnd(SCH.apply_templates(TB.read(spark, sf, "lineitem"), rules))
+
+
+@reg("a9_select_kind", f"""
+SELECT 'l' || {L_ID} AS _id, l_orderkey AS o_orderkey, l_quantity FROM lineitem""")
+def a9_kind(spark, sf):
+    kinds = SCH.select_kind(TB.order_family(spark, sf), {"order": ["_id", "o_totalprice"], "line": ["_id", "o_orderkey", "l_quantity"]})
+    return kinds["line"]
+
+
+@reg("a10_runtime_field", """
+SELECT dayname(o_orderdate) AS dow, count(*)::BIGINT AS doc_count FROM orders GROUP BY 1""")
+def a10_runtime(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").runtime_field("dow", "date_format(o_orderdate, 'EEEE')", "string").aggs(
+        dow=A.TermsAgg("dow", size=None))
+    return s.aggregations()["dow"]
+
+
+@reg("a11_attribute_packing", """
+SELECT p_partkey, [(1::BIGINT << 32) | p_size, (2::BIGINT << 32) | CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS INT)] AS packed,
+       [1, 2] AS attr_ids, [p_size::BIGINT, CAST(regexp_extract(p_brand, '(\\d+)$', 1) AS BIGINT)] AS values,
+       (5::BIGINT << 1) | (p_size > 25)::INT AS bool_packed
+FROM part""")
+def a11_packing(spark, sf):
+    pa = TB.part_attrs(spark, sf)
+    packed = F.transform("attrs", lambda a: PK.encode_attr(a["attr_id"], a["value"]))
+    return pa.select("p_partkey", packed.alias("packed"), F.transform(packed, PK.decode_attr_id).alias("attr_ids"),
+                     F.transform(packed, PK.decode_attr_value).alias("values"),
+                     PK.encode_bool_attr(F.lit(5), F.col("p_size") > 25).alias("bool_packed"))
+
+
+@reg("a11_float_attribute_packing")
+def a11_float(spark, sf):
+    pa = TB.part_attrs(spark, sf)
+    packed = PK.encode_range_attr(F.lit(5), F.col("p_retailprice"))
+    aid, val = PK.decode_range_attr(packed)
+    return pa.select("p_partkey", packed.alias("packed"), aid.alias("attr_id"), val.alias("value"),
+                     (val == F.col("p_retailprice").cast("float")).alias("roundtrip"))
+
+
+@reg("u1_inline_script_params", """
+SELECT p_partkey, round(p_retailprice * 2 + 1, 6) AS price2 FROM part WHERE p_size > 45""")
+def u1_script(spark, sf):
+    s = (Search(TB.read(spark, sf, "part"), "p_partkey").filter(Q.Range("p_size", gt=45)).size(None)
+         .script_field("price2", Script("p_retailprice * params.factor + params.add", params={"factor": 2, "add": 1})))
+    return rnd(s.hits().select("p_partkey", "price2"))
+
+
+def _name_len():
+    @F.pandas_udf(T.IntegerType())
+    def n(s: pd.Series) -> pd.Series:
+        return s.str.len()
+    return n(F.col("p_name"))
+
+
+register_script("discounted", "p_retailprice * (1 - params.d)")
+register_script("name_len", _name_len)
+
+
+@reg("u2_stored_scripts", """
+SELECT p_partkey, round(p_retailprice * (1 - 0.1), 6) AS disc, length(p_name) AS name_len FROM part WHERE p_type = 'PROMO'""")
+def u2_stored(spark, sf):
+    s = (Search(TB.read(spark, sf, "part"), "p_partkey").filter(Q.Term("p_type", "PROMO")).size(None)
+         .script_field("disc", Script(id="discounted", params={"d": 0.1})).script_field("name_len", Script(id="name_len")))
+    return rnd(s.hits().select("p_partkey", "disc", "name_len"))
