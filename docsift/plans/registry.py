@@ -1354,3 +1354,36 @@ def u2_stored(spark, sf):
     s = (Search(TB.read(spark, sf, "part"), "p_partkey").filter(Q.Term("p_type", "PROMO")).size(None)
          .script_field("disc", Script(id="discounted", params={"d": 0.1})).script_field("name_len", Script(id="name_len")))
     return rnd(s.hits().select("p_partkey", "disc", "name_len"))
+
+
+# ----------------------------------------------------------------------------- streaming
+
+from docsift.session import checkpoint_dir  # noqa: E402
+from docsift.streaming.bulk_stream import run_bulk_stream  # noqa: E402
+from docsift.streaming.histogram import run_upserts, stream_date_histogram  # noqa: E402
+
+
+@reg("t1_stream_date_histogram", """
+SELECT (epoch_ms(ts) // 21600000) * 21600000 AS key, count(*)::BIGINT AS doc_count FROM events GROUP BY 1""")
+def t1_stream(spark, sf):
+    schema = TB.read(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    h = stream_date_histogram(stream, "ts", "6 hours", "1 day")
+    return run_upserts(h, ["key"]).select("key", "doc_count")
+
+
+@reg("t2_bulk_action_stream", SQL["w1_w4_bulk_table"])
+def t2_bulk_stream(spark, sf):
+    import uuid
+
+    root = f"{checkpoint_dir(spark)}/actions-{uuid.uuid4().hex}"
+    acts = TB.customer_actions(spark, sf)
+    bounds = acts.select(F.min("seq"), F.max("seq")).first()  # two scalars: split points of the staged files
+    lo, hi = int(bounds[0]), int(bounds[1])
+    step = (hi - lo) // 3 + 1
+    stream = lambda: spark.readStream.schema(acts.schema).option("recursiveFileLookup", "true").parquet(f"{root}/in")
+    base = TB.read(spark, sf, "customer")
+    for i in range(3):  # actions arrive in three parts, each consumed by its own availableNow run
+        acts.filter((F.col("seq") >= lo + i * step) & (F.col("seq") < lo + (i + 1) * step)).write.mode("overwrite").parquet(f"{root}/in/part{i}")
+        table, _ = run_bulk_stream(base, stream(), "c_custkey", out_dir=f"{root}/out")
+    return rnd(table)
