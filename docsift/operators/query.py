@@ -43,8 +43,14 @@ _FLOATS = (T.FloatType, T.DoubleType)
 class Ctx:
     """Resolves field paths to Columns and collects auxiliary plan pieces."""
 
-    def __init__(self, df: DataFrame, id_col: str | None = None, corpus: DataFrame | None = None):
+    def __init__(self, df: DataFrame, id_col: str | None = None, corpus: DataFrame | None = None,
+                 prefetch: dict | None = None, inherit: "Ctx | None" = None):
         self.df = df
+        # statistics columns already present in ``df`` (computed by the context it was derived from)
+        self._inherited = {} if inherit is None else {
+            k: v for k, v in inherit._root._derived_keys.items() if k[0] == "stats" and v in df.columns}
+        # field -> all query terms of the search on it: one shared statistics subquery per field
+        self.prefetch = prefetch or {}
         self.id_col = id_col
         self.corpus = corpus if corpus is not None else df
         self._schema = df.schema
@@ -121,6 +127,8 @@ class Ctx:
         if self.in_nested:
             return build()
         r = self._root
+        if key in r._inherited:
+            return F.col(r._inherited[key])
         if key not in r._derived_keys:
             name = self.fresh("d")
             r._derived_keys[key] = name
@@ -172,9 +180,16 @@ class Ctx:
         single row, so no token shuffle and no broadcast of growing size.  It
         is bound once as a column, so every reference shares one subquery.
         """
-        key = ("stats", self._prefix, name, tuple(terms))
         if self.in_nested:
             return self._stats_subquery(name, terms)
+        shared = self.prefetch.get(name)
+        if shared and set(terms) <= set(shared):
+            full = self.derive(("stats", None, name, tuple(shared)), lambda: self._stats_subquery(name, shared), T.StructType())
+            idx = {w: i for i, w in enumerate(shared)}
+            parts = [full.getField("n").alias("n"), full.getField("avgdl").alias("avgdl")]
+            parts += [full.getField(f"df{idx[w]}").alias(f"df{i}") for i, w in enumerate(terms)]
+            return F.struct(*parts)
+        key = ("stats", self._prefix, name, tuple(terms))
         return self.derive(key, lambda: self._stats_subquery(name, terms), T.StructType())
 
     def _stats_subquery(self, name: str, terms: Sequence[str]) -> Column:
@@ -863,3 +878,34 @@ class Field:
 
 def field(name: str) -> Field:
     return Field(name)
+
+
+def collect_text_terms(*nodes: Any) -> dict[str, list[str]]:
+    """Every analyzed query term per text field in a set of query trees (root
+    scope only), in first-seen order."""
+    out: dict[str, list[str]] = {}
+
+    def add(fld: str, text_: str) -> None:
+        lst = out.setdefault(fld, [])
+        for w in TX.analyze(text_):
+            if w not in lst:
+                lst.append(w)
+
+    def walk(x: Any) -> None:
+        if isinstance(x, Nested):
+            return  # nested scopes use their own element statistics
+        if isinstance(x, (Match, MatchPhrase)):
+            add(x.field, x.query)
+        elif isinstance(x, MultiMatch):
+            for spec in x.fields:
+                add(_field_boost(spec)[0], x.query)
+        if isinstance(x, (list, tuple)):
+            for y in x:
+                walk(y)
+        elif hasattr(x, "__dataclass_fields__"):
+            for f in x.__dataclass_fields__:
+                walk(getattr(x, f))
+
+    for n in nodes:
+        walk(n)
+    return out

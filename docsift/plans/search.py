@@ -146,8 +146,12 @@ class Search:
             df = df.withColumn(name, c.cast(typ) if typ else c)
         return df
 
+    def _terms(self) -> dict:
+        from docsift.operators.query import collect_text_terms
+        return collect_text_terms(self.query_, self.filters, self.post_filters, [r.query for r in self.rescores])
+
     def _ctx(self, df: DataFrame) -> Ctx:
-        return Ctx(df, self.id_col, corpus=self.corpus if self.corpus is not None else df)
+        return Ctx(df, self.id_col, corpus=self.corpus if self.corpus is not None else df, prefetch=self._terms())
 
     def _sorted_by_score(self) -> bool:
         return not self.sorts or any(s.field == "_score" for s in self.sorts)
@@ -225,11 +229,13 @@ class Search:
         hits = self._post(matched, ctx)
         if not self._sorted_by_score() and not self.track_scores_:
             hits = hits.withColumn("_score", F.lit(None).cast("double"))
-        for r in self.rescores:
-            hits = self._rescore(hits, ctx, r)
         order = self._order(ctx)
-        if self.rescores:
-            order = [F.col("__rs_in").desc(), F.col("_score").desc_nulls_last(), F.col("__rs_rank").asc_nulls_last()] + order
+        for i, r in enumerate(self.rescores):
+            # Rescored rows come first, so when the requested page lies inside
+            # the last window the rest of the hits is never needed.
+            fast = i == len(self.rescores) - 1 and self.size_ is not None and self.from__ + self.size_ <= r.window_size
+            hits = self._rescore(hits, order, r, fast, ctx)
+            order = [F.col("__rs_in").desc(), F.col("_score").desc_nulls_last(), F.col("__rs_rank").asc_nulls_last()] + self._order(ctx)
         if self.size_ is None:
             out = hits.orderBy(*order)
             if self.from__:
@@ -240,25 +246,29 @@ class Search:
                 out = out.offset(self.from__)
         return self._project(out, aux)
 
-    def _rescore(self, hits: DataFrame, ctx: Ctx, r: Rescore) -> DataFrame:
+    def _rescore(self, hits: DataFrame, order: list[Column], r: Rescore, fast: bool, main: Ctx) -> DataFrame:
         if r.window_size > MAX_BROADCAST_TOPK:
             raise ValueError(f"rescore window above {MAX_BROADCAST_TOPK}")
-        order = self._order(ctx)
-        win = hits.orderBy(*order).limit(r.window_size)
-        # rank inside the window: window_size rows at most, safe to number in one task
         from pyspark.sql import Window
+
+        win = hits.orderBy(*order).limit(r.window_size)
+        # rank inside the window: window_size rows at most (checked above)
         win = win.withColumn("__rs_rank", F.row_number().over(Window.orderBy(*order)))
-        rctx = Ctx(win, self.id_col, corpus=self.corpus if self.corpus is not None else self._base())
+        rctx = Ctx(win, self.id_col, corpus=self.corpus if self.corpus is not None else self._base(), prefetch=self._terms(),
+                   inherit=main)
         rp, rs = r.query.predicate(rctx), r.query.score(rctx)
         win = rctx.apply(win)
         s = F.col("_score") * F.lit(r.query_weight)
         t = rs * F.lit(r.rescore_query_weight)
         mode = r.score_mode.lower()
         comb = {"total": s + t, "multiply": s * t, "avg": (s + t) / F.lit(2.0), "max": F.greatest(s, t), "min": F.least(s, t)}[mode]
-        win = win.select(F.col(self.id_col).alias("__rs_id"), F.when(rp, comb).otherwise(s).alias("__rs_score"), "__rs_rank")
-        out = hits.join(F.broadcast(win), hits[self.id_col] == win["__rs_id"], "left").drop("__rs_id")
-        return out.withColumn("__rs_in", F.col("__rs_score").isNotNull()).withColumn(
-            "_score", F.coalesce(F.col("__rs_score"), F.col("_score"))).drop("__rs_score")
+        cols = [c for c in hits.columns if c not in ("_score", "__rs_in", "__rs_rank")]
+        win = win.select(*cols, F.when(rp, comb).otherwise(s).alias("_score"), F.lit(True).alias("__rs_in"), "__rs_rank")
+        if fast:
+            return win
+        rest = hits.join(F.broadcast(win.select(F.col(self.id_col).alias("__rs_id"))), hits[self.id_col] == F.col("__rs_id"), "left_anti")
+        rest = rest.select(*cols, "_score", F.lit(False).alias("__rs_in"), F.lit(None).cast("int").alias("__rs_rank"))
+        return win.unionByName(rest)
 
     def total(self) -> DataFrame:
         matched, ctx, _, _, _ = self._compile()
