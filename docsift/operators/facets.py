@@ -22,6 +22,7 @@ import math
 from dataclasses import dataclass, field as dc_field
 from typing import Any
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -250,16 +251,17 @@ class PageFilter(BaseFilter):
 
 
 def _attr_params(params: dict, key: str) -> dict[int, tuple[str, list[str]]]:
-    """("attrs", "<id>", "any"|"all") -> values; a bare ("attrs", "<id>") is "any"."""
+    """("attrs", "<id>", "any"|"all") -> values (the mode is required: bool
+    attribute filters may share the parameter name with ("attrs", "<id>"))."""
     out: dict[int, tuple[str, list[str]]] = {}
     for k, vals in params.items():
-        if not k or k[0] != key or len(k) < 2 or not vals:
+        if not k or k[0] != key or len(k) != 3 or not vals:
             continue
         try:
             a = int(k[1])
         except ValueError:
             continue
-        mode = k[2] if len(k) > 2 else "any"
+        mode = k[2]
         if mode not in ("any", "all"):
             continue
         out[a] = (UNION if mode == "any" else INTERSECT, vals)
@@ -346,8 +348,8 @@ class AttrRangeSimpleFilter(BaseFilter):
             if len(k) == 3 and k[0] == self.key and k[2] in ("gte", "lte") and vals:
                 try:
                     a = int(k[1])
-                    v = float(vals[-1])
-                except ValueError:
+                    v = float(np.float32(float(vals[-1])))  # parameters are float attributes
+                except (ValueError, OverflowError):
                     continue
                 if math.isnan(v):
                     continue

@@ -66,10 +66,10 @@ class HasChild(Query):
         def build():
             corpus = ctx.corpus
             cctx = Ctx(corpus, ctx.id_col)
-            kids = corpus.filter(F.col(f"{self.join_field}.name") == F.lit(self.type)).filter(self.query.predicate(cctx))
-            kids = cctx.apply(kids)
+            pred, score = self.query.predicate(cctx), self.query.score(cctx).cast("double")
+            kids = cctx.apply(corpus.filter(F.col(f"{self.join_field}.name") == F.lit(self.type))).filter(pred)
             cn, sn = ctx.fresh("hc_n"), ctx.fresh("hc_s")
-            keyed = kids.select(F.col(f"{self.join_field}.parent").alias("__hc_p"), self.query.score(cctx).cast("double").alias("__s"),
+            keyed = kids.select(F.col(f"{self.join_field}.parent").alias("__hc_p"), score.alias("__s"),
                                 F.col(ctx.id_col).alias("__cid")) \
                 .groupBy("__hc_p").agg(F.count(F.lit(1)).alias(cn), score_agg(self.score_mode, F.col("__s"), F.col("__cid")).alias(sn))
             keyed = keyed.withColumnRenamed("__hc_p", f"__hc_p_{cn}")
@@ -105,11 +105,10 @@ class HasParent(Query):
         def build():
             corpus = ctx.corpus
             pctx = Ctx(corpus, ctx.id_col)
-            par = corpus.filter(F.col(f"{self.join_field}.name") == F.lit(self.parent_type)).filter(self.query.predicate(pctx))
-            par = pctx.apply(par)
+            pred, score = self.query.predicate(pctx), self.query.score(pctx).cast("double")
+            par = pctx.apply(corpus.filter(F.col(f"{self.join_field}.name") == F.lit(self.parent_type))).filter(pred)
             mn, sn = ctx.fresh("hp_m"), ctx.fresh("hp_s")
-            keyed = par.select(F.col(ctx.id_col).alias(f"__hp_k_{mn}"), F.lit(True).alias(mn),
-                               self.query.score(pctx).cast("double").alias(sn))
+            keyed = par.select(F.col(ctx.id_col).alias(f"__hp_k_{mn}"), F.lit(True).alias(mn), score.alias(sn))
             ctx.attach(keyed, f"{self.join_field}.parent", f"__hp_k_{mn}")
             return mn, sn
         return _memo(ctx, ("hp", id(self)), build)
