@@ -23,6 +23,7 @@ from dataclasses import dataclass, field as dc_field
 from typing import Any
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -138,9 +139,9 @@ class SimpleFilter(BaseFilter):
         if not vals:
             return Prepared(self)
         if self.mode == INTERSECT:
-            p = _and([Term(self.field, v).predicate(ctx) for v in vals])
+            p = _and([Term(self.field, v).cond(ctx) for v in vals])
         else:
-            p = Terms(self.field, vals).predicate(ctx)
+            p = Terms(self.field, vals).cond(ctx)
         return Prepared(self, p, selected=vals)
 
 
@@ -180,7 +181,7 @@ class FacetRangeFilter(BaseFilter):
         hi = decode_last(params, (self.key, "lte"), t)
         if lo is None and hi is None:
             return Prepared(self, selected=(None, None))
-        return Prepared(self, Range(self.field, gte=lo, lte=hi).predicate(ctx), selected=(lo, hi))
+        return Prepared(self, Range(self.field, gte=lo, lte=hi).cond(ctx), selected=(lo, hi))
 
 
 @dataclass
@@ -436,6 +437,12 @@ class FacetResult:
     facets: dict
     page: DataFrame | None
     base: DataFrame
+    cached: list = dc_field(default_factory=list)
+
+    def release(self) -> None:
+        """Unpersist the shared facet counts (and the base, if cached)."""
+        for d in self.cached:
+            d.unpersist()
 
 
 class QueryFilters:
@@ -457,7 +464,8 @@ class QueryFilters:
         preds = [p.predicate for p in prepared]
 
         def others(i: int, own: bool) -> Column:
-            return _and([p for j, p in enumerate(preds) if p is not None and (j != i or own)])
+            m = _and([p for j, p in enumerate(preds) if p is not None and (j != i or own)])
+            return m if i < 0 else F.coalesce(m, F.lit(False))
 
         # ---- hits, sorted and paged
         hits = base.filter(others(-1, True))
@@ -501,11 +509,16 @@ class QueryFilters:
 
                 parts.append(f.elements(bctx, keep_for))
         facets: dict[str, DataFrame] = {}
+        cached: list[DataFrame] = []
         if parts:
             allp = parts[0] if len(parts) == 1 else F.concat(*parts)
-            ex = base.select(F.explode(F.filter(allp, lambda e: e["keep"])).alias("e")).select("e.*")
+            ex = base.select(F.explode(F.filter(allp, lambda e: F.coalesce(e["keep"], F.lit(False)))).alias("e")).select("e.*")
+            # (facets x values) rows: small, and shared by every facet's result frame,
+            # so it is computed once and kept (spilling to disk if needed)
             counts = ex.groupBy("facet", "k1", "k2").agg(
                 F.count_if("cnt").cast("bigint").alias("doc_count"), F.min("num").alias("min"), F.max("num").alias("max"))
+            counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(counts)
             for f, p in zip(self.filters, prepared):
                 if isinstance(f, _COUNTING):
                     facets[f.name] = _shape(f, p, counts.filter(F.col("facet") == f.name), bctx)
@@ -534,7 +547,9 @@ class QueryFilters:
                                               F.lit(v in sel).alias("selected"), F.lit(i).alias("__i"))
                                      for i, v in enumerate(f.values)])
                     facets[f.name] = one.select(F.inline(rows)).orderBy("__i").drop("__i")
-        return FacetResult(hits=hits_out, total=total, facets=facets, page=page_df, base=base)
+        if cache:
+            cached.append(base)
+        return FacetResult(hits=hits_out, total=total, facets=facets, page=page_df, base=base, cached=cached)
 
 
 def _cond_metric(m: Agg, mask: Column, ctx: Ctx, alias: str) -> Column:

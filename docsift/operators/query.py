@@ -235,8 +235,12 @@ def _lit(v: Any, t: T.DataType) -> Column:
     return F.lit(v).cast(t)
 
 
-def leaf(ctx: Ctx, name: str, test: Callable[[Column, T.DataType], Column]) -> Column:
-    """Null-safe leaf: scalar field -> test(c); array field -> exists(c, test)."""
+def leaf(ctx: Ctx, name: str, test: Callable[[Column, T.DataType], Column], raw: bool = False) -> Column:
+    """Leaf test: scalar field -> test(c); array field -> exists(c, test).
+
+    Null-safe (never null) unless ``raw``: the raw form may be null for a
+    missing value, which a filter treats as no match -- and plain comparisons
+    are what the Parquet reader can push down."""
     if not ctx.has(name):
         return F.lit(False)  # unmapped field matches nothing
     t = ctx.dtype(name)
@@ -246,7 +250,7 @@ def leaf(ctx: Ctx, name: str, test: Callable[[Column, T.DataType], Column]) -> C
         e = F.exists(c, lambda x: F.coalesce(test(x, et), F.lit(False)))
     else:
         e = test(c, t)
-    return F.coalesce(e, F.lit(False))
+    return e if raw else F.coalesce(e, F.lit(False))
 
 
 def _not_nan(x: Column, t: T.DataType) -> Column:
@@ -260,8 +264,14 @@ class Query:
     boost: float | None = None
 
     def predicate(self, ctx: Ctx) -> Column:
+        """Boolean that is never null (safe to negate or to use as a value)."""
         raise NotImplementedError
 
+    def cond(self, ctx: Ctx) -> Column:
+        """Filter form: may be null where the predicate is false.  Leaves keep
+        plain comparisons here so Catalyst can push them into the scan."""
+        return self.predicate(ctx)
+
     def score(self, ctx: Ctx) -> Column:
         return F.lit(1.0 if self.boost is None else float(self.boost))
 
@@ -316,10 +326,13 @@ class Term(Query):
     value: Any
     boost: float | None = None
 
-    def predicate(self, ctx):
+    def cond(self, ctx):
         if self.value is None:
             return ~Exists(self.field).predicate(ctx)
-        return leaf(ctx, self.field, lambda x, t: x == _lit(self.value, t))
+        return leaf(ctx, self.field, lambda x, t: x == _lit(self.value, t), raw=True)
+
+    def predicate(self, ctx):
+        return F.coalesce(self.cond(ctx), F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -333,11 +346,14 @@ class Terms(Query):
         object.__setattr__(self, "values", tuple(values))
         object.__setattr__(self, "boost", boost)
 
-    def predicate(self, ctx):
+    def cond(self, ctx):
         vals = [v for v in self.values if v is not None]
         if not vals:
             return F.lit(False)
-        return leaf(ctx, self.field, lambda x, t: x.isin([_lit(v, t) for v in vals]))
+        return leaf(ctx, self.field, lambda x, t: x.isin([_lit(v, t) for v in vals]), raw=True)
+
+    def predicate(self, ctx):
+        return F.coalesce(self.cond(ctx), F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -402,14 +418,17 @@ class Range(Query):
             e = e & (x <= _lit(self.lte, t))
         return e
 
-    def predicate(self, ctx):
+    def cond(self, ctx):
         if not ctx.has(self.field):
             return F.lit(False)
         t = ctx.dtype(self.field)
         base_t = t.elementType if isinstance(t, T.ArrayType) else t
         if isinstance(base_t, T.StructType):
-            return leaf(ctx, self.field, lambda x, st: self._relation(x, st))
-        return leaf(ctx, self.field, self._scalar)
+            return leaf(ctx, self.field, lambda x, st: self._relation(x, st), raw=True)
+        return leaf(ctx, self.field, self._scalar, raw=True)
+
+    def predicate(self, ctx):
+        return F.coalesce(self.cond(ctx), F.lit(False))
 
     def _relation(self, x: Column, st: T.StructType) -> Column:
         names = st.fieldNames()
@@ -512,22 +531,28 @@ class Bool(Query):
             return self.minimum_should_match.resolve(n)
         return 1 if n and not self.must and not self.filter else 0
 
-    def predicate(self, ctx):
-        e = F.lit(True)
-        for q in self.must + self.filter:
-            e = e & q.predicate(ctx)
-        for q in self.must_not:
-            e = e & ~q.predicate(ctx)
+    def cond(self, ctx):
+        parts = [q.cond(ctx) for q in self.must + self.filter]
+        parts += [~q.predicate(ctx) for q in self.must_not]
         need = self._required_should()
         if need == 1:
-            any_ = F.lit(False)
+            any_ = None
             for q in self.should:
-                any_ = any_ | q.predicate(ctx)
-            e = e & any_
+                c = q.cond(ctx)
+                any_ = c if any_ is None else any_ | c
+            parts.append(any_)
         elif need > 1:
-            e = e & (_count_true([q.predicate(ctx) for q in self.should]) >= F.lit(need))
+            parts.append(_count_true([q.cond(ctx) for q in self.should]) >= F.lit(need))
+        if not parts:
+            return F.lit(True)
+        e = parts[0]
+        for p in parts[1:]:
+            e = e & p
         return e
 
+    def predicate(self, ctx):
+        return F.coalesce(self.cond(ctx), F.lit(False))
+
     def score(self, ctx):
         s = F.lit(0.0)
         for q in self.must:
@@ -545,6 +570,9 @@ class ConstantScore(Query):
     def predicate(self, ctx):
         return self.filter.predicate(ctx)
 
+    def cond(self, ctx):
+        return self.filter.cond(ctx)
+
 
 @dataclass(frozen=True)
 class DisMax(Query):

@@ -161,9 +161,9 @@ class Search:
         base = self._base()
         ctx = self._ctx(base)
         q = self.query_ or MatchAll()
-        pred = q.predicate(ctx)
+        pred = q.cond(ctx)  # filter forms: plain comparisons reach the Parquet scan
         for f in self.filters:
-            pred = pred & f.predicate(ctx)
+            pred = pred & f.cond(ctx)
         score = q.score(ctx).cast("double")
         knn_side = None
         if self.knn_ is not None:
@@ -189,7 +189,7 @@ class Search:
     def _post(self, matched: DataFrame, ctx: Ctx) -> DataFrame:
         p = F.lit(True)
         for f in self.post_filters:
-            p = p & f.predicate(ctx)
+            p = p & f.cond(ctx)
         return matched.filter(p) if self.post_filters else matched
 
     def _order(self, ctx: Ctx) -> list[Column]:
