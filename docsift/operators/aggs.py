@@ -843,24 +843,35 @@ def _top_hits(name: str, m: TopHits, df: DataFrame, keys: list[str], ctx: Ctx, i
     return out.select(*keys, "_rank", *[c for c in cols if c not in keys])
 
 
-def _significant(name: str, m: SignificantTerms, keys: list[str], env: _Env, ctx: Ctx) -> DataFrame:
+def _significant(name: str, m: SignificantTerms, keys: list[str], env: _Env, ctx: Ctx, df: DataFrame) -> DataFrame:
+    """Foreground = the bucket's rows (``df``, already narrowed by the query and
+    any parent buckets); background = the whole collection or
+    ``background_filter``.  Per term: one grouped count over each side."""
     base = env.base
     bctx = env.ctx_for(base)
-    fg = env.match if env.match is not None else F.lit(True)
     bg = m.background_filter.predicate(bctx) if m.background_filter is not None else F.lit(True)
-    k, arr = _key_value(bctx, m.field, None)
-    d = base.select((fg).alias("__fg"), bg.alias("__bg"), (F.explode(F.array_distinct(k)) if arr else k).alias(name))
-    totals = base.select(fg.alias("__fg"), bg.alias("__bg")).agg(
-        F.count_if("__fg").cast("double").alias("__fgt"), F.count_if("__bg").cast("double").alias("__bgt"))
-    g = d.filter(F.col(name).isNotNull()).groupBy(name).agg(
-        F.count_if("__fg").cast("bigint").alias("doc_count"), F.count_if("__bg").cast("bigint").alias("bg_count"))
-    tot = totals.select(F.struct("__fgt", "__bgt").alias("t")).scalar()
-    fgt, bgt = tot.getField("__fgt"), tot.getField("__bgt")
+    bk, barr = _key_value(bctx, m.field, None)
+    bterm = F.explode(F.array_distinct(bk)) if barr else bk
+    bg_counts = base.filter(bg).select(bterm.alias(name)).filter(F.col(name).isNotNull()).groupBy(name).agg(
+        F.count(F.lit(1)).cast("bigint").alias("bg_count"))
+    bgt = base.filter(bg).select(F.count(F.lit(1)).cast("double")).scalar()
+    fk, farr = _key_value(ctx, m.field, None)
+    fterm = F.explode(F.array_distinct(fk)) if farr else fk
+    fg = df.select(*keys, fterm.alias(name)).filter(F.col(name).isNotNull()).groupBy(*keys, name).agg(
+        F.count(F.lit(1)).cast("bigint").alias("doc_count"))
+    if keys:
+        fgt_df = df.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("__fgt"))
+        g = fg.join(fgt_df, keys).join(bg_counts, name, "left")
+        fgt = F.col("__fgt")
+    else:
+        g = fg.join(bg_counts, name, "left")
+        fgt = df.select(F.count(F.lit(1)).cast("double")).scalar()
+    g = g.withColumn("bg_count", F.coalesce("bg_count", F.lit(0)).cast("bigint"))
     fp = F.col("doc_count") / fgt
     bp = F.col("bg_count") / bgt
     g = g.withColumn("score", F.when((F.col("bg_count") > 0) & (fp > bp), (fp - bp) * (fp / bp)).otherwise(F.lit(0.0)))
-    g = g.filter((F.col("doc_count") >= m.min_doc_count) & (F.col("score") > 0))
-    return g.orderBy(F.desc("score"), F.asc(name)).limit(m.size)
+    g = g.filter((F.col("doc_count") >= m.min_doc_count) & (F.col("score") > 0)).select(*keys, name, "doc_count", "bg_count", "score")
+    return _top_k(g, keys, [F.desc("score"), F.asc(name)], m.size)
 
 
 def run_aggs(df: DataFrame, aggs: dict[str, Agg], env: _Env, keys: list[str] | None = None,
@@ -889,7 +900,8 @@ def run_aggs(df: DataFrame, aggs: dict[str, Agg], env: _Env, keys: list[str] | N
     for name, a in aggs.items():
         p = path + name
         if isinstance(a, SignificantTerms):
-            out[p] = _significant(name, a, keys, env, ctx)
+            res = _significant(name, a, keys, env, ctx, df)
+            out[p] = res.join(parent_keep, keys, "left_semi") if parent_keep is not None and keys else res
             continue
         if not isinstance(a, Bucket):
             continue

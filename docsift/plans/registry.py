@@ -458,7 +458,7 @@ SELECT (lo + i * 10000)::DOUBLE AS price, coalesce(n, 0)::BIGINT AS doc_count,
        (SELECT count(*) FROM li)::BIGINT AS lines_doc_count
 FROM r LEFT JOIN k ON k.price = lo + i * 10000""")
 def e21_nested(spark, sf):
-    s = Search(TB.orders_nested(spark, sf), "o_orderkey").aggs(lines=A.NestedAgg(path="items", aggs={
+    s = Search(TB.orders_nested(spark, sf, ("price",)), "o_orderkey").aggs(lines=A.NestedAgg(path="items", aggs={
         "price": A.Histogram("items.price", interval=10000)}))
     a = s.aggregations()
     return a["lines>price"].withColumn("lines_doc_count", a["lines"].select("doc_count").scalar())
@@ -525,7 +525,7 @@ SELECT o_orderkey FROM orders o JOIN (SELECT l_orderkey, median(l_extendedprice)
   ON o.o_orderkey = l.l_orderkey
 ORDER BY m DESC, mq, o_orderkey LIMIT 25""")
 def s3_mode(spark, sf):
-    s = Search(TB.orders_nested(spark, sf), "o_orderkey").sort(Sort("items.price", "desc", mode="median"),
+    s = Search(TB.orders_nested(spark, sf, ("price", "quantity")), "o_orderkey").sort(Sort("items.price", "desc", mode="median"),
                                                                Sort("items.quantity", "asc", mode="max")).size(25)
     return s.hits().select("o_orderkey")
 
@@ -544,7 +544,7 @@ SELECT o_orderkey FROM orders o LEFT JOIN (
 ORDER BY s DESC NULLS LAST, o_orderkey LIMIT 30""")
 def s5_nested(spark, sf):
     from docsift.operators.sort import NestedSort
-    s = Search(TB.orders_nested(spark, sf), "o_orderkey").sort(
+    s = Search(TB.orders_nested(spark, sf, ("quantity", "returnflag")), "o_orderkey").sort(
         Sort("items.quantity", "desc", mode="sum", nested=NestedSort("items", filter=Q.Term("items.returnflag", "R")))).size(30)
     return s.hits().select("o_orderkey")
 
@@ -940,7 +940,7 @@ SELECT o_orderkey FROM orders o WHERE EXISTS (
   SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l_returnflag = 'R' AND l_quantity >= 45)""")
 def p14_nested(spark, sf):
     q = Q.Nested("items", Q.Bool(filter=[Q.Term("items.returnflag", "R"), Q.Range("items.quantity", gte=45)]))
-    return Search(TB.orders_nested(spark, sf), "o_orderkey").query(q).matched().select("o_orderkey")
+    return Search(TB.orders_nested(spark, sf, ("returnflag", "quantity")), "o_orderkey").query(q).matched().select("o_orderkey")
 
 
 @reg("r5_nested_score_modes", """
@@ -949,7 +949,7 @@ SELECT l_orderkey AS o_orderkey, round(max(l_extendedprice * 0.01), 6) AS s_max,
 FROM lineitem WHERE l_quantity >= 40 AND l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY 1""")
 def r5_nested(spark, sf):
     inner = SC.FunctionScore(Q.Range("items.quantity", gte=40), [SC.FieldValueFactor("items.price", factor=0.01)], boost_mode="replace")
-    base = TB.orders_nested(spark, sf)
+    base = TB.orders_nested(spark, sf, ("quantity", "price"))
     ctx = Q.Ctx(base, "o_orderkey")
     cols = {m: Q.Nested("items", inner, score_mode=m).score(ctx) for m in ("max", "avg", "sum", "min")}
     cnt = Q.Nested("items", Q.Range("items.quantity", gte=40), score_mode="sum").score(ctx)
@@ -1387,3 +1387,110 @@ def t2_bulk_stream(spark, sf):
         acts.filter((F.col("seq") >= lo + i * step) & (F.col("seq") < lo + (i + 1) * step)).write.mode("overwrite").parquet(f"{root}/in/part{i}")
         table, _ = run_bulk_stream(base, stream(), "c_custkey", out_dir=f"{root}/out")
     return rnd(table)
+
+
+# ----------------------------------------------------------------------------- more variants
+
+
+@reg("e17_significant_terms_under_bucket", """
+WITH b AS (SELECT l_returnflag AS flag, l_suppkey AS k FROM lineitem WHERE l_discount >= 0.08),
+bg AS (SELECT l_suppkey AS k, count(*) AS bg_count FROM lineitem GROUP BY 1),
+bgt AS (SELECT count(*)::DOUBLE AS bgt FROM lineitem),
+fgt AS (SELECT flag, count(*)::DOUBLE AS fgt FROM b GROUP BY 1),
+g AS (SELECT flag, k, count(*)::BIGINT AS doc_count FROM b GROUP BY 1, 2),
+s AS (SELECT g.flag, g.k AS sig, doc_count, bg_count::BIGINT AS bg_count,
+        ((doc_count / fgt) - (bg_count / bgt)) * ((doc_count / fgt) / (bg_count / bgt)) AS sc
+      FROM g JOIN fgt USING (flag) JOIN bg USING (k), bgt WHERE doc_count / fgt > bg_count / bgt AND doc_count >= 3)
+SELECT flag, sig, doc_count, bg_count, round(sc, 6) AS score FROM s
+QUALIFY row_number() OVER (PARTITION BY flag ORDER BY sc DESC, sig) <= 5""")
+def e17_sig_nested(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").query(Q.Range("l_discount", gte=0.08)).aggs(
+        flag=A.TermsAgg("l_returnflag", aggs={"sig": A.SignificantTerms("l_suppkey", size=5)}))
+    return rnd(s.aggregations()["flag>sig"])
+
+
+@reg("w5_seq_no_conditions", """
+WITH a AS (SELECT c_custkey AS seq, c_custkey % 500 AS id,
+             CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 500 + 1 ELSE c_custkey % 500 END AS if_seq_no FROM customer),
+m AS (SELECT a.*, (b.c_custkey IS NOT NULL AND if_seq_no = b.c_custkey) AS matches FROM a LEFT JOIN customer b ON b.c_custkey = a.id),
+r AS (SELECT *, sum(matches::INT) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM m)
+SELECT seq, id, CASE WHEN matches AND coalesce(prev, 0) = 0 THEN 'updated' ELSE 'conflict' END AS status FROM r""")
+def w5_seq_no(spark, sf):
+    c = TB.read(spark, sf, "customer")
+    base = c.withColumn("_seq_no", F.col("c_custkey")).withColumn("_primary_term", F.lit(1).cast("long"))
+    k = F.col("c_custkey")
+    acts = c.select(k.alias("seq"), F.lit("update").alias("op"), (k % 500).alias("id"),
+                    F.struct(F.lit(None).cast("string").alias("c_name"), F.lit(None).cast("int").alias("c_nationkey"),
+                             (F.col("c_acctbal") + 1).alias("c_acctbal"), F.lit(None).cast("string").alias("c_mktsegment")).alias("doc"),
+                    F.when(k % 3 == 0, k % 500 + 1).otherwise(k % 500).alias("if_seq_no"), F.lit(1).cast("long").alias("if_primary_term"))
+    return WR.bulk(base, acts, "c_custkey").items.select("seq", "id", "status")
+
+
+@reg("r14_knn_dot_and_max_inner_product", f"""
+SELECT vec_id, round((1 + {_DOT}) / 2, 6) AS dot_score,
+       round(CASE WHEN {_DOT} < 0 THEN 1.0 / (1.0 - {_DOT}) ELSE {_DOT} + 1.0 END, 6) AS mip_score
+FROM embeddings WHERE label = 0""")
+def r14_dot(spark, sf):
+    from docsift.functions.vectors import similarity_score
+    e = TB.read(spark, sf, "embeddings").filter(F.col("label") == 0)
+    return rnd(e.select("vec_id", similarity_score("dot_product", F.col("embedding"), QV).alias("dot_score"),
+                        similarity_score("max_inner_product", F.col("embedding"), QV).alias("mip_score")))
+
+
+@reg("r15_knn_query_linf", f"""
+SELECT vec_id, round(1.0 / (1.0 + list_max(list_transform(list_zip({_E}, {_QV_SQL}), lambda x: abs(x[1] - x[2])))), 6) AS _score
+FROM embeddings ORDER BY list_max(list_transform(list_zip({_E}, {_QV_SQL}), lambda x: abs(x[1] - x[2]))), vec_id LIMIT 8""")
+def r15_linf(spark, sf):
+    q = KnnQuery("embedding", QV, k=8, space="linf")
+    return _scored(Search(TB.read(spark, sf, "embeddings"), "vec_id").query(q).size(8).hits().select("vec_id", "_score"))
+
+
+@reg("p13_multi_match_phrase_prefix", f"""
+SELECT p_partkey, round(CASE WHEN a.nhit > 0 THEN a.s ELSE 0 END, 6) AS _score
+FROM part JOIN {bm25_sql('part', 'p_partkey', 'p_name', ['red'])} a ON a.id = p_partkey
+WHERE regexp_matches(lower(p_name), '(^|[^a-z0-9])red[^a-z0-9]+gea')""")
+def p13_prefix(spark, sf):
+    q = Q.MultiMatch("red gea", ["p_name", "p_type"], type="phrase_prefix")
+    return _scored(Search(TB.read(spark, sf, "part"), "p_partkey").query(q).matched().select("p_partkey", "_score"))
+
+
+@reg("e18_histogram_extended_bounds", """
+WITH k AS (SELECT floor(l_quantity / 10) * 10 AS q, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT g.q::DOUBLE AS q, coalesce(n, 0)::BIGINT AS doc_count FROM (SELECT unnest(generate_series(-20, 80, 10)) AS q) g LEFT JOIN k USING (q)""")
+def e18_ext(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(q=A.Histogram("l_quantity", interval=10, min_doc_count=0, extended_bounds=(-20, 80)))
+    return s.aggregations()["q"]
+
+
+@reg("e18_histogram_hard_bounds", """
+SELECT floor(l_quantity / 5) * 5 AS q, count(*)::BIGINT AS doc_count FROM lineitem
+WHERE floor(l_quantity / 5) * 5 BETWEEN 10 AND 30 GROUP BY 1""")
+def e18_hard(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(q=A.Histogram("l_quantity", interval=5, min_doc_count=1, hard_bounds=(10, 30)))
+    return s.aggregations()["q"]
+
+
+@reg("e19_date_histogram_offset", """
+SELECT epoch_ms(date_trunc('day', ts - INTERVAL 6 HOUR)) + 21600000 AS d, count(*)::BIGINT AS doc_count,
+       strftime(date_trunc('day', ts - INTERVAL 6 HOUR) + INTERVAL 6 HOUR, '%Y-%m-%dT%H:%M:%S.000Z') AS d_as_string
+FROM events GROUP BY 1, 3""")
+def e19_offset(spark, sf):
+    s = Search(TB.read(spark, sf, "events"), "event_id").aggs(d=A.DateHistogram("ts", calendar_interval="day", offset_ms=6 * 3600 * 1000))
+    return s.aggregations()["d"]
+
+
+@reg("e14_terms_missing_and_key_order", """
+SELECT coalesce(l.quality, -1) AS q, count(*)::BIGINT AS doc_count FROM documents d LEFT JOIN labels l USING (doc_id)
+GROUP BY 1 ORDER BY q DESC LIMIT 2""")
+def e14_missing(spark, sf):
+    s = Search(TB.docs_labelled(spark, sf), "doc_id").aggs(q=A.TermsAgg("quality", missing=-1, size=2, order=(("_key", "desc"),)))
+    return s.aggregations()["q"]
+
+
+@reg("e10_percentiles_default", """
+SELECT quantile_disc(o_totalprice, 0.01) AS p_p1, quantile_disc(o_totalprice, 0.05) AS p_p5, quantile_disc(o_totalprice, 0.25) AS p_p25,
+       quantile_disc(o_totalprice, 0.5) AS p_p50, quantile_disc(o_totalprice, 0.75) AS p_p75, quantile_disc(o_totalprice, 0.95) AS p_p95,
+       quantile_disc(o_totalprice, 0.99) AS p_p99 FROM orders""")
+def e10_default(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(p=A.Percentiles("o_totalprice", accuracy=1_000_000))
+    return rnd(s.aggregations()["p"])
