@@ -171,7 +171,7 @@ def p9_msm(spark, sf):
     return Search(TB.read(spark, sf, "part"), "p_partkey").query(q).matched().select("p_partkey")
 
 
-@reg("p10_match_all", "SELECT c_custkey, 1.0 AS _score FROM customer")
+@reg("p10_match_all", "SELECT c_custkey, 1.0::DOUBLE AS _score FROM customer")
 def p10_match_all(spark, sf):
     return Search(TB.read(spark, sf, "customer"), "c_custkey").query(Q.MatchAll()).matched().select("c_custkey", "_score")
 
@@ -206,7 +206,7 @@ def s7_page(spark, sf):
 
 
 @reg("s8_total_max_score", """
-SELECT count(*)::BIGINT AS total, 1.0 AS max_score FROM orders WHERE o_orderstatus = 'F'""")
+SELECT count(*)::BIGINT AS total, 1.0::DOUBLE AS max_score FROM orders WHERE o_orderstatus = 'F'""")
 def s8_total(spark, sf):
     return Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Term("o_orderstatus", "F")).total()
 
@@ -235,7 +235,7 @@ def e3_avg(spark, sf):
 
 @reg("e0_value_script_missing", """
 SELECT (SELECT round(avg(l_extendedprice * (1 - l_discount)), 6) FROM lineitem) AS net,
-       (SELECT round(sum(coalesce(l.quality, 2) * 10.0), 6) FROM documents d LEFT JOIN labels l USING (doc_id)) AS q10""")
+       (SELECT round(sum(coalesce(l.quality, 2) * 10.0), 6)::DOUBLE FROM documents d LEFT JOIN labels l USING (doc_id)) AS q10""")
 def e0_value(spark, sf):
     a = Search(lineitem(spark, sf), "l_id").aggs(net=A.Avg(script="l_extendedprice * (1 - l_discount)")).aggregations()
     b = Search(TB.docs_labelled(spark, sf), "doc_id").aggs(
@@ -422,7 +422,7 @@ def e19_year(spark, sf):
 
 
 _RANGES_SQL = """
-SELECT r.k AS price, r.f AS price_from, r.t AS price_to, count(o.o_orderkey)::BIGINT AS doc_count,
+SELECT r.k AS price, r.f::DOUBLE AS price_from, r.t::DOUBLE AS price_to, count(o.o_orderkey)::BIGINT AS doc_count,
        round(avg(o.o_totalprice), 6) AS avg_price
 FROM (VALUES ('*-50000.0', NULL, 50000.0), ('50000.0-150000.0', 50000.0, 150000.0),
              ('mid', 100000.0, 300000.0), ('300000.0-*', 300000.0, NULL), ('huge', 600000.0, 700000.0)) r(k, f, t)
@@ -709,7 +709,7 @@ s AS (SELECT *, a1 BETWEEN 1 AND 20 AS s1, a2 IN (3, 5) AS s2, (a5 >= 910.5 AND
 , c AS (SELECT 1 AS attr_id, a1 AS value, count(*) AS n FROM s WHERE s2 AND s5 GROUP BY 2
         UNION ALL SELECT 2, a2, count(*) FROM s WHERE s1 AND s5 GROUP BY 2),
 sel AS (SELECT 1 AS attr_id, unnest(range(1, 21)) AS value UNION ALL SELECT 2, 3 UNION ALL SELECT 2, 5)
-SELECT coalesce(c.attr_id, sel.attr_id) AS attr_id, coalesce(c.value, sel.value) AS value,
+SELECT coalesce(c.attr_id, sel.attr_id) AS attr_id, coalesce(c.value, sel.value)::INTEGER AS value,
        coalesce(n, 0)::BIGINT AS doc_count, sel.value IS NOT NULL AS selected
 FROM c FULL JOIN sel ON c.attr_id = sel.attr_id AND c.value = sel.value""")
 def f_attrs(spark, sf):
@@ -976,7 +976,7 @@ WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_
 SELECT 'o' || l_orderkey AS _id, round(sum(s), 6) AS s_sum, round(avg(s), 6) AS s_avg, round(max(s), 6) AS s_max,
        round(min(s), 6) AS s_min, round(exp(sum(ln(s))), 6) AS s_multiply,
        round(arg_min(s, 'l' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_quantity::BIGINT), 6)
-         AS s_first, 0.0 AS s_none
+         AS s_first, 0.0::DOUBLE AS s_none
 FROM c GROUP BY l_orderkey""")
 def j2_modes(spark, sf):
     fam = TB.order_family(spark, sf)
@@ -1282,8 +1282,8 @@ def a7_merge(spark, sf):
 
 
 @reg("a8_name_pattern_templates", """
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::INT AS l_quantity, round(l_extendedprice, 6) AS l_extendedprice,
-       round(l_discount::FLOAT, 6) AS l_discount, round(l_tax::FLOAT, 6) AS l_tax, l_returnflag, l_linestatus, l_shipdate::DATE AS l_shipdate
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::VARCHAR AS l_linenumber, l_quantity::INT AS l_quantity,
+       round(l_extendedprice, 6) AS l_extendedprice, round(l_discount::FLOAT::DOUBLE, 6) AS l_discount, round(l_tax::FLOAT::DOUBLE, 6) AS l_tax, l_returnflag, l_linestatus, l_shipdate::DATE AS l_shipdate
 FROM lineitem""")
 def a8_templates(spark, sf):
     rules = [SCH.Template("int", match="*_quantity"), SCH.Template("date", match="l_ship*", match_mapping_type="date"),
@@ -1349,7 +1349,7 @@ register_script("name_len", _name_len)
 
 
 @reg("u2_stored_scripts", """
-SELECT p_partkey, round(p_retailprice * (1 - 0.1), 6) AS disc, length(p_name) AS name_len FROM part WHERE p_type = 'PROMO'""")
+SELECT p_partkey, round(p_retailprice * (1 - 0.1), 6) AS disc, length(p_name)::INTEGER AS name_len FROM part WHERE p_type = 'PROMO'""")
 def u2_stored(spark, sf):
     s = (Search(TB.read(spark, sf, "part"), "p_partkey").filter(Q.Term("p_type", "PROMO")).size(None)
          .script_field("disc", Script(id="discounted", params={"d": 0.1})).script_field("name_len", Script(id="name_len")))
