@@ -63,19 +63,26 @@ class HasChild(Query):
     boost: float | None = None
 
     def _cols(self, ctx: Ctx) -> tuple[str, str]:
+        """(count column, score column).  Nodes over the same child query share
+        one child aggregate (all score modes in one groupBy) and one join."""
         def build():
             corpus = ctx.corpus
             cctx = Ctx(corpus, ctx.id_col)
             pred, score = self.query.predicate(cctx), self.query.score(cctx).cast("double")
             kids = cctx.apply(corpus.filter(F.col(f"{self.join_field}.name") == F.lit(self.type))).filter(pred)
-            cn, sn = ctx.fresh("hc_n"), ctx.fresh("hc_s")
+            cn = ctx.fresh("hc_n")
+            modes = ("sum", "avg", "max", "min", "first", "multiply")
+            names = {m: f"{cn}_{m}" for m in modes}
             keyed = kids.select(F.col(f"{self.join_field}.parent").alias("__hc_p"), score.alias("__s"),
                                 F.col(ctx.id_col).alias("__cid")) \
-                .groupBy("__hc_p").agg(F.count(F.lit(1)).alias(cn), score_agg(self.score_mode, F.col("__s"), F.col("__cid")).alias(sn))
+                .groupBy("__hc_p").agg(F.count(F.lit(1)).alias(cn),
+                                       *[score_agg(m, F.col("__s"), F.col("__cid")).alias(names[m]) for m in modes])
             keyed = keyed.withColumnRenamed("__hc_p", f"__hc_p_{cn}")
             ctx.attach(keyed, ctx.id_col, f"__hc_p_{cn}")
-            return cn, sn
-        return _memo(ctx, ("hc", id(self)), build)
+            return cn, names
+        cn, names = _memo(ctx, ("hc", self.type, self.join_field, id(self.query)), build)
+        mode = (self.score_mode or "none").lower()
+        return cn, (names[mode] if mode != "none" else None)
 
     def predicate(self, ctx):
         cn, _ = self._cols(ctx)
@@ -87,6 +94,8 @@ class HasChild(Query):
 
     def score(self, ctx):
         _, sn = self._cols(ctx)
+        if sn is None:
+            return F.lit(0.0)
         return F.coalesce(F.col(sn), F.lit(0.0)) * F.lit(self._b())
 
 
