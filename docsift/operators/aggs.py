@@ -27,7 +27,7 @@ from docsift.operators.query import Ctx, Query
 __all__ = [
     "Min", "Max", "Avg", "Sum", "ValueCount", "Cardinality", "Stats", "ExtendedStats", "Percentiles",
     "MedianAbsoluteDeviation", "WeightedAvg", "TopHits", "ScriptedMetric",
-    "Terms_", "TermsAgg", "SignificantTerms", "Histogram", "DateHistogram", "RangeAgg", "DateRangeAgg",
+    "TermsAgg", "SignificantTerms", "Histogram", "DateHistogram", "RangeAgg", "DateRangeAgg",
     "NestedAgg", "FilterAgg", "FiltersAgg", "GlobalAgg", "run_aggs", "MAX_BUCKETS",
 ]
 
@@ -394,9 +394,6 @@ class TermsAgg(Bucket):
         return out
 
 
-Terms_ = TermsAgg
-
-
 @dataclass(frozen=True)
 class SignificantTerms(Bucket):
     """Terms unusually frequent in the foreground (the query's matches) against
@@ -472,7 +469,6 @@ class Histogram(Bucket):
         if self.min_doc_count == 0:
             ext = None
             if self.extended_bounds is not None:
-                ext = tuple(None if b is None else float(self.key_of(F.lit(b)) is None or b) for b in self.extended_bounds)
                 ext = tuple(None if b is None else math.floor((float(b) - self.offset) / self.interval) * self.interval + self.offset for b in self.extended_bounds)
             res = self._fill(res, name, keys, float(self.interval), ext)
         elif self.min_doc_count > 1:

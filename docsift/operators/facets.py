@@ -28,9 +28,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsift.operators.aggs import Agg, _metric_columns
-from docsift.operators.query import Ctx, Exists, Query, Range, Term, Terms, _lit
-from docsift.operators.sort import Sort, as_sort
+from docsift.operators.aggs import Agg
+from docsift.operators.query import Ctx, Range, Term, Terms
+from docsift.operators.sort import as_sort
 
 __all__ = [
     "QueryFilters", "SimpleFilter", "FacetFilter", "FacetRangeFilter", "SimpleExpressionsFilter",
@@ -452,8 +452,6 @@ class QueryFilters:
         self.filters = list(filters)
 
     def apply(self, search, params: dict, cache: bool = False) -> FacetResult:
-        from docsift.plans.search import Search  # noqa: F401
-
         params = normalize_params(params)
         matched, ctx, aux, base_df, _ = search._compile()
         base = search._post(matched, ctx)
@@ -528,7 +526,6 @@ class QueryFilters:
         for i, (f, p) in enumerate(zip(self.filters, prepared)):
             mask = others(i, p.own_counts)
             if isinstance(f, FacetRangeFilter):
-                fdf, cols, fins, _ = _metric_columns(base, bctx, {})
                 aggs.append(F.count(F.when(mask, bctx.col(f.field))).cast("bigint").alias(f"{f.name}__count"))
                 for mname, m in f.aggs.items():
                     aggs.append(_cond_metric(m, mask, bctx, f"{f.name}__{mname}"))
@@ -579,7 +576,7 @@ def _shape(f: BaseFilter, p: Prepared, counts: DataFrame, ctx: Ctx) -> DataFrame
         if f.min_doc_count > 1:
             c = c.filter(F.col("doc_count") >= f.min_doc_count)
         if f.size is not None:
-            c = c.orderBy(F.desc("doc_count"), F.col("k1" if False else "value").cast(vt).asc()).limit(f.size)
+            c = c.orderBy(F.desc("doc_count"), F.col("value").cast(vt).asc()).limit(f.size)
         if sel:
             s = spark.createDataFrame([(v,) for v in dict.fromkeys(sel)], "value string").withColumn("__sel", F.lit(True))
             c = c.join(F.broadcast(s), "value", "full")  # the selection list is request-sized

@@ -10,8 +10,6 @@ result is bounded by k, so it may be broadcast back into the plan.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Any
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
