@@ -34,14 +34,18 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "docsif
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a fresh temporary folder is
-    set; on a cluster the configured shared folder is always used.
+    Streaming checkpoints, per-batch table versions and written intermediate
+    tables go here, so a lost executor (or driver restart) finds them again.
+    Only a local-mode session without the setting (tests) gets a fresh
+    temporary folder; on a cluster the setting is required.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
         conf = tempfile.mkdtemp(prefix="docsift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     spark.sparkContext.setCheckpointDir(conf)
