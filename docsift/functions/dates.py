@@ -74,3 +74,21 @@ def parse_date_literal(v) -> Column:
         off = (int(digits[:2]) * 3600 + int(digits[2:4] or 0) * 60) * (-1 if tz[0] == "-" else 1)
     epoch_ms = int((local - _dt.datetime(1970, 1, 1)).total_seconds() * 1000) - off * 1000
     return F.timestamp_millis(F.lit(epoch_ms))
+
+
+def date_literal_ms(v) -> int:
+    """Epoch milliseconds of a literal date (flexible format, or epoch ms)."""
+    if isinstance(v, (int, float)) and not _PY.match(str(v)):
+        return int(v)
+    if isinstance(v, _dt.datetime):
+        return int((v - _dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+    m = _PY.match(str(v))
+    if not m:
+        return int(str(v))
+    y, mo, d, h, mi, se, frac, tz = m.groups()
+    local = _dt.datetime(int(y), int(mo or 1), int(d or 1), int(h or 0), int(mi or 0), int(se or 0), int((frac or "0")[:3].ljust(3, "0")) * 1000)
+    off = 0
+    if tz and tz != "Z":
+        digits = re.sub(r"[^0-9]", "", tz)
+        off = (int(digits[:2]) * 3600 + int(digits[2:4] or 0) * 60) * (-1 if tz[0] == "-" else 1)
+    return int((local - _dt.datetime(1970, 1, 1)).total_seconds() * 1000) - off * 1000

@@ -48,7 +48,7 @@ def cosine(v: Column, q: Sequence[float]) -> Column:
 
 def hamming(v: Column, q: Sequence[float]) -> Column:
     """Differing bits between integer-valued (byte / binary packed) vectors."""
-    return _sum(F.zip_with(v, _q(q), lambda a, b: F.bit_count(F.bitwise_xor(a.cast("long"), b.cast("long"))).cast("double")))
+    return _sum(F.zip_with(v, _q(q), lambda a, b: F.bit_count(a.cast("long").bitwiseXOR(b.cast("long"))).cast("double")))
 
 
 def _ip_score(d: Column) -> Column:

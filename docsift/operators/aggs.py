@@ -470,6 +470,14 @@ class Histogram(Bucket):
             ext = None
             if self.extended_bounds is not None:
                 ext = tuple(None if b is None else math.floor((float(b) - self.offset) / self.interval) * self.interval + self.offset for b in self.extended_bounds)
+                if self.hard_bounds is not None:  # extended bounds never reach past the hard bounds
+                    hlo, hhi = self.hard_bounds
+                    lo, hi = ext
+                    if lo is not None and hlo is not None and lo < float(hlo):
+                        lo = math.ceil((float(hlo) - self.offset) / self.interval) * self.interval + self.offset
+                    if hi is not None and hhi is not None and hi > float(hhi):
+                        hi = math.floor((float(hhi) - self.offset) / self.interval) * self.interval + self.offset
+                    ext = (lo, hi)
             res = self._fill(res, name, keys, float(self.interval), ext)
         elif self.min_doc_count > 1:
             res = res.filter(F.col("doc_count") >= self.min_doc_count)
@@ -529,16 +537,44 @@ class DateHistogram(Bucket):
                 from docsift.functions.dates import parse_date_literal
                 k = F.coalesce(k.cast("timestamp"), parse_date_literal(self.missing))
             df = df.filter(k.isNotNull()).withColumn(name, self.key_ms(k))
+        if self.hard_bounds is not None:  # buckets starting outside the bounds are dropped
+            from docsift.functions.dates import date_literal_ms
+            lo, hi = self.hard_bounds
+            if lo is not None:
+                df = df.filter(F.col(name) >= F.lit(date_literal_ms(lo)))
+            if hi is not None:
+                df = df.filter(F.col(name) <= F.lit(date_literal_ms(hi)))
         return df, [name]
 
+    def _ext_keys(self) -> tuple:
+        """Bucket keys (epoch ms) of the extended bounds, as Columns or None."""
+        from docsift.functions.dates import date_literal_ms
+        if self.extended_bounds is None:
+            return None, None
+        return tuple(None if b is None else self.key_ms(F.timestamp_millis(F.lit(date_literal_ms(b)))) for b in self.extended_bounds)
+
     def finalize(self, res, name, keys, env):
         if self.min_doc_count == 0:
+            elo, ehi = self._ext_keys()
             if self.calendar_interval:
                 unit = CALENDAR_UNITS[self.calendar_interval]
                 step_expr = {"MINUTE": "INTERVAL 1 MINUTE", "HOUR": "INTERVAL 1 HOUR", "DAY": "INTERVAL 1 DAY",
                              "WEEK": "INTERVAL 7 DAY", "MONTH": "INTERVAL 1 MONTH", "QUARTER": "INTERVAL 3 MONTH",
                              "YEAR": "INTERVAL 1 YEAR"}[unit]
                 rng = res.groupBy(*keys).agg(F.min(name).alias("__lo"), F.max(name).alias("__hi")) if keys else res.agg(F.min(name).alias("__lo"), F.max(name).alias("__hi"))
+                if elo is not None:
+                    rng = rng.withColumn("__lo", F.least(F.coalesce("__lo", elo), elo))
+                if ehi is not None:
+                    rng = rng.withColumn("__hi", F.greatest(F.coalesce("__hi", ehi), ehi))
+                if self.hard_bounds is not None:  # extended bounds never reach past the hard bounds
+                    from docsift.functions.dates import date_literal_ms
+                    hlo, hhi = self.hard_bounds
+                    if hlo is not None:
+                        rng = rng.withColumn("__lo", F.greatest("__lo", self.key_ms(F.timestamp_millis(F.lit(date_literal_ms(hlo))))))
+                        rng = rng.withColumn("__lo", F.when(F.col("__lo") < F.lit(date_literal_ms(hlo)),
+                                                            F.unix_millis(F.timestamp_millis("__lo") + F.expr(step_expr))).otherwise(F.col("__lo")))
+                    if hhi is not None:
+                        rng = rng.withColumn("__hi", F.least("__hi", self.key_ms(F.timestamp_millis(F.lit(date_literal_ms(hhi))))))
                 seq = F.sequence(F.timestamp_millis("__lo"), F.timestamp_millis("__hi"), F.expr(step_expr))
                 guard = F.when(F.size(seq) <= MAX_BUCKETS, seq).otherwise(F.raise_error(F.lit("too many buckets")).cast("array<timestamp>"))
                 grid = rng.filter(F.col("__lo").isNotNull()).select(*keys, F.explode(guard).alias("__t")).select(*keys, F.unix_millis("__t").alias(name))
@@ -546,7 +582,13 @@ class DateHistogram(Bucket):
                 res = grid.join(res, keys + [name], "left").select(
                     *keys, name, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) if c == "doc_count" else F.col(c) for c in metric_cols])
             else:
-                res = Histogram(interval=float(fixed_interval_ms(self.fixed_interval)))._fill(res, name, keys, float(fixed_interval_ms(self.fixed_interval)), None)
+                from docsift.functions.dates import date_literal_ms
+                step = fixed_interval_ms(self.fixed_interval)
+                ext = None
+                if self.extended_bounds is not None:
+                    ext = tuple(None if b is None else float((date_literal_ms(b) - self.offset_ms) // step * step + self.offset_ms)
+                                for b in self.extended_bounds)
+                res = Histogram(interval=float(step))._fill(res, name, keys, float(step), ext)
                 res = res.withColumn(name, F.col(name).cast("long"))
         elif self.min_doc_count > 1:
             res = res.filter(F.col("doc_count") >= self.min_doc_count)

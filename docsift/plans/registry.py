@@ -1494,3 +1494,16 @@ SELECT quantile_disc(o_totalprice, 0.01) AS p_p1, quantile_disc(o_totalprice, 0.
 def e10_default(spark, sf):
     s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(p=A.Percentiles("o_totalprice", accuracy=1_000_000))
     return rnd(s.aggregations()["p"])
+
+
+@reg("e19_date_histogram_bounds", """
+WITH k AS (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS n FROM orders
+           WHERE date_trunc('month', o_orderdate) BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-12-31' GROUP BY 1),
+g AS (SELECT unnest(generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '1996-12-01', INTERVAL 1 MONTH)) AS m)
+SELECT epoch_ms(g.m) AS mon, coalesce(n, 0)::BIGINT AS doc_count, strftime(g.m, '%Y-%m-%dT%H:%M:%S.000Z') AS mon_as_string
+FROM g LEFT JOIN k USING (m)""")
+def e19_bounds(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(mon=A.DateHistogram(
+        "o_orderdate", calendar_interval="month", min_doc_count=0, extended_bounds=("1995-10-15", "1996-03"),
+        hard_bounds=("1996-01-01", "1996-12-31")))
+    return s.aggregations()["mon"]

@@ -153,3 +153,18 @@ def test_template_path_match_uses_full_path(spark):
 def test_sum_of_empty_bucket_is_zero(spark, bikes):
     a = Search(bikes, "id").filter(Q.Term("brand", "none")).aggs(s=A.Sum("price")).aggregations()["s"].first()
     assert a.s == 0.0
+
+
+def test_histogram_extended_bounds_clipped_by_hard_bounds(spark):
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([12, 13, 27, 41])], "id int, x double")
+    a = Search(df, "id").aggs(h=A.Histogram("x", interval=10, min_doc_count=0, extended_bounds=(0, 90), hard_bounds=(10, 50)))
+    got = [(r.h, r.doc_count) for r in a.aggregations()["h"].collect()]
+    assert got == [(10.0, 2), (20.0, 1), (30.0, 0), (40.0, 1), (50.0, 0)]
+
+
+def test_hamming_space_on_byte_vectors(spark):
+    from docsift.operators.knn import KnnQuery
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0, 2.0, 7.0]), (3, [0.0, 0.0, 0.0])], "id int, v array<float>")
+    h = Search(df, "id").query(KnnQuery("v", (1, 2, 3), k=3, space="hamming")).size(3).hits().collect()
+    # differing bits: id1 0, id2 (3^7=4) 1 bit, id3 1+1+2 = 4 bits
+    assert [(r.id, r._score) for r in h] == [(1, 1.0), (2, 0.5), (3, 0.2)]
