@@ -26,7 +26,7 @@ from docsift.operators.aggs import Agg, _Env, run_aggs
 from docsift.operators.query import Ctx, MatchAll, Query
 from docsift.operators.sort import Sort, as_sort
 
-__all__ = ["Search", "Rescore", "multi_search", "DEFAULT_SIZE"]
+__all__ = ["Search", "SearchResult", "Rescore", "multi_search", "DEFAULT_SIZE"]
 
 DEFAULT_SIZE = 10
 # Largest rescore window / kNN k that may be broadcast back into the plan.
@@ -226,7 +226,9 @@ class Search:
     # ------------------------------------------------------------ results
     def hits(self) -> DataFrame:
         matched, ctx, aux, _, _ = self._compile()
-        hits = self._post(matched, ctx)
+        return self._hits_from(self._post(matched, ctx), ctx, aux)
+
+    def _hits_from(self, hits: DataFrame, ctx: Ctx, aux: list[str]) -> DataFrame:
         if not self._sorted_by_score() and not self.track_scores_:
             hits = hits.withColumn("_score", F.lit(None).cast("double"))
         order = self._order(ctx)
@@ -285,12 +287,49 @@ class Search:
         env = _Env(base=base, ctx_for=self._ctx, match=pred, id_col=self.id_col)
         return run_aggs(matched, self.aggs_, env)
 
+    def results(self, with_hits: bool = True) -> "SearchResult":
+        """Hits, total and aggregations over one shared filtered base.
+
+        The base (query + filters, scored) is persisted (memory, spilling to
+        disk) only when more than one output reads it -- hits plus
+        aggregations, or several aggregations; ``release()`` unpersists it.
+        A lost executor's cached blocks are recomputed from the lineage.
+        """
+        from pyspark import StorageLevel
+
+        matched, ctx, aux, base, pred = self._compile()
+        shared = (with_hits and bool(self.aggs_)) or len(self.aggs_) > 1
+        if shared:
+            matched = matched.persist(StorageLevel.MEMORY_AND_DISK)
+        env = _Env(base=base, ctx_for=self._ctx, match=pred, id_col=self.id_col)
+        aggs = run_aggs(matched, self.aggs_, env)
+        hits = total = None
+        if with_hits:
+            posted = self._post(matched, ctx)
+            view = self._with(aggs_={})
+            hits = view._hits_from(posted, ctx, aux)
+            ms = F.max("_score") if (self._sorted_by_score() or self.track_scores_) else F.lit(None).cast("double")
+            total = posted.agg(F.count(F.lit(1)).cast("bigint").alias("total"), ms.alias("max_score"))
+        return SearchResult(hits=hits, total=total, aggregations=aggs, cached=[matched] if shared else [])
+
     def matched(self) -> DataFrame:
         """All rows matching query, filters and post filters, with ``_score`` (unsorted)."""
         matched, ctx, aux, _, _ = self._compile()
         return self._post(matched, ctx).drop(*[c for c in aux if c in matched.columns])
 
 
+@dataclass
+class SearchResult:
+    hits: DataFrame | None
+    total: DataFrame | None
+    aggregations: dict
+    cached: list = dc_field(default_factory=list)
+
+    def release(self) -> None:
+        for d in self.cached:
+            d.unpersist()
+
+
 def _source_filter(schema: T.StructType, inc: tuple, exc: tuple, id_col: str) -> list[Any]:
     """Column list for includes/excludes with wildcards; nested struct fields via dropFields."""
     out: list[Any] = []

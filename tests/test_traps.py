@@ -168,3 +168,15 @@ def test_hamming_space_on_byte_vectors(spark):
     h = Search(df, "id").query(KnnQuery("v", (1, 2, 3), k=3, space="hamming")).size(3).hits().collect()
     # differing bits: id1 0, id2 (3^7=4) 1 bit, id3 1+1+2 = 4 bits
     assert [(r.id, r._score) for r in h] == [(1, 1.0), (2, 0.5), (3, 0.2)]
+
+
+def test_results_share_one_persisted_base(spark, bikes):
+    s = Search(bikes, "id").filter(Q.Exists("brand")).post_filter(Q.Term("brand", "Trek")).aggs(
+        b=A.TermsAgg("brand"), p=A.Max("price"))
+    r = s.results()
+    assert len(r.cached) == 1
+    assert sorted(x.id for x in r.hits.collect()) == sorted(x.id for x in s.hits().collect())
+    assert r.total.first().total == 2
+    assert sorted(map(tuple, r.aggregations["b"].collect())) == sorted(map(tuple, s.aggregations()["b"].collect()))
+    r.release()
+    assert Search(bikes, "id").aggs(b=A.TermsAgg("brand")).results(with_hits=False).cached == []
