@@ -5,7 +5,19 @@ Everything compiles to Column expressions and DataFrame plans; Catalyst
 optimizes, executors do the work.  There is no index and no server.
 """
 
-from docsift.session import get_spark, checkpoint_dir  # noqa: F401
+import sys as _sys
+
+# Functions and classes shipped to Python workers (pandas UDFs, mapInPandas,
+# scripted metrics) are pickled by value, so executors need no installed copy
+# of this package.
+try:
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older pyspark
+    pass
+
+from docsift.session import get_spark, checkpoint_dir  # noqa: F401,E402
 from docsift.operators.query import *  # noqa: F401,F403
 from docsift.operators.scoring import *  # noqa: F401,F403
 from docsift.operators.aggs import *  # noqa: F401,F403

@@ -845,7 +845,8 @@ def _scripted(name: str, m: ScriptedMetric, df: DataFrame, keys: list[str]) -> D
                     s = m.init() if m.init else {}
                 states[key] = m.map(s, g[fields])
         rows = [list(k) + [pickle.dumps(m.combine(s) if m.combine else s)] for k, s in states.items()]
-        yield pd.DataFrame(rows, columns=kn + ["__state"]) if rows else pd.DataFrame({c: [] for c in kn + ["__state"]})
+        if rows:  # an empty partition yields no frame at all
+            yield pd.DataFrame(rows, columns=kn + ["__state"])
 
     states = kdf.mapInPandas(per_partition, st_schema)
     out_schema = (kschema + ", " if kschema else "") + f"{name} {m.result_type}"
