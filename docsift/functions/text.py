@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The token pattern and the BM25 constants (k1, b) of the
 # published Okapi BM25 defaults.
@@ -63,3 +66,47 @@ def phrase_regex(terms: list[str], prefix_last: bool = False) -> str:
     body = r"[^\p{L}\p{N}]+".join(terms)
     tail = "" if prefix_last else r"(?![\p{L}\p{N}])"
     return r"(?<![\p{L}\p{N}])" + body + tail
+
+
+def _sloppy_match(toks, terms: list[str], slop: int, prefix_last: bool) -> bool:
+    """Terms in order where each later term k sits within ``slop`` positions
+    of (first position + k); numpy over one document's tokens."""
+    if toks is None or len(toks) == 0:
+        return False
+    arr = np.asarray(toks, dtype=object)
+    last = len(terms) - 1
+
+    def positions(k: int) -> np.ndarray:
+        if prefix_last and k == last:
+            return np.flatnonzero(np.fromiter((t.startswith(terms[k]) for t in arr), dtype=bool, count=len(arr)))
+        return np.flatnonzero(arr == terms[k])
+
+    start = positions(0)
+    if start.size == 0:
+        return False
+    ok = np.ones(start.size, dtype=bool)
+    for k in range(1, len(terms)):
+        pk = positions(k)
+        if pk.size == 0:
+            return False
+        target = start + k
+        i = np.searchsorted(pk, target)
+        left = pk[np.clip(i - 1, 0, pk.size - 1)]
+        right = pk[np.clip(i, 0, pk.size - 1)]
+        ok &= np.minimum(np.abs(left - target), np.abs(right - target)) <= slop
+        if not ok.any():
+            return False
+    return bool(ok.any())
+
+
+def sloppy_phrase(toks: Column, terms: list[str], slop: int, prefix_last: bool) -> Column:
+    """Arrow-batched test of a sloppy phrase over a token array column (null
+    tokens -> false).  Used instead of a positional scan of interpreted lambdas,
+    which costs O(tokens x slop) per document."""
+    terms = list(terms)
+
+    @F.pandas_udf(T.BooleanType())
+    def match(s: pd.Series) -> pd.Series:
+        return pd.Series([_sloppy_match(t, terms, slop, prefix_last) for t in s], dtype=bool)
+
+    return match(toks)

@@ -716,7 +716,10 @@ class MatchPhrase(Query):
         pre = F.lit(True)
         for w in _uniq(terms[:-1] if self.prefix else terms):  # cheap containment test first
             pre = pre & txt.rlike(TX.any_token_regex([w]))
-        return F.coalesce(pre & _phrase_at(toks, terms, self.slop, self.prefix), F.lit(False))
+        if ctx.in_nested:  # inside a lambda: positional scan on the element's tokens
+            return F.coalesce(pre & _phrase_at(toks, terms, self.slop, self.prefix), F.lit(False))
+        # tokens reach the vectorized test only for rows passing the prefilter
+        return F.coalesce(pre & TX.sloppy_phrase(F.when(pre, toks), terms, self.slop, self.prefix), F.lit(False))
 
     def score(self, ctx):
         terms = _uniq(self._terms()[:-1] if self.prefix else self._terms())
