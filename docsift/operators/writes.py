@@ -81,21 +81,25 @@ def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = N
     a = a.join(b, "id", "left").withColumn("__bexists", F.coalesce("__bexists", F.lit(False)))
     kw = {} if chunk is None else {"chunk": chunk}
 
-    # ---- scan 1: versions and seq_no conditions
+    # ---- scan 1: versions and seq_no conditions (skipped when the request has neither)
     versioned = F.col("version_type").isNotNull()
     cond = F.col("if_seq_no").isNotNull()
-    matches = cond & (F.col("if_seq_no") == F.col("__bseq")) & (F.col("if_primary_term").eqNullSafe(F.col("__bterm")))
-    a = prefix_max(a, ["id"], "seq", {
-        "__pv": F.when(versioned, F.col("version")),
-        "__p_uncond": F.when(~cond, F.col("seq")),
-        "__p_match": F.when(matches, F.col("seq")),
-    }, **kw)
-    cur_v = F.when(F.col("__pv").isNull(), F.col("__bver")).when(F.col("__bver").isNull(), F.col("__pv")).otherwise(F.greatest("__pv", "__bver"))
-    vt = F.col("version_type")
-    ok_version = (~versioned) | cur_v.isNull() | ((vt == "external") & (F.col("version") > cur_v)) | (
-        (vt == "external_gte") & (F.col("version") >= cur_v))
-    ok_seq = (~cond) | (matches & F.col("__p_uncond").isNull() & F.col("__p_match").isNull())
-    a = a.withColumn("__ok", F.coalesce(ok_version & ok_seq, F.lit(False)))
+    if not ({"version_type", "if_seq_no"} & set(actions.columns)):
+        a = a.withColumn("__ok", F.lit(True))
+    else:
+        matches = cond & (F.col("if_seq_no") == F.col("__bseq")) & (F.col("if_primary_term").eqNullSafe(F.col("__bterm")))
+        a = prefix_max(a, ["id"], "seq", {
+            "__pv": F.when(versioned, F.col("version")),
+            "__p_uncond": F.when(~cond, F.col("seq")),
+            "__p_match": F.when(matches, F.col("seq")),
+        }, **kw)
+        cur_v = F.when(F.col("__pv").isNull(), F.col("__bver")).when(F.col("__bver").isNull(), F.col("__pv")).otherwise(
+            F.greatest("__pv", "__bver"))
+        vt = F.col("version_type")
+        ok_version = (~versioned) | cur_v.isNull() | ((vt == "external") & (F.col("version") > cur_v)) | (
+            (vt == "external_gte") & (F.col("version") >= cur_v))
+        ok_seq = (~cond) | (matches & F.col("__p_uncond").isNull() & F.col("__p_match").isNull())
+        a = a.withColumn("__ok", F.coalesce(ok_version & ok_seq, F.lit(False)))
 
     # ---- scan 2: existence before each action (effective actions only)
     is_abs = F.col("op").isin("index", "delete")
@@ -111,7 +115,6 @@ def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = N
                      .otherwise(F.coalesce(F.col("__p_cre") > pa["s"], F.lit(False))))
     a = a.withColumn("__exists", exists_before)
 
-    patch_set = [F.col("doc")[n].isNotNull() for n in names]
     unchanged = F.lit(True)
     for n in names:
         unchanged = unchanged & (F.col("doc")[n].isNull() | F.col("doc")[n].eqNullSafe(F.col("__bdoc")[n]))
