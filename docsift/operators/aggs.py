@@ -377,9 +377,27 @@ class TermsAgg(Bucket):
             df = df.filter(self._filters(F.col(name)))
         return df, [name]
 
+    def _all_terms(self, name: str, env: "_Env") -> DataFrame:
+        """Distinct terms of the whole collection (for min_doc_count = 0)."""
+        bctx = env.ctx_for(env.base)
+        k, arr = _key_value(bctx, self.field, self.script)
+        t = env.base.select((F.explode(F.array_distinct(k)) if arr else k).alias(name))
+        if self.missing is not None:
+            t = t.select(F.coalesce(F.col(name), F.lit(self.missing)).alias(name))
+        t = t.filter(F.col(name).isNotNull())
+        if self.include is not None or self.exclude is not None:
+            t = t.filter(self._filters(F.col(name)))
+        return t.distinct()
+
     def finalize(self, res, name, keys, env):
         if self.min_doc_count > 1:
             res = res.filter(F.col("doc_count") >= self.min_doc_count)
+        elif self.min_doc_count == 0:
+            if keys:
+                raise ValueError("min_doc_count=0 is supported for top-level terms only")
+            metric_cols = [c for c in res.columns if c not in (name, "doc_count")]
+            res = self._all_terms(name, env).join(res, name, "left").select(
+                name, F.coalesce(F.col("doc_count"), F.lit(0)).cast("bigint").alias("doc_count"), *metric_cols)
         out = _top_k(res, keys, _order_cols(self.order, name), self.size)
         if self.show_other:
             if keys:

@@ -1507,3 +1507,13 @@ def e19_bounds(spark, sf):
         "o_orderdate", calendar_interval="month", min_doc_count=0, extended_bounds=("1995-10-15", "1996-03"),
         hard_bounds=("1996-01-01", "1996-12-31")))
     return s.aggregations()["mon"]
+
+
+@reg("e14_terms_min_doc_count_zero", """
+SELECT p_brand AS brand, count(p.p_partkey)::BIGINT AS doc_count
+FROM (SELECT DISTINCT p_brand FROM part) b LEFT JOIN part p USING (p_brand) WHERE p.p_size IS NULL OR p.p_size > 48 GROUP BY 1
+UNION ALL SELECT DISTINCT p_brand, 0::BIGINT FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size > 48)""")
+def e14_zero(spark, sf):
+    s = Search(TB.read(spark, sf, "part"), "p_partkey").filter(Q.Range("p_size", gt=48)).aggs(
+        brand=A.TermsAgg("p_brand", size=None, min_doc_count=0))
+    return s.aggregations()["brand"]
