@@ -206,7 +206,7 @@ def s7_page(spark, sf):
 
 
 @reg("s8_total_max_score", """
-SELECT count(*)::BIGINT AS total, 1.0::DOUBLE AS max_score FROM orders WHERE o_orderstatus = 'F'""")
+SELECT count(*)::BIGINT AS total, 0.0::DOUBLE AS max_score FROM orders WHERE o_orderstatus = 'F'""")
 def s8_total(spark, sf):
     return Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Term("o_orderstatus", "F")).total()
 

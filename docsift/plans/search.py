@@ -164,7 +164,8 @@ class Search:
         pred = q.cond(ctx)  # filter forms: plain comparisons reach the Parquet scan
         for f in self.filters:
             pred = pred & f.cond(ctx)
-        score = q.score(ctx).cast("double")
+        # filters alone (no query) form an unscored bool: every hit scores 0
+        score = F.lit(0.0) if self.query_ is None and self.filters else q.score(ctx).cast("double")
         knn_side = None
         if self.knn_ is not None:
             knn_side = self.knn_.top_k(base, self.id_col, self._ctx)

@@ -344,3 +344,53 @@ def test_flexible_dates(spark):
     df = spark.createDataFrame([(str(v),) for v, _ in DATES], "s string")
     got = [r.t for r in df.select(parse_date(F.col("s")).cast("timestamp_ntz").alias("t")).collect()]
     assert got == [e for _, e in DATES]
+
+
+# ------------------------------------------------------------------ more search query cases
+
+
+def _order_with_comment(spark):
+    return _orders(spark).withColumn("comment", F.when(F.col("id") == "101", F.lit("Call me later")))
+
+
+def test_filter_only_search_scores_zero(spark):
+    s = Search(_orders(spark), "id").filter(Q.Term("status", 0))
+    t = s.total().first()
+    assert (t.total, t.max_score) == (3, 0.0)
+    t = Search(_orders(spark), "id").filter(Q.Ids(["105", "102"])).total().first()
+    assert (t.total, t.max_score) == (2, 0.0)
+
+
+def test_range_date_filtering(spark):
+    s = Search(_orders(spark), "id").filter(Q.Range("dateCreated", lt="2020-01-01"))
+    h = s.hits().collect()
+    assert [r.id for r in h] == ["101"] and h[0].user.name == "Karlson" and len(h[0]["items"]) == 1
+
+
+def test_source_exclude_and_disable(spark):
+    s = Search(_order_with_comment(spark), "id").filter(Q.Ids(["101"]))
+    h = s.source(excludes=["comment"]).hits()
+    assert "comment" not in h.columns and h.first().status == 0
+    h = s.source(enabled=False).hits()
+    assert h.columns == ["id", "_score"]
+
+
+def test_docvalue_fields_with_format(spark):
+    h = Search(_orders(spark), "id").filter(Q.Ids(["101"])).fields("status", ("dateCreated", "yyyy")).hits().first()
+    assert h.fields_status == ["0"] and h.fields_dateCreated == ["2019"]
+
+
+def test_stored_fields(spark):
+    s = Search(_order_with_comment(spark), "id").filter(Q.Ids(["101"]))
+    h = s.stored_fields("comment").hits().first()
+    assert (h.id, h.comment) == ("101", "Call me later")
+    h = s._with(stored_fields_=()).hits()
+    assert "id" not in h.columns
+
+
+def test_multi_search_and_count(spark):
+    from docsift.plans.search import multi_search
+    o = _orders(spark)
+    ms = multi_search([Search(o, "id").filter(Q.Term("status", 0)), Search(o, "id").filter(Q.Term("status", 1))]).collect()
+    assert sorted((r.query_id, r.id) for r in ms) == [(0, "101"), (0, "102"), (0, "105"), (1, "103")]
+    assert Search(o, "id").count().first()["count"] == 4
