@@ -286,6 +286,7 @@ class Template:
     unmatch: str | None = None
     match_pattern: str = "simple"
     match_mapping_type: str | None = None
+    subfields: tuple = ()   # ((sub name, type), ...): the same value typed again as ``<name>__<sub>``
 
     def matches(self, path: str, t: T.DataType) -> bool:
         def m(p: str) -> bool:
@@ -309,7 +310,10 @@ def apply_templates(df: DataFrame, templates: Iterable[Template]) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         rule = next((t for t in tl if t.matches(f.name, f.dataType)), None)
-        cols.append(F.col(f"`{f.name}`").cast(rule.type).alias(f.name) if rule else F.col(f"`{f.name}`"))
+        c = F.col(f"`{f.name}`")
+        cols.append(c.cast(rule.type).alias(f.name) if rule else c)
+        for sub, typ in (rule.subfields if rule else ()):
+            cols.append(c.cast(typ).alias(f"{f.name}__{sub}"))
     return df.select(*cols)
 
 

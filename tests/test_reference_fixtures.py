@@ -394,3 +394,21 @@ def test_multi_search_and_count(spark):
     ms = multi_search([Search(o, "id").filter(Q.Term("status", 0)), Search(o, "id").filter(Q.Term("status", 1))]).collect()
     assert sorted((r.query_id, r.id) for r in ms) == [(0, "101"), (0, "102"), (0, "105"), (1, "103")]
     assert Search(o, "id").count().first()["count"] == 4
+
+
+def test_knn_query_hotels(spark):
+    from docsift.operators.knn import KnnQuery
+    df = spark.createDataFrame([(str(i + 1), v) for i, v in enumerate(
+        [[5.2, 4.4], [5.2, 3.9], [4.9, 3.4], [4.2, 4.6], [3.3, 4.5]])], "_id string, location array<float>")
+    s = Search(df, "_id").query(KnnQuery("location", (5.0, 4.0), k=3))
+    assert s.total().first().total == 3
+    assert [r._id for r in s.hits().collect()] == ["2", "1", "3"]
+
+
+def test_dynamic_template_typing_and_subfield(spark):
+    from docsift.sources.schema import Template, apply_templates
+    raw = spark.createDataFrame([("1", "10"), ("2", "2")], "_id string, company_id string")
+    df = apply_templates(raw, [Template("bigint", match="*_id", subfields=(("id", "string"),))])
+    s = Search(df, "_id")
+    assert s.filter(Q.Term("company_id__id", "10")).count().first()[0] == 1
+    assert [r._id for r in s.sort("company_id").hits().collect()] == ["2", "1"]
