@@ -408,7 +408,7 @@ def test_knn_query_hotels(spark):
 def test_dynamic_template_typing_and_subfield(spark):
     from docsift.sources.schema import Template, apply_templates
     raw = spark.createDataFrame([("1", "10"), ("2", "2")], "_id string, company_id string")
-    df = apply_templates(raw, [Template("bigint", match="*_id", subfields=(("id", "string"),))])
+    df = apply_templates(raw, [Template("bigint", match="*_id", unmatch="_id", subfields=(("id", "string"),))])
     s = Search(df, "_id")
     assert s.filter(Q.Term("company_id__id", "10")).count().first()[0] == 1
     assert [r._id for r in s.sort("company_id").hits().collect()] == ["2", "1"]
