@@ -915,9 +915,11 @@ def r11_rescore(spark, sf):
 @reg("r12_explain", f"""
 WITH a AS (SELECT id, s FROM {_RS_A} WHERE nhit > 0), b AS (SELECT id, s AS s2, nhit AS h2 FROM {bm25_sql('documents', 'doc_id', 'text', ['of'])}),
 t AS (SELECT a.id, s, CASE WHEN h2 > 0 THEN s2 ELSE 0 END AS s2 FROM a JOIN b USING (id) ORDER BY s + CASE WHEN h2 > 0 THEN s2 ELSE 0 END DESC, id LIMIT 5)
-SELECT id AS doc_id, 'query' AS path, 'Bool' AS description, round(s + s2, 6) AS value FROM t
-UNION ALL SELECT id, 'query.must[0]', 'Match', round(s, 6) FROM t
-UNION ALL SELECT id, 'query.should[0]', 'Match', round(s2, 6) FROM t""")
+SELECT id AS doc_id, 'query' AS path, 'sum of:' AS description, round(s + s2, 6) AS value FROM t
+UNION ALL SELECT id, 'query.must[0]', 'sum of:', round(s, 6) FROM t
+UNION ALL SELECT id, 'query.must[0].terms[0]', 'weight(text:the)', round(s, 6) FROM t
+UNION ALL SELECT id, 'query.should[0]', 'sum of:', round(s2, 6) FROM t
+UNION ALL SELECT id, 'query.should[0].terms[0]', 'weight(text:of)', round(s2, 6) FROM t""")
 def r12_explain(spark, sf):
     q = Q.Bool(must=[Q.Match("text", "the")], should=[Q.Match("text", "of")])
     h = _docs(spark, sf).query(q).explain().size(5).hits()

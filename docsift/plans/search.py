@@ -366,9 +366,22 @@ def _explain(q: Query, ctx: Ctx) -> Column:
     """array<struct<path, description, value>> of the score of each node."""
     parts: list[Column] = []
 
+    from docsift.functions.text import analyze
+    from docsift.operators.query import Match, MatchAll, MatchPhrase, _text_score, _uniq
+
+    def entry(path: str, desc: str, value: Column) -> Column:
+        return F.struct(F.lit(path).alias("path"), F.lit(desc).alias("description"), value.cast("double").alias("value"))
+
     def walk(node: Query, path: str) -> None:
-        parts.append(F.struct(F.lit(path).alias("path"), F.lit(type(node).__name__).alias("description"),
-                              F.when(node.predicate(ctx), node.score(ctx).cast("double")).otherwise(F.lit(0.0)).alias("value")))
+        matched = node.predicate(ctx)
+        desc = ("sum of:" if isinstance(node, (Match, MatchPhrase)) or type(node).__name__ == "Bool"
+                else "*:*" if isinstance(node, MatchAll) else type(node).__name__)
+        parts.append(entry(path, desc, F.when(matched, node.score(ctx)).otherwise(F.lit(0.0))))
+        if isinstance(node, (Match, MatchPhrase)) and ctx.has(node.field):
+            toks = ctx.tokens(node.field)
+            for i, w in enumerate(_uniq(analyze(node.query))):  # per-term BM25 weights
+                parts.append(entry(f"{path}.terms[{i}]", f"weight({node.field}:{w})",
+                                   F.when(matched, _text_score(ctx, node.field, [w], toks) * F.lit(node._b())).otherwise(F.lit(0.0))))
         kids: list[tuple[str, Query]] = []
         for attr in ("must", "should", "filter", "must_not", "queries"):
             for i, ch in enumerate(getattr(node, attr, ()) or ()):

@@ -412,3 +412,16 @@ def test_dynamic_template_typing_and_subfield(spark):
     s = Search(df, "_id")
     assert s.filter(Q.Term("company_id__id", "10")).count().first()[0] == 1
     assert [r._id for r in s.sort("company_id").hits().collect()] == ["2", "1"]
+
+
+def test_explanation(spark):
+    phones = _phones(spark)
+    assert "_explanation" not in Search(phones, "_id").hits().columns
+    h = Search(phones, "_id").explain().size(None).hits().collect()
+    assert len(h) == 8 and all(len(r._explanation) == 1 and r._explanation[0].value == 1.0 for r in h)
+    h = Search(phones, "_id").query(Q.Match("model", "Galaxy Note 10")).explain().size(None).hits().collect()
+    assert len(h) == 5
+    for r in h:
+        top, details = r._explanation[0], r._explanation[1:]
+        assert top.description == "sum of:" and details
+        assert top.value == pytest.approx(sum(d.value for d in details)) and top.value == pytest.approx(r._score)
