@@ -44,7 +44,7 @@ def bm25_idf(n_docs: Column, doc_freq: Column) -> Column:
 
 
 def bm25_tf(tf: Column, doc_len: Column, avg_len: Column, k1: float = BM25_K1, b: float = BM25_B) -> Column:
-    """Saturated term frequency, Lucene 8+ form tf / (tf + k1 * (1 - b + b * dl / avgdl))."""
+    """Saturated term frequency tf / (tf + k1 * (1 - b + b * dl / avgdl)) (no (k1 + 1) factor)."""
     tf = tf.cast("double")
     return tf / (tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * doc_len.cast("double") / avg_len))
 

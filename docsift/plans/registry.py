@@ -749,7 +749,7 @@ _TOK = "regexp_extract_all(lower({f}), '[\\p{{L}}\\p{{N}}]+')"
 
 def bm25_sql(src: str, idc: str, field: str, terms: list[str], boost: float = 1.0) -> str:
     """DuckDB subquery (id, s, nhit, ...) with the BM25 score of ``terms``
-    (k1=1.2, b=0.75; Lucene idf) over the whole ``src``."""
+    (k1=1.2, b=0.75; idf ln(1 + (N - df + 0.5) / (df + 0.5))) over the whole ``src``."""
     tok = _TOK.format(f=field)
     dfs = ", ".join(f"count(*) FILTER (WHERE list_contains(tok, '{w}'))::DOUBLE AS df{i}" for i, w in enumerate(terms))
     tfs = ", ".join(f"len(list_filter(tok, lambda x: x = '{w}'))::DOUBLE AS tf{i}" for i, w in enumerate(terms))
