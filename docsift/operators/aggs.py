@@ -892,11 +892,14 @@ def _top_hits(name: str, m: TopHits, df: DataFrame, keys: list[str], ctx: Ctx, i
         order += as_sort(s).order_columns(ctx)
     if id_col:
         order.append(F.col(id_col).asc())
-    w = Window.partitionBy(*keys).orderBy(*order) if keys else Window.orderBy(*order)
     lo, hi = m.from_ + 1, m.from_ + m.size
     cols = list(m.source) if m.source is not None else [c for c in df.columns if not c.startswith("__") and c not in keys]
-    tot = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-    out = df.withColumn("_rank", F.row_number().over(w)).filter((F.col("_rank") >= lo) & (F.col("_rank") <= hi))
+    if keys:  # per bucket: the window group limit runs partially before the shuffle
+        w = Window.partitionBy(*keys).orderBy(*order)
+        out = df.withColumn("_rank", F.row_number().over(w)).filter((F.col("_rank") >= lo) & (F.col("_rank") <= hi))
+    else:  # whole result: distributed top-k first, then number only those rows (at most from + size)
+        top = df.orderBy(*order).limit(hi)
+        out = top.withColumn("_rank", F.row_number().over(Window.orderBy(*order))).filter(F.col("_rank") >= lo)
     return out.select(*keys, "_rank", *[c for c in cols if c not in keys])
 
 

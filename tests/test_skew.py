@@ -81,3 +81,12 @@ def test_bulk_hot_id_with_a_third_of_actions(spark):
     got = {r.id: {"name": r.name, "score": r.score} for r in res.table.collect()}
     st = {r.seq: ("updated" if r.status == "noop" else r.status) for r in res.items.collect()}
     assert st == exp_status and got == exp_table
+
+
+def test_top_level_top_hits_is_a_distributed_top_k(spark):
+    df, rows = _skewed(spark)
+    th = Search(df, "id").aggs(t=A.TopHits(size=3, from_=1, sort=("-v",))).aggregations()["t"]
+    got = [(r._rank, r.id) for r in th.collect()]
+    exp = sorted(rows, key=lambda r: (-r[2], r[0]))[1:4]
+    assert got == [(i + 2, r[0]) for i, r in enumerate(exp)]
+    assert "TakeOrderedAndProject" in th._jdf.queryExecution().executedPlan().toString()
