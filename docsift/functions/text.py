@@ -110,3 +110,31 @@ def sloppy_phrase(toks: Column, terms: list[str], slop: int, prefix_last: bool)
         return pd.Series([_sloppy_match(t, terms, slop, prefix_last) for t in s], dtype=bool)
 
     return match(toks)
+
+
+def collection_stats(df, field: str):
+    """Statistics table of a text field: one row per term with its document
+    frequency ``df``, plus one row with ``term = NULL`` carrying the document
+    count ``n`` and the token total ``tokens``.
+
+    Built once (a token explode with map-side combine, so frequent terms are
+    pre-aggregated before the shuffle) and stored, e.g. as Parquet in the
+    shared folder; searches then read only their own terms from it
+    (``term IN (...)`` reaches the scan) instead of tokenizing the collection
+    for every query.
+    """
+    toks = tokens(F.col(field))
+    docs = df.filter(F.col(field).isNotNull()).select(F.array_distinct(toks).alias("u"), F.size(toks).alias("dl"))
+    vocab = docs.select(F.explode("u").alias("term")).groupBy("term").agg(F.count(F.lit(1)).cast("double").alias("df"))
+    vocab = vocab.select("term", "df", F.lit(None).cast("double").alias("n"), F.lit(None).cast("double").alias("tokens"))
+    totals = docs.agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("dl").cast("double").alias("tokens"))
+    totals = totals.select(F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("df"), "n", "tokens")
+    return vocab.unionByName(totals)
+
+
+def stats_from_table(table, terms: list[str]) -> Column:
+    """struct(n, avgdl, df0..dfk) for ``terms`` from a ``collection_stats`` table (scalar subquery)."""
+    t = table.filter(F.col("term").isNull() | F.col("term").isin(list(terms)))
+    parts = [F.max("n").alias("n"), (F.max("tokens") / F.max("n")).alias("avgdl")]
+    parts += [F.coalesce(F.max(F.when(F.col("term") == F.lit(w), F.col("df"))), F.lit(0.0)).alias(f"df{i}") for i, w in enumerate(terms)]
+    return t.select(F.struct(*parts)).scalar()

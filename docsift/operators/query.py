@@ -44,8 +44,10 @@ class Ctx:
     """Resolves field paths to Columns and collects auxiliary plan pieces."""
 
     def __init__(self, df: DataFrame, id_col: str | None = None, corpus: DataFrame | None = None,
-                 prefetch: dict | None = None, inherit: "Ctx | None" = None):
+                 prefetch: dict | None = None, inherit: "Ctx | None" = None, stats_tables: dict | None = None):
         self.df = df
+        # field -> precomputed collection statistics (functions.text.collection_stats)
+        self.stats_tables = stats_tables or {}
         # statistics columns already present in ``df`` (computed by the context it was derived from)
         self._inherited = {} if inherit is None else {
             k: v for k, v in inherit._root._derived_keys.items() if k[0] == "stats" and v in df.columns}
@@ -193,6 +195,8 @@ class Ctx:
         return self.derive(key, lambda: self._stats_subquery(name, terms), T.StructType())
 
     def _stats_subquery(self, name: str, terms: Sequence[str]) -> Column:
+        if not self._prefix and name in self.stats_tables:
+            return TX.stats_from_table(self.stats_tables[name], list(terms))
         src = self.corpus
         if self._prefix:
             src = src.select(F.explode(F.col(self._prefix)).alias("__e"))

@@ -1519,3 +1519,17 @@ def e14_zero(spark, sf):
     s = Search(TB.read(spark, sf, "part"), "p_partkey").filter(Q.Range("p_size", gt=48)).aggs(
         brand=A.TermsAgg("p_brand", size=None, min_doc_count=0))
     return s.aggregations()["brand"]
+
+
+@reg("r1_bm25_with_stored_statistics", SQL["p11_r1_match_bm25"])
+def r1_stored_stats(spark, sf):
+    """BM25 with collection statistics built once and stored in the shared folder."""
+    import uuid
+
+    from docsift.functions.text import collection_stats
+    docs = TB.read(spark, sf, "documents")
+    path = f"{checkpoint_dir(spark)}/text-stats-{uuid.uuid4().hex}"
+    collection_stats(docs, "text").write.mode("overwrite").parquet(path)
+    stats = spark.read.parquet(path)
+    s = Search(docs, "doc_id").with_text_stats("text", stats).query(Q.Match("text", "Und der XYLOPHON!"))
+    return _scored(s.matched().select("doc_id", "_score"))

@@ -72,6 +72,7 @@ class Search:
     knn_: Any = None
     explain_: bool = False
     corpus: DataFrame | None = None
+    text_stats: dict = dc_field(default_factory=dict)   # field -> collection_stats table
 
     # ------------------------------------------------------------ builder
     def _with(self, **kw) -> "Search":
@@ -138,6 +139,12 @@ class Search:
     def explain(self, on: bool = True) -> "Search":
         return self._with(explain_=on)
 
+    def with_text_stats(self, field: str, table: DataFrame) -> "Search":
+        """Use a stored ``functions.text.collection_stats`` table for BM25 on ``field``."""
+        d = dict(self.text_stats)
+        d[field] = table
+        return self._with(text_stats=d)
+
     # ------------------------------------------------------------ compile
     def _base(self) -> DataFrame:
         df = self.df
@@ -151,7 +158,8 @@ class Search:
         return collect_text_terms(self.query_, self.filters, self.post_filters, [r.query for r in self.rescores])
 
     def _ctx(self, df: DataFrame) -> Ctx:
-        return Ctx(df, self.id_col, corpus=self.corpus if self.corpus is not None else df, prefetch=self._terms())
+        return Ctx(df, self.id_col, corpus=self.corpus if self.corpus is not None else df, prefetch=self._terms(),
+                   stats_tables=self.text_stats)
 
     def _sorted_by_score(self) -> bool:
         return not self.sorts or any(s.field == "_score" for s in self.sorts)
@@ -258,7 +266,7 @@ class Search:
         # rank inside the window: window_size rows at most (checked above)
         win = win.withColumn("__rs_rank", F.row_number().over(Window.orderBy(*order)))
         rctx = Ctx(win, self.id_col, corpus=self.corpus if self.corpus is not None else self._base(), prefetch=self._terms(),
-                   inherit=main)
+                   inherit=main, stats_tables=self.text_stats)
         rp, rs = r.query.predicate(rctx), r.query.score(rctx)
         win = rctx.apply(win)
         s = F.col("_score") * F.lit(r.query_weight)

@@ -169,3 +169,14 @@ def test_partition_count_invariance(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
     assert one == eight
+
+
+def test_stored_text_statistics_give_identical_scores(spark):
+    from docsift.functions.text import collection_stats
+    docs = TB.read(spark, SF_SMALL, "documents").select("doc_id", "text")
+    stats = collection_stats(docs, "text").cache()
+    for q in (Q.Match("text", "the und zzz"), Q.MatchPhrase("text", "of the"), Q.Bool(should=[Q.Match("text", "la"), Q.Match("text", "der")])):
+        a = {r.doc_id: r._score for r in Search(docs, "doc_id").query(q).matched().collect()}
+        b = {r.doc_id: r._score for r in Search(docs, "doc_id").with_text_stats("text", stats).query(q).matched().collect()}
+        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    stats.unpersist()
