@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsift.operators.aggs import Agg
+from docsift.operators.aggs import Agg, Bucket, _Env, run_aggs
 from docsift.operators.query import Ctx, Range, Term, Terms
 from docsift.operators.sort import as_sort
 
@@ -528,7 +528,11 @@ class QueryFilters:
             if isinstance(f, FacetRangeFilter):
                 aggs.append(F.count(F.when(mask, bctx.col(f.field))).cast("bigint").alias(f"{f.name}__count"))
                 for mname, m in f.aggs.items():
-                    aggs.append(_cond_metric(m, mask, bctx, f"{f.name}__{mname}"))
+                    if isinstance(m, Bucket):  # e.g. a histogram of the field under the other selections
+                        env = _Env(base=base, ctx_for=search._ctx, id_col=search.id_col)
+                        facets.update({f"{f.name}>{k}": v for k, v in run_aggs(base.filter(mask), {mname: m}, env).items()})
+                    else:
+                        aggs.append(_cond_metric(m, mask, bctx, f"{f.name}__{mname}"))
             elif isinstance(f, FacetExpressionsFilter):
                 for vname, q in f.values.items():
                     aggs.append(F.count_if(mask & q.predicate(bctx)).cast("bigint").alias(f"{f.name}__{vname}"))

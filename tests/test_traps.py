@@ -180,3 +180,13 @@ def test_results_share_one_persisted_base(spark, bikes):
     assert sorted(map(tuple, r.aggregations["b"].collect())) == sorted(map(tuple, s.aggregations()["b"].collect()))
     r.release()
     assert Search(bikes, "id").aggs(b=A.TermsAgg("brand")).results(with_hits=False).cached == []
+
+
+def test_range_facet_with_histogram_under_other_selections(spark, bikes):
+    qf = FC.QueryFilters([FC.FacetRangeFilter("price", "price", aggs={"h": A.Histogram("price", interval=500, min_doc_count=1),
+                                                                      "mn": A.Min("price")}),
+                          FC.FacetFilter("brand", "brand")])
+    res = qf.apply(Search(bikes, "id"), {("price", "gte"): ["800"], "brand": ["Trek", "Giant"]})
+    assert [(r.h, r.doc_count) for r in res.facets["price>h"].collect()] == [(500.0, 2), (1000.0, 1)]
+    r = res.facets["price"].first()
+    assert (r["count"], r.mn) == (4, 700.0)
