@@ -304,14 +304,26 @@ class Template:
         return True
 
 
+def _typed(c: Column, t: T.DataType, path: str, rules: list) -> Column:
+    """Cast leaves of ``c`` (at ``path``) by the first matching rule; recurse
+    into structs and arrays of structs so rules see full dotted paths."""
+    if isinstance(t, T.StructType):
+        return F.struct(*[_typed(c.getField(f.name), f.dataType, f"{path}.{f.name}", rules).alias(f.name) for f in t.fields])
+    if isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StructType):
+        return F.transform(c, lambda x: _typed(x, t.elementType, path, rules))
+    rule = next((r for r in rules if r.matches(path, t)), None)
+    return c.cast(rule.type) if rule else c
+
+
 def apply_templates(df: DataFrame, templates: Iterable[Template]) -> DataFrame:
-    """Cast each top-level column by the first matching template."""
+    """Cast every field, at any depth, by the first template matching its full
+    dotted path; top-level matches may add typed sub-field columns."""
     tl = list(templates)
     cols = []
     for f in df.schema.fields:
-        rule = next((t for t in tl if t.matches(f.name, f.dataType)), None)
         c = F.col(f"`{f.name}`")
-        cols.append(c.cast(rule.type).alias(f.name) if rule else c)
+        cols.append(_typed(c, f.dataType, f.name, tl).alias(f.name))
+        rule = next((t for t in tl if t.matches(f.name, f.dataType)), None)
         for sub, typ in (rule.subfields if rule else ()):
             cols.append(c.cast(typ).alias(f"{f.name}__{sub}"))
     return df.select(*cols)

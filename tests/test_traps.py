@@ -190,3 +190,16 @@ def test_range_facet_with_histogram_under_other_selections(spark, bikes):
     assert [(r.h, r.doc_count) for r in res.facets["price>h"].collect()] == [(500.0, 2), (1000.0, 1)]
     r = res.facets["price"].first()
     assert (r["count"], r.mn) == (4, 700.0)
+
+
+def test_templates_match_full_nested_paths(spark):
+    from docsift.sources.schema import Template, apply_templates
+    df = spark.createDataFrame([(1, ("7", "x"), [("3",), ("4",)])],
+                               "id int, user struct<rating string, name string>, items array<struct<qty string>>")
+    out = apply_templates(df, [Template("int", match="user.rating"), Template("bigint", match="items.qty"),
+                               Template("int", match="rating")])  # a bare last-segment pattern must not match user.rating
+    t = {f.name: f.dataType.simpleString() for f in out.schema.fields}
+    assert t["user"] == "struct<rating:int,name:string>"
+    assert t["items"] == "array<struct<qty:bigint>>"
+    r = out.first()
+    assert r.user.rating == 7 and [i.qty for i in r["items"]] == [3, 4]
