@@ -950,7 +950,7 @@ def run_aggs(df: DataFrame, aggs: dict[str, Agg], env: _Env, keys: list[str] | N
         for name, m in metrics.items():
             p = path + name
             if isinstance(m, TopHits):
-                out[p] = _top_hits(name, m, df, [], ctx, env.id_col)
+                out[p] = _top_hits(name, m, df, [], ctx, env.id_col).withColumn("_total", df.select(F.count(F.lit(1))).scalar())
             elif any(o[0] == name for o in own):
                 o = [o for o in own if o[0] == name][0]
                 out[p] = _own_frame(name, m, tdf, [], o[2], env, ctx)
@@ -991,7 +991,12 @@ def run_aggs(df: DataFrame, aggs: dict[str, Agg], env: _Env, keys: list[str] | N
         for oname, m, v in own:
             if isinstance(m, TopHits):
                 th = _top_hits(oname, m, kdf, all_keys, kctx, env.id_col)
-                out[p + ">" + oname] = th.join(keep, all_keys, "left_semi") if keep is not None else th
+                if all_keys:  # total hits of the bucket: its doc_count (one row per kept bucket)
+                    totals = res.select(*all_keys, F.col("doc_count").alias("_total"))
+                    th = th.join(totals, all_keys)
+                else:
+                    th = th.withColumn("_total", kdf.select(F.count(F.lit(1))).scalar())
+                out[p + ">" + oname] = th
         child_buckets = {n: s for n, s in sub.items() if isinstance(s, (Bucket, SignificantTerms))}
         if child_buckets:
             out.update(run_aggs(kdf, child_buckets, env, all_keys, p + ">", keep))

@@ -322,8 +322,9 @@ def e12_scripted(spark, sf):
 
 
 @reg("e13_top_hits", """
-SELECT o_orderstatus AS status, rn AS _rank, o_orderkey, o_totalprice FROM (
-  SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders)
+SELECT o_orderstatus AS status, rn AS _rank, o_orderkey, o_totalprice, n AS _total FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rn,
+         count(*) OVER (PARTITION BY o_orderstatus) AS n FROM orders)
 WHERE rn <= 3""")
 def e13_top_hits(spark, sf):
     s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(status=A.TermsAgg("o_orderstatus", aggs={
