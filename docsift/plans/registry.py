@@ -1534,3 +1534,16 @@ def r1_stored_stats(spark, sf):
     stats = spark.read.parquet(path)
     s = Search(docs, "doc_id").with_text_stats("text", stats).query(Q.Match("text", "Und der XYLOPHON!"))
     return _scored(s.matched().select("doc_id", "_score"))
+
+
+@reg("f7_simple_expression_filter", """
+SELECT (SELECT count(*) FROM part WHERE p_retailprice < 930 OR p_retailprice >= 960)::BIGINT AS total_union,
+       (SELECT count(*) FROM part WHERE p_retailprice >= 930 AND p_size > 25)::BIGINT AS total_intersect""")
+def f7_simple(spark, sf):
+    part = TB.read(spark, sf, "part")
+    bands = {"cheap": Q.Range("p_retailprice", lt=930), "dear": Q.Range("p_retailprice", gte=960),
+             "notcheap": Q.Range("p_retailprice", gte=930), "big": Q.Range("p_size", gt=25)}
+    union = FC.QueryFilters([FC.SimpleExpressionsFilter("band", bands)]).apply(Search(part, "p_partkey"), {"band": ["cheap", "dear"]})
+    inter = FC.QueryFilters([FC.SimpleExpressionsFilter("band", bands, mode=FC.INTERSECT)]).apply(
+        Search(part, "p_partkey"), {"band": ["notcheap", "big", "unknown"]})
+    return union.total.select(F.col("total").alias("total_union"), inter.total.select("total").scalar().alias("total_intersect"))
