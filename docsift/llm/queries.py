@@ -1,11 +1,15 @@
 """Registered queries of the training-data operators and their oracle SQL."""
 
-from docsift.llm import mixing
+from docsift.llm import mixing, secret_scan, simhash, toxicity
 
 QUERIES = {
     "op3_mix_sources": mixing.op3,
+    "op6_secret_scan": secret_scan.op6,
+    "op7_toxicity": toxicity.op7,
+    "op10_simhash_near_dedup": simhash.op10,
 }
 
 SQL = {
     "op3_mix_sources": mixing.OP3_SQL,
+    "op6_secret_scan": secret_scan.OP6_SQL,
 }
