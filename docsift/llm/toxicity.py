@@ -114,8 +114,8 @@ def ftrl(rows: list[tuple[np.ndarray, int]], bits: int, alpha: float, beta: floa
     return weights(np.arange((1 << bits) + 1))
 
 
-def train(docs: DataFrame, labels: DataFrame, bits: int = 22, per_class: int = 6000, negatives: int = 3, shards: int = 4,
-          alpha: float = 0.2, beta: float = 1.0, l1: float = 0.5, l2: float = 0.5, epochs: int = 3) -> tuple[np.ndarray, np.ndarray]:
+def train(docs: DataFrame, labels: DataFrame, bits: int = 22, per_class: int = 4000, negatives: int = 2, shards: int = 1,
+          alpha: float = 1.0, beta: float = 1.0, l1: float = 5.0, l2: float = 0.02, epochs: int = 6) -> tuple[np.ndarray, np.ndarray]:
     """(slots, weights) of the non-zero weights; slot ``2 ** bits`` is the intercept.
 
     ``labels``: (doc_id, label 0 or 1).  The sample's ids (``per_class *
