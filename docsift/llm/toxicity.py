@@ -65,7 +65,7 @@ def blocks(texts: list, size: int = _BLOCK) -> Iterator[tuple[int, list[bytes]]]
     lo, part, held = 0, [], 0
     for i, t in enumerate(texts):
         b = (t or "").lower().encode("utf-8", "surrogatepass")
-        if part and held + len(b) > size:
+        if part and (held + len(b) > size or len(part) >= 1 << 15):
             yield lo, part
             lo, part, held = i, [], 0
         part.append(b)
