@@ -1,14 +1,16 @@
 """Registered queries of the training-data operators and their oracle SQL."""
 
-from docsift.llm import bpe, language, mixing, secret_scan, simhash, topk, toxicity
+from docsift.llm import ann, bpe, language, mixing, secret_scan, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
+    "op2_suffix_dedup": suffix_dedup.op2,
     "op3_mix_sources": mixing.op3,
     "op4_byte_bpe": bpe.op4,
     "op5_language_id": language.op5,
     "op6_secret_scan": secret_scan.op6,
     "op7_toxicity": toxicity.op7,
     "op8_topk_inner_product": topk.op8,
+    "op9_ann_int8_tiles": ann.op9,
     "op10_simhash_near_dedup": simhash.op10,
 }
 
