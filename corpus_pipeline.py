@@ -1,10 +1,58 @@
-"""The corpus pipeline: five filtering and encoding stages over ``documents``."""
-STAGES = []
+"""The corpus pipeline over ``documents``: toxicity, near duplicates, secrets, mixing, token ids.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
+return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from docsift.llm import bpe, mixing, secret_scan, simhash, toxicity
+from docsift.llm.common import read, written
+
+
+def reject_toxic(spark, docs, sf_dir):
+    """Documents that the classifier does not reject."""
+    return toxicity.reject(docs, toxicity.fit_labelled(docs, read(spark, sf_dir, "labels")))
+
+
+def near_dedup(spark, docs, sf_dir):
+    """The first document of each group of near duplicates."""
+    return simhash.deduplicate(docs)
+
+
+def mask_secrets(spark, docs, sf_dir):
+    """All documents, with their secrets masked."""
+    found = docs.withColumn("__spans", secret_scan.secret_spans(F.col("text")))
+    masked = F.when(F.size("__spans") > 0, secret_scan.redact(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
+    found = found.withColumn("text", masked)
+    length = F.when(F.size("__spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return found.withColumn("n_chars", length).drop("__spans")
+
+
+def mix(spark, docs, sf_dir):
+    """The documents that the mix takes, as often as it takes them."""
+    return mixing.mix_documents(docs)
+
+
+def encode(spark, docs, sf_dir):
+    """doc_id, token ids and their count, and the digests of ids and decoded bytes."""
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [("toxicity", reject_toxic), ("near_dedup", near_dedup), ("secrets", mask_secrets), ("mixing", mix), ("bpe", encode)]
+
+# A trained classifier and 64-bit hashes of shingles are not expressible in SQL: tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages; each stage's result is written before the next one reads it, as that reads it more than once."""
+    docs = read(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = written(docs, f"pipeline-{name}")
     return docs

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.vector_blocks import best, matrix, pack, tiles, top, usable
+from docsift.llm.vector_blocks import best, dot_sql, matrix, pack, search_sql, tiles, top, usable
 
 _EXACT = 1 << 24  # integers up to here are exact in single precision
 _SLACK = 1e-9  # of double rounding
@@ -104,3 +104,7 @@ def op9(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
     e = e.where(usable(F.col("vec")) & F.col("id").isNotNull() & F.exists("vec", lambda x: x != 0))
     return nearest(e, e.where("id % 50 = 0").dropDuplicates(["id", "vec"]))
+
+
+OP9_SQL = search_sql("x::DOUBLE", f"{dot_sql('a.v', 'b.v')} / (sqrt({dot_sql('a.v', 'a.v')}) * sqrt({dot_sql('b.v', 'b.v')}))",
+                     "len(list_filter(embedding, lambda x: x <> 0)) > 0")

@@ -1,8 +1,9 @@
 """Registered queries of the training-data operators and their oracle SQL."""
 
-from docsift.llm import ann, bpe, language, mixing, secret_scan, simhash, suffix_dedup, topk, toxicity
+from docsift.llm import ann, bpe, language, mixing, packing, secret_scan, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
+    "op1_packed_ids": packing.op1,
     "op2_suffix_dedup": suffix_dedup.op2,
     "op3_mix_sources": mixing.op3,
     "op4_byte_bpe": bpe.op4,
@@ -14,7 +15,11 @@ QUERIES = {
     "op10_simhash_near_dedup": simhash.op10,
 }
 
+# The others are not expressible in SQL (hash functions, trained models, byte-pair merges); tests hold them against brute force.
 SQL = {
+    "op2_suffix_dedup": suffix_dedup.OP2_SQL,
     "op3_mix_sources": mixing.OP3_SQL,
     "op6_secret_scan": secret_scan.OP6_SQL,
+    "op8_topk_inner_product": topk.OP8_SQL,
+    "op9_ann_int8_tiles": ann.OP9_SQL,
 }

@@ -151,6 +151,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def deduplicate(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that come first in their component (by doc_id).
+
+    Rows without a doc_id stay; of rows equal in every column one stays.
+    """
+    classes = written(near_duplicates(docs.select("doc_id", "text"), shingle).select("doc_id", "component_id"), "simhash-members")
+    stays = classes.where("doc_id = component_id").select("doc_id").distinct()
+    out = docs.join(stays, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
+    repeated = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return out if repeated.isEmpty() else out.dropDuplicates()
+
+
 def op10(spark, sf_dir):
     from docsift.llm.common import read
 

@@ -532,3 +532,22 @@ def op2(spark, sf_dir):
 
     out = remove_repeats(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP2_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS o, hex(encode(coalesce(text, ''))) AS hx
+           FROM documents),
+h AS (SELECT rid, o, s, md5(substr(hx, 2 * s + 1, 200)) AS k
+      FROM (SELECT rid, o, hx, unnest(range(greatest(length(hx) // 2 - 99, 0))) AS s FROM d)),
+f AS (SELECT k, min({'o': o, 's': s}) AS first FROM h GROUP BY k HAVING count(*) > 1),
+g AS (SELECT rid, s, lag(s) OVER (PARTITION BY rid ORDER BY s) AS p FROM h JOIN f USING (k) WHERE {'o': o, 's': s} > first),
+i AS (SELECT rid, s, sum(CASE WHEN p IS NULL OR s > p + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY s) AS run FROM g),
+r AS (SELECT rid, min(s) AS a, max(s) + 100 AS b FROM i GROUP BY rid, run),
+c AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS q FROM r),
+t AS (SELECT rid, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+             string_agg(substr(hx, 2 * q + 1, 2 * (a - q)), '' ORDER BY a) AS head
+      FROM c JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, (length(hx) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(hx, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (rid)
+"""

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.llm.common import written
-from docsift.llm.vector_blocks import best, matrix, pack, tiles, top, usable
+from docsift.llm.vector_blocks import best, dot_sql, matrix, pack, search_sql, tiles, top, usable
 
 LIMIT = 1 << 24
 HIGH = 0.8  # local cosine threshold from which coordinates are pruned
@@ -159,3 +159,6 @@ def op8(spark, sf_dir):
     e = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
     e = e.where(usable(F.col("vec")) & F.col("id").isNotNull()).select("id", quantize(F.col("vec")).alias("vec"))
     return top_products(e, e.where("id % 50 = 0").dropDuplicates(["id", "vec"]))
+
+
+OP8_SQL = search_sql("floor(x::DOUBLE * 256)", f"{dot_sql('a.v', 'b.v')}::BIGINT")

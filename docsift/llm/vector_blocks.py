@@ -113,3 +113,21 @@ def top(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
+
+
+def search_sql(vector: str, score: str, where: str = "TRUE") -> str:
+    """SQL of a search by comparing every query with every candidate: ``vector`` of x, ``score`` of the vectors a.v and b.v."""
+    return f"""
+WITH e AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: {vector}) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: coalesce(NOT isfinite(x), TRUE))) = 0 AND {where}),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, {score} AS score
+      FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+r AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+def dot_sql(a: str, b: str) -> str:
+    """SQL of an inner product, added from left to right."""
+    return f"list_reduce(list_transform(list_zip({a}, {b}), lambda x: x[1] * x[2]), lambda s, x: s + x)"
