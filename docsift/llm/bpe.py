@@ -292,7 +292,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars:
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``encoded`` with the column ``decoded``: the bytes of the tokens in ``ids``."""
+    """``encoded`` with the column ``decoded`` (replacing one of that name): the bytes of the tokens in ``ids``."""
+    encoded = encoded.drop("decoded")
     tokens = sorted((i, t) for t, i in ranks.items())
     length = np.zeros(tokens[-1][0] + 1 if tokens else 0, np.int64)
     length[[i for i, _ in tokens]] = [len(t) for _, t in tokens]
