@@ -29,7 +29,7 @@ def _sql_literal(v: Any) -> str:
         return repr(v)
     if v is None:
         return "NULL"
-    return "'" + str(v).replace("'", "''") + "'"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @dataclass(frozen=True)
@@ -52,6 +52,13 @@ class Script:
             raise TypeError("script body is a callable")
         return re.sub(r"\bparams\.([A-Za-z_][A-Za-z0-9_]*)", lambda m: _sql_literal(self.params[m.group(1)]), src)
 
+    def over_elements(self, array: str) -> Column:
+        """The script applied to each element of the array column ``array`` (as ``_value``)."""
+        src = self.body()
+        if callable(src):
+            return F.transform(F.col(array), lambda x: src(x, **self.params))
+        return F.expr(f"transform(`{array}`, _value -> ({self.sql()}))")
+
     def column(self, bindings: dict[str, str] | None = None) -> Column:
         """Column of the script.  ``bindings`` renames variables (``_score``) to column names."""
         src = self.body()

@@ -91,3 +91,13 @@ def distance(space: str, v: Column, q: Sequence[float]) -> Column:
     if s in ("hamming", "hammingbit"):
         return hamming(v, q)
     raise ValueError(space)
+
+
+def raw_similarity(space: str, v: Column, q: Sequence[float]) -> Column:
+    """The measure itself: the distance of distance spaces, else the cosine or the inner product."""
+    s = space.lower()
+    if s in ("cosine", "cosinesimil"):
+        return cosine(v, q)
+    if s in ("dot_product", "max_inner_product", "innerproduct"):
+        return dot(v, q)
+    return distance(s, v, q)

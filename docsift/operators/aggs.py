@@ -28,12 +28,9 @@ __all__ = [
     "Min", "Max", "Avg", "Sum", "ValueCount", "Cardinality", "Stats", "ExtendedStats", "Percentiles",
     "MedianAbsoluteDeviation", "WeightedAvg", "TopHits", "ScriptedMetric",
     "TermsAgg", "SignificantTerms", "Histogram", "DateHistogram", "RangeAgg", "DateRangeAgg",
-    "NestedAgg", "FilterAgg", "FiltersAgg", "GlobalAgg", "run_aggs", "MAX_BUCKETS",
+    "NestedAgg", "FilterAgg", "FiltersAgg", "GlobalAgg", "run_aggs",
 ]
 
-# Upper bound on generated (gap-filled) buckets per request, like a server's max_buckets.
-MAX_BUCKETS = 65536
-
 
 # --------------------------------------------------------------------------- value sources
 
@@ -67,12 +64,12 @@ def _value(df: DataFrame, ctx: Ctx, src: Any, name: str) -> tuple[DataFrame, str
         else:
             c = F.coalesce(c, F.lit(src.missing))
     if src.value_script is not None:
-        if arr:
-            df = df.withColumn(col + "_raw", F.explode_outer(c))
-            arr = False
+        if arr:  # element by element: the rows stay as they are for the other metrics
+            df = df.withColumn(col + "_raw", c)
+            c = as_script(src.value_script).over_elements(col + "_raw")
         else:
             df = df.withColumn(col + "_raw", c)
-        c = as_script(src.value_script).column({"_value": col + "_raw"})
+            c = as_script(src.value_script).column({"_value": col + "_raw"})
     return df.withColumn(col, c), col, arr
 
 
@@ -294,6 +291,7 @@ class Bucket(Agg):
         raise NotImplementedError
 
     def finalize(self, res: DataFrame, name: str, keys: list[str], env: "_Env") -> DataFrame:
+        """Buckets under their public key names, cut, filled and ordered."""
         return res
 
 
@@ -353,7 +351,8 @@ class TermsAgg(Bucket):
             if isinstance(inc, str):
                 e = e & k.cast("string").rlike("^(?:" + inc + ")$")
             elif isinstance(inc, dict) and "partition" in inc:
-                e = e & (F.pmod(F.xxhash64(k), F.lit(int(inc["num_partitions"]))) == F.lit(int(inc["partition"])))
+                h = F.conv(F.substring(F.md5(k.cast("string").cast("binary")), 1, 8), 16, 10).cast("long")
+                e = e & (h % F.lit(int(inc["num_partitions"])) == F.lit(int(inc["partition"])))
             else:
                 e = e & k.isin(list(inc))
         if exc is not None:
@@ -398,42 +397,42 @@ class TermsAgg(Bucket):
             metric_cols = [c for c in res.columns if c not in (name, "doc_count")]
             res = self._all_terms(name, env).join(res, name, "left").select(
                 name, F.coalesce(F.col("doc_count"), F.lit(0)).cast("bigint").alias("doc_count"), *metric_cols)
-        out = _top_k(res, keys, _order_cols(self.order, name), self.size)
+        order = _order_cols(self.order, name)
+        if self.show_other:  # the total of each parent, before the cut, travels with its buckets
+            res = res.withColumn("__tot", F.sum("doc_count").over(Window.partitionBy(*keys))) if keys else \
+                res.withColumn("__tot", res.select(F.sum("doc_count")).scalar())
+        out = _top_k(res, keys, order, self.size)
         if self.show_other:
-            if keys:
-                tot = res.groupBy(*keys).agg(F.sum("doc_count").alias("__tot"))
-                shown = out.groupBy(*keys).agg(F.sum("doc_count").alias("__shown"))
-                other = tot.join(shown, keys).select(*keys, (F.col("__tot") - F.col("__shown")).alias("sum_other_doc_count"))
-                out = out.join(other, keys, "left")
-            else:
-                tot = res.select(F.sum("doc_count")).scalar()
-                shown = out.select(F.sum("doc_count")).scalar()
-                out = out.withColumn("sum_other_doc_count", (tot - shown).cast("bigint"))
+            shown = F.sum("doc_count").over(Window.partitionBy(*keys))  # at most ``size`` rows of a parent
+            out = out.withColumn("sum_other_doc_count", (F.col("__tot") - shown).cast("bigint")).drop("__tot")
+            out = out.orderBy(*([F.col(k) for k in keys] + order))
         return out
 
 
 @dataclass(frozen=True)
-class SignificantTerms(Bucket):
+class SignificantTerms(TermsAgg):
     """Terms unusually frequent in the foreground (the query's matches) against
     the background (the whole collection, or ``background_filter``).  Score:
-    JLH = (fg% - bg%) * (fg% / bg%), kept when fg% > bg%; ``min_doc_count`` 3."""
+    JLH = (fg% - bg%) * (fg% / bg%), kept when fg% > bg%; ``min_doc_count`` 3;
+    ordered by score desc then term unless ``order`` says otherwise.  Value
+    source, include/exclude, missing and sub-aggregations are those of terms."""
 
-    field: str = None
-    size: int = 10
     min_doc_count: int = 3
     background_filter: Query | None = None
-    aggs: dict = dc_field(default_factory=dict)
-
 
-def _bucket_key_double(x: Column, interval: float, offset: float) -> Column:
-    return F.floor((x.cast("double") - F.lit(offset)) / F.lit(interval)) * F.lit(interval) + F.lit(offset)
+    def finalize(self, res, name, keys, env):
+        raise NotImplementedError  # needs the rows: see _significant
 
 
 @dataclass(frozen=True)
 class Histogram(Bucket):
     """key = floor((x - offset) / interval) * interval + offset.  With
     ``min_doc_count=0`` gaps between the first and last bucket (widened by
-    ``extended_bounds``) are filled; ``hard_bounds`` drop keys outside."""
+    ``extended_bounds``) are filled; ``hard_bounds`` drop keys outside;
+    ``max_buckets`` fails a request that would fill more per parent.
+
+    Rows are grouped, joined and filled by the whole-number bucket index; the
+    key is computed from it at the end."""
 
     field: str | None = None
     interval: float = 1.0
@@ -444,10 +443,18 @@ class Histogram(Bucket):
     missing: Any = None
     order: Any = None
     script: Any = None
+    max_buckets: int | None = None
     aggs: dict = dc_field(default_factory=dict)
 
     def key_of(self, x: Column) -> Column:
-        return _bucket_key_double(x, float(self.interval), float(self.offset))
+        return F.floor((x.cast("double") - F.lit(float(self.offset))) / F.lit(float(self.interval))).cast("long")
+
+    def key_out(self, index: Column) -> Column:
+        return index * F.lit(float(self.interval)) + F.lit(float(self.offset))
+
+    def _index(self, bound: Any, up: bool = False) -> int | None:
+        x = None if bound is None else (float(bound) - self.offset) / self.interval
+        return None if x is None else (math.ceil(x) if up else math.floor(x))
 
     def bucketize(self, df, ctx, name, keys, env):
         k, arr = _key_value(ctx, self.field, self.script)
@@ -460,12 +467,13 @@ class Histogram(Bucket):
         if self.hard_bounds is not None:
             lo, hi = self.hard_bounds
             if lo is not None:
-                df = df.filter(F.col(name) >= F.lit(float(lo)) - F.lit(0.0))
+                df = df.filter(self.key_out(F.col(name)) >= F.lit(float(lo)))
             if hi is not None:
-                df = df.filter(F.col(name) <= F.lit(float(hi)))
+                df = df.filter(self.key_out(F.col(name)) <= F.lit(float(hi)))
         return df, [name]
 
-    def _fill(self, res: DataFrame, name: str, keys: list[str], step: float, bounds_ext: tuple | None) -> DataFrame:
+    def _fill(self, res: DataFrame, name: str, keys: list[str], step: int, bounds_ext: tuple | None) -> DataFrame:
+        """Adds the empty buckets between the first and last whole-number key, ``step`` apart."""
         lo, hi = F.min(name), F.max(name)
         rng = res.groupBy(*keys).agg(lo.alias("__lo"), hi.alias("__hi")) if keys else res.agg(lo.alias("__lo"), hi.alias("__hi"))
         if bounds_ext is not None:
@@ -474,11 +482,12 @@ class Histogram(Bucket):
                 rng = rng.withColumn("__lo", F.least(F.coalesce("__lo", F.lit(elo)), F.lit(elo)))
             if ehi is not None:
                 rng = rng.withColumn("__hi", F.greatest(F.coalesce("__hi", F.lit(ehi)), F.lit(ehi)))
-        n = F.floor((F.col("__hi") - F.col("__lo")) / F.lit(step)).cast("long") + F.lit(1)
-        rng = rng.filter(F.col("__lo").isNotNull()).withColumn(
-            "__n", F.when(n <= F.lit(MAX_BUCKETS), n).otherwise(F.raise_error(F.lit(f"too many buckets (> {MAX_BUCKETS})")).cast("long")))
-        grid = rng.select(*keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1)).alias("__i"), "__lo")
-        grid = grid.select(*keys, (F.col("__lo") + F.col("__i") * F.lit(step)).alias(name))
+        if self.max_buckets is not None:
+            n = F.floor((F.col("__hi") - F.col("__lo")) / F.lit(step)) + 1
+            error = F.raise_error(F.lit(f"too many buckets (> {self.max_buckets})")).cast("long")
+            rng = rng.withColumn("__hi", F.when(n > self.max_buckets, error).otherwise(F.col("__hi")))
+        grid = rng.filter(F.col("__lo").isNotNull()).select(
+            *keys, F.explode(F.sequence(F.col("__lo"), F.col("__hi"), F.lit(step).cast("long"))).alias(name))
         metric_cols = [c for c in res.columns if c not in keys and c != name]
         out = grid.join(res, keys + [name], "left")
         return out.select(*keys, name, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) if c == "doc_count" else F.col(c) for c in metric_cols])
@@ -487,16 +496,13 @@ class Histogram(Bucket):
         if self.min_doc_count == 0:
             ext = None
             if self.extended_bounds is not None:
-                ext = tuple(None if b is None else math.floor((float(b) - self.offset) / self.interval) * self.interval + self.offset for b in self.extended_bounds)
+                lo, hi = (self._index(b) for b in self.extended_bounds)
                 if self.hard_bounds is not None:  # extended bounds never reach past the hard bounds
-                    hlo, hhi = self.hard_bounds
-                    lo, hi = ext
-                    if lo is not None and hlo is not None and lo < float(hlo):
-                        lo = math.ceil((float(hlo) - self.offset) / self.interval) * self.interval + self.offset
-                    if hi is not None and hhi is not None and hi > float(hhi):
-                        hi = math.floor((float(hhi) - self.offset) / self.interval) * self.interval + self.offset
-                    ext = (lo, hi)
-            res = self._fill(res, name, keys, float(self.interval), ext)
+                    hard_lo, hard_hi = self._index(self.hard_bounds[0], up=True), self._index(self.hard_bounds[1])
+                    lo = max(lo, hard_lo) if None not in (lo, hard_lo) else lo
+                    hi = min(hi, hard_hi) if None not in (hi, hard_hi) else hi
+                ext = (lo, hi)
+            res = self._fill(res, name, keys, 1, ext)
         elif self.min_doc_count > 1:
             res = res.filter(F.col("doc_count") >= self.min_doc_count)
         order = _order_cols(self.order, name, default=(("_key", "asc"),))
@@ -535,6 +541,7 @@ class DateHistogram(Bucket):
     missing: Any = None
     order: Any = None
     script: Any = None
+    max_buckets: int | None = None
     aggs: dict = dc_field(default_factory=dict)
 
     def key_ms(self, ts: Column) -> Column:
@@ -594,7 +601,8 @@ class DateHistogram(Bucket):
                     if hhi is not None:
                         rng = rng.withColumn("__hi", F.least("__hi", self.key_ms(F.timestamp_millis(F.lit(date_literal_ms(hhi))))))
                 seq = F.sequence(F.timestamp_millis("__lo"), F.timestamp_millis("__hi"), F.expr(step_expr))
-                guard = F.when(F.size(seq) <= MAX_BUCKETS, seq).otherwise(F.raise_error(F.lit("too many buckets")).cast("array<timestamp>"))
+                guard = seq if self.max_buckets is None else F.when(F.size(seq) <= self.max_buckets, seq).otherwise(
+                    F.raise_error(F.lit(f"too many buckets (> {self.max_buckets})")).cast("array<timestamp>"))
                 grid = rng.filter(F.col("__lo").isNotNull()).select(*keys, F.explode(guard).alias("__t")).select(*keys, F.unix_millis("__t").alias(name))
                 metric_cols = [c for c in res.columns if c not in keys and c != name]
                 res = grid.join(res, keys + [name], "left").select(
@@ -604,10 +612,9 @@ class DateHistogram(Bucket):
                 step = fixed_interval_ms(self.fixed_interval)
                 ext = None
                 if self.extended_bounds is not None:
-                    ext = tuple(None if b is None else float((date_literal_ms(b) - self.offset_ms) // step * step + self.offset_ms)
+                    ext = tuple(None if b is None else (date_literal_ms(b) - self.offset_ms) // step * step + self.offset_ms
                                 for b in self.extended_bounds)
-                res = Histogram(interval=float(step))._fill(res, name, keys, float(step), ext)
-                res = res.withColumn(name, F.col(name).cast("long"))
+                res = Histogram(max_buckets=self.max_buckets)._fill(res, name, keys, step, ext)
         elif self.min_doc_count > 1:
             res = res.filter(F.col("doc_count") >= self.min_doc_count)
         res = res.withColumn(f"{name}_as_string", F.date_format(F.timestamp_millis(F.col(name)), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
@@ -661,7 +668,7 @@ class RangeAgg(Bucket):
 
         def inside(x: Column, r: Column) -> Column:
             v = self._cmp_value(x)
-            return F.coalesce((r["f"].isNull() | (v >= r["f"])) & (r["t"].isNull() | (v < r["t"])) & v.isNotNull(), F.lit(False))
+            return F.coalesce((r["f"].isNull() | (v >= r["f"])) & (r["t"].isNull() | (v < r["t"])) & v.isNotNull() & ~F.isnan(v), F.lit(False))
 
         if arr:
             hit = F.filter(arr_specs, lambda r: F.exists(k, lambda x: inside(x, r)))
@@ -903,44 +910,55 @@ def _top_hits(name: str, m: TopHits, df: DataFrame, keys: list[str], ctx: Ctx, i
     return out.select(*keys, "_rank", *[c for c in cols if c not in keys])
 
 
-def _significant(name: str, m: SignificantTerms, keys: list[str], env: _Env, ctx: Ctx, df: DataFrame) -> DataFrame:
-    """Foreground = the bucket's rows (``df``, already narrowed by the query and
-    any parent buckets); background = the whole collection or
-    ``background_filter``.  Per term: one grouped count over each side."""
-    base = env.base
-    bctx = env.ctx_for(base)
-    bg = m.background_filter.predicate(bctx) if m.background_filter is not None else F.lit(True)
-    bk, barr = _key_value(bctx, m.field, None)
-    bterm = F.explode(F.array_distinct(bk)) if barr else bk
-    bg_counts = base.filter(bg).select(bterm.alias(name)).filter(F.col(name).isNotNull()).groupBy(name).agg(
-        F.count(F.lit(1)).cast("bigint").alias("bg_count"))
-    bgt = base.filter(bg).select(F.count(F.lit(1)).cast("double")).scalar()
-    fk, farr = _key_value(ctx, m.field, None)
-    fterm = F.explode(F.array_distinct(fk)) if farr else fk
-    fg = df.select(*keys, fterm.alias(name)).filter(F.col(name).isNotNull()).groupBy(*keys, name).agg(
-        F.count(F.lit(1)).cast("bigint").alias("doc_count"))
+def _significant(res: DataFrame, m: SignificantTerms, name: str, keys: list[str], totals: DataFrame, env: _Env) -> DataFrame:
+    """``res``: the terms' buckets in the foreground (the rows narrowed by the
+    query and any parent buckets); ``totals``: the foreground's size, per parent.
+    The background is one grouped count over the whole collection or
+    ``background_filter``."""
+    bctx = env.ctx_for(env.base)
+    back = env.base.filter(m.background_filter.predicate(bctx)) if m.background_filter is not None else env.base
+    back, _ = m.bucketize(back, bctx, "__term", [], env)
+    counts = back.groupBy("__term").agg(F.count(F.lit(1)).cast("bigint").alias("bg_count"))
+    everything = env.base.filter(m.background_filter.predicate(bctx)) if m.background_filter is not None else env.base
+    size = everything.select(F.count(F.lit(1)).cast("double")).scalar()
+    g = res.join(counts, res[name] == counts["__term"], "left").drop("__term")
     if keys:
-        fgt_df = df.groupBy(*keys).agg(F.count(F.lit(1)).cast("double").alias("__fgt"))
-        g = fg.join(fgt_df, keys).join(bg_counts, name, "left")
-        fgt = F.col("__fgt")
+        g = g.join(totals, keys)
+        share = F.col("doc_count") / F.col("__fgt")
     else:
-        g = fg.join(bg_counts, name, "left")
-        fgt = df.select(F.count(F.lit(1)).cast("double")).scalar()
+        share = F.col("doc_count") / totals.select("__fgt").scalar()
     g = g.withColumn("bg_count", F.coalesce("bg_count", F.lit(0)).cast("bigint"))
-    fp = F.col("doc_count") / fgt
-    bp = F.col("bg_count") / bgt
-    g = g.withColumn("score", F.when((F.col("bg_count") > 0) & (fp > bp), (fp - bp) * (fp / bp)).otherwise(F.lit(0.0)))
-    g = g.filter((F.col("doc_count") >= m.min_doc_count) & (F.col("score") > 0)).select(*keys, name, "doc_count", "bg_count", "score")
-    return _top_k(g, keys, [F.desc("score"), F.asc(name)], m.size)
+    back_share = F.col("bg_count") / size
+    g = g.withColumn("score", F.when((F.col("bg_count") > 0) & (share > back_share), (share - back_share) * (share / back_share)).otherwise(F.lit(0.0)))
+    others = [c for c in res.columns if c not in (*keys, name, "doc_count")]
+    g = g.filter((F.col("doc_count") >= m.min_doc_count) & (F.col("score") > 0)).select(*keys, name, "doc_count", "bg_count", "score", *others)
+    return _top_k(g, keys, _order_cols(m.order, name, default=(("score", "desc"), ("_key", "asc"))), m.size)
+
+
+def _columns_of(df: DataFrame, ctx: Ctx, name: str, m: Agg) -> list[str]:
+    """The result columns that metric ``m`` declares."""
+    tdf, cols, fins, own = _metric_columns(df, ctx, {name: m})
+    if own:
+        return [name]
+    one = tdf.agg(*cols)
+    for f in fins:
+        one = f(one)
+    return one.columns
 
 
 def run_aggs(df: DataFrame, aggs: dict[str, Agg], env: _Env, keys: list[str] | None = None,
-             path: str = "", parent_keep: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Evaluate an aggregation tree; returns {path: DataFrame}."""
-    keys = keys or []
+             path: str = "", public: list[str] | None = None, key_out: dict | None = None) -> dict[str, DataFrame]:
+    """Evaluate an aggregation tree; returns {path: DataFrame}.
+
+    Rows carry bucket keys in internal columns (``keys``), so a bucket may have
+    the name of a field; results carry them under the buckets' names
+    (``public``), converted by ``key_out``.  A bucket that keeps only some of its
+    terms is cut first: children and top hits read the rows of the kept ones.
+    """
+    keys, public, key_out = keys or [], public or [], key_out or {}
     out: dict[str, DataFrame] = {}
     ctx = env.ctx_for(df)
-    metrics = {n: a for n, a in aggs.items() if not isinstance(a, (Bucket, SignificantTerms))}
+    metrics = {n: a for n, a in aggs.items() if not isinstance(a, Bucket)}
     if metrics and not keys:
         tdf, cols, fins, own = _metric_columns(df, ctx, metrics)
         one = tdf.agg(*cols) if cols else None
@@ -955,21 +973,19 @@ def run_aggs(df: DataFrame, aggs: dict[str, Agg], env: _Env, keys: list[str] | N
                 o = [o for o in own if o[0] == name][0]
                 out[p] = _own_frame(name, m, tdf, [], o[2], env, ctx)
             else:
-                sel = [c for c in one.columns if c == name or c.startswith(name + "_")]
-                out[p] = one.select(*sel)
+                out[p] = one.select(*_columns_of(df, ctx, name, m))
     for name, a in aggs.items():
-        p = path + name
-        if isinstance(a, SignificantTerms):
-            res = _significant(name, a, keys, env, ctx, df)
-            out[p] = res.join(parent_keep, keys, "left_semi") if parent_keep is not None and keys else res
-            continue
         if not isinstance(a, Bucket):
             continue
-        kdf, kcols = a.bucketize(df, ctx, name, keys, env)
+        p = path + name
+        kname = f"__k{len(keys)}_{name}"
+        kdf, kcols = a.bucketize(df, ctx, kname, keys, env)
         all_keys = keys + kcols
+        all_public = public + [name] * len(kcols)
+        outs = {**key_out, **({name: a.key_out} if kcols and hasattr(a, "key_out") else {})}
         kctx = env.ctx_for(kdf)
         sub = a.aggs or {}
-        sub_metrics = {n: s for n, s in sub.items() if not isinstance(s, (Bucket, SignificantTerms))}
+        sub_metrics = {n: s for n, s in sub.items() if not isinstance(s, Bucket)}
         mdf, cols, fins, own = _metric_columns(kdf, kctx, sub_metrics)
         grouped = mdf.groupBy(*all_keys).agg(F.count(F.lit(1)).cast("bigint").alias("doc_count"), *cols)
         for f in fins:
@@ -983,21 +999,37 @@ def run_aggs(df: DataFrame, aggs: dict[str, Agg], env: _Env, keys: list[str] | N
                     grouped["*"], *[fr[c] for c in fr.columns if c not in all_keys])
             else:  # both sides are single global-aggregate rows
                 grouped = grouped.withColumn("__one", F.lit(1)).join(fr.withColumn("__one", F.lit(1)), "__one").drop("__one")
-        res = a.finalize(grouped, name, keys, env) if kcols else grouped
-        if parent_keep is not None and keys:
-            res = res.join(parent_keep, keys, "left_semi")
-        out[p] = res
-        keep = res.select(*all_keys) if all_keys else None
-        for oname, m, v in own:
-            if isinstance(m, TopHits):
-                th = _top_hits(oname, m, kdf, all_keys, kctx, env.id_col)
-                if all_keys:  # total hits of the bucket: its doc_count (one row per kept bucket)
-                    totals = res.select(*all_keys, F.col("doc_count").alias("_total"))
-                    th = th.join(totals, all_keys)
-                else:
-                    th = th.withColumn("_total", kdf.select(F.count(F.lit(1))).scalar())
-                out[p + ">" + oname] = th
-        child_buckets = {n: s for n, s in sub.items() if isinstance(s, (Bucket, SignificantTerms))}
-        if child_buckets:
-            out.update(run_aggs(kdf, child_buckets, env, all_keys, p + ">", keep))
+
+        def shown(d: DataFrame) -> DataFrame:
+            """Internal key columns under the buckets' names."""
+            return d.select(*[F.col(k).alias(n) for k, n in zip(all_keys, all_public)], *[c for c in d.columns if c not in all_keys])
+
+        def converted(d: DataFrame) -> DataFrame:
+            return d.select(*[outs[c](F.col(c)).alias(c) if c in outs else F.col(c) for c in d.columns])
+
+        res = shown(grouped)
+        if isinstance(a, SignificantTerms):
+            totals = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, public)]).agg(F.count(F.lit(1)).cast("double").alias("__fgt"))
+            res = _significant(res, a, name, public, totals, env)
+        elif kcols:
+            res = a.finalize(res, name, public, env)
+        out[p] = converted(res)
+        rows, rctx = kdf, kctx
+        children = {n: s for n, s in sub.items() if isinstance(s, Bucket)}
+        tops = [(n, m) for n, m, _ in own if isinstance(m, TopHits)]
+        if isinstance(a, TermsAgg) and (children or tops):
+            kept = res.select(*[F.col(n).alias(f"__p{i}") for i, n in enumerate(all_public)])
+            rows = kdf.join(kept, [kdf[k] == kept[f"__p{i}"] for i, k in enumerate(all_keys)], "left_semi")
+            rctx = env.ctx_for(rows)
+        for oname, m in tops:
+            th = _top_hits(oname, m, rows, all_keys, rctx, env.id_col)
+            if all_keys:  # total hits of the bucket: its doc_count (one row per kept bucket)
+                th = th.select(*[F.col(k).alias(n) for k, n in zip(all_keys, all_public)],
+                               *[c for c in th.columns if c not in all_keys and c not in all_public])
+                th = converted(th.join(res.select(*all_public, F.col("doc_count").alias("_total")), all_public))
+            else:
+                th = th.withColumn("_total", kdf.select(F.count(F.lit(1))).scalar())
+            out[p + ">" + oname] = th
+        if children:
+            out.update(run_aggs(rows, children, env, all_keys, p + ">", all_public, outs))
     return out

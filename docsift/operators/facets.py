@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsift.operators.aggs import Agg, Bucket, _Env, run_aggs
+from docsift.operators.aggs import Agg, Bucket, TermsAgg, _Env, run_aggs
 from docsift.operators.query import Ctx, Range, Term, Terms
 from docsift.operators.sort import as_sort
 
@@ -148,10 +148,17 @@ class SimpleFilter(BaseFilter):
 @dataclass
 class FacetFilter(SimpleFilter):
     """Field facet: value counts, selected flags, selected values with zero
-    count appended.  ``size`` limits values (count desc, value asc)."""
+    count appended.  ``size`` limits values (count desc, value asc); selected
+    values are reported with their count whatever the limit.
+
+    ``terms``: a terms aggregation of one's own in place of size and
+    min_doc_count (order, include/exclude, missing, sub-aggregations); its
+    result, with the selected flag, is the facet, and its children's results
+    are ``<name>><child>``."""
 
     size: int | None = None
     min_doc_count: int = 1
+    terms: TermsAgg | None = None
 
     def prepare(self, params, ctx):
         p = SimpleFilter.prepare(self, params, ctx)
@@ -437,6 +444,7 @@ class FacetResult:
     facets: dict
     page: DataFrame | None
     base: DataFrame
+    aggregations: dict = dc_field(default_factory=dict)
     cached: list = dc_field(default_factory=list)
 
     def release(self) -> None:
@@ -452,11 +460,17 @@ class QueryFilters:
         self.filters = list(filters)
 
     def apply(self, search, params: dict, cache: bool = False) -> FacetResult:
+        """Hits, total, facets and aggregations of ``search`` under the selections.
+
+        The search keeps all it asks for: its sort (unless a sort filter sets
+        one), offset and size (unless a page filter sets them), rescores and
+        source options.  Its own aggregations see the query and the plain
+        filters; facets and their selections, like its post filters, narrow only
+        the hits and the total, and post filters do not narrow facet counts.
+        """
         params = normalize_params(params)
-        matched, ctx, aux, base_df, _ = search._compile()
-        base = search._post(matched, ctx)
-        if cache:
-            base = base.persist()
+        matched, ctx, aux, base_df, pred = search._compile()
+        base = matched.persist(StorageLevel.MEMORY_AND_DISK) if cache else matched
         bctx = search._ctx(base)
         prepared = [f.prepare(params, bctx) for f in self.filters]
         preds = [p.predicate for p in prepared]
@@ -465,31 +479,34 @@ class QueryFilters:
             m = _and([p for j, p in enumerate(preds) if p is not None and (j != i or own)])
             return m if i < 0 else F.coalesce(m, F.lit(False))
 
-        # ---- hits, sorted and paged
-        hits = base.filter(others(-1, True))
+        # ---- hits, sorted, rescored and paged as the search and the filters ask
+        hits = search._post(base.filter(others(-1, True)), ctx)
         sorts = next((p.state["sorts"] for p in prepared if isinstance(p.flt, SortFilter)), None)
         page = next((p for p in prepared if isinstance(p.flt, PageFilter)), None)
         s = search
         if sorts:
             s = s._with(sorts=tuple(sorts))
-        order = s._order(bctx)
-        total = hits.agg(F.count(F.lit(1)).cast("bigint").alias("total"))
+        best = F.max("_score") if (s._sorted_by_score() or s.track_scores_) else F.lit(None).cast("double")
+        total = hits.agg(F.count(F.lit(1)).cast("bigint").alias("total"), best.alias("max_score"))
+        page_df = None
         if page is not None:
             st = page.state
-            paged = hits.orderBy(*order).limit(st["from"] + st["size"]).offset(st["from"]) if st["size"] > 0 else hits.limit(0)
+            s = s._with(size_=st["size"], from__=st["from"])
             mt = (page.flt.max_hits - 1) // st["per_page"] + 1
             tp = F.least(F.expr(f"cast((total - 1) div {st['per_page']} as int) + 1"), F.lit(mt))
             page_df = total.select("total", F.lit(st["page"]).alias("page"), F.lit(st["per_page"]).alias("per_page"),
                                    tp.alias("total_pages"), F.lit(st["from"]).alias("from"), F.lit(st["size"]).alias("size"))
-        else:
-            paged = hits.orderBy(*order).limit(search.size_ or 10)
-            page_df = None
-        hits_out = search._project(paged, aux)
+        hits_out = s._hits_from(hits, ctx, aux)
+
+        # ---- the search's own aggregations
+        plain = _and([p.predicate for p in prepared if p.predicate is not None and not isinstance(p.flt, _FACETS)])
+        env = _Env(base=base_df, ctx_for=search._ctx, match=pred, id_col=search.id_col)
+        aggregations = run_aggs(base.filter(F.coalesce(plain, F.lit(False))), search.aggs_, env) if search.aggs_ else {}
 
         # ---- counting facets: one explode, one groupBy
         parts: list[Column] = []
         for i, (f, p) in enumerate(zip(self.filters, prepared)):
-            if isinstance(f, FacetFilter):
+            if isinstance(f, FacetFilter) and f.terms is None:
                 parts.append(f.elements(bctx, others(i, p.own_counts)))
             elif isinstance(f, (AttrFacetFilter, AttrRangeFacetFilter, AttrBoolFacetFilter)):
                 rest = others(i, False)
@@ -518,8 +535,16 @@ class QueryFilters:
             counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(counts)
             for f, p in zip(self.filters, prepared):
-                if isinstance(f, _COUNTING):
+                if isinstance(f, _COUNTING) and getattr(f, "terms", None) is None:
                     facets[f.name] = _shape(f, p, counts.filter(F.col("facet") == f.name), bctx)
+        for i, (f, p) in enumerate(zip(self.filters, prepared)):
+            if isinstance(f, FacetFilter) and f.terms is not None:
+                found = run_aggs(base.filter(others(i, p.own_counts)), {f.name: f.terms}, env)
+                chosen = F.lit(False)
+                for v in p.selected:
+                    chosen = chosen | (F.col(f.name) == F.lit(v).cast(_base_type(bctx.dtype(f.field))))
+                found[f.name] = found[f.name].withColumn("selected", F.coalesce(chosen, F.lit(False)))
+                facets.update(found)
 
         # ---- range and expression facets: conditional aggregates in one row
         aggs: list[Column] = []
@@ -528,8 +553,7 @@ class QueryFilters:
             if isinstance(f, FacetRangeFilter):
                 aggs.append(F.count(F.when(mask, bctx.col(f.field))).cast("bigint").alias(f"{f.name}__count"))
                 for mname, m in f.aggs.items():
-                    if isinstance(m, Bucket):  # e.g. a histogram of the field under the other selections
-                        env = _Env(base=base, ctx_for=search._ctx, id_col=search.id_col)
+                    if isinstance(m, Bucket) or not _simple(m, bctx):  # e.g. a histogram of the field under the other selections
                         facets.update({f"{f.name}>{k}": v for k, v in run_aggs(base.filter(mask), {mname: m}, env).items()})
                     else:
                         aggs.append(_cond_metric(m, mask, bctx, f"{f.name}__{mname}"))
@@ -540,8 +564,8 @@ class QueryFilters:
             one = base.agg(*aggs)
             for f, p in zip(self.filters, prepared):
                 if isinstance(f, FacetRangeFilter):
-                    cols = [c for c in one.columns if c.startswith(f.name + "__")]
-                    facets[f.name] = one.select(*[F.col(c).alias(c[len(f.name) + 2:]) for c in cols])
+                    names = ["count"] + [n for n, m in f.aggs.items() if not isinstance(m, Bucket) and _simple(m, bctx)]
+                    facets[f.name] = one.select(*[F.col(f"{f.name}__{n}").alias(n) for n in names])
                 elif isinstance(f, FacetExpressionsFilter):
                     sel = set(p.selected or [])
                     rows = F.array(*[F.struct(F.lit(v).alias("value"), F.col(f"{f.name}__{v}").alias("doc_count"),
@@ -550,55 +574,58 @@ class QueryFilters:
                     facets[f.name] = one.select(F.inline(rows)).orderBy("__i").drop("__i")
         if cache:
             cached.append(base)
-        return FacetResult(hits=hits_out, total=total, facets=facets, page=page_df, base=base, cached=cached)
+        return FacetResult(hits=hits_out, total=total, facets=facets, page=page_df, base=base, aggregations=aggregations, cached=cached)
+
+
+def _simple(m: Agg, ctx: Ctx) -> bool:
+    """A metric that fits the shared conditional aggregate: one of the basic ones over a plain field."""
+    from docsift.operators import aggs as A
+
+    return (type(m) in (A.Min, A.Max, A.Avg, A.Sum, A.ValueCount) and m.field is not None
+            and m.script is None and m.value_script is None and m.missing is None)
 
 
 def _cond_metric(m: Agg, mask: Column, ctx: Ctx, alias: str) -> Column:
     from docsift.operators import aggs as A
 
-    v = ctx.col(m.field).cast("double")
-    x = F.when(mask, v)
-    if isinstance(m, A.Min):
-        return F.min(x).alias(alias)
-    if isinstance(m, A.Max):
-        return F.max(x).alias(alias)
-    if isinstance(m, A.Avg):
-        return F.avg(x).alias(alias)
-    if isinstance(m, A.Sum):
-        return F.coalesce(F.sum(x), F.lit(0.0)).alias(alias)
-    if isinstance(m, A.ValueCount):
-        return F.count(x).cast("bigint").alias(alias)
-    raise ValueError(f"unsupported range facet metric {type(m).__name__}")
+    arr = isinstance(ctx.dtype(m.field), T.ArrayType)
+    v = ctx.col(m.field)
+    x = F.when(mask, v if arr else v.cast("double"))
+    col = {A.Min: F.min(F.array_min(x) if arr else x).cast("double"), A.Max: F.max(F.array_max(x) if arr else x).cast("double"),
+           A.Avg: F.sum(A._arr_sum(x)) / F.sum(A._arr_cnt(x)) if arr else F.avg(x),
+           A.Sum: F.coalesce(F.sum(A._arr_sum(x) if arr else x), F.lit(0.0)),
+           A.ValueCount: (F.coalesce(F.sum(A._arr_cnt(x)), F.lit(0)) if arr else F.count(x)).cast("bigint")}[type(m)]
+    return col.alias(alias)
+
+
+_FACETS = (*_COUNTING, FacetRangeFilter, FacetExpressionsFilter)
+
+
+def _with_selection(spark, counts: DataFrame, by: list[str], selected: list[tuple], types: list) -> DataFrame:
+    """The counts with a ``selected`` flag, and the selected values without any as zero rows; values are compared typed."""
+    c = counts.select(*by, "doc_count", F.lit(False).alias("selected"))
+    if selected:  # the selection list is request-sized
+        rows = [F.struct(*[F.lit(v).cast(t).alias(b) for b, v, t in zip(by, row, types)]) for row in selected]
+        chosen = spark.range(1).select(F.inline(F.array(*rows))).select(*by, F.lit(0).cast("bigint").alias("doc_count"), F.lit(True).alias("selected"))
+        c = c.unionByName(chosen).groupBy(*by).agg(F.max("doc_count").alias("doc_count"), F.max("selected").alias("selected"))
+    return c.select(*by, F.col("doc_count").cast("bigint").alias("doc_count"), "selected")
 
 
 def _shape(f: BaseFilter, p: Prepared, counts: DataFrame, ctx: Ctx) -> DataFrame:
     spark = counts.sparkSession
     if isinstance(f, FacetFilter):
         vt = _base_type(ctx.dtype(f.field))
-        sel = [str(v) if not isinstance(v, bool) else str(v).lower() for v in (p.selected or [])]
-        c = counts.select(F.col("k1").alias("value"), "doc_count")
-        if f.min_doc_count > 1:
-            c = c.filter(F.col("doc_count") >= f.min_doc_count)
+        c = counts.select(F.col("k1").cast(vt).alias("value"), "doc_count")
+        c = _with_selection(spark, c, ["value"], [(v,) for v in p.selected or []], [vt])
+        top = c.filter(F.col("doc_count") >= f.min_doc_count) if f.min_doc_count > 1 else c.filter("doc_count > 0")
         if f.size is not None:
-            c = c.orderBy(F.desc("doc_count"), F.col("value").cast(vt).asc()).limit(f.size)
-        if sel:
-            s = spark.createDataFrame([(v,) for v in dict.fromkeys(sel)], "value string").withColumn("__sel", F.lit(True))
-            c = c.join(F.broadcast(s), "value", "full")  # the selection list is request-sized
-        else:
-            c = c.withColumn("__sel", F.lit(None).cast("boolean"))
-        out = c.select(F.col("value").cast(vt).alias("value"), F.coalesce("doc_count", F.lit(0)).cast("bigint").alias("doc_count"),
-                       F.coalesce("__sel", F.lit(False)).alias("selected"))
+            top = top.orderBy(F.desc("doc_count"), F.asc("value")).limit(f.size)
+        out = top.unionByName(c.filter("selected")).distinct() if p.selected else top
         return out.orderBy(F.desc("doc_count"), F.asc("value"))
     if isinstance(f, AttrBoolFacetFilter):
         c = counts.select(F.col("k1").cast("int").alias("attr_id"), (F.col("k2") == "true").alias("value"), "doc_count")
         sel = [(a, b) for a, (_, _, vals) in p.sub_predicates.items() for b in vals]
-        if sel:
-            s = spark.createDataFrame(sel, "attr_id int, value boolean").withColumn("__sel", F.lit(True))
-            c = c.join(F.broadcast(s), ["attr_id", "value"], "full")
-        else:
-            c = c.withColumn("__sel", F.lit(None).cast("boolean"))
-        out = c.select("attr_id", "value", F.coalesce("doc_count", F.lit(0)).cast("bigint").alias("doc_count"),
-                       F.coalesce("__sel", F.lit(False)).alias("selected"))
+        out = _with_selection(spark, c, ["attr_id", "value"], sel, [T.IntegerType(), T.BooleanType()])
         return out.orderBy("attr_id", F.desc("doc_count"), F.asc("value"))
     if isinstance(f, AttrRangeFacetFilter):
         c = counts.select(F.col("k1").cast("int").alias("attr_id"), "doc_count", F.col("min").cast("float").alias("min"),
@@ -609,16 +636,10 @@ def _shape(f: BaseFilter, p: Prepared, counts: DataFrame, ctx: Ctx) -> DataFrame
         c = counts.select(F.col("k1").cast("int").alias("attr_id"), F.col("k2").cast(vt).alias("value"), "doc_count")
         sel_pairs = [(a, v) for a, (_, _, vals) in p.sub_predicates.items() for v in vals]
         sel_attrs = list(p.sub_predicates)
-        if sel_attrs:
+        out = _with_selection(spark, c, ["attr_id", "value"], sel_pairs, [T.IntegerType(), vt])
+        if sel_attrs:  # of the selected attributes: the most frequent values, and the selected ones
             w = Window.partitionBy("attr_id").orderBy(F.desc("doc_count"), F.asc("value"))
-            c = c.withColumn("__rn", F.row_number().over(w)).filter(
-                ~F.col("attr_id").isin(sel_attrs) | (F.col("__rn") <= f.selected_size)).drop("__rn")
-        if sel_pairs:
-            s = spark.createDataFrame(sel_pairs, f"attr_id int, value {vt.simpleString()}").withColumn("__sel", F.lit(True))
-            c = c.join(F.broadcast(s), ["attr_id", "value"], "full")
-        else:
-            c = c.withColumn("__sel", F.lit(None).cast("boolean"))
-        out = c.select("attr_id", "value", F.coalesce("doc_count", F.lit(0)).cast("bigint").alias("doc_count"),
-                       F.coalesce("__sel", F.lit(False)).alias("selected"))
+            out = out.withColumn("__rn", F.row_number().over(w)).filter(
+                ~F.col("attr_id").isin(sel_attrs) | (F.col("__rn") <= f.selected_size) | F.col("selected")).drop("__rn")
         return out.orderBy("attr_id", F.desc("doc_count"), F.asc("value"))
     raise TypeError(f)

@@ -3,8 +3,8 @@
 ``Knn`` is the top-level kNN section of a search (combined with the query by
 summing scores); ``KnnQuery`` is kNN as a query node (k, or radial by
 ``max_distance`` / ``min_score``).  Top-k is ``orderBy(score).limit(k)``:
-each partition keeps its own k best, then k x partitions rows are merged -- the
-result is bounded by k, so it may be broadcast back into the plan.
+each partition keeps its own k best, then k x partitions rows are merged.  The
+result joins back on the id; Spark broadcasts it when it is small enough.
 """
 
 from __future__ import annotations
@@ -13,25 +13,25 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.functions.vectors import distance, similarity_score
+from docsift.functions.vectors import distance, raw_similarity, similarity_score
 from docsift.operators.query import Ctx, Query
 
-__all__ = ["Knn", "KnnQuery", "knn_top_k", "MAX_K"]
+__all__ = ["Knn", "KnnQuery", "knn_top_k"]
 
-# k above this is not broadcast back (the top-k frame must stay small).
-MAX_K = 100_000
+_DISTANCES = ("l2", "l2_norm", "l1", "linf", "hamming", "hammingbit")
 
 
 def knn_top_k(df: DataFrame, id_col: str, field: str, vector, k: int, similarity: str,
               filter_pred=None, min_similarity: float | None = None) -> DataFrame:
-    if k > MAX_K:
-        raise ValueError(f"k above {MAX_K}")
+    """``min_similarity`` bounds the raw measure: the largest distance for
+    distance spaces, else the least cosine or inner product."""
     d = df.filter(F.col(field).isNotNull())
     if filter_pred is not None:
         d = d.filter(filter_pred)
-    d = d.select(F.col(id_col), similarity_score(similarity, F.col(field), vector).alias("__knn_score"))
     if min_similarity is not None:
-        d = d.filter(F.col("__knn_score") >= F.lit(float(min_similarity)))
+        raw, bound = raw_similarity(similarity, F.col(field), vector), F.lit(float(min_similarity))
+        d = d.filter(raw <= bound if similarity.lower() in _DISTANCES else raw >= bound)
+    d = d.select(F.col(id_col), similarity_score(similarity, F.col(field), vector).alias("__knn_score"))
     return d.orderBy(F.desc("__knn_score"), F.asc(id_col)).limit(k)
 
 
@@ -81,7 +81,7 @@ class KnnQuery(Query):
             pred = self.filter.predicate(Ctx(ctx.corpus, ctx.id_col)) if self.filter is not None else None
             t = knn_top_k(ctx.corpus, ctx.id_col, self.field, self.vector, self.k, self.space, pred)
             name = ctx.fresh("knn")
-            t = F.broadcast(t.select(F.col(ctx.id_col).alias(f"__k_{name}"), F.lit(True).alias(name)))
+            t = t.select(F.col(ctx.id_col).alias(f"__k_{name}"), F.lit(True).alias(name))
             ctx.attach(t, ctx.id_col, f"__k_{name}")
             memo[key] = name
         return memo[key]

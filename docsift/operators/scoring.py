@@ -104,7 +104,7 @@ class ScriptScore(ScoreFunction):
 
 @dataclass(frozen=True)
 class RandomScore(ScoreFunction):
-    """Seeded, per-document stable score in [0, 1): hash of (seed, field).
+    """Seeded, per-document stable score in [0, 1): md5 of seed and field.
     Independent of partitioning (unlike ``rand``)."""
 
     seed: int = 0
@@ -114,8 +114,8 @@ class RandomScore(ScoreFunction):
 
     def value(self, ctx, qscore):
         key = ctx.col(self.field or ctx.id_col)
-        h = F.pmod(F.xxhash64(F.lit(int(self.seed)), key), F.lit(1 << 24))
-        return h.cast("double") / F.lit(float(1 << 24))
+        h = F.substring(F.md5(F.concat_ws(":", F.lit(str(int(self.seed))), key.cast("string")).cast("binary")), 1, 6)
+        return F.conv(h, 16, 10).cast("double") / F.lit(float(1 << 24))
 
 
 @dataclass(frozen=True)

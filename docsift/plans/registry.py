@@ -363,7 +363,8 @@ def e16_incl(spark, sf):
     return s.aggregations()["brand"]
 
 
-@reg("e16_terms_partition")
+@reg("e16_terms_partition", """
+SELECT p_brand AS brand, count(*)::BIGINT AS doc_count FROM part WHERE ('0x' || substr(md5(p_brand), 1, 8))::BIGINT % 4 = 1 GROUP BY 1""")
 def e16_part(spark, sf):
     s = Search(TB.read(spark, sf, "part"), "p_partkey").aggs(
         brand=A.TermsAgg("p_brand", size=None, include={"partition": 1, "num_partitions": 4}))
@@ -384,16 +385,67 @@ def e17_sig(spark, sf):
 
 
 @reg("e18_histogram_gaps", """
-WITH k AS (SELECT floor((l_extendedprice - 500) / 2500) * 2500 + 500 AS price, count(*) AS n FROM lineitem
-           WHERE l_quantity <= 3 GROUP BY 1),
-r AS (SELECT unnest(generate_series(0, ((max(price) - min(price)) / 2500)::BIGINT)) AS i, min(price) AS lo FROM k)
-SELECT (lo + i * 2500)::DOUBLE AS price, coalesce(n, 0)::BIGINT AS doc_count FROM r LEFT JOIN k ON k.price = lo + i * 2500""")
+WITH k AS (SELECT floor((l_extendedprice - 500) / 7)::BIGINT AS i, count(*) AS n FROM lineitem GROUP BY 1),
+r AS (SELECT unnest(generate_series(min(i), max(i))) AS i FROM k)
+SELECT i * 7.0::DOUBLE + 500 AS price, coalesce(n, 0)::BIGINT AS doc_count FROM r LEFT JOIN k USING (i)""")
 def e18_hist(spark, sf):
-    s = Search(lineitem(spark, sf), "l_id").filter(Q.Range("l_quantity", lte=3)).aggs(
-        price=A.Histogram("l_extendedprice", interval=2500, offset=500, min_doc_count=0))
+    s = Search(lineitem(spark, sf), "l_id").aggs(price=A.Histogram("l_extendedprice", interval=7, offset=500, min_doc_count=0))
     return s.aggregations()["price"]
 
 
+@reg("e18_bucket_named_like_field", """
+WITH k AS (SELECT floor(l_discount / 0.1::DOUBLE)::BIGINT AS i, count(*) AS n, round(avg(l_discount), 6) AS mean FROM lineitem GROUP BY 1),
+r AS (SELECT unnest(generate_series(min(i), max(i))) AS i FROM k)
+SELECT round(i * 0.1::DOUBLE, 6) AS l_discount, coalesce(n, 0)::BIGINT AS doc_count, mean FROM r LEFT JOIN k USING (i)""")
+def e18_named(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(l_discount=A.Histogram("l_discount", interval=0.1, aggs={"mean": A.Avg("l_discount")}))
+    return rnd(s.aggregations()["l_discount"])
+
+
+@reg("e14_e20_buckets_named_like_fields", """
+SELECT p_brand, band AS p_size, count(*)::BIGINT AS doc_count, round(avg(p_size), 6) AS mean
+FROM (SELECT *, CASE WHEN p_size < 20 THEN 'small' ELSE 'large' END AS band FROM part)
+WHERE p_brand IN (SELECT p_brand FROM part GROUP BY 1 ORDER BY count(*) DESC, p_brand LIMIT 4) GROUP BY 1, 2""")
+def e14_named(spark, sf):
+    s = Search(TB.read(spark, sf, "part"), "p_partkey").aggs(p_brand=A.TermsAgg("p_brand", size=4, aggs={
+        "p_size": A.RangeAgg("p_size", ranges=((None, 20, "small"), (20, None, "large")), aggs={"mean": A.Avg("p_size")})}))
+    return rnd(s.aggregations()["p_brand>p_size"].select("p_brand", "p_size", "doc_count", "mean"))
+
+
+@reg("e14_high_cardinality_gap_fill", """
+WITH t AS (SELECT l_partkey FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, l_partkey LIMIT 5),
+k AS (SELECT l_partkey AS part, floor(l_quantity / 5)::BIGINT AS i, count(*) AS n FROM lineitem JOIN t USING (l_partkey) GROUP BY 1, 2),
+r AS (SELECT part, unnest(generate_series(min(i), max(i))) AS i FROM k GROUP BY 1)
+SELECT part, i * 5.0::DOUBLE AS qty, coalesce(n, 0)::BIGINT AS doc_count FROM r LEFT JOIN k USING (part, i)""")
+def e14_gaps(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").aggs(part=A.TermsAgg("l_partkey", size=5, aggs={"qty": A.Histogram("l_quantity", interval=5)}))
+    return s.aggregations()["part>qty"]
+
+
+@reg("e0_array_value_script", """
+SELECT o_orderstatus AS status, count(*)::BIGINT AS doc_count, round(sum(o_totalprice), 6) AS total, round(sum(q), 6) AS doubled
+FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_quantity * 2) AS q FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey GROUP BY 1""")
+def e0_array(spark, sf):
+    o = TB.orders_nested(spark, sf, ("quantity",)).withColumn("quantities", F.col("items.quantity"))
+    s = Search(o, "o_orderkey").aggs(status=A.TermsAgg("o_orderstatus", aggs={
+        "total": A.Sum("o_totalprice"), "doubled": A.Sum("quantities", value_script="_value * 2")}))
+    return rnd(s.aggregations()["status"])
+
+
+@reg("e17_sub_aggs", """
+WITH b AS (SELECT *, l_discount >= 0.09 AS fg FROM lineitem WHERE l_suppkey <> 5),
+t AS (SELECT count(*) FILTER (WHERE l_discount >= 0.09)::DOUBLE AS fgt, count(*)::DOUBLE AS bgt FROM lineitem),
+g AS (SELECT l_suppkey AS k, count(*) FILTER (WHERE fg)::BIGINT AS doc_count, count(*)::BIGINT AS bg_count,
+             round(sum(l_quantity) FILTER (WHERE fg), 6) AS qty FROM b GROUP BY k)
+SELECT k AS sig, doc_count, bg_count,
+  round(((doc_count / fgt) - (bg_count / bgt)) * ((doc_count / fgt) / (bg_count / bgt)), 6) AS score, qty
+FROM g, t WHERE doc_count >= 3 AND doc_count / fgt > bg_count / bgt ORDER BY doc_count DESC, sig LIMIT 6""")
+def e17_sub(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id").query(Q.Range("l_discount", gte=0.09)).aggs(sig=A.SignificantTerms(
+        "l_suppkey", size=6, exclude=[5], order=("_count", "desc"), aggs={"qty": A.Sum("l_quantity")}))
+    return rnd(s.aggregations()["sig"])
+
+
 @reg("e19_date_histogram_calendar", """
 SELECT epoch_ms(date_trunc('week', ts)) AS wk, count(*)::BIGINT AS doc_count, round(sum(value), 6) AS total,
        strftime(date_trunc('week', ts), '%Y-%m-%dT%H:%M:%S.000Z') AS wk_as_string
@@ -559,26 +611,26 @@ def s6_script(spark, sf):
 
 
 @reg("s9_source_filter", """
-SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders WHERE o_orderstatus = 'P'""")
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate FROM orders""")
 def s9_source(spark, sf):
-    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Term("o_orderstatus", "P")).size(None).source(
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").size(None).source(
         includes=["o_*"], excludes=["o_orderstatus", "o_orderpriority"])
     return s.hits().drop("_score")
 
 
 @reg("s10_formatted_fields", """
 SELECT o_orderkey, [strftime(o_orderdate, '%Y-%m')] AS fields_o_orderdate, [o_orderpriority] AS fields_o_orderpriority
-FROM orders WHERE o_orderpriority = '2-HIGH'""")
+FROM orders""")
 def s10_fields(spark, sf):
-    s = (Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Term("o_orderpriority", "2-HIGH")).size(None)
+    s = (Search(TB.read(spark, sf, "orders"), "o_orderkey").size(None)
          .fields(("o_orderdate", "yyyy-MM"), "o_orderpriority"))
     return s.hits().select("o_orderkey", "fields_o_orderdate", "fields_o_orderpriority")
 
 
 @reg("s11_stored_fields", """
-SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000""")
+SELECT o_orderkey, o_totalprice FROM orders""")
 def s11_stored(spark, sf):
-    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Term("o_orderstatus", "F"), Q.Range("o_totalprice", gt=300000))
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey")
     return s.size(None).stored_fields("o_orderkey", "o_totalprice").hits().drop("_score")
 
 
@@ -587,7 +639,7 @@ SELECT * FROM (SELECT 0 AS query_id, o_orderkey FROM orders WHERE o_orderstatus
 UNION ALL SELECT * FROM (SELECT 1, o_orderkey FROM orders WHERE o_orderpriority = '5-LOW' ORDER BY o_orderdate, o_orderkey LIMIT 7)""")
 def s12_msearch(spark, sf):
     from docsift.plans.search import multi_search
-    o = TB.read(spark, sf, "orders").cache()
+    o = TB.read(spark, sf, "orders")
     a = Search(o, "o_orderkey").filter(Q.Term("o_orderstatus", "F")).sort("-o_totalprice").size(5)
     b = Search(o, "o_orderkey").filter(Q.Term("o_orderpriority", "5-LOW")).sort("o_orderdate").size(7)
     return multi_search([a, b]).select("query_id", "o_orderkey")
@@ -597,7 +649,8 @@ def s12_msearch(spark, sf):
 WITH t AS (SELECT * FROM orders WHERE o_totalprice > 50000 ORDER BY o_orderkey LIMIT 500)
 SELECT o_orderstatus AS status, count(*)::BIGINT AS doc_count FROM t GROUP BY 1""")
 def s13_terminate(spark, sf):
-    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Range("o_totalprice", gt=50000)).terminate_after(500).aggs(
+    ordered = TB.read(spark, sf, "orders").orderBy("o_orderkey")  # so that the first 500 are the same everywhere
+    s = Search(ordered, "o_orderkey").filter(Q.Range("o_totalprice", gt=50000)).terminate_after(500).aggs(
         status=A.TermsAgg("o_orderstatus", size=None))
     return s.aggregations()["status"]
 
@@ -726,7 +779,82 @@ def f_ranges(spark, sf):
 @reg("f9_f11_attr_hits_total", _AF + """
 SELECT count(*)::BIGINT AS total FROM s WHERE s1 AND s2 AND s5""")
 def f_attr_total(spark, sf):
-    return _attr_facets(spark, sf).total
+    return _attr_facets(spark, sf).total.select("total")
+
+
+@reg("f1_facets_all_hits", """
+SELECT p_partkey, p_brand FROM part WHERE p_brand IN ('Brand#1', 'Brand#2') ORDER BY p_partkey""")
+def f1_all(spark, sf):
+    s = Search(TB.read(spark, sf, "part"), "p_partkey").size(None)
+    return FC.QueryFilters([FC.FacetFilter("brand", "p_brand")]).apply(s, {"brand": ["Brand#1", "Brand#2"]}).hits.select("p_partkey", "p_brand")
+
+
+def _f1(spark, sf):
+    s = (Search(TB.read(spark, sf, "part"), "p_partkey").aggs(type=A.TermsAgg("p_type", aggs={"mean": A.Avg("p_retailprice")}))
+         .post_filter(Q.Range("p_size", lte=25)).sort("p_retailprice").offset(5).size(20))
+    return FC.QueryFilters([FC.SimpleFilter("size", "p_size"), FC.FacetFilter("brand", "p_brand")]).apply(
+        s, {"size": [str(i) for i in range(10, 41)], "brand": ["Brand#3"]})
+
+
+@reg("f1_facets_with_aggs_and_post_filter", """
+SELECT 'agg' AS kind, p_type AS value, count(*)::BIGINT AS n, round(avg(p_retailprice), 6) AS mean, NULL::BOOLEAN AS selected
+FROM part WHERE p_size BETWEEN 10 AND 40 GROUP BY 2
+UNION ALL SELECT 'facet', p_brand, count(*), NULL, p_brand = 'Brand#3' FROM part WHERE p_size BETWEEN 10 AND 40 GROUP BY 2
+UNION ALL SELECT 'total', NULL, count(*), NULL, NULL FROM part WHERE p_size BETWEEN 10 AND 25 AND p_brand = 'Brand#3'
+UNION ALL (SELECT 'hit', p_partkey::VARCHAR, 0, NULL, NULL FROM part WHERE p_size BETWEEN 10 AND 25 AND p_brand = 'Brand#3'
+           ORDER BY p_retailprice, p_partkey LIMIT 20 OFFSET 5)""")
+def f1_aggs(spark, sf):
+    r = _f1(spark, sf)
+    no, nob = F.lit(None).cast("double"), F.lit(None).cast("boolean")
+    n = lambda c: F.col(c).cast("bigint").alias("n")
+    parts = [r.aggregations["type"].select(F.lit("agg").alias("kind"), F.col("type").alias("value"), n("doc_count"), "mean", nob.alias("selected")),
+             r.facets["brand"].select(F.lit("facet").alias("kind"), "value", n("doc_count"), no.alias("mean"), "selected"),
+             r.total.select(F.lit("total").alias("kind"), F.lit(None).cast("string").alias("value"), n("total"), no.alias("mean"), nob.alias("selected")),
+             r.hits.select(F.lit("hit").alias("kind"), F.col("p_partkey").cast("string").alias("value"), F.lit(0).cast("bigint").alias("n"),
+                           no.alias("mean"), nob.alias("selected"))]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return rnd(out)
+
+
+@reg("f4_facet_size_selected_outside", """
+WITH c AS (SELECT p_brand AS value, count(*)::BIGINT AS doc_count FROM part GROUP BY 1),
+t AS (SELECT value FROM c ORDER BY doc_count DESC, value LIMIT 3)
+SELECT value, doc_count, FALSE AS selected FROM c WHERE value IN (SELECT value FROM t)
+UNION ALL SELECT 'none such', 0, TRUE""")
+def f4_outside(spark, sf):
+    s = Search(TB.read(spark, sf, "part"), "p_partkey")
+    return FC.QueryFilters([FC.FacetFilter("brand", "p_brand", size=3)]).apply(s, {"brand": ["none such"]}).facets["brand"]
+
+
+@reg("f4_facet_selected_beyond_size", """
+WITH c AS (SELECT l_linenumber::VARCHAR AS value, count(*)::BIGINT AS doc_count FROM lineitem GROUP BY 1)
+SELECT value, doc_count, value = '7' AS selected FROM c
+WHERE value = '7' OR value IN (SELECT value FROM c ORDER BY doc_count DESC, value LIMIT 2)""")
+def f4_beyond(spark, sf):
+    s = Search(lineitem(spark, sf), "l_id")
+    out = FC.QueryFilters([FC.FacetFilter("line", "l_linenumber", size=2)]).apply(s, {"line": ["7"]}).facets["line"]
+    return out.withColumn("value", F.col("value").cast("string"))
+
+
+@reg("f4_date_facet_selected", """
+SELECT epoch_ms(d) AS value, count(*)::BIGINT AS doc_count, d = TIMESTAMP '1996-01-02' AS selected
+FROM (SELECT date_trunc('day', o_orderdate) AS d FROM orders) GROUP BY d
+UNION ALL SELECT epoch_ms(TIMESTAMP '1890-05-05'), 0, TRUE""")
+def f4_date(spark, sf):
+    o = TB.read(spark, sf, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
+    out = FC.QueryFilters([FC.FacetFilter("day", "day")]).apply(Search(o, "o_orderkey"), {"day": ["1996-01-02", "1890-05-05"]}).facets["day"]
+    return out.withColumn("value", F.unix_millis(F.col("value").cast("timestamp")))
+
+
+@reg("f4_facet_custom_terms", """
+SELECT p_brand AS brand, count(*)::BIGINT AS doc_count, round(avg(p_retailprice), 6) AS mean, p_brand = 'Brand#12' AS selected FROM part
+WHERE p_brand LIKE 'Brand#1_' AND p_brand <> 'Brand#10' GROUP BY 1 ORDER BY mean DESC, brand LIMIT 4""")
+def f4_terms(spark, sf):
+    terms = A.TermsAgg("p_brand", size=4, include="Brand#1.", exclude=["Brand#10"], order=("mean", "desc"), aggs={"mean": A.Avg("p_retailprice")})
+    s = Search(TB.read(spark, sf, "part"), "p_partkey")
+    return rnd(FC.QueryFilters([FC.FacetFilter("brand", "p_brand", terms=terms)]).apply(s, {"brand": ["Brand#12"]}).facets["brand"])
 
 
 @reg("f13_f14_bool_attr_facet", """
@@ -890,7 +1018,9 @@ def r6_fs_avg(spark, sf):
     return _scored(Search(TB.read(spark, sf, "part"), "p_partkey").query(fs).matched().select("p_partkey", "_score"))
 
 
-@reg("r10_random_score")
+@reg("r10_random_score", """
+SELECT p_partkey, ('0x' || substr(md5('42:' || p_partkey), 1, 6))::BIGINT / 16777216.0::DOUBLE AS _score FROM part
+ORDER BY _score DESC, p_partkey LIMIT 50""")
 def r10_random(spark, sf):
     fs = SC.FunctionScore(Q.MatchAll(), [SC.RandomScore(seed=42, field="p_partkey")], boost_mode="replace")
     return Search(TB.read(spark, sf, "part"), "p_partkey").query(fs).size(50).hits().select("p_partkey", "_score")
@@ -1202,10 +1332,10 @@ ORDER_DOC = SCH.Document({"o_orderkey": SCH.long().req(), "o_custkey": SCH.long(
 
 
 @reg("a1_declared_schema", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'""")
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, epoch_ms(o_orderdate) AS date_ms FROM orders""")
 def a1_schema(spark, sf):
     df = spark.read.schema(ORDER_DOC.struct()).parquet(f"{sf}/orders.parquet")
-    return df.filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).drop("o_orderdate")
+    return df.withColumn("date_ms", F.unix_millis(F.col("o_orderdate").cast("timestamp"))).drop("o_orderdate")
 
 
 EVENT_DOC = SCH.Document({"id": SCH.long().req(), "user": SCH.int_(), "amount": SCH.int_(),
@@ -1323,7 +1453,9 @@ def a11_packing(spark, sf):
                      PK.encode_bool_attr(F.lit(5), F.col("p_size") > 25).alias("bool_packed"))
 
 
-@reg("a11_float_attribute_packing")
+@reg("a11_float_attribute_packing", """
+SELECT p_partkey, (5::BIGINT * 4294967296 + CAST(p_retailprice::FLOAT::BIT AS INTEGER))::BIGINT AS packed, 5 AS attr_id,
+       p_retailprice::FLOAT AS value, TRUE AS roundtrip FROM part""")
 def a11_float(spark, sf):
     pa = TB.part_attrs(spark, sf)
     packed = PK.encode_range_attr(F.lit(5), F.col("p_retailprice"))
@@ -1333,18 +1465,15 @@ def a11_float(spark, sf):
 
 
 @reg("u1_inline_script_params", """
-SELECT p_partkey, round(p_retailprice * 2 + 1, 6) AS price2 FROM part WHERE p_size > 45""")
+SELECT p_partkey, round(p_retailprice * 2 + 1, 6) AS price2 FROM part""")
 def u1_script(spark, sf):
-    s = (Search(TB.read(spark, sf, "part"), "p_partkey").filter(Q.Range("p_size", gt=45)).size(None)
+    s = (Search(TB.read(spark, sf, "part"), "p_partkey").size(None)
          .script_field("price2", Script("p_retailprice * params.factor + params.add", params={"factor": 2, "add": 1})))
     return rnd(s.hits().select("p_partkey", "price2"))
 
 
 def _name_len():
-    @F.pandas_udf(T.IntegerType())
-    def n(s: pd.Series) -> pd.Series:
-        return s.str.len()
-    return n(F.col("p_name"))
+    return F.length("p_name")
 
 
 register_script("discounted", "p_retailprice * (1 - params.d)")
@@ -1352,9 +1481,9 @@ register_script("name_len", _name_len)
 
 
 @reg("u2_stored_scripts", """
-SELECT p_partkey, round(p_retailprice * (1 - 0.1), 6) AS disc, length(p_name)::INTEGER AS name_len FROM part WHERE p_type = 'PROMO'""")
+SELECT p_partkey, round(p_retailprice * (1 - 0.1), 6) AS disc, length(p_name)::INTEGER AS name_len FROM part""")
 def u2_stored(spark, sf):
-    s = (Search(TB.read(spark, sf, "part"), "p_partkey").filter(Q.Term("p_type", "PROMO")).size(None)
+    s = (Search(TB.read(spark, sf, "part"), "p_partkey").size(None)
          .script_field("disc", Script(id="discounted", params={"d": 0.1})).script_field("name_len", Script(id="name_len")))
     return rnd(s.hits().select("p_partkey", "disc", "name_len"))
 
@@ -1429,15 +1558,33 @@ def w5_seq_no(spark, sf):
     return WR.bulk(base, acts, "c_custkey").items.select("seq", "id", "status")
 
 
+_MIP = f"CASE WHEN {_DOT} < 0 THEN 1.0 / (1.0 - {_DOT}) ELSE {_DOT} + 1.0 END"
+
+
 @reg("r14_knn_dot_and_max_inner_product", f"""
-SELECT vec_id, round((1 + {_DOT}) / 2, 6) AS dot_score,
-       round(CASE WHEN {_DOT} < 0 THEN 1.0 / (1.0 - {_DOT}) ELSE {_DOT} + 1.0 END, 6) AS mip_score
-FROM embeddings WHERE label = 0""")
+SELECT * FROM (SELECT 'dot_product' AS kind, vec_id, round((1 + {_DOT}) / 2, 6) AS _score FROM embeddings ORDER BY (1 + {_DOT}) / 2 DESC, vec_id LIMIT 20)
+UNION ALL
+SELECT * FROM (SELECT 'max_inner_product', vec_id, round({_MIP}, 6) FROM embeddings ORDER BY {_MIP} DESC, vec_id LIMIT 20)""")
 def r14_dot(spark, sf):
-    from docsift.functions.vectors import similarity_score
-    e = TB.read(spark, sf, "embeddings").filter(F.col("label") == 0)
-    return rnd(e.select("vec_id", similarity_score("dot_product", F.col("embedding"), QV).alias("dot_score"),
-                        similarity_score("max_inner_product", F.col("embedding"), QV).alias("mip_score")))
+    out = None
+    for kind in ("dot_product", "max_inner_product"):
+        s = Search(TB.read(spark, sf, "embeddings"), "vec_id").knn(Knn("embedding", QV, k=20, similarity=kind)).size(20)
+        hits = s.hits().select(F.lit(kind).alias("kind"), "vec_id", "_score")
+        out = hits if out is None else out.unionByName(hits)
+    return rnd(out)
+
+
+@reg("r14_knn_similarity_threshold", f"""
+SELECT * FROM (SELECT 'l2_norm' AS kind, vec_id, round(1 / (1 + {_L2}), 6) AS _score FROM embeddings WHERE sqrt({_L2}) <= 4.7 ORDER BY 1 / (1 + {_L2}) DESC, vec_id LIMIT 200000)
+UNION ALL
+SELECT * FROM (SELECT 'dot_product', vec_id, round((1 + {_DOT}) / 2, 6) FROM embeddings WHERE {_DOT} >= 0.1 ORDER BY (1 + {_DOT}) / 2 DESC, vec_id LIMIT 200000)""")
+def r14_threshold(spark, sf):
+    out = None
+    for kind, bound in (("l2_norm", 4.7), ("dot_product", 0.1)):
+        k = Knn("embedding", QV, k=200_000, similarity=kind, min_similarity=bound)
+        hits = Search(TB.read(spark, sf, "embeddings"), "vec_id").knn(k).size(None).hits().select(F.lit(kind).alias("kind"), "vec_id", "_score")
+        out = hits if out is None else out.unionByName(hits)
+    return rnd(out)
 
 
 @reg("r15_knn_query_linf", f"""
@@ -1491,12 +1638,19 @@ def e14_missing(spark, sf):
 
 
 @reg("e10_percentiles_default", """
-SELECT quantile_disc(o_totalprice, 0.01) AS p_p1, quantile_disc(o_totalprice, 0.05) AS p_p5, quantile_disc(o_totalprice, 0.25) AS p_p25,
-       quantile_disc(o_totalprice, 0.5) AS p_p50, quantile_disc(o_totalprice, 0.75) AS p_p75, quantile_disc(o_totalprice, 0.95) AS p_p95,
-       quantile_disc(o_totalprice, 0.99) AS p_p99 FROM orders""")
+SELECT unnest([1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0])::DOUBLE AS percent, TRUE AS within_rank_error""")
 def e10_default(spark, sf):
-    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").aggs(p=A.Percentiles("o_totalprice", accuracy=1_000_000))
-    return rnd(s.aggregations()["p"])
+    """The default sketch: each percentile's true rank lies within the promised error (1 / 10,000 of the rows)."""
+    orders = TB.read(spark, sf, "orders")
+    found = Search(orders, "o_orderkey").aggs(p=A.Percentiles("o_totalprice")).aggregations()["p"]
+    rows = F.array(*[F.struct(F.lit(p).alias("percent"), F.col("p_" + A.pct_name(p)).alias("value")) for p in A.DEFAULT_PERCENTS])
+    found = found.select(F.inline(rows))
+    n = orders.select(F.count("o_totalprice")).scalar()
+    ranked = orders.join(F.broadcast(found), orders["o_totalprice"] <= found["value"]).groupBy("percent", "value").agg(
+        F.count(F.lit(1)).alias("upto"), F.count_if(F.col("o_totalprice") == F.col("value")).alias("ties"))
+    target = F.col("percent") / 100 * n
+    return ranked.select("percent", ((F.col("upto") >= target - n / 10000 - 1) & (F.col("upto") - F.col("ties") <= target + n / 10000 + 1))
+                         .alias("within_rank_error"))
 
 
 @reg("e19_date_histogram_bounds", """

@@ -29,8 +29,6 @@ from docsift.operators.sort import Sort, as_sort
 __all__ = ["Search", "SearchResult", "Rescore", "multi_search", "DEFAULT_SIZE"]
 
 DEFAULT_SIZE = 10
-# Largest rescore window / kNN k that may be broadcast back into the plan.
-MAX_BROADCAST_TOPK = 100_000
 
 
 @dataclass(frozen=True)
@@ -181,7 +179,7 @@ class Search:
                 pred = F.lit(False)
         df = ctx.apply(base)
         if knn_side is not None:
-            df = df.join(F.broadcast(knn_side), self.id_col, "left")
+            df = df.join(knn_side, self.id_col, "left")
             pred = pred | F.col("__knn_score").isNotNull()
             qpart = F.when(q.predicate(ctx), score).otherwise(F.lit(0.0)) if self.query_ is not None else F.lit(0.0)
             score = qpart + F.coalesce(F.col("__knn_score"), F.lit(0.0))
@@ -191,7 +189,7 @@ class Search:
         if self.min_score_ is not None:
             matched = matched.filter(F.col("_score") >= F.lit(float(self.min_score_)))
         if self.terminate_after_ is not None:
-            matched = matched.orderBy(self.id_col).limit(self.terminate_after_)
+            matched = matched.limit(self.terminate_after_)  # whichever rows come first: no scan beyond them
         aux = ctx.aux_columns() + (["__knn_score"] if knn_side is not None else [])
         return matched, ctx, aux, df, pred
 
@@ -248,7 +246,9 @@ class Search:
             hits = self._rescore(hits, order, r, fast, ctx)
             order = [F.col("__rs_in").desc(), F.col("_score").desc_nulls_last(), F.col("__rs_rank").asc_nulls_last()] + self._order(ctx)
         if self.size_ is None:
-            out = hits.orderBy(*order)
+            # all hits: sorted only if a sort, a query to rank by or an offset asks for it
+            ranked = self.sorts or self.rescores or self.from__ or self.query_ is not None or self.knn_ is not None
+            out = hits.orderBy(*order) if ranked else hits
             if self.from__:
                 out = out.offset(self.from__)
         else:
@@ -258,12 +258,10 @@ class Search:
         return self._project(out, aux)
 
     def _rescore(self, hits: DataFrame, order: list[Column], r: Rescore, fast: bool, main: Ctx) -> DataFrame:
-        if r.window_size > MAX_BROADCAST_TOPK:
-            raise ValueError(f"rescore window above {MAX_BROADCAST_TOPK}")
         from pyspark.sql import Window
 
         win = hits.orderBy(*order).limit(r.window_size)
-        # rank inside the window: window_size rows at most (checked above)
+        # rank inside the window: window_size rows at most
         win = win.withColumn("__rs_rank", F.row_number().over(Window.orderBy(*order)))
         rctx = Ctx(win, self.id_col, corpus=self.corpus if self.corpus is not None else self._base(), prefetch=self._terms(),
                    inherit=main, stats_tables=self.text_stats)
@@ -277,7 +275,7 @@ class Search:
         win = win.select(*cols, F.when(rp, comb).otherwise(s).alias("_score"), F.lit(True).alias("__rs_in"), "__rs_rank")
         if fast:
             return win
-        rest = hits.join(F.broadcast(win.select(F.col(self.id_col).alias("__rs_id"))), hits[self.id_col] == F.col("__rs_id"), "left_anti")
+        rest = hits.join(win.select(F.col(self.id_col).alias("__rs_id")), hits[self.id_col] == F.col("__rs_id"), "left_anti")
         rest = rest.select(*cols, "_score", F.lit(False).alias("__rs_in"), F.lit(None).cast("int").alias("__rs_rank"))
         return win.unionByName(rest)
 

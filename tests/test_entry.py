@@ -16,8 +16,8 @@ def test_entry_has_rows_and_stable_schema(spark):
 def test_every_query_has_an_oracle_or_is_rows_only():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
-    rows_only = set(q) - set(s)
-    assert rows_only == {"e16_terms_partition", "p12_match_phrase_slop", "r10_random_score", "a11_float_attribute_packing"}
+    own = {n for n in q if n != "pipeline" and not (n[:2] == "op" and n[2].isdigit())}
+    assert own <= set(s)
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
