@@ -9,11 +9,8 @@ from __future__ import annotations
 
 import re
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The token pattern and the BM25 constants (k1, b) of the
 # published Okapi BM25 defaults.
@@ -68,48 +65,38 @@ def phrase_regex(terms: list[str], prefix_last: bool = False) -> str:
     return r"(?<![\p{L}\p{N}])" + body + tail
 
 
-def _sloppy_match(toks, terms: list[str], slop: int, prefix_last: bool) -> bool:
-    """Terms in order where each later term k sits within ``slop`` positions
-    of (first position + k); numpy over one document's tokens."""
-    if toks is None or len(toks) == 0:
-        return False
-    arr = np.asarray(toks, dtype=object)
-    last = len(terms) - 1
-
-    def positions(k: int) -> np.ndarray:
-        if prefix_last and k == last:
-            return np.flatnonzero(np.fromiter((t.startswith(terms[k]) for t in arr), dtype=bool, count=len(arr)))
-        return np.flatnonzero(arr == terms[k])
-
-    start = positions(0)
-    if start.size == 0:
-        return False
-    ok = np.ones(start.size, dtype=bool)
-    for k in range(1, len(terms)):
-        pk = positions(k)
-        if pk.size == 0:
-            return False
-        target = start + k
-        i = np.searchsorted(pk, target)
-        left = pk[np.clip(i - 1, 0, pk.size - 1)]
-        right = pk[np.clip(i, 0, pk.size - 1)]
-        ok &= np.minimum(np.abs(left - target), np.abs(right - target)) <= slop
-        if not ok.any():
-            return False
-    return bool(ok.any())
-
-
-def sloppy_phrase(toks: Column, terms: list[str], slop: int, prefix_last: bool) -> Column:
-    """Arrow-batched test of a sloppy phrase over a token array column (null
-    tokens -> false).  Used instead of a positional scan of interpreted lambdas,
-    which costs O(tokens x slop) per document."""
-    terms = list(terms)
-
-    @F.pandas_udf(T.BooleanType())
-    def match(s: pd.Series) -> pd.Series:
-        return pd.Series([_sloppy_match(t, terms, slop, prefix_last) for t in s], dtype=bool)
-
-    return match(toks)
+def sloppy_phrase(texts: Column, terms: list[str], slop: int, prefix_last: bool) -> Column:
+    """True when one element of an array of lower-cased texts holds the terms with a
+    spread of at most ``slop``: take a position for each term, less the term's
+    place in the phrase; the largest and the smallest may differ by ``slop``.
+    One position serves one term.  The last term may be a prefix.
+
+    Per text: a token array, one array of shifted positions per term, and a search
+    over the smallest shifted position.
+    """
+    n = len(terms)
+
+    def positions(toks: Column, k: int) -> Column:
+        here = lambda t: t.startswith(F.lit(terms[k])) if prefix_last and k == n - 1 else t == F.lit(terms[k])
+        marked = F.transform(toks, lambda t, i: F.when(here(t), i - F.lit(k)))
+        return F.filter(marked, lambda p: p.isNotNull())
+
+    def placed(at: Column, low: Column, k: int, chosen: list[Column]) -> Column:
+        if k == n:
+            return F.lit(True)
+
+        def fits(p: Column) -> Column:
+            e = (p >= low) & (p <= low + F.lit(slop))
+            for j, q in enumerate(chosen):
+                if terms[j] == terms[k] or (prefix_last and k == n - 1 and terms[j].startswith(terms[k])):
+                    e = e & (p + F.lit(k) != q + F.lit(j))
+            return e & placed(at, low, k + 1, [*chosen, p])
+
+        return F.exists(at[f"p{k}"], fits)
+
+    shifted = F.transform(F.transform(texts, tokens), lambda t: F.struct(*[positions(t, k).alias(f"p{k}") for k in range(n)]))
+    lows = lambda at: F.array_distinct(F.flatten(F.array(*[at[f"p{k}"] for k in range(n)])))
+    return F.coalesce(F.exists(shifted, lambda at: F.exists(lows(at), lambda low: placed(at, low, 0, []))), F.lit(False))
 
 
 def collection_stats(df, field: str):

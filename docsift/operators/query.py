@@ -208,10 +208,11 @@ class Ctx:
         t = self.dtype(name)
         if isinstance(t, T.ArrayType):
             c = F.array_join(c, " ")
-        tok = TX.tokens(c)
-        src = src.select(c.isNotNull().alias("has"), tok.alias("tok")).filter("has")
-        parts = [F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.size("tok")).alias("avgdl")]
-        parts += [F.count_if(F.array_contains("tok", F.lit(w))).cast("double").alias(f"df{i}") for i, w in enumerate(terms)]
+        # counts by pattern: no token arrays for documents that are only counted
+        src = src.select(F.lower(c).alias("text")).filter("text IS NOT NULL")
+        length = F.regexp_count("text", F.lit(TX.TOKEN_PATTERN))
+        parts = [F.count(F.lit(1)).cast("double").alias("n"), F.avg(length).alias("avgdl")]
+        parts += [F.count_if(F.col("text").rlike(TX.any_token_regex([w]))).cast("double").alias(f"df{i}") for i, w in enumerate(terms)]
         return src.select(F.struct(*parts).alias("s")).scalar()
 
     def text(self, name: str) -> Column:
@@ -437,23 +438,33 @@ class Range(Query):
     def _relation(self, x: Column, st: T.StructType) -> Column:
         names = st.fieldNames()
         bt = st[names[0]].dataType
-        flo = x.getField("gte") if "gte" in names else x.getField("gt")
-        fhi = x.getField("lte") if "lte" in names else x.getField("lt")
+        none = F.lit(None).cast(bt)
+
+        def stored(closed: str, opened: str, tighter) -> tuple[Column, Column]:
+            """The stored bound (null: unbounded) and whether it is exclusive."""
+            c = x.getField(closed) if closed in names else none
+            o = x.getField(opened) if opened in names else none
+            is_open = F.coalesce(o.isNotNull() & (c.isNull() | tighter(o, c)), F.lit(False))
+            return F.when(is_open, o).otherwise(c), is_open
+
+        flo, lo_open = stored("gte", "gt", lambda o, c: o >= c)
+        fhi, hi_open = stored("lte", "lt", lambda o, c: o <= c)
         qlo, lo_inc = (self.gte, True) if self.gte is not None else (self.gt, False)
         qhi, hi_inc = (self.lte, True) if self.lte is not None else (self.lt, False)
+        ql, qh = _lit(qlo, bt), _lit(qhi, bt)
         rel = (self.relation or "intersects").lower()
         T_ = F.lit(True)
         if rel == "intersects":
-            a = T_ if qhi is None else (flo.isNull() | ((flo <= _lit(qhi, bt)) if hi_inc else (flo < _lit(qhi, bt))))
-            b = T_ if qlo is None else (fhi.isNull() | ((fhi >= _lit(qlo, bt)) if lo_inc else (fhi > _lit(qlo, bt))))
+            a = T_ if qhi is None else flo.isNull() | (flo < qh) | ((flo == qh) & ~lo_open & F.lit(hi_inc))
+            b = T_ if qlo is None else fhi.isNull() | (fhi > ql) | ((fhi == ql) & ~hi_open & F.lit(lo_inc))
             return a & b
         if rel == "within":
-            a = T_ if qlo is None else (flo.isNotNull() & ((flo >= _lit(qlo, bt)) if lo_inc else (flo > _lit(qlo, bt))))
-            b = T_ if qhi is None else (fhi.isNotNull() & ((fhi <= _lit(qhi, bt)) if hi_inc else (fhi < _lit(qhi, bt))))
+            a = T_ if qlo is None else flo.isNotNull() & ((flo > ql) | ((flo == ql) & (F.lit(lo_inc) | lo_open)))
+            b = T_ if qhi is None else fhi.isNotNull() & ((fhi < qh) | ((fhi == qh) & (F.lit(hi_inc) | hi_open)))
             return a & b
         if rel == "contains":
-            a = flo.isNull() if qlo is None else (flo.isNull() | (flo <= _lit(qlo, bt)))
-            b = fhi.isNull() if qhi is None else (fhi.isNull() | (fhi >= _lit(qhi, bt)))
+            a = flo.isNull() if qlo is None else flo.isNull() | (flo < ql) | ((flo == ql) & (~lo_open | ~F.lit(lo_inc)))
+            b = fhi.isNull() if qhi is None else fhi.isNull() | (fhi > qh) | ((fhi == qh) & (~hi_open | ~F.lit(hi_inc)))
             return a & b
         raise ValueError(f"unknown relation {self.relation}")
 
@@ -664,40 +675,6 @@ class Match(Query):
         return _text_score(ctx, self.field, terms, ctx.tokens(self.field)) * F.lit(self._b())
 
 
-def _pos_hit(toks: Column, hit, k: int):
-    return lambda j: F.coalesce(hit(F.element_at(toks, j), k), F.lit(False))
-
-
-def _phrase_at(toks: Column, terms: list[str], slop: int, prefix_last: bool) -> Column:
-    """True when the terms occur in order; with slop, each later term may sit up
-    to ``slop`` positions away from its exact place (a positional window; a
-    simplification of edit-distance slop).  The last term may be a prefix."""
-    n = len(terms)
-
-    def hit(tok: Column, k: int) -> Column:
-        if prefix_last and k == n - 1:
-            return tok.startswith(F.lit(terms[k]))
-        return tok == F.lit(terms[k])
-
-    size = F.size(toks)
-    if slop == 0:
-        def at(i):
-            e = F.lit(True)
-            for k in range(n):
-                e = e & hit(F.element_at(toks, i + F.lit(k)), k)
-            return e
-        return F.exists(F.sequence(F.lit(1), F.greatest(size - F.lit(n - 1), F.lit(1))), lambda i: F.coalesce(at(i), F.lit(False)))
-
-    def at_slop(i):
-        e = hit(F.element_at(toks, i), 0)
-        for k in range(1, n):
-            lo = F.greatest(i + F.lit(k - slop), F.lit(1))
-            hi = F.least(i + F.lit(k + slop), size)
-            e = e & F.exists(F.sequence(lo, F.greatest(hi, lo)), _pos_hit(toks, hit, k))
-        return e
-    return F.exists(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.coalesce(at_slop(i), F.lit(False)))
-
-
 @dataclass(frozen=True)
 class MatchPhrase(Query):
     field: str
@@ -713,17 +690,19 @@ class MatchPhrase(Query):
         terms = self._terms()
         if not terms or not ctx.has(self.field):
             return F.lit(False)
-        txt = ctx.text(self.field)
+        many = isinstance(ctx.dtype(self.field), T.ArrayType)
+        src = ctx.col(self.field)
+
+        def somewhere(pattern: str) -> Column:  # in one element: a phrase does not cross elements
+            return F.exists(src, lambda x: F.lower(x).rlike(pattern)) if many else F.lower(src).rlike(pattern)
+
         if self.slop == 0:  # adjacent tokens = separated by non-token characters only
-            return F.coalesce(txt.rlike(TX.phrase_regex(terms, self.prefix)), F.lit(False))
-        toks = ctx.tokens(self.field)
+            return F.coalesce(somewhere(TX.phrase_regex(terms, self.prefix)), F.lit(False))
         pre = F.lit(True)
         for w in _uniq(terms[:-1] if self.prefix else terms):  # cheap containment test first
-            pre = pre & txt.rlike(TX.any_token_regex([w]))
-        if ctx.in_nested:  # inside a lambda: positional scan on the element's tokens
-            return F.coalesce(pre & _phrase_at(toks, terms, self.slop, self.prefix), F.lit(False))
-        # tokens reach the vectorized test only for rows passing the prefilter
-        return F.coalesce(pre & TX.sloppy_phrase(F.when(pre, toks), terms, self.slop, self.prefix), F.lit(False))
+            pre = pre & F.coalesce(somewhere(TX.any_token_regex([w])), F.lit(False))
+        texts = F.transform(src, F.lower) if many else F.array(F.lower(src))
+        return pre & TX.sloppy_phrase(F.when(pre, texts), terms, self.slop, self.prefix)
 
     def score(self, ctx):
         terms = _uniq(self._terms()[:-1] if self.prefix else self._terms())

@@ -917,7 +917,22 @@ def p12_phrase(spark, sf):
     return _scored(_docs(spark, sf).query(Q.MatchPhrase("text", "of the")).matched().select("doc_id", "_score"))
 
 
-@reg("p12_match_phrase_slop")
+@reg("p7_range_open_bounds", """
+WITH r AS (SELECT l_orderkey, min(l_quantity) AS gt, max(l_quantity) AS lt FROM lineitem GROUP BY 1)
+SELECT l_orderkey, (lt > 20 AND gt < 30) AS intersects, (gt >= 20 AND lt <= 30) AS within, (gt < 20 AND lt > 30) AS contains FROM r""")
+def p7_open(spark, sf):
+    li = TB.read(spark, sf, "lineitem")
+    r = li.groupBy("l_orderkey").agg(F.struct(F.min("l_quantity").alias("gt"), F.max("l_quantity").alias("lt")).alias("q"))
+    ctx = Search(r, "l_orderkey")._ctx(r)
+    kinds = {k: Q.Range("q", gte=20, lte=30, relation=k).predicate(ctx) for k in ("intersects", "within", "contains")}
+    return r.select("l_orderkey", *[c.alias(k) for k, c in kinds.items()])
+
+
+@reg("p12_match_phrase_slop", f"""
+WITH m AS (SELECT * FROM {bm25_sql('documents', 'doc_id', 'text', ['the', 'and'])} WHERE nhit = 2),
+p AS (SELECT id, unnest(tok) AS t, unnest(range(len(tok))) AS i FROM m)
+SELECT id AS doc_id, round(s, 6) AS _score FROM m WHERE id IN (
+  SELECT a.id FROM p a JOIN p b ON a.id = b.id AND abs(b.i - 1 - a.i) <= 2 WHERE a.t = 'the' AND b.t = 'and')""")
 def p12_slop(spark, sf):
     return _scored(_docs(spark, sf).query(Q.MatchPhrase("text", "the and", slop=2)).matched().select("doc_id", "_score"))
 
