@@ -707,20 +707,8 @@ class DateRangeAgg(RangeAgg):
         return F.unix_millis(k.cast("timestamp")).cast("double")
 
     def _num(self, v):
-        from docsift.functions.dates import parse_date_literal  # noqa: F401
-        import datetime as dt
-        import re
-        if isinstance(v, (int, float)):
-            return v
-        from docsift.functions.dates import _PY
-        m = _PY.match(str(v))
-        y, mo, d, h, mi, se, frac, tz = m.groups()
-        local = dt.datetime(int(y), int(mo or 1), int(d or 1), int(h or 0), int(mi or 0), int(se or 0), int((frac or "0")[:3].ljust(3, "0")) * 1000)
-        off = 0
-        if tz and tz != "Z":
-            digits = re.sub(r"[^0-9]", "", tz)
-            off = (int(digits[:2]) * 3600 + int(digits[2:4] or 0) * 60) * (-1 if tz[0] == "-" else 1)
-        return int((local - dt.datetime(1970, 1, 1)).total_seconds() * 1000) - off * 1000
+        from docsift.functions.dates import date_literal_ms
+        return date_literal_ms(v)
 
     def _fmt(self, v):
         return "*" if v is None else str(v)

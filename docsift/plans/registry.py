@@ -1373,12 +1373,43 @@ def a2_valid(spark, sf):
 
 
 @reg("a2_a3_conform_rejected", """
-SELECT event_id AS id, 'amount: not a valid int: ' || value::VARCHAR AS _reason FROM events WHERE value <> floor(value)""")
+SELECT event_id::VARCHAR AS id, 'amount: not a valid int: ' || value::VARCHAR AS _reason FROM events WHERE value <> floor(value)""")
 def a2_rejected(spark, sf):
     _, bad = SCH.conform(_raw_events(spark, sf), EVENT_DOC)
     return bad.select("id", "_reason")
 
 
+NESTED_DOC = SCH.Document({"o_orderkey": SCH.long().req(), "customer": SCH.obj(SCH.Document({"id": SCH.int_().req(), "tier": SCH.keyword().with_default("basic")})),
+                           "items": SCH.nested(SCH.Document({"line": SCH.short(), "quantity": SCH.int_().req(), "flags": SCH.keyword().as_list()}))})
+
+
+def _nested_raw(spark, sf):
+    o = TB.orders_nested(spark, sf, ("quantity", "returnflag"))
+    items = F.transform("items", lambda x: F.struct(F.col("o_orderkey").alias("ignored"), x["line"].cast("string").alias("line"),
+                                                    F.when(x["quantity"] < 50, x["quantity"]).alias("quantity"), x["returnflag"].alias("flags")))
+    return o.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), F.struct(F.col("o_custkey").cast("string").alias("id")).alias("customer"), items.alias("items"))
+
+
+@reg("a2_conform_nested_valid", """
+WITH i AS (SELECT l_orderkey, list({'line': l_linenumber::SMALLINT, 'quantity': l_quantity::INT, 'flags': [l_returnflag]}
+                  ORDER BY l_linenumber, l_quantity, l_returnflag) AS items, max(l_quantity) AS q FROM lineitem GROUP BY 1)
+SELECT o_orderkey, o_custkey AS customer_id, 'basic' AS tier, list_sum(list_transform(items, lambda x: x.line::BIGINT))::BIGINT AS lines,
+       list_sum(list_transform(items, lambda x: x.quantity::BIGINT))::BIGINT AS quantity, len(items)::INT AS n
+FROM orders LEFT JOIN i ON l_orderkey = o_orderkey WHERE coalesce(q, 0) < 50""")
+def a2_nested(spark, sf):
+    ok, _ = SCH.conform(_nested_raw(spark, sf), NESTED_DOC)
+    total = lambda c: F.aggregate(F.transform("items", lambda x: x[c].cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
+    return ok.select("o_orderkey", F.col("customer.id").alias("customer_id"), F.col("customer.tier").alias("tier"), total("line").alias("lines"),
+                     total("quantity").alias("quantity"), F.when(F.col("items").isNotNull(), F.size("items")).alias("n"))
+
+
+@reg("a2_conform_nested_rejected", """
+SELECT o_orderkey::VARCHAR AS o_orderkey, count(*)::INT AS bad_items FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_quantity >= 50 GROUP BY 1""")
+def a2_nested_bad(spark, sf):
+    _, bad = SCH.conform(_nested_raw(spark, sf), NESTED_DOC)
+    return bad.select("o_orderkey", F.size(F.split("_reason", "; ")).alias("bad_items"))
+
+
 @reg("a4_flexible_dates", """
 SELECT event_id, epoch_us(ts) // 1000 - 7200000 AS t_zone, epoch_ms(date_trunc('month', ts)) AS t_month,
        epoch_ms(date_trunc('year', ts)) AS t_year, epoch_us(ts) // 1000 AS t_epoch, true AS rejects_month_13
@@ -1658,14 +1689,13 @@ def e10_default(spark, sf):
     """The default sketch: each percentile's true rank lies within the promised error (1 / 10,000 of the rows)."""
     orders = TB.read(spark, sf, "orders")
     found = Search(orders, "o_orderkey").aggs(p=A.Percentiles("o_totalprice")).aggregations()["p"]
-    rows = F.array(*[F.struct(F.lit(p).alias("percent"), F.col("p_" + A.pct_name(p)).alias("value")) for p in A.DEFAULT_PERCENTS])
-    found = found.select(F.inline(rows))
-    n = orders.select(F.count("o_totalprice")).scalar()
-    ranked = orders.join(F.broadcast(found), orders["o_totalprice"] <= found["value"]).groupBy("percent", "value").agg(
-        F.count(F.lit(1)).alias("upto"), F.count_if(F.col("o_totalprice") == F.col("value")).alias("ties"))
-    target = F.col("percent") / 100 * n
-    return ranked.select("percent", ((F.col("upto") >= target - n / 10000 - 1) & (F.col("upto") - F.col("ties") <= target + n / 10000 + 1))
-                         .alias("within_rank_error"))
+    price, cols = F.col("o_totalprice"), []
+    for p in A.DEFAULT_PERCENTS:
+        value = found.select("p_" + A.pct_name(p)).scalar()
+        cols.append(F.struct(F.lit(p).alias("percent"), F.count_if(price <= value).alias("upto"), F.count_if(price < value).alias("below")))
+    counts = orders.agg(F.count(price).alias("n"), F.array(*cols).alias("c")).select("n", F.inline("c"))
+    target, error = F.col("percent") / 100 * F.col("n"), F.col("n") / 10000 + 1
+    return counts.select("percent", ((F.col("upto") >= target - error) & (F.col("below") <= target + error)).alias("within_rank_error"))
 
 
 @reg("e19_date_histogram_bounds", """

@@ -130,11 +130,8 @@ def coerce(c: Column, target: str | T.DataType, as_term: bool = False) -> tuple[
     name = t.simpleString()
     s = c.cast("string")
     if name in INT_BOUNDS:
-        lo, hi = INT_BOUNDS[name]
-        d = s.try_cast("double")
-        whole = d == F.floor(d)
-        inrange = (d >= F.lit(float(lo))) & (d <= F.lit(float(hi)))
-        val = F.when(whole & inrange, s.try_cast("decimal(38,0)").cast(name))
+        exact = F.coalesce(s.try_cast("decimal(38,9)"), s.try_cast("double").try_cast("decimal(38,9)"))
+        val = F.when(exact == F.floor(exact), exact.try_cast(name))  # null beyond the type's bounds
         err = F.when(c.isNotNull() & val.isNull(), F.concat(F.lit(f"not a valid {name}: "), s))
         return val, err
     if name in ("float", "double"):
@@ -157,48 +154,84 @@ def coerce(c: Column, target: str | T.DataType, as_term: bool = False) -> tuple[
     return val, F.when(c.isNotNull() & val.isNull(), F.lit(f"not a valid {name}"))
 
 
+def _read_value(c: Column, src: T.DataType, f: FieldSpec, path: str) -> tuple[Column, list[Column]]:
+    """(typed value, error Columns) of one declared plain field."""
+    base_t = T._parse_datatype_string(f.type) if isinstance(f.type, str) else f.type
+    errs = []
+    if f.list:
+        arr = c if isinstance(src, T.ArrayType) else F.when(c.isNotNull(), F.array(c))
+        v = F.transform(arr, lambda x: coerce(x, base_t)[0])
+        fails = lambda x: coerce(x, base_t)[0].isNull() & (F.lit(True) if f.required else x.isNotNull())
+        errs.append(F.when(F.coalesce(F.exists(arr, fails), F.lit(False)), F.lit(f"{path}: bad list item")))
+        if f.default is not None:
+            v = F.coalesce(v, F.array(F.lit(f.default).cast(base_t)))
+    else:
+        if isinstance(src, T.ArrayType):
+            errs.append(F.when(F.size(c) > 1, F.lit(f"{path}: list for a single value")))
+            c = F.get(c, F.lit(0))
+        v, e = coerce(c, base_t)
+        errs.append(F.when(e.isNotNull(), F.concat(F.lit(f"{path}: "), e)))
+        if f.default is not None:
+            v = F.coalesce(v, F.lit(f.default).cast(base_t))
+    if f.required:
+        errs.append(F.when(c.isNull(), F.lit(f"{path}: required")))
+    return v, errs
+
+
+def _read_object(c: Column, src: T.DataType, doc: Document, path: str) -> tuple[Column, list[Column]]:
+    """(struct of the declared sub-fields, error Columns) of one object."""
+    have = src.fieldNames() if isinstance(src, T.StructType) else []
+    vals, errs = [], []
+    if not isinstance(src, (T.StructType, T.NullType)):
+        return F.lit(None).cast(doc.struct()), [F.when(c.isNotNull(), F.lit(f"{path}: not an object"))]
+    for n, f in doc.fields.items():
+        sub = c.getField(n) if n in have else F.lit(None)
+        v, e = _read(sub, src[n].dataType if n in have else T.NullType(), f, f"{path}.{n}")
+        vals.append(v.cast(f.spark_type()).alias(n))
+        errs += [F.when(c.isNotNull(), x) for x in e]
+    return F.when(c.isNotNull(), F.struct(*vals)), errs
+
+
+def _read(c: Column, src: T.DataType, f: FieldSpec, path: str) -> tuple[Column, list[Column]]:
+    if f.kind == "value":
+        return _read_value(c, src, f, path)
+    missing = [F.when(c.isNull(), F.lit(f"{path}: required"))] if f.required else []
+    if f.kind == "join":
+        return c.cast(f.spark_type()), missing
+    if f.kind == "object" and not f.list:
+        if isinstance(src, T.ArrayType):
+            v, errs = _read_object(F.get(c, F.lit(0)), src.elementType, f.fields, path)
+            return v, [*missing, F.when(F.size(c) > 1, F.lit(f"{path}: list for a single value")), *errs]
+        v, errs = _read_object(c, src, f.fields, path)
+        return v, missing + errs
+    # a list of objects; one object becomes a list of one
+    item = src.elementType if isinstance(src, T.ArrayType) else src
+    arr = c if isinstance(src, T.ArrayType) else F.when(c.isNotNull(), F.array(c))
+    if isinstance(src, T.NullType):
+        return F.lit(None).cast(f.spark_type()), missing
+    reasons = F.transform(arr, lambda x: F.concat_ws("; ", *_read_object(x, item, f.fields, path)[1], F.when(
+        x.isNull(), F.lit(f"{path}: bad list item")) if f.required else F.lit(None).cast("string")))
+    reason = F.concat_ws("; ", F.filter(reasons, lambda r: r != ""))
+    return F.transform(arr, lambda x: _read_object(x, item, f.fields, path)[0]), [*missing, F.when(reason != "", reason)]
+
+
 def conform(df: DataFrame, doc: Document) -> tuple[DataFrame, DataFrame]:
     """Typed reading: required fields must exist, defaults fill, a scalar
-    becomes a one-element list for list fields, unknown fields are ignored.
+    becomes a one-element list for list fields, unknown fields are ignored;
+    objects and lists of objects are read by the same rules at any depth.
 
-    Returns (valid rows in the declared schema, rejected rows with ``_reason``).
+    Returns (valid rows in the declared schema, rejected rows as they came, with
+    ``_reason``).
     """
     have = set(df.columns)
     vals, errs = [], []
     for n, f in doc.fields.items():
-        if f.kind != "value":
-            c = F.col(n) if n in have else F.lit(None).cast(f.spark_type())
-            vals.append(c.cast(f.spark_type()).alias(n))
-            if f.required:
-                errs.append(F.when(c.isNull(), F.lit(f"{n}: required")))
-            continue
-        src = F.col(n) if n in have else F.lit(None)
-        src_t = df.schema[n].dataType if n in have else T.NullType()
-        base_t = T._parse_datatype_string(f.type) if isinstance(f.type, str) else f.type
-        if f.list:
-            arr = src if isinstance(src_t, T.ArrayType) else F.when(src.isNotNull(), F.array(src))
-            conv = F.transform(arr, lambda x: coerce(x, base_t)[0])
-            bad = F.exists(arr, lambda x: x.isNotNull() & coerce(x, base_t)[0].isNull())
-            v = conv
-            if f.default is not None:
-                v = F.coalesce(v, F.array(F.lit(f.default).cast(base_t)))
-            vals.append(v.alias(n))
-            errs.append(F.when(F.coalesce(bad, F.lit(False)), F.lit(f"{n}: bad list item")))
-        else:
-            if isinstance(src_t, T.ArrayType):
-                errs.append(F.when(F.size(src) > 1, F.lit(f"{n}: list for a single value")))
-                src = F.element_at(src, 1)
-            v, e = coerce(src, base_t)
-            if f.default is not None:
-                v = F.coalesce(v, F.lit(f.default).cast(base_t))
-            vals.append(v.alias(n))
-            errs.append(F.when(e.isNotNull(), F.concat(F.lit(f"{n}: "), e)))
-        if f.required:
-            errs.append(F.when(F.col(n).isNull() if n in have else F.lit(True), F.lit(f"{n}: required")))
+        v, e = _read(F.col(n) if n in have else F.lit(None), df.schema[n].dataType if n in have else T.NullType(), f, n)
+        vals.append(v.alias(n))
+        errs += e
     reason = F.concat_ws("; ", *errs) if errs else F.lit("")
-    d = df.select(*vals, reason.alias("_reason"))
-    ok = d.filter(F.col("_reason") == "").drop("_reason")
-    bad = d.filter(F.col("_reason") != "")
+    ok = df.select(*vals, reason.alias("__reason")).filter(F.col("__reason") == "").drop("__reason")
+    bad = df.select("*", reason.alias("_reason")).filter(F.col("_reason") != "")
     return ok, bad
 
 
