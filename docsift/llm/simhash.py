@@ -17,6 +17,9 @@ distance are the same, so meeting in a cell is the verification and each point
 needs one link to its cell's smallest point.  Work therefore grows with the
 number of points, however large a group is.
 
+``deduplicate`` (the filter of a corpus) also links texts whose word shingles
+have a Jaccard similarity of 0.8 or more, see ``near_duplicates``.
+
 Components come from min-label propagation with pointer jumping over the links,
 checkpointed each round; nothing is collected.
 
@@ -46,25 +49,31 @@ _BLANKS = bytes(32 if 9 <= i <= 13 else i for i in range(256))
 _CHUNK = 1 << 16
 
 
-def simhash(text: str | None, shingle: int = 3) -> int:
-    """Signed 64-bit SimHash of the lower-cased (A-Z) text's word shingles."""
+def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """XXH64 (seed 42) of the word shingles of the lower-cased (A-Z) text, some at a time."""
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).translate(_BLANKS).split(b" ") if text else []
     words = [w for w in words if w]
-    if not words:
-        return 0
     n = max(1, len(words) - shingle + 1)
-    ones = np.zeros(64, dtype=np.int64)
     digest = xxhash.xxh64_intdigest
-    for lo in range(0, n, _CHUNK):  # bounded memory for very long texts
+    for lo in range(0, n if words else 0, _CHUNK):  # bounded memory for very long texts
         part = words[lo:lo + _CHUNK + shingle - 1] if n > 1 else words
         joined = map(b" ".join, zip(*[part[i:] for i in range(shingle)])) if n > 1 else [b" ".join(part)]
-        h = np.fromiter((digest(s, 42) for s in joined), dtype=np.uint64)
-        # bit counts: the bytes' bits, bit 0 first
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
+        yield np.fromiter((digest(s, 42) for s in joined), dtype=np.uint64)
+
+
+def _majority(parts: list[np.ndarray]) -> int:
+    ones, n = np.zeros(64, dtype=np.int64), 0
+    for h in parts:
+        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        n += len(h)
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
+def simhash(text: str | None, shingle: int = 3) -> int:
+    """Signed 64-bit SimHash of the text's word shingles; 0 without words."""
+    return _majority(list(_hashes(text, shingle)))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id and fp (signed 64-bit SimHash of the whole text) of every row."""
 
@@ -77,8 +86,62 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return ids.mapInArrow(run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp bigint")
 
 
-def hamming(a, b):
-    return F.bit_count(a.bitwiseXOR(b))
+def sketches(docs: DataFrame, shingle: int, slices: int = 8, least: int = 3) -> DataFrame:
+    """doc_id, fp, cells and shingles of every row.
+
+    The shingles' hashes are dealt to slices; a cell is the hash of the least few
+    of a slice, so texts of Jaccard similarity s share a given cell with a
+    probability of about s ** least.  ``shingles`` is the sorted set of 32-bit
+    shingle hashes.
+    """
+
+    def sketch(text: str | None) -> tuple[int, list[int], bytes]:
+        parts = list(_hashes(text, shingle))
+        if not parts:
+            return 0, [], b""
+        h = np.unique(np.concatenate(parts))
+        mixed = np.sort(h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29)))
+        of = mixed % np.uint64(slices)
+        cells = [xxhash.xxh64_intdigest(mixed[of == i][:least].tobytes(), i) for i in range(slices) if (of == i).any()]
+        cells = np.array(cells, np.uint64).view(np.int64).tolist()
+        return _majority(parts), cells, np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
+                found = [sketch(t) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.list_(pa.int64())),
+                     pa.array([x[2] for x in found], pa.binary())], names=["doc_id", "fp", "cells", "shingles"])
+
+    ids = docs.select("doc_id", "text")
+    return ids.mapInArrow(run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp bigint, cells array<bigint>, shingles binary")
+
+
+def similar_links(points: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links between the fingerprints of ``points`` (fp, first, cells, shingles) whose shingle sets have a
+    Jaccard similarity of at least ``similarity``.  Each point of a cell is compared with the cell's first and last one."""
+    cells = points.select("fp", "first", F.explode("cells").alias("cell"))
+    ends = cells.groupBy("cell").agg(F.min(F.struct("first", "fp")).alias("lo"), F.max(F.struct("first", "fp")).alias("hi"))
+    ends = ends.where("lo.fp <> hi.fp").select("cell", F.array("lo.fp", "hi.fp").alias("ends"))
+    pairs = cells.join(ends, "cell").select("fp", F.explode("ends").alias("end")).where("fp <> end")
+    pairs = pairs.select(F.least("fp", "end").alias("a"), F.greatest("fp", "end").alias("b")).distinct()
+    sets = points.select("fp", "shingles")
+    both = (pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
+            .join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                u, v = np.frombuffer(x.as_py(), np.uint32), np.frombuffer(y.as_py(), np.uint32)
+                shared = len(np.intersect1d(u, v, assume_unique=True))
+                keep.append(shared >= similarity * (len(u) + len(v) - shared))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
 def _cells(points: DataFrame, segments: int) -> DataFrame:
@@ -140,23 +203,41 @@ def components(edges: DataFrame) -> DataFrame:
         label = label.select("fp", "root")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp, component_id of every row: the smallest doc_id reachable over links."""
-    fps = written(fingerprints(docs, shingle), "simhash-fps")
-    points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
-    linked = components(links(points.select("fp")))
-    rooted = points.join(linked, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+def _classes(points: DataFrame, found: DataFrame) -> DataFrame:
+    """(fp, component_id): the smallest ``first`` reachable from each of ``points`` (fp, first) over the links ``found``."""
+    rooted = points.join(components(found), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = written(rooted.join(lowest, "root").select("fp", "component_id"), "simhash-classes")
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return written(rooted.join(lowest, "root").select("fp", "component_id"), "simhash-classes")
 
 
-def deduplicate(docs: DataFrame, shingle: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: float | None = None) -> DataFrame:
+    """doc_id, fp, component_id of every row: the smallest doc_id reachable over links.
+
+    Fingerprints at two or fewer differing bits link.  With ``similarity``, so do
+    texts whose sets of shingles have at least that Jaccard similarity: SimHash
+    alone puts texts of similarity 0.8 about ten bits apart.  Candidates for that
+    are texts that share a cell of a sample of their shingles; each is verified
+    on the whole sets.
+    """
+    if similarity is None:
+        fps = written(fingerprints(docs, shingle), "simhash-fps")
+        points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
+        found = links(points.select("fp"))
+    else:
+        fps = written(sketches(docs, shingle), "simhash-fps")
+        first = F.min_by(F.struct("cells", "shingles"), "doc_id").alias("s")
+        points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), first).select("fp", "first", "s.*"), "simhash-points")
+        found = links(points.select("fp")).union(similar_links(points, similarity)).distinct()
+    return fps.join(_classes(points, found), "fp").select("doc_id", "fp", "component_id")
+
+
+def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs``, with all their columns, that come first in their component (by doc_id).
 
     Rows without a doc_id stay; of rows equal in every column one stays.
     """
-    classes = written(near_duplicates(docs.select("doc_id", "text"), shingle).select("doc_id", "component_id"), "simhash-members")
+    classes = near_duplicates(docs.select("doc_id", "text"), shingle, similarity)
+    classes = written(classes.select("doc_id", "component_id"), "simhash-members")
     stays = classes.where("doc_id = component_id").select("doc_id").distinct()
     out = docs.join(stays, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
     repeated = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -217,6 +217,27 @@ def test_links_of_dense_clusters_reach_what_pairs_reach(spark, dense):
     assert sorted(((str(x), low.get(x, x)) for x in signed), key=str) == expected
 
 
+def test_similar_texts_share_a_component(spark):
+    rng = random.Random(11)
+    rows, families = list(HOSTILE), {}
+    for f in range(12):
+        base = [f"f{f}w{rng.randint(0, 400)}" for _ in range(rng.choice([12, 60, 300]))]
+        for k in range(5):
+            w = list(base)
+            for _ in range(max(1, len(w) // 100) if k else 0):
+                w[rng.randrange(len(w))] = "edit"
+            families[1000 + 10 * f + k] = (f, w)
+            rows.append((1000 + 10 * f + k, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, rows), 5, 0.8).collect() if r.doc_id in families}
+    sets = {i: {" ".join(w[k:k + 5]) for k in range(len(w) - 4)} for i, (_, w) in families.items()}
+    for i in families:
+        for j in families:
+            if families[i][0] != families[j][0]:
+                assert got[i] != got[j]
+            elif len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                assert got[i] == got[j]
+
+
 def test_one_document_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(200))
     rows = [(5, text), (3, text), (3, text), (9, text + " "), (1, "other words entirely here now"), (None, "x"), (2, None), (4, "")]
