@@ -627,6 +627,20 @@ def s10_fields(spark, sf):
     return s.hits().select("o_orderkey", "fields_o_orderdate", "fields_o_orderpriority")
 
 
+@reg("s9_s10_nested_paths", """
+SELECT o_orderkey, list_sort(list(l_linenumber))::VARCHAR AS lines, list_sort(list(l_quantity::INT))::VARCHAR AS quantities, FALSE AS has_price
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""")
+def s9_nested(spark, sf):
+    o = TB.orders_nested(spark, sf, ("quantity", "price")).where("items IS NOT NULL")
+    s = Search(o, "o_orderkey").size(None).source(includes=["o_orderkey", "items.*"], excludes=["items.price"]).fields("items.line")
+    h = s.hits()
+    fields = h.schema["items"].dataType.elementType.fieldNames()
+    lines = F.array_sort(F.transform("`fields_items.line`", lambda x: x.cast("int")))
+    quantities = F.array_sort(F.transform("items.quantity", lambda x: x.cast("int")))
+    text = lambda a: F.concat(F.lit("["), F.array_join(a.cast("array<string>"), ", "), F.lit("]"))
+    return h.select("o_orderkey", text(lines).alias("lines"), text(quantities).alias("quantities"), F.lit("price" in fields).alias("has_price"))
+
+
 @reg("s11_stored_fields", """
 SELECT o_orderkey, o_totalprice FROM orders""")
 def s11_stored(spark, sf):

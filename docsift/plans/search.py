@@ -215,7 +215,7 @@ class Search:
             keep = [self.id_col]
         elif isinstance(self.source_, tuple):
             inc, exc = self.source_
-            keep = _source_filter(df.select(*src_cols).schema, inc, exc, self.id_col)
+            keep = _source_filter(df.select(*src_cols).schema, inc, exc)
         else:
             keep = src_cols + [n for n, _, _ in self.runtime_fields if n not in src_cols]
         if self.stored_fields_:
@@ -337,35 +337,54 @@ class SearchResult:
             d.unpersist()
 
 
-def _source_filter(schema: T.StructType, inc: tuple, exc: tuple, id_col: str) -> list[Any]:
-    """Column list for includes/excludes with wildcards; nested struct fields via dropFields."""
-    out: list[Any] = []
-    for f in schema.fields:
-        name = f.name
-        if inc and not any(fnmatch.fnmatch(name, p) or p.startswith(name + ".") for p in inc):
-            continue
-        if any(fnmatch.fnmatch(name, p) for p in exc):
-            continue
-        c = F.col(name)
-        if isinstance(f.dataType, T.StructType):
-            sub_exc = [p[len(name) + 1:] for p in exc if p.startswith(name + ".")]
-            sub_inc = [p[len(name) + 1:] for p in inc if p.startswith(name + ".")]
-            drop = [s.name for s in f.dataType.fields
-                    if any(fnmatch.fnmatch(s.name, p) for p in sub_exc) or (sub_inc and not any(fnmatch.fnmatch(s.name, p) for p in sub_inc))]
-            if drop:
-                c = c.dropFields(*drop)
-        out.append(c.alias(name))
-    return out
+def _source_filter(schema: T.StructType, inc: tuple, exc: tuple) -> list[Column]:
+    """Columns for includes/excludes with wildcards over dotted paths, at any
+    depth of structs and arrays of structs.  A pattern that matches a path covers
+    all below it; an object of which nothing is left is dropped."""
+
+    def covered(path: list[str], patterns: tuple) -> bool:
+        return any(fnmatch.fnmatchcase(".".join(path[:i]), p) for i in range(1, len(path) + 1) for p in patterns)
+
+    def whole(t: T.DataType, path: list[str]) -> bool:
+        """Every leaf of the type stays."""
+        if isinstance(t, T.ArrayType):
+            return whole(t.elementType, path)
+        if isinstance(t, T.StructType):
+            return all(whole(f.dataType, [*path, f.name]) for f in t.fields)
+        return (not inc or covered(path, inc)) and not covered(path, exc)
+
+    def pick(c: Column, t: T.DataType, path: list[str]) -> Column | None:
+        if whole(t, path):
+            return c
+        if isinstance(t, T.ArrayType):
+            if pick(F.lit(None).cast(t.elementType), t.elementType, path) is None:
+                return None
+            return F.transform(c, lambda x: pick(x, t.elementType, path))
+        if not isinstance(t, T.StructType):
+            return None
+        kept = [(f.name, pick(c.getField(f.name), f.dataType, [*path, f.name])) for f in t.fields]
+        kept = [k.alias(n) for n, k in kept if k is not None]
+        return F.when(c.isNotNull(), F.struct(*kept)) if kept else None
+
+    cols = [(f.name, pick(F.col(f"`{f.name}`"), f.dataType, [f.name])) for f in schema.fields]
+    return [c.alias(n) for n, c in cols if c is not None]
 
 
 def _formatted(df: DataFrame, name: str, fmt: str | None) -> Column:
-    t = df.schema[name].dataType
+    """array<string> of a field (a dotted path reaches into structs and arrays of structs)."""
     c = F.col(name)
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        c = F.date_format(c, fmt or "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    elif fmt and isinstance(t, T.NumericType):
-        c = F.format_number(c.cast("double"), int(fmt))
-    return F.when(c.isNull(), F.array()).otherwise(F.array(c.cast("string"))) if not isinstance(t, T.ArrayType) else F.transform(c, lambda x: x.cast("string"))
+    t = df.select(c).schema[0].dataType
+
+    def text(x: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return F.date_format(x, fmt or "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        if fmt and isinstance(kind, T.NumericType):
+            return F.format_number(x.cast("double"), int(fmt))
+        return x.cast("string")
+
+    if isinstance(t, T.ArrayType):
+        return F.coalesce(F.transform(c, lambda x: text(x, t.elementType)), F.array().cast("array<string>"))
+    return F.when(c.isNull(), F.array().cast("array<string>")).otherwise(F.array(text(c, t)))
 
 
 def _explain(q: Query, ctx: Ctx) -> Column:

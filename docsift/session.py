@@ -7,12 +7,12 @@ one in.  ``get_spark`` is a convenience for tests, the bench and examples.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
 
-def get_spark(master: str | None = None, partitions: int = 8, app: str = "docsift") -> SparkSession:
+def get_spark(master: str | None = None, partitions: int = 8, app: str = "docsift", checkpoint: str | None = None) -> SparkSession:
+    """A session for tests, the bench and examples; ``checkpoint`` sets ``spark.checkpoint.dir``."""
     b = (
         SparkSession.builder.master(master or os.environ.get("DOCSIFT_MASTER", "local[8]"))
         .appName(app)
@@ -26,6 +26,8 @@ def get_spark(master: str | None = None, partitions: int = 8, app: str = "docsif
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("DOCSIFT_DRIVER_MEMORY", "16g"))
     )
+    if checkpoint:
+        b = b.config("spark.checkpoint.dir", checkpoint)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -36,17 +38,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Streaming checkpoints, per-batch table versions and written intermediate
     tables go here, so a lost executor (or driver restart) finds them again.
-    Only a local-mode session without the setting (tests) gets a fresh
-    temporary folder; on a cluster the setting is required.
+    Where the setting is missing, a folder in the warehouse is used, which driver
+    and executors share as well; never a machine's own temporary folder.
     """
     d = spark.sparkContext.getCheckpointDir()
-    if d:
-        return d
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster file system)")
-        conf = tempfile.mkdtemp(prefix="docsift-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf)
-    spark.sparkContext.setCheckpointDir(conf)
-    return spark.sparkContext.getCheckpointDir() or conf
+    if not d:
+        conf = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        spark.sparkContext.setCheckpointDir(conf)
+        d = spark.sparkContext.getCheckpointDir()
+    return d
