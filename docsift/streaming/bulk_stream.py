@@ -1,53 +1,75 @@
 """Bulk actions arriving as a stream, merged into a keyed table per micro-batch.
 
-``foreachBatch`` applies the batch merge (``writes.bulk``) to the table
-version of the previous batch and writes version ``v=<batch_id>`` (overwrite:
-a replayed batch rewrites the same version from the same input, so replay is
-idempotent).  Each version is read back from storage, which also cuts the
-lineage between batches.  Item outcomes go to ``items/batch=<id>``.
+The table is kept in buckets by id hash.  ``foreachBatch`` applies the batch
+merge (``writes.bulk``) to the buckets that the batch's actions touch and writes
+only those, as version ``v=<batch_id>``; a replayed batch rewrites the same
+version from the same input, so replay is idempotent.  Versions are read back
+from storage, which also cuts the lineage between batches.  A version counts
+once its marker under ``commits`` is written; markers are never replaced by later
+batches, so a crash leaves the last complete version in force.  Item outcomes go
+to ``items/batch=<id>``.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsift.operators.writes import bulk
 from docsift.session import checkpoint_dir
 
+_BUCKET = "__bucket"
 
-def run_bulk_stream(base: DataFrame, actions_stream: DataFrame, id_col: str, out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
+
+def run_bulk_stream(base: DataFrame, actions_stream: DataFrame, id_col: str, out_dir: str | None = None,
+                    buckets: int = 16) -> tuple[DataFrame, DataFrame]:
     """Consume the available actions (``availableNow``) and return the latest
     (table, items).  Call again with the same ``out_dir`` to continue: the
     stream checkpoint remembers consumed input and the table versions live in
-    storage, so later runs build on the last committed version."""
+    storage, so later runs build on the last committed version.  ``buckets``
+    must stay the same."""
     spark = base.sparkSession
     root = out_dir or f"{checkpoint_dir(spark)}/bulk-{uuid.uuid4().hex}"
 
-    def table_version(b: int) -> DataFrame:
-        return base if b < 0 else spark.read.parquet(f"{root}/table/v={b}")
+    def bucket(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c.cast("string")), F.lit(buckets)).cast("int")
+
+    def versions(before: int | None = None) -> dict[int, int]:
+        """Last committed version of each bucket that was ever written (at most ``buckets`` entries)."""
+        try:
+            done = spark.read.schema("bucket int, version long").json(f"{root}/commits/*")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        if before is not None:
+            done = done.where(F.col("version") < before)
+        return {r.bucket: r.version for r in done.groupBy("bucket").agg(F.max("version").alias("version")).collect()}
+
+    def table(known: dict[int, int], only: list[int] | None = None) -> DataFrame:
+        wanted = range(buckets) if only is None else only
+        out = base.where(bucket(F.col(id_col)).isin([b for b in wanted if b not in known]))
+        schema = T.StructType([*base.schema.fields, T.StructField(_BUCKET, T.IntegerType())])
+        for v in sorted({known[b] for b in wanted if b in known}):
+            part = spark.read.schema(schema).parquet(f"{root}/table/v={v}")
+            out = out.unionByName(part.where(F.col(_BUCKET).isin([b for b in wanted if known.get(b) == v])).drop(_BUCKET))
+        return out
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        current = table_version(batch_id - 1)
-        res = bulk(current, batch, id_col)
-        res.table.write.mode("overwrite").parquet(f"{root}/table/v={batch_id}")
+        touched = sorted(r[0] for r in batch.select(bucket(F.col("id"))).distinct().collect())
+        res = bulk(table(versions(before=batch_id), touched), batch, id_col)
+        res.table.withColumn(_BUCKET, bucket(F.col(id_col))).write.partitionBy(_BUCKET).mode("overwrite").parquet(f"{root}/table/v={batch_id}")
         res.items.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{root}/items/batch={batch_id}")
-        spark.createDataFrame([(batch_id,)], "last long").write.mode("overwrite").json(f"{root}/latest")
+        if touched:
+            spark.createDataFrame([(b, batch_id) for b in touched], "bucket int, version long").coalesce(1).write.mode("overwrite").json(
+                f"{root}/commits/batch={batch_id}")
 
     q = (actions_stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    last = _last_version(spark, root)
-    items = spark.read.parquet(f"{root}/items") if last >= 0 else None
-    return table_version(last), items
-
-
-def _last_version(spark, root: str) -> int:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return int(spark.read.json(f"{root}/latest").agg(F.max("last")).first()[0])
-    except AnalysisException:
-        return -1
+    known = versions()
+    return table(known), spark.read.parquet(f"{root}/items") if known else None
