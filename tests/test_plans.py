@@ -36,3 +36,40 @@ def test_all_counting_facets_share_one_aggregate(spark):
     # the three facet frames read the same cached (facets x values) aggregate
     assert all("InMemoryRelation" in res.facets[n]._jdf.queryExecution().optimizedPlan().toString() for n in ("brand", "type", "size"))
     res.release()
+
+
+def test_children_read_only_the_rows_of_kept_terms(spark):
+    """The child histogram's input lies below the semi-join to the terms that were kept."""
+    from docsift.operators import aggs as A
+    from docsift.plans.search import Search
+    from docsift.sources import tables as TB
+
+    s = Search(TB.read(spark, SF_SMALL, "lineitem"), "l_orderkey").aggs(
+        part=A.TermsAgg("l_partkey", size=5, aggs={"qty": A.Histogram("l_quantity", interval=5)}))
+    plan = s.aggregations()["part>qty"]._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
+    above = "\n".join(lines[:semi])
+    assert "Aggregate" in above and "sequence" in above  # grouping and gap filling happen above the cut
+
+
+def test_histogram_joins_on_whole_numbers(spark):
+    from docsift.operators import aggs as A
+    from docsift.plans.search import Search
+
+    rows = [(i, x) for i, x in enumerate([0.05, 0.31, 0.61, 0.69, 1.05])]
+    s = Search(spark.createDataFrame(rows, "id long, price double"), "id").aggs(price=A.Histogram("price", interval=0.1, aggs={"a": A.Avg("price")}))
+    got = {round(r.price, 6): (r.doc_count, r.a) for r in s.aggregations()["price"].collect()}
+    assert len(got) == 11 and got[0.6] == (2, pytest.approx(0.65)) and got[0.5] == (0, None) and got[1.0][0] == 1
+
+
+def test_ranges_leave_out_nan_and_array_value_scripts_keep_rows(spark):
+    from docsift.operators import aggs as A
+    from docsift.plans.search import Search
+
+    d = spark.createDataFrame([(1, float("nan"), [1.0, 2.0]), (2, 1.0, [3.0])], "id long, x double, v array<double>")
+    s = Search(d, "id").aggs(r=A.RangeAgg("x", ranges=((0, None, "all"),)), t=A.Sum("v", value_script="_value * 10"),
+                             t_x=A.Max("x"))
+    found = s.aggregations()
+    assert [r.doc_count for r in found["r"].collect()] == [1]
+    assert found["t"].columns == ["t"] and found["t"].first().t == 60.0
