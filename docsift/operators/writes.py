@@ -115,16 +115,12 @@ def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = N
                      .otherwise(F.coalesce(F.col("__p_cre") > pa["s"], F.lit(False))))
     a = a.withColumn("__exists", exists_before)
 
-    unchanged = F.lit(True)
-    for n in names:
-        unchanged = unchanged & (F.col("doc")[n].isNull() | F.col("doc")[n].eqNullSafe(F.col("__bdoc")[n]))
-    noop = F.col("detect_noop") & F.col("__p_eff").isNull() & F.col("__bexists") & unchanged
     op, ex = F.col("op"), F.col("__exists")
     status = (F.when(~F.col("__ok"), F.lit("conflict"))
               .when(op == "index", F.when(ex, F.lit("updated")).otherwise(F.lit("created")))
               .when(op == "create", F.when(ex, F.lit("conflict")).otherwise(F.lit("created")))
               .when(op == "delete", F.when(ex, F.lit("deleted")).otherwise(F.lit("not_found")))
-              .when(op == "update", F.when(ex, F.when(noop, F.lit("noop")).otherwise(F.lit("updated")))
+              .when(op == "update", F.when(ex, F.lit("updated"))
                     .when(F.col("upsert").isNotNull() | F.col("doc_as_upsert"), F.lit("created")).otherwise(F.lit("not_found")))
               .otherwise(F.lit("conflict")))
     reason = (F.when(~F.col("__ok"), F.lit("version_conflict"))
@@ -132,16 +128,28 @@ def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = N
               .when(op.isin("update", "delete") & ~ex & ~(creator & (op == "update")), F.lit("document_missing"))
               .when(~op.isin("index", "create", "update", "delete"), F.lit("unknown_op")))
     a = a.withColumn("status", status).withColumn("reason", reason)
-    items = a.select("seq", "id", "op", "status", "reason")
-
     # ---- final state per id: one aggregate
     st = F.col("status")
     establishing = ((op == "index") & st.isin("created", "updated")) | (st == "created") | (st == "deleted")
     doc0 = (F.when(op.isin("index", "create"), F.col("doc"))
             .when(op == "update", F.when(F.col("doc_as_upsert"), F.col("doc")).otherwise(F.col("upsert"))))
     kind = F.when(st == "deleted", F.lit("deleted")).otherwise(F.lit("live"))
-    est_incl = F.when(establishing, F.col("seq")).otherwise(F.col("__p_est"))
-    a = prefix_max(a, ["id"], "seq", {"__p_est": F.when(establishing, F.col("seq"))}, **kw)
+    upd0 = (op == "update") & (st == "updated")
+    # ---- scan 3: the document before each action -- the last establishing document and the last value set per field
+    before = {"__p_est": F.when(establishing, F.struct(F.col("seq").alias("s"), doc0.alias("doc")))}
+    before |= {f"__p_set_{n}": F.when(upd0 & F.col("doc")[n].isNotNull(), F.struct(F.col("seq").alias("s"), F.col("doc")[n].alias("v"))) for n in names}
+    a = prefix_max(a, ["id"], "seq", before, **kw)
+    est = F.col("__p_est")
+    unchanged = F.lit(True)
+    for n in names:
+        last = F.col(f"__p_set_{n}")
+        fresh = last.isNotNull() & (est.isNull() | (last["s"] > est["s"]))
+        current = F.when(fresh, last["v"]).when(est.isNotNull(), est["doc"][n]).otherwise(F.col("__bdoc")[n])
+        unchanged = unchanged & (F.col("doc")[n].isNull() | F.col("doc")[n].eqNullSafe(current))
+    a = a.withColumn("status", F.when(upd0 & F.col("detect_noop") & unchanged, F.lit("noop")).otherwise(st))
+    a = a.drop(*[f"__p_set_{n}" for n in names])
+    items = a.select("seq", "id", "op", "status", "reason")
+    est_incl = F.when(establishing, F.col("seq")).otherwise(F.col("__p_est")["s"])
     upd = (op == "update") & (st == "updated")
     aggs = [F.max(F.when(establishing, F.struct(F.col("seq").alias("s"), kind.alias("kind"), doc0.alias("doc")))).alias("__E"),
             F.max(F.when(F.col("__ok") & versioned & st.isin("created", "updated", "deleted"), F.col("version"))).alias("__nv"),
