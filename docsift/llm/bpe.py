@@ -10,8 +10,8 @@ Encoding never runs the merges on running text:
 
 A very frequent word costs one entry per block, like any other.  Blocks, parts
 and the dictionary of a part are bounded (a text longer than a block is a block
-alone), so memory does not grow with the input.  The split blocks are written to
-the shared folder: nothing is tokenized twice, and a lost executor re-reads them.
+alone), so memory does not grow with the input.  The positions travel with the
+words and their ids from shuffle to shuffle, so texts are read and split once.
 
 Decoding looks the ids up in the table of token bytes, whose size is the
 vocabulary's; it is broadcast.
@@ -37,8 +37,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import written
-
 BLOCK_CHARS = 16 << 20  # text of a block
 PART_BYTES = 32 << 20  # text per part of the word shuffle
 MAX_PARTS = 16384
@@ -184,7 +182,7 @@ def _split(docs: DataFrame, pattern: str, parts: int, block_chars: int) -> DataF
 
 
 def _encode_words(words: DataFrame, ranks) -> DataFrame:
-    """(block, part, words) to (block, part, ids); ids: numbers of ids, then ids.  A word is encoded once per part."""
+    """Replaces ``words`` by ``ids`` (numbers of ids, then ids); a word is encoded once per part.  Positions pass through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ranks.value
@@ -201,6 +199,9 @@ def _encode_words(words: DataFrame, ranks) -> DataFrame:
                 if part != last:
                     known, last = Ids(), part
                 x = x.as_py()
+                if x is None:
+                    out.append(None)
+                    continue
                 n = int.from_bytes(x[:4], "little")
                 raw = zstandard.ZstdDecompressor().decompress(x[4:])
                 stop = (np.cumsum(_planes(raw, np.uint32, n)) + 4 * n).tolist()
@@ -208,9 +209,11 @@ def _encode_words(words: DataFrame, ranks) -> DataFrame:
                 lens = np.fromiter(map(len, ids), np.uint32, n)
                 flat = np.fromiter((i for w in ids for i in w), np.uint32, int(lens.sum()))
                 out.append(n.to_bytes(4, "little") + len(flat).to_bytes(8, "little") + _pack(lens, flat))
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("part"), pa.array(out, pa.binary())], names=["block", "part", "ids"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out, pa.binary()) if c == "words" else b.column(c) for c in b.schema.names],
+                names=["ids" if c == "words" else c for c in b.schema.names])
 
-    return words.mapInArrow(run, "block bigint, part int, ids binary")
+    return words.mapInArrow(run, ", ".join(f"{'ids' if f.name == 'words' else f.name} {f.dataType.simpleString()}" for f in words.schema))
 
 
 def _gather(flat: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -282,12 +285,11 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = min(MAX_PARTS, max(shuffles, -(-size // PART_BYTES)))
-    blocks = written(_split(docs, pattern, parts, block_chars), "bpe-blocks")
-    words = blocks.where("part >= 0").select("block", "part", "words").repartition(parts, "part").sortWithinPartitions("part")
-    ids = _encode_words(words, spark.sparkContext.broadcast(ranks))
-    head = blocks.where("part < 0").select("block", "part", F.lit(None).cast("binary").alias("ids"), "idx", "of", "doc_ids", "counts")
-    both = head.unionByName(ids, allowMissingColumns=True)
-    both = both.repartition(max(shuffles, -(-size // block_chars)), "block").sortWithinPartitions("block", "part")
+    split = _split(docs, pattern, parts, block_chars)
+    # words by part; positions of a block (part -1) to any one
+    deal = F.when(F.col("part") >= 0, F.col("part")).otherwise(F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int"))
+    ids = _encode_words(split.repartition(parts, deal).sortWithinPartitions("part"), spark.sparkContext.broadcast(ranks))
+    both = ids.repartition(max(shuffles, -(-size // block_chars)), "block").sortWithinPartitions("block", "part")
     return _assemble(both, docs.schema["doc_id"].dataType)
 
 
