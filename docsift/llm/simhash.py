@@ -153,23 +153,19 @@ def _cells(points: DataFrame, segments: int) -> DataFrame:
     """
     fp = F.col("fp")
     if segments == 64:
-        cells = [fp] + [fp.bitwiseXOR(F.shiftleft(F.lit(1).cast("long"), i)) for i in range(64)]
-        return points.select("fp", F.explode(F.array(*cells)).alias("cell"))
+        flipped = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: fp.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i)))
+        return points.select("fp", F.explode(F.concat(F.array(fp), flipped)).alias("cell"))
     width = 64 // segments
     mask = F.lit((1 << width) - 1).cast("long")
-    counts = [F.bit_count(F.shiftrightunsigned(fp, i * width).bitwiseAND(mask)) for i in range(segments)]
-    code = lambda i, c: F.xxhash64(F.lit(i), c)
-    home = code(0, counts[0])
-    for i in range(1, segments):
-        home = home.bitwiseXOR(code(i, counts[i]))
-    points = points.select("fp", home.alias("home"), *[c.alias(f"c{i}") for i, c in enumerate(counts)])
-    cells = [F.col("home")]
-    for i in range(segments):
-        c = F.col(f"c{i}")
-        away = F.col("home").bitwiseXOR(code(i, c))
-        cells.append(F.when(c < width, away.bitwiseXOR(code(i, c + 1))))
-        cells.append(F.when(c > 0, away.bitwiseXOR(code(i, c - 1))))
-    return points.select("fp", F.explode(F.array(*cells)).alias("cell")).where("cell IS NOT NULL")
+    count = lambda i: F.bit_count(F.call_function("shiftrightunsigned", fp, i * width).bitwiseAND(mask))
+    code = lambda i, c: F.xxhash64(i, c)
+    points = points.select("fp", F.transform(F.sequence(F.lit(0), F.lit(segments - 1)), count).alias("counts"))
+    codes = F.transform("counts", lambda c, i: code(i, c))
+    points = points.select("fp", "counts", F.aggregate(codes, F.lit(0).cast("long"), lambda h, x: h.bitwiseXOR(x)).alias("home"))
+    step = lambda ok, to: F.transform("counts", lambda c, i: F.when(
+        ok(c), F.col("home").bitwiseXOR(code(i, c)).bitwiseXOR(code(i, to(c)))))
+    cells = F.concat(F.array("home"), step(lambda c: c < width, lambda c: c + 1), step(lambda c: c > 0, lambda c: c - 1))
+    return points.select("fp", F.explode(cells).alias("cell")).where("cell IS NOT NULL")
 
 
 def links(points: DataFrame, segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
@@ -194,7 +190,6 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         seen = both.join(label, both["b"] == label["fp"]).groupBy(F.col("a").alias("fp")).agg(F.min("root").alias("near"))
         step = label.join(seen, "fp").select("fp", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        step = written(step, "simhash-step")
         up = step.select(F.col("fp").alias("root"), F.col("root").alias("up"))
         label = written(step.join(up, "root").select("fp", F.col("up").alias("root"), (F.col("old") != F.col("up")).alias("moved")),
                         "simhash-label")
