@@ -378,12 +378,41 @@ def _judge(strings: list[bytes], doc: np.ndarray, start: np.ndarray, length: int
     return dict(zip(u.tolist(), np.split(offset, cut[1:])))
 
 
-_VERDICT = "block bigint, anchor bigint, content bigint, windows int, via bigint, doc bigint, start bigint, offsets binary"
+_VERDICT = "block bigint, n bigint, packed binary, via array<bigint>"
+
+
+def _pack_verdicts(rows: list[tuple]) -> pa.RecordBatch:
+    """Verdicts (block, anchor, content, windows, via, doc, start, offsets) as one packed row per block."""
+    rows.sort(key=lambda r: r[0])
+    block = np.array([r[0] for r in rows], np.int64)
+    key = _content_key(np.array([r[2] for r in rows], np.int64).view(np.uint64), np.array([r[1] for r in rows], np.int64).view(np.uint64),
+                       np.array([r[3] for r in rows], np.int64))
+    doc, start = np.array([r[5] for r in rows], np.int64), np.array([r[6] for r in rows], np.int64)
+    cut = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    packed, via = [], []
+    for a, z in zip(cut, np.append(cut[1:], len(rows))):
+        offsets = [r[7] or b"" for r in rows[a:z]]
+        lens = np.fromiter(map(len, offsets), np.int64, z - a)
+        planes = [np.ascontiguousarray(x[a:z].view(np.uint8).reshape(-1, 8).T).tobytes() for x in (key, doc, start)]
+        planes.append(np.ascontiguousarray(lens.view(np.uint8).reshape(-1, 8).T).tobytes())
+        packed.append(zstandard.ZstdCompressor(level=1).compress(b"".join([*planes, *offsets])))
+        via.append(sorted({r[4] for r in rows[a:z] if r[4] is not None}))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block[cut]), pa.array(np.diff(np.append(cut, len(rows))).astype(np.int64)), pa.array(packed, pa.binary()),
+         pa.array(via, pa.list_(pa.int64()))], names=["block", "n", "packed", "via"])
+
+
+def _unpack_verdicts(n: int, packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    """Keys, documents, starts and offsets."""
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    key, doc, start, lens = (np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, 8 * n * i).reshape(8, n).T).view(np.int64).ravel() for i in range(4))
+    stop = (32 * n + np.cumsum(lens)).tolist()
+    return key.view(np.uint64), doc, start, [raw[a:z] for a, z in zip([32 * n, *stop], stop)]
 
 
 def _verdicts(segments: DataFrame, length: int, merge_bytes: int, shard_bytes: int) -> DataFrame:
-    """Rows of ``_VERDICT`` for a block's content with something to remove: (doc, start) is its first occurrence of all;
-    there the windows ``offsets`` go, elsewhere the whole content."""
+    """Rows of ``_VERDICT`` for a block's contents with something to remove: (doc, start) is a content's first occurrence
+    of all; there the windows ``offsets`` go, elsewhere the whole content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["block", "anchor", "content", "windows", "via", "doc", "start", "times"]
@@ -418,11 +447,6 @@ def _verdicts(segments: DataFrame, length: int, merge_bytes: int, shard_bytes: i
                     flush()
             current = []
 
-        def batch() -> pa.RecordBatch:
-            cols = list(zip(*out))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[f.split()[0] for f in _VERDICT.split(", ")])
-
         for b in batches:
             raw = b.column("bytes")
             for i, row in enumerate(zip(*(b.column(c).to_pylist() for c in names))):
@@ -432,14 +456,14 @@ def _verdicts(segments: DataFrame, length: int, merge_bytes: int, shard_bytes: i
                     current[-1][2].append((row[0], False, row[7]))
                 else:
                     current.append([row, raw[i].as_py(), [(row[0], True, row[7])]])
-                if len(out) >= 20000:
-                    yield batch()
+                if len(out) >= 100000:
+                    yield _pack_verdicts(out)
                     out = []
         close()
         if groups:
             flush()
         if out:
-            yield batch()
+            yield _pack_verdicts(out)
 
     return segments.mapInArrow(run, _VERDICT)
 
@@ -448,25 +472,25 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["anchor", "content", "windows", "via", "doc", "start", "offsets"]
-        for block, rest in _streamed(batches, names):
+        for block, rest in _streamed(batches, ["n", "packed", "via"]):
             edge = np.zeros(len(block.buf) + 1, np.int32)
 
             def cover(start: np.ndarray, size) -> None:
                 np.add.at(edge, start, 1)
                 np.add.at(edge, start + size, -1)
 
-            if rest["anchor"]:
-                t = pa.table({c: pa.chunked_array(rest[c]) for c in names})
-                is_window = np.asarray(t["via"].is_valid())
-                key_of = [t[c].to_numpy() for c in ("content", "anchor", "windows")]
-                key = _content_key(key_of[0].view(np.uint64), key_of[1].view(np.uint64), key_of[2])
+            if rest["n"]:
+                n, packed, via = ([v for a in rest[c] for v in a.to_pylist()] for c in ("n", "packed", "via"))
+                parts = [_unpack_verdicts(*x) for x in zip(n, packed)]
+                key, doc, place = (np.concatenate([p[i] for p in parts]) for i in range(3))
+                offsets = [o for p in parts for o in p[3]]
                 order = np.argsort(key, kind="stable")
-                key, doc, place = key[order], t["doc"].to_numpy()[order], t["start"].to_numpy()[order]
+                key, doc, place = key[order], doc[order], place[order]
+                hot_anchors = np.array(sorted({v for x in via for v in x}), np.int64).view(np.uint64)
                 start, windows, anchor, content = block.segments(length)
                 sets = [(start, windows, anchor, content)]
-                if is_window.any():
-                    hot = np.isin(anchor, np.unique(t["via"].drop_null().to_numpy()).view(np.uint64))
+                if len(hot_anchors):
+                    hot = np.isin(anchor, hot_anchors)
                     sets = [tuple(x[~hot] for x in sets[0])]
                     many = windows[hot]
                     s = np.repeat(start[hot], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -480,9 +504,8 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
                     d, p = block.place(s)
                     stays = (d == doc[at]) & (p == place[at])
                     cover(s[~stays], w[~stays] + length - 1)
-                    offsets = t["offsets"]
                     for i in np.flatnonzero(stays):
-                        x = offsets[int(order[at[i]])].as_py()
+                        x = offsets[int(order[at[i]])]
                         if x:
                             o = s[i] + np.frombuffer(x, np.int32)
                             np.add.at(edge, o, 1)
@@ -524,7 +547,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, block_bytes: int = BLOCK_
     segments = _segment_rows(_by_block(texts, _repeated(anchors, hot), "part", tasks), length, parts)
     segments = segments.repartition(parts, "anchor").sortWithinPartitions("anchor", "content", "windows", "doc", "start")
     verdicts = _verdicts(segments, length, merge_bytes, shard_bytes)
-    return _cut(_by_block(texts, verdicts, "anchor", tasks), length)
+    return _cut(_by_block(texts, verdicts, "n", tasks), length)
 
 
 def op2(spark, sf_dir):
