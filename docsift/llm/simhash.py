@@ -21,7 +21,7 @@ number of points, however large a group is.
 have a Jaccard similarity of 0.8 or more, see ``near_duplicates``.
 
 Components come from min-label propagation with pointer jumping over the links,
-checkpointed each round; nothing is collected.
+checkpointed each round; only the bounded list of ``frequent`` is collected.
 
 Edge cases: a null or empty text has no words and fingerprint zero, and is
 linked like any other; fewer words than the shingle length make one shingle;
@@ -32,6 +32,7 @@ none); an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,7 @@ DENSE = 24  # points of a cell from which it is refined instead of paired
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _BLANKS = bytes(32 if 9 <= i <= 13 else i for i in range(256))
 _CHUNK = 1 << 16
+_SLACK = 1e-6
 
 
 def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
@@ -86,50 +88,77 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return ids.mapInArrow(run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp bigint")
 
 
-def sketches(docs: DataFrame, shingle: int, slices: int = 8, least: int = 3) -> DataFrame:
-    """doc_id, fp, cells and shingles of every row.
+def frequent(docs: DataFrame, shingle: int, share: int = 20, least: int = 3, most: int = 1 << 17) -> np.ndarray:
+    """Hashes of the shingles seen most often in a sample of the distinct texts, rarest first.
 
-    The shingles' hashes are dealt to slices; a cell is the hash of the least few
-    of a slice, so texts of Jaccard similarity s share a given cell with a
-    probability of about s ** least.  ``shingles`` is the sorted set of 32-bit
-    shingle hashes.
+    They only order the shingles of a text (``sketches``): any order finds the
+    same pairs, so the list may be cut; it is bounded and sent with the tasks.
     """
+    sample = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).distinct()
 
-    def sketch(text: str | None) -> tuple[int, list[int], bytes]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column("text").to_pylist():
+                for h in _hashes(t, shingle):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(h).view(np.int64))], names=["h"])
+
+    seen = sample.mapInArrow(run, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    top = seen.orderBy(F.col("n").desc(), "h").limit(most).collect()
+    return np.array([r.h for r in reversed(top)], np.int64).view(np.uint64)
+
+
+def sketches(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, fp, key, n, cells and shingles of every row.
+
+    The n shingles of a text are put in one order for all texts, frequent ones
+    last.  Of two texts with a Jaccard similarity of ``similarity`` or more, the
+    first n - ceil(similarity * n) + 1 shingles of each, its cells, have one in
+    common.  ``shingles`` is the sorted set of 32-bit shingle hashes, and ``key``
+    a hash of it.
+    """
+    often = frequent(docs, shingle)
+    order = np.argsort(often)
+    listed = often[order]
+
+    def sketch(text: str | None) -> tuple[int, int, int, bytes, bytes]:
         parts = list(_hashes(text, shingle))
         if not parts:
-            return 0, [], b""
+            return 0, 0, 0, b"", b""
         h = np.unique(np.concatenate(parts))
-        mixed = np.sort(h * np.uint64(0x9E3779B97F4A7C15) ^ (h >> np.uint64(29)))
-        of = mixed % np.uint64(slices)
-        cells = [xxhash.xxh64_intdigest(mixed[of == i][:least].tobytes(), i) for i in range(slices) if (of == i).any()]
-        cells = np.array(cells, np.uint64).view(np.int64).tolist()
-        return _majority(parts), cells, np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes()
+        take = len(h) - math.ceil(similarity * len(h) - _SLACK) + 1
+        at = np.minimum(np.searchsorted(listed, h), max(0, len(listed) - 1))
+        known = listed[at] == h if len(listed) else np.zeros(len(h), dtype=bool)
+        cells = h[~known][:take]
+        if len(cells) < take:
+            cells = np.concatenate([cells, often[np.sort(order[at[known]])][:take - len(cells)]])
+        whole = np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes()
+        key = int(np.uint64(xxhash.xxh64_intdigest(whole, 7)).view(np.int64))
+        return _majority(parts), key, len(h), cells.view(np.int64).tobytes(), whole
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
                 found = [sketch(t) for t in part.column("text").to_pylist()]
+                fp, key, n, cells, whole = zip(*found)
+                at = np.cumsum([0] + [len(c) // 8 for c in cells])
+                cells = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(cells), np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.list_(pa.int64())),
-                     pa.array([x[2] for x in found], pa.binary())], names=["doc_id", "fp", "cells", "shingles"])
+                    [part.column("doc_id"), pa.array(fp, pa.int64()), pa.array(key, pa.int64()), pa.array(n, pa.int32()), cells,
+                     pa.array(whole, pa.binary())], names=["doc_id", "fp", "key", "n", "cells", "shingles"])
 
     ids = docs.select("doc_id", "text")
-    return ids.mapInArrow(run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp bigint, cells array<bigint>, shingles binary")
+    kind = ids.schema["doc_id"].dataType.simpleString()
+    return ids.mapInArrow(run, f"doc_id {kind}, fp bigint, key bigint, n int, cells array<bigint>, shingles binary")
 
 
-def similar_links(points: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): links between the fingerprints of ``points`` (fp, first, cells, shingles) whose shingle sets have a
-    Jaccard similarity of at least ``similarity``.  Each point of a cell is compared with the cell's first and last one."""
-    cells = points.select("fp", "first", F.explode("cells").alias("cell"))
-    ends = cells.groupBy("cell").agg(F.min(F.struct("first", "fp")).alias("lo"), F.max(F.struct("first", "fp")).alias("hi"))
-    ends = ends.where("lo.fp <> hi.fp").select("cell", F.array("lo.fp", "hi.fp").alias("ends"))
-    pairs = cells.join(ends, "cell").select("fp", F.explode("ends").alias("end")).where("fp <> end")
-    pairs = pairs.select(F.least("fp", "end").alias("a"), F.greatest("fp", "end").alias("b")).distinct()
-    sets = points.select("fp", "shingles")
-    both = (pairs.join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
-            .join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b"))
+def _verified(pairs: DataFrame, fps: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the fingerprints of the ``pairs`` (a, b) of rows whose shingle sets are similar enough."""
+    pairs = written(pairs, "simhash-pairs")
+    asked = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
+    sets = written(fps.select("row", "fp", "shingles").join(asked, "row", "left_semi"), "simhash-sets")
+    side = lambda row, fp, x: sets.select(F.col("row").alias(row), F.col("fp").alias(fp), F.col("shingles").alias(x))
+    both = pairs.join(side("a", "p", "x"), "a").join(side("b", "q", "y"), "b").where("p <> q")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,9 +168,46 @@ def similar_links(points: DataFrame, similarity: float) -> DataFrame:
                 shared = len(np.intersect1d(u, v, assume_unique=True))
                 keep.append(shared >= similarity * (len(u) + len(v) - shared))
             mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column("p").filter(mask), batch.column("q").filter(mask)], names=["a", "b"])
+
+    return written(both.select("p", "q", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct(), "simhash-similar")
+
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+def similar_links(fps: DataFrame, near: DataFrame, similarity: float, dense: int = DENSE) -> DataFrame:
+    """(a, b): links between the fingerprints of ``fps`` (row, fp, key, n, cells, shingles) so that, with the links
+    ``near``, all whose shingle sets have a Jaccard similarity of at least ``similarity`` are connected.
+
+    The pairs of a cell are verified.  The points of a crowded cell are first
+    compared with its first and last one, then with those of other components.
+    """
+    group = fps.groupBy("fp", "key").agg(F.min("row").alias("row"))
+    again = written(fps.select("row").join(group, "row", "left_anti"), "simhash-again")  # rows that repeat a set
+    cells = fps.select("row", "n", "cells").join(again, "row", "left_anti").select("row", "n", F.posexplode("cells").alias("pos", "cell"))
+    met = written(cells.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("cell"))).where("many > 1"), "simhash-met")
+
+    def reach(a, b):  # what two sets can share from this cell on; in the first cell they share, that is all they share
+        return F.least(a("n") - a("pos"), b("n") - b("pos")) >= similarity / (1 + similarity) * (a("n") + b("n")) - _SLACK
+
+    few = met.where(F.col("many") <= dense).groupBy("cell").agg(F.collect_list(F.struct("row", "n", "pos")).alias("all"))
+    few = few.select(F.explode("all").alias("x"), "all")
+    few = few.select("x", F.explode(F.filter("all", lambda y: (y["row"] > F.col("x.row")) & reach(lambda c: F.col(f"x.{c}"), lambda c: y[c]))).alias("y"))
+    few = few.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
+    crowd = met.where(F.col("many") > dense).drop("many")
+    ends = crowd.groupBy("cell").agg(*[f(F.struct("row", "n", "pos")).alias(x) for f, x in ((F.min, "lo"), (F.max, "hi"))])
+    star = crowd.join(ends.select("cell", F.explode(F.array("lo", "hi")).alias("end")), "cell")
+    star = star.where((F.col("row") != F.col("end.row")) & reach(F.col, lambda c: F.col(f"end.{c}")))
+    star = star.select(F.least("row", "end.row").alias("a"), F.greatest("row", "end.row").alias("b"))
+    found = _verified(few.union(star).distinct(), fps, similarity)
+    if crowd.isEmpty():
+        return found
+    of = fps.select("row", "fp").join(components(near.union(found).distinct()), "fp", "left").select("row", F.coalesce("root", "fp").alias("root"))
+    crowd = written(crowd.join(of, "row"), "simhash-crowd")
+    mixed = crowd.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell")
+    crowd = crowd.join(mixed, "cell", "left_semi")
+    rest = crowd.alias("x").join(crowd.alias("y"), "cell").where(
+        (F.col("x.root") < F.col("y.root")) & reach(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
+    rest = rest.select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct()
+    return found.union(_verified(rest, fps, similarity))
 
 
 def _cells(points: DataFrame, segments: int) -> DataFrame:
@@ -211,18 +277,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: float | None
     Fingerprints at two or fewer differing bits link.  With ``similarity``, so do
     texts whose sets of shingles have at least that Jaccard similarity: SimHash
     alone puts texts of similarity 0.8 about ten bits apart.  Candidates for that
-    are texts that share a cell of a sample of their shingles; each is verified
-    on the whole sets.
+    are texts that share one of their rarest shingles, which all such texts do;
+    each is verified on the whole sets.
     """
     if similarity is None:
         fps = written(fingerprints(docs, shingle), "simhash-fps")
         points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
         found = links(points.select("fp"))
     else:
-        fps = written(sketches(docs, shingle), "simhash-fps")
-        first = F.min_by(F.struct("cells", "shingles"), "doc_id").alias("s")
-        points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first"), first).select("fp", "first", "s.*"), "simhash-points")
-        found = links(points.select("fp")).union(similar_links(points, similarity)).distinct()
+        fps = written(sketches(docs, shingle, similarity).withColumn("row", F.monotonically_increasing_id()), "simhash-fps")
+        points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
+        near = written(links(points.select("fp")), "simhash-near")
+        found = near.union(similar_links(fps, near, similarity)).distinct()
     return fps.join(_classes(points, found), "fp").select("doc_id", "fp", "component_id")
 
 

@@ -238,6 +238,56 @@ def test_similar_texts_share_a_component(spark):
                 assert got[i] == got[j]
 
 
+def _shingles(words):
+    return {" ".join(words[k:k + 5]) for k in range(len(words) - 4)}
+
+
+def test_similar_texts_behind_a_passage_of_thousands(spark):
+    rng = random.Random(3)
+    passage = [f"licence{i}" for i in range(200)]
+    rows, pairs = [], []
+    for i in range(3000):
+        own = [f"d{i}w{j}" for j in range(84)]
+        rows.append((i, " ".join(passage + own)))
+        if 1000 <= i < 1060:  # a variant with 6 words changed in its own part
+            w = list(own)
+            for j in range(6, 84, 13):
+                w[j] = f"edit{i}"
+            a, b = _shingles(passage + own), _shingles(passage + w)
+            assert 0.8 <= len(a & b) / len(a | b) < 0.83
+            pairs.append((i, 10000 + i))
+            rows.append((10000 + i, " ".join(passage + w)))
+    rng.shuffle(rows)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(spark, rows), 5, 0.8).collect()}
+    assert [p for p in pairs if got[p[0]] != got[p[1]]] == []
+    assert len(set(got.values())) > 2900
+
+
+@pytest.mark.parametrize("dense", [1, 2, 24])
+def test_similar_links_of_crowded_cells_reach_what_pairs_reach(spark, dense):
+    rng = random.Random(dense)
+    passage, rows = [f"p{i}" for i in range(60)], []
+    for i in range(150):  # similarities on both sides of 0.8, and chains
+        n = rng.choice([2, 5, 6, 7, 8, 12])
+        rows.append((i, " ".join(passage[:60 - rng.choice([0, 0, 3])] + [f"o{rng.randint(0, 12)}x{j}" for j in range(n)])))
+    rows += [(500 + i, t) for i, t in rows[:20]]
+    fps = simhash.sketches(docs(spark, rows), 5, 0.8).withColumn("row", F.monotonically_increasing_id()).cache()
+    found = simhash.similar_links(fps, spark.createDataFrame([], "a long, b long"), 0.8, dense)
+    low = {r.fp: r.root for r in simhash.components(found).collect()}
+    got = {r.doc_id: low.get(r.fp, r.fp) for r in fps.select("doc_id", "fp").collect()}
+    sets, root = {i: _shingles(t.split()) for i, t in rows}, {i: i for i, _ in rows}
+    top = lambda i: i if root[i] == i else top(root[i])
+    for i in sets:
+        for j in sets:
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[top(i)] = top(j)
+    same = {}
+    for i in sets:
+        same.setdefault(top(i), set()).add(got[i])
+    assert all(len(x) == 1 for x in same.values()) and len(set().union(*same.values())) == len(same) > 1
+    fps.unpersist()
+
+
 def test_one_document_of_each_group_stays(spark):
     text = " ".join(f"w{i}" for i in range(200))
     rows = [(5, text), (3, text), (3, text), (9, text + " "), (1, "other words entirely here now"), (None, "x"), (2, None), (4, "")]
