@@ -9,8 +9,8 @@ at the vectors whose strongest coordinates lie in the range that the threshold
 allows (coordinate pruning), and where it is low, at the vectors long enough for
 its bound (length pruning).  What is left is verified by its product.
 
-Components are integers up to 2^24 in size (larger ones count as that), and
-products are exact.  See ``vector_blocks`` for the edge cases.
+Components are whole numbers, and products are exact; one that does not fit 64
+bits raises an error.  See ``vector_blocks`` for the edge cases.
 """
 
 from __future__ import annotations
@@ -25,18 +25,30 @@ from pyspark.sql import functions as F
 from docsift.llm.common import written
 from docsift.llm.vector_blocks import best, dot_sql, matrix, pack, search_sql, tiles, top, usable
 
-LIMIT = 1 << 24
 HIGH = 0.8  # local cosine threshold from which coordinates are pruned
 FOCUS = 4  # coordinates looked at
 _SLACK = 1e-9
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products a @ b.T as int64."""
-    size = (np.abs(a).max() if a.size else 0) * (np.abs(b).max() if b.size else 0) * a.shape[1]
+    """Exact integer products a @ b.T as int64; raises OverflowError if one does not fit."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        size = (np.abs(a).max() if a.size else 0) * (np.abs(b).max() if b.size else 0) * a.shape[1]
     if size < 1 << 53:
         return (a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    out = np.empty((len(a), len(b)), np.int64)
+    large = np.abs(b).max(axis=1) >= 1 << 62
+    for i, x in enumerate(a):
+        with np.errstate(over="ignore", invalid="ignore"):
+            fits = (np.abs(b) @ np.abs(x) < 1 << 62) & ~large & (np.abs(x).max() < 1 << 62)
+        if fits.any():
+            out[i, fits] = b[fits].astype(np.int64) @ x.astype(np.int64)
+        for j in np.flatnonzero(~fits):
+            score = sum(int(u) * int(v) for u, v in zip(x.tolist(), b[j].tolist()))
+            if abs(score) >= 1 << 63:
+                raise OverflowError(f"inner product {score} does not fit 64 bits")
+            out[i, j] = score
+    return out
 
 
 def _tile(k: int):
@@ -90,8 +102,13 @@ def _tile(k: int):
 
 
 def quantize(vec: Column) -> Column:
-    """floor(256 * x) of each component."""
-    return F.transform(vec, lambda x: F.floor(F.least(F.greatest(x.cast("double") * 256, F.lit(float(-LIMIT))), F.lit(float(LIMIT)))).cast("double"))
+    """floor(256 * x) of each component; from 2^53 on, a double is whole."""
+
+    def whole(x):
+        x = x.cast("double") * 256
+        return F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double")).otherwise(x)
+
+    return F.transform(vec, whole)
 
 
 def top_products(vectors: DataFrame, queries: DataFrame, k: int = 5, bucket_rows: int = 4096, query_rows: int = 256) -> DataFrame:

@@ -1,5 +1,6 @@
 """Vector searches against a full comparison in numpy."""
 
+import math
 import random
 
 import numpy as np
@@ -46,6 +47,28 @@ def test_top_products(spark, seed, bucket_rows, query_rows):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == brute(rows, 5, score, False)
 
 
+@pytest.mark.parametrize("bucket_rows", [3, 4096])
+def test_top_products_of_large_components(spark, bucket_rows):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice([1.0, 70000.0, 1e6, 1e7 if i % 50 else 1.0]) * rng.uniform(-1, 1) for _ in range(6)]) for i in range(120)]
+    rows += [(200, [1e30] + [0.0] * 5), (201, [0.0, 1e30] + [0.0] * 4)]
+    rows = [(i, [0.0, 0.0, *x[2:]] if i < 200 else x) for i, x in rows]
+    e = spark.createDataFrame(rows, "id long, vec array<double>").repartition(3)
+    e = e.where(usable(F.col("vec"))).select("id", topk.quantize(F.col("vec")).alias("vec"))
+    got = topk.top_products(e, e.where("id % 50 = 0 and id < 200"), bucket_rows=bucket_rows, query_rows=2)
+    score = lambda a, b: sum(math.floor(x * 256) * math.floor(y * 256) for x, y in zip(a.tolist(), b.tolist()))
+    expected = [x for x in brute(rows, 5, score, False) if x[0] < 200]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == expected
+
+
+def test_products_beyond_64_bits_raise():
+    a, b = np.array([[2.0**40, 3.0, -(2.0**40)]]), np.array([[2.0**40, 1.0, 2.0**40], [2.0**30, 1.0, 5.0]])
+    assert topk._products(a, b[:1]).tolist() == [[3]]
+    assert topk._products(np.array([[2.0**31, 1.0]]), np.array([[2.0**31, 1.0], [1.0, 0.0]])).tolist() == [[2**62 + 1, 2**31]]
+    with pytest.raises(OverflowError):
+        topk._products(a, b)
+
+
 @pytest.mark.parametrize("seed, block_rows, query_rows", [(1, 4096, 256), (2, 30, 3)])
 def test_nearest(spark, seed, block_rows, query_rows):
     d, rows = table(spark, seed)
