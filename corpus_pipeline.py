@@ -25,7 +25,7 @@ def near_dedup(spark, docs, sf_dir):
 
 def mask_secrets(spark, docs, sf_dir):
     """All documents, with their secrets masked."""
-    found = docs.withColumn("__spans", secret_scan.secret_spans(F.col("text")))
+    found = docs.withColumn("__spans", secret_scan.secret_spans(F.col("text"), values=True))
     masked = F.when(F.size("__spans") > 0, secret_scan.redact(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
     found = found.withColumn("text", masked)
     length = F.when(F.size("__spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))

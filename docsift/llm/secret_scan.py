@@ -16,6 +16,11 @@ spans.  Candidates that match the allow-list (plain words, plain numbers, UUIDs,
 paths of words, alphabet runs, placeholders) are suppressed; the pattern kinds
 are not.
 
+A candidate joins names and values (``sha1_...``, ``sample-key=...``).  With
+``values``, what stands between the separators of a candidate, and what follows
+an equals sign, is also a candidate of its own, with its own class and its own
+look at the allow-list; the spans are those of both, and may overlap.
+
 Edge cases: a null text is an empty text and has no spans; positions are code
 points, end exclusive; equal texts give equal spans; an empty table gives an
 empty result.  As the operators are Columns, other columns cannot clash.
@@ -35,6 +40,9 @@ ASSIGN = (r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}"
+# Parts of a candidate: between two of = _ - /, and behind an equals sign.
+PIECE = r"(?<=[=_/-])[A-Za-z0-9+]{20,}+|(?<![A-Za-z0-9+=_/-])[A-Za-z0-9+]{20,}+(?=[=_/-])"
+ASSIGNED = r"(?<==)[A-Za-z0-9+]*+[/_-][A-Za-z0-9+/_-]*+=*+"
 
 WINDOW = 20
 # Entropy in bits from which a window counts, by character class.
@@ -103,7 +111,8 @@ def _entropy_spans(value: Column, threshold: Column, window: int) -> Column:
         acc["b"] >= 0, F.concat(acc["out"], F.array(F.struct(acc["a"].alias("a"), acc["b"].alias("b"))))).otherwise(acc["out"]))
 
 
-def secret_spans(text: Column, window: int = WINDOW, thresholds: dict | None = None, allow: tuple = ALLOW) -> Column:
+def secret_spans(text: Column, window: int = WINDOW, thresholds: dict | None = None, allow: tuple = ALLOW,
+                 values: bool = False) -> Column:
     """array<struct<start, kind, end>>, sorted by start, then kind (an index into KINDS)."""
     text = F.coalesce(text, F.lit(""))
     long_enough = lambda x: F.length(F.regexp_extract(x["value"], ASSIGN, 2)) >= 8
@@ -119,14 +128,18 @@ def secret_spans(text: Column, window: int = WINDOW, thresholds: dict | None = N
             out = out & ~x["value"].rlike(pattern)
         return out
 
-    candidates = F.transform(F.filter(_found(text, CANDIDATE), unlisted),
-                             lambda x: F.struct(x["start"].alias("start"), x["value"].alias("value"), limit(x["value"]).alias("limit")))
-    entropy = F.flatten(F.transform(candidates, lambda x: F.transform(
-        _entropy_spans(x["value"], x["limit"], window),
-        lambda y: F.struct((x["start"] + y["a"]).alias("start"), F.lit(3).alias("kind"), (x["start"] + y["b"]).alias("end")))))
+    def entropy(pattern):
+        found = F.filter(_found(text, pattern), lambda x: (F.length(x["value"]) >= window) & unlisted(x))
+        candidates = F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["value"].alias("value"), limit(x["value"]).alias("limit")))
+        return F.flatten(F.transform(candidates, lambda x: F.transform(
+            _entropy_spans(x["value"], x["limit"], window),
+            lambda y: F.struct((x["start"] + y["a"]).alias("start"), F.lit(3).alias("kind"), (x["start"] + y["b"]).alias("end")))))
+
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    parts = [_kind(_found(text, ASSIGN), 0, long_enough), _kind(_found(text, ACCESS), 1), _kind(_found(text, HEX), 2), entropy]
-    return F.sort_array(F.concat(*[F.coalesce(p, none) for p in parts]))
+    parts = [_kind(_found(text, ASSIGN), 0, long_enough), _kind(_found(text, ACCESS), 1), _kind(_found(text, HEX), 2)]
+    parts += [entropy(p) for p in ((CANDIDATE, PIECE, ASSIGNED) if values else (CANDIDATE,))]
+    spans = F.concat(*[F.coalesce(p, none) for p in parts])
+    return F.sort_array(F.array_distinct(spans) if values else spans)
 
 
 def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:

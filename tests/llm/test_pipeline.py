@@ -1,5 +1,9 @@
 """The corpus pipeline: each stage's contract, and the registered queries."""
 
+import math
+import random
+import re
+
 import corpus_pipeline
 import __spark_entry__ as E
 from conftest import SF_SMALL
@@ -36,3 +40,23 @@ def test_stages(spark):
 def test_run_equals_its_stages(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.count() > 0 and {"doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"} <= set(out.columns)
+
+
+def test_masked_values_behind_names(spark):
+    rng = random.Random(2)
+    word = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    texts, hidden = [], []
+    for name in ("key=", "sha1_", "id-", "/v/", "sample-key=", "example_id-", "dummy/"):
+        for _ in range(40):
+            value = word(20, "0123456789abcdef")
+            found = secret_scan.THRESHOLDS[r"^[0-9a-fA-F]+$"] <= -sum(value.count(c) / 20 * math.log2(value.count(c) / 20) for c in set(value))
+            if found and not any(re.search(p, value) for p in secret_scan.ALLOW):
+                texts.append(f"the {name}{value} end")
+                hidden.append(value)
+    texts += ["sample-key=aGVsbG8/d29ybGQ3Nzl_Z3RyZXc5MDg3-NjU0MzIx end", "an example-path/to/some/long/file12 and 550e8400-e29b-41d4-a716-446655440000"]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r.doc_id: r for r in corpus_pipeline.mask_secrets(spark, docs, SF_SMALL).collect()}
+    assert len(hidden) > 200 and [t for i, t in enumerate(texts[:-2]) if hidden[i] in out[i].text] == []
+    assert out[len(texts) - 2].text.endswith("[SECRET] end") and out[len(texts) - 1].text == texts[-1]
+    assert all(r.n_chars == len(r.text) for r in out.values())
