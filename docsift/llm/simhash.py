@@ -15,40 +15,38 @@ with many points (a large group of near copies) is not expanded into pairs: its
 points are embedded anew with one-bit segments, where Manhattan and Hamming
 distance are the same, so meeting in a cell is the verification and each point
 needs one link to its cell's smallest point.  Work therefore grows with the
-number of points, however large a group is.
-
-``deduplicate`` (the filter of a corpus) also links texts whose word shingles
-have a Jaccard similarity of 0.8 or more, see ``near_duplicates``.
+number of points, however large a group is.  Cells are counted by grouping, which
+combines map-side, and the counts are joined back, so a hot cell is no one task's.
 
 Components come from min-label propagation with pointer jumping over the links,
-checkpointed each round; only the bounded list of ``frequent`` is collected.
+checkpointed each round; a round's table is deleted once the next one stands.
 
 Edge cases: a null or empty text has no words and fingerprint zero, and is
 linked like any other; fewer words than the shingle length make one shingle;
-repeated rows share fingerprint and component; rows with a null doc_id are kept
-and take part (the component is the smallest non-null doc_id, null if there is
-none); an empty table gives an empty result; other columns are ignored.
+repeated rows share fingerprint and component; rows with a null doc_id take part
+(the component is the smallest non-null doc_id, null if there is none); an empty
+table gives an empty result; other columns are ignored, or kept by
+``deduplicate``, which keeps one row of each component whatever its ids are.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsift.llm.common import written
+from docsift.llm.common import discard, written
 
 SEGMENTS = 16
 DENSE = 24  # points of a cell from which it is refined instead of paired
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _BLANKS = bytes(32 if 9 <= i <= 13 else i for i in range(256))
 _CHUNK = 1 << 16
-_SLACK = 1e-6
+_ROWS = 1000  # of an Arrow batch handled at once
 
 
 def _hashes(text: str | None, shingle: int) -> Iterator[np.ndarray]:
@@ -77,137 +75,18 @@ def simhash(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fp (signed 64-bit SimHash of the whole text) of every row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = pa.array([simhash(t, shingle) for t in b.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), fp], names=["doc_id", "fp"])
-
-    ids = docs.select("doc_id", "text")
-    return ids.mapInArrow(run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, fp bigint")
-
-
-def frequent(docs: DataFrame, shingle: int, share: int = 20, least: int = 3, most: int = 1 << 17) -> np.ndarray:
-    """Hashes of the shingles seen most often in a sample of the distinct texts, rarest first.
-
-    They only order the shingles of a text (``sketches``): any order finds the
-    same pairs, so the list may be cut; it is bounded and sent with the tasks.
-    """
-    sample = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).distinct()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t in b.column("text").to_pylist():
-                for h in _hashes(t, shingle):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(h).view(np.int64))], names=["h"])
-
-    seen = sample.mapInArrow(run, "h bigint").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    top = seen.orderBy(F.col("n").desc(), "h").limit(most).collect()
-    return np.array([r.h for r in reversed(top)], np.int64).view(np.uint64)
-
-
-def sketches(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """doc_id, fp, key, n, cells and shingles of every row.
-
-    The n shingles of a text are put in one order for all texts, frequent ones
-    last.  Of two texts with a Jaccard similarity of ``similarity`` or more, the
-    first n - ceil(similarity * n) + 1 shingles of each, its cells, have one in
-    common.  ``shingles`` is the sorted set of 32-bit shingle hashes, and ``key``
-    a hash of it.
-    """
-    often = frequent(docs, shingle)
-    order = np.argsort(often)
-    listed = often[order]
-
-    def sketch(text: str | None) -> tuple[int, int, int, bytes, bytes]:
-        parts = list(_hashes(text, shingle))
-        if not parts:
-            return 0, 0, 0, b"", b""
-        h = np.unique(np.concatenate(parts))
-        take = len(h) - math.ceil(similarity * len(h) - _SLACK) + 1
-        at = np.minimum(np.searchsorted(listed, h), max(0, len(listed) - 1))
-        known = listed[at] == h if len(listed) else np.zeros(len(h), dtype=bool)
-        cells = h[~known][:take]
-        if len(cells) < take:
-            cells = np.concatenate([cells, often[np.sort(order[at[known]])][:take - len(cells)]])
-        whole = np.unique((h >> np.uint64(32)).astype(np.uint32)).tobytes()
-        key = int(np.uint64(xxhash.xxh64_intdigest(whole, 7)).view(np.int64))
-        return _majority(parts), key, len(h), cells.view(np.int64).tobytes(), whole
+    """fp (signed 64-bit SimHash of the whole text) and the other columns, without the text, of every row."""
+    kept = [f for f in docs.schema.fields if f.name not in ("text", "fp")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, b.num_rows, 1000):
-                part = b.slice(lo, 1000)
-                found = [sketch(t) for t in part.column("text").to_pylist()]
-                fp, key, n, cells, whole = zip(*found)
-                at = np.cumsum([0] + [len(c) // 8 for c in cells])
-                cells = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.frombuffer(b"".join(cells), np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(fp, pa.int64()), pa.array(key, pa.int64()), pa.array(n, pa.int32()), cells,
-                     pa.array(whole, pa.binary())], names=["doc_id", "fp", "key", "n", "cells", "shingles"])
-
-    ids = docs.select("doc_id", "text")
-    kind = ids.schema["doc_id"].dataType.simpleString()
-    return ids.mapInArrow(run, f"doc_id {kind}, fp bigint, key bigint, n int, cells array<bigint>, shingles binary")
-
-
-def _verified(pairs: DataFrame, fps: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): the fingerprints of the ``pairs`` (a, b) of rows whose shingle sets are similar enough."""
-    pairs = written(pairs, "simhash-pairs")
-    asked = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    sets = written(fps.select("row", "fp", "shingles").join(asked, "row", "left_semi"), "simhash-sets")
-    side = lambda row, fp, x: sets.select(F.col("row").alias(row), F.col("fp").alias(fp), F.col("shingles").alias(x))
-    both = pairs.join(side("a", "p", "x"), "a").join(side("b", "q", "y"), "b").where("p <> q")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                u, v = np.frombuffer(x.as_py(), np.uint32), np.frombuffer(y.as_py(), np.uint32)
-                shared = len(np.intersect1d(u, v, assume_unique=True))
-                keep.append(shared >= similarity * (len(u) + len(v) - shared))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("p").filter(mask), batch.column("q").filter(mask)], names=["a", "b"])
-
-    return written(both.select("p", "q", "x", "y").mapInArrow(run, "a bigint, b bigint").distinct(), "simhash-similar")
-
+            for lo in range(0, b.num_rows, _ROWS):
+                part = b.slice(lo, _ROWS)
+                fp = pa.array([simhash(t.as_py(), shingle) for t in part.column("text")], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), fp], names=[*(f.name for f in kept), "fp"])
 
-def similar_links(fps: DataFrame, near: DataFrame, similarity: float, dense: int = DENSE) -> DataFrame:
-    """(a, b): links between the fingerprints of ``fps`` (row, fp, key, n, cells, shingles) so that, with the links
-    ``near``, all whose shingle sets have a Jaccard similarity of at least ``similarity`` are connected.
-
-    The pairs of a cell are verified.  The points of a crowded cell are first
-    compared with its first and last one, then with those of other components.
-    """
-    group = fps.groupBy("fp", "key").agg(F.min("row").alias("row"))
-    again = written(fps.select("row").join(group, "row", "left_anti"), "simhash-again")  # rows that repeat a set
-    cells = fps.select("row", "n", "cells").join(again, "row", "left_anti").select("row", "n", F.posexplode("cells").alias("pos", "cell"))
-    met = written(cells.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("cell"))).where("many > 1"), "simhash-met")
-
-    def reach(a, b):  # what two sets can share from this cell on; in the first cell they share, that is all they share
-        return F.least(a("n") - a("pos"), b("n") - b("pos")) >= similarity / (1 + similarity) * (a("n") + b("n")) - _SLACK
-
-    few = met.where(F.col("many") <= dense).groupBy("cell").agg(F.collect_list(F.struct("row", "n", "pos")).alias("all"))
-    few = few.select(F.explode("all").alias("x"), "all")
-    few = few.select("x", F.explode(F.filter("all", lambda y: (y["row"] > F.col("x.row")) & reach(lambda c: F.col(f"x.{c}"), lambda c: y[c]))).alias("y"))
-    few = few.select(F.col("x.row").alias("a"), F.col("y.row").alias("b"))
-    crowd = met.where(F.col("many") > dense).drop("many")
-    ends = crowd.groupBy("cell").agg(*[f(F.struct("row", "n", "pos")).alias(x) for f, x in ((F.min, "lo"), (F.max, "hi"))])
-    star = crowd.join(ends.select("cell", F.explode(F.array("lo", "hi")).alias("end")), "cell")
-    star = star.where((F.col("row") != F.col("end.row")) & reach(F.col, lambda c: F.col(f"end.{c}")))
-    star = star.select(F.least("row", "end.row").alias("a"), F.greatest("row", "end.row").alias("b"))
-    found = _verified(few.union(star).distinct(), fps, similarity)
-    if crowd.isEmpty():
-        return found
-    of = fps.select("row", "fp").join(components(near.union(found).distinct()), "fp", "left").select("row", F.coalesce("root", "fp").alias("root"))
-    crowd = written(crowd.join(of, "row"), "simhash-crowd")
-    mixed = crowd.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("cell")
-    crowd = crowd.join(mixed, "cell", "left_semi")
-    rest = crowd.alias("x").join(crowd.alias("y"), "cell").where(
-        (F.col("x.root") < F.col("y.root")) & reach(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}")))
-    rest = rest.select(F.least("x.row", "y.row").alias("a"), F.greatest("x.row", "y.row").alias("b")).distinct()
-    return found.union(_verified(rest, fps, similarity))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    return docs.select(*(f.name for f in kept), "text").mapInArrow(run, schema + ", fp bigint")
 
 
 def _cells(points: DataFrame, segments: int) -> DataFrame:
@@ -238,14 +117,15 @@ def links(points: DataFrame, segments: int = SEGMENTS, dense: int = DENSE) -> Da
     """(a, b): links between distinct fingerprints ``points.fp`` at two or fewer
     differing bits.  Every such pair is linked directly, or, in a dense cell,
     through the cell's smallest point."""
-    by_cell = Window.partitionBy("cell")
-    met = written(_cells(points, segments).withColumn("n", F.count(F.lit(1)).over(by_cell)).where("n > 1"), "simhash-cells")
+    cells = _cells(points, segments)
+    shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = written(cells.join(shared, "cell"), "simhash-cells")
     small = met.where(F.col("n") <= dense).groupBy("cell").agg(F.collect_list("fp").alias("fps"))
     small = small.select(F.explode("fps").alias("a"), "fps")
     near = F.filter("fps", lambda x: (x > F.col("a")) & (F.bit_count(x.bitwiseXOR(F.col("a"))) <= 2))
     small = small.select("a", F.explode(near).alias("b"))
     again = _cells(met.where(F.col("n") > dense).select("fp").distinct(), 64)
-    star = again.withColumn("a", F.min("fp").over(by_cell)).where("a < fp").select("a", F.col("fp").alias("b"))
+    star = again.join(again.groupBy("cell").agg(F.min("fp").alias("a")), "cell").where("a < fp").select("a", F.col("fp").alias("b"))
     return small.union(star).distinct()
 
 
@@ -257,52 +137,48 @@ def components(edges: DataFrame) -> DataFrame:
         seen = both.join(label, both["b"] == label["fp"]).groupBy(F.col("a").alias("fp")).agg(F.min("root").alias("near"))
         step = label.join(seen, "fp").select("fp", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         up = step.select(F.col("fp").alias("root"), F.col("root").alias("up"))
-        label = written(step.join(up, "root").select("fp", F.col("up").alias("root"), (F.col("old") != F.col("up")).alias("moved")),
-                        "simhash-label")
+        before, label = label, written(step.join(up, "root").select(
+            "fp", F.col("up").alias("root"), (F.col("old") != F.col("up")).alias("moved")), "simhash-label")
+        discard(before)
         if label.where("moved").isEmpty():
+            discard(both)
             return label.select("fp", "root")
-        label = label.select("fp", "root")
 
 
 def _classes(points: DataFrame, found: DataFrame) -> DataFrame:
-    """(fp, component_id): the smallest ``first`` reachable from each of ``points`` (fp, first) over the links ``found``."""
+    """(fp, least): the smallest ``first`` reachable from each of ``points`` (fp, first) over the links ``found``."""
     rooted = points.join(components(found), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return written(rooted.join(lowest, "root").select("fp", "component_id"), "simhash-classes")
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    return written(rooted.join(lowest, "root").select("fp", "least"), "simhash-classes")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: float | None = None) -> DataFrame:
-    """doc_id, fp, component_id of every row: the smallest doc_id reachable over links.
+def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """doc_id, fp, component_id of every row: the smallest doc_id reachable over links."""
+    fps = written(fingerprints(docs.select("doc_id", "text"), shingle), "simhash-fps")
+    points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
+    return fps.join(_classes(points, links(points.select("fp"))), "fp").select("doc_id", "fp", F.col("least").alias("component_id"))
 
-    Fingerprints at two or fewer differing bits link.  With ``similarity``, so do
-    texts whose sets of shingles have at least that Jaccard similarity: SimHash
-    alone puts texts of similarity 0.8 about ten bits apart.  Candidates for that
-    are texts that share one of their rarest shingles, which all such texts do;
-    each is verified on the whole sets.
-    """
-    if similarity is None:
-        fps = written(fingerprints(docs, shingle), "simhash-fps")
-        points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
-        found = links(points.select("fp"))
-    else:
-        fps = written(sketches(docs, shingle, similarity).withColumn("row", F.monotonically_increasing_id()), "simhash-fps")
-        points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
-        near = written(links(points.select("fp")), "simhash-near")
-        found = near.union(similar_links(fps, near, similarity)).distinct()
-    return fps.join(_classes(points, found), "fp").select("doc_id", "fp", "component_id")
-
-
-def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that come first in their component (by doc_id).
-
-    Rows without a doc_id stay; of rows equal in every column one stays.
+
+def _text_key(text: Column) -> Column:
+    return F.coalesce(F.md5(text.cast("binary")), F.lit("null"))
+
+
+def deduplicate(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """One row of ``docs``, with all its columns, of each component: the one of smallest doc_id, null last.
+
+    A row goes by its doc_id and a digest of its text, so texts that share an id
+    or have none are told apart; of rows equal in both one stays.
     """
-    classes = near_duplicates(docs.select("doc_id", "text"), shingle, similarity)
-    classes = written(classes.select("doc_id", "component_id"), "simhash-members")
-    stays = classes.where("doc_id = component_id").select("doc_id").distinct()
-    out = docs.join(stays, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL"))
-    repeated = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates()
+    keyed = docs.select("doc_id", "text", _text_key(F.col("text")).alias("key"))
+    fps = written(fingerprints(keyed, shingle), "simhash-fps")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key")).alias("first")
+    points = written(fps.groupBy("fp").agg(first), "simhash-points")
+    stays = _classes(points, links(points.select("fp"))).select(F.col("least.doc_id").alias("__stays"), F.col("least.key").alias("__key")).distinct()
+    stays = written(stays, "simhash-stays")
+    repeated = fps.join(stays, fps["doc_id"].eqNullSafe(stays["__stays"]) & (fps["key"] == stays["__key"]))
+    repeated = repeated.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    kept = docs.join(stays, docs["doc_id"].eqNullSafe(stays["__stays"]) & (_text_key(docs["text"]) == stays["__key"]), "left_semi")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def op10(spark, sf_dir):

@@ -37,6 +37,7 @@ from docsift.llm.mixing import id_hash
 _BLOCK = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _STEM = 6
+_ROWS = 500
 # letters, digits and all bytes of longer UTF-8 sequences belong to words
 _IN_WORD = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
 
@@ -165,6 +166,12 @@ def _probabilities(texts: list, dense: np.ndarray, bits: int) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
+def _sliced(texts: pa.Array, dense: np.ndarray, bits: int) -> np.ndarray:
+    """Scores of an Arrow column, of which some rows at a time become Python strings."""
+    parts = [_probabilities(texts.slice(lo, _ROWS).to_pylist(), dense, bits) for lo in range(0, len(texts), _ROWS)]
+    return np.concatenate([np.zeros(0), *parts])
+
+
 def _dense(model: tuple[np.ndarray, np.ndarray], bits: int) -> np.ndarray:
     slots, weights = model
     dense = np.zeros((1 << bits) + 1)
@@ -181,7 +188,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], bits: int = 22)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = _dense(shared.value, bits)
         for b in batches:
-            p = _probabilities(b.column("text").to_pylist(), dense, bits)
+            p = _sliced(b.column("text"), dense, bits)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(p, pa.float64())], names=["doc_id", "score"])
 
     ids = docs.select("doc_id", "text")
@@ -194,14 +201,15 @@ THRESHOLD = 0.7
 def reject(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD, bits: int = 22) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose score is below ``threshold``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def probability(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         dense = _dense(shared.value, bits)
-        for b in batches:
-            yield b.filter(pa.array(_probabilities(b.column(at).to_pylist(), dense, bits) < threshold))
+        for texts in batches:
+            yield pa.array(_sliced(texts, dense, bits), pa.float64())
 
-    return docs.mapInArrow(run, docs.schema)
+    # only the texts go to Python, and only a number comes back
+    return docs.where(probability("text") < threshold)
 
 
 def fit_labelled(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:

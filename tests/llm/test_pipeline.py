@@ -38,8 +38,25 @@ def test_stages(spark):
 
 
 def test_run_equals_its_stages(spark):
-    out = corpus_pipeline.run(spark, SF_SMALL)
-    assert out.count() > 0 and {"doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"} <= set(out.columns)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_SMALL)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    rows = lambda d: sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in d.collect())
+    assert rows(corpus_pipeline.run(spark, SF_SMALL)) == rows(docs) != []
+
+
+def test_stages_on_hostile_and_empty_tables(spark):
+    schema = spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema
+    hostile = [(None, None, None, None, None), (1, "", "en", None, 0), (1, "x", None, "s", 1), (1, "x", None, "s", 1), (None, "y " * 20000, "en", "s", 40000)]
+    for rows in ([], hostile):
+        docs = spark.createDataFrame(rows, schema)
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF_SMALL)
+            assert name == "bpe" or out.columns == docs.columns
+            got = out.collect()
+            assert rows or not got, name
+            docs = spark.createDataFrame(got, out.schema)
 
 
 def test_masked_values_behind_names(spark):
