@@ -6,11 +6,10 @@ return the columns of documents.
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from docsift.llm import bpe, mixing, secret_scan, simhash, toxicity
-from docsift.llm.common import read, written
+from docsift.llm.common import discard, read, scratch, written
 
 
 def reject_toxic(spark, docs, sf_dir):
@@ -19,7 +18,7 @@ def reject_toxic(spark, docs, sf_dir):
 
 
 def near_dedup(spark, docs, sf_dir):
-    """The first document of each group of near duplicates."""
+    """One document of each group of near duplicates (three-word shingles, two bits)."""
     return simhash.deduplicate(docs)
 
 
@@ -39,6 +38,8 @@ def mix(spark, docs, sf_dir):
 
 def encode(spark, docs, sf_dir):
     """doc_id, token ids and their count, and the digests of ids and decoded bytes."""
+    import public_tokenizers
+
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
@@ -49,10 +50,16 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages; each stage's result is written before the next one reads it, as that reads it more than once."""
-    docs = read(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = written(docs, f"pipeline-{name}")
-    return docs
+    """All stages; each stage's result is written before the next one reads it, as that reads it more than once.
+
+    What a stage wrote for itself is deleted at its end, its input once its result stands.
+    """
+    docs, before = read(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        keep = []
+        with scratch(keep=keep):
+            keep.append(written(stage(spark, docs, sf_dir), f"pipeline-{name}"))
+        if before is not None:
+            discard(before)
+        docs = before = keep[0]
+    return STAGES[-1][1](spark, docs, sf_dir)
