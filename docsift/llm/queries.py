@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators and their oracle SQL."""
 
-from docsift.llm import ann, bpe, language, mixing, packing, secret_scan, simhash, suffix_dedup, topk, toxicity
+from docsift.llm import ann, bpe, language, mixing, packing, pieces, secret_scan, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
     "op1_packed_ids": packing.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_topk_inner_product": topk.op8,
     "op9_ann_int8_tiles": ann.op9,
     "op10_simhash_near_dedup": simhash.op10,
+    "op11_sentencepiece": pieces.op11,
 }
 
 # The others are not expressible in SQL (hash functions, trained models, byte-pair merges); tests hold them against brute force.
