@@ -1,6 +1,6 @@
 """Registered queries of the training-data operators and their oracle SQL."""
 
-from docsift.llm import ann, bpe, language, mixing, packing, pieces, ranked, secret_scan, simhash, suffix_dedup, topk, toxicity
+from docsift.llm import ann, bpe, collocations, language, mixing, packing, pieces, ranked, secret_scan, simhash, suffix_dedup, topk, toxicity
 
 QUERIES = {
     "op1_packed_ids": packing.op1,
@@ -15,10 +15,12 @@ QUERIES = {
     "op10_simhash_near_dedup": simhash.op10,
     "op11_sentencepiece": pieces.op11,
     "op12_ranked_search": ranked.op12,
+    "op13_collocations": collocations.op13,
 }
 
 # The others are not expressible in SQL (hash functions, trained models, byte-pair merges); tests hold them against brute force.
 SQL = {
+    "op13_collocations": collocations.OP13_SQL,
     "op12_ranked_search": ranked.OP12_SQL,
     "op2_suffix_dedup": suffix_dedup.OP2_SQL,
     "op3_mix_sources": mixing.OP3_SQL,
