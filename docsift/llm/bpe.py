@@ -39,9 +39,8 @@ from pyspark.sql import functions as F
 
 BLOCK_CHARS = 16 << 20  # text of a block
 PART_BYTES = 32 << 20  # text per part of the word shuffle
-MAX_PARTS = 16384
 _STREAM = 1 << 20  # longer texts are split match by match
-_SLICE = 1 << 19  # positions replaced at once
+_SLICE = 1 << 18  # positions replaced at once
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -142,12 +141,12 @@ def _split(docs: DataFrame, pattern: str, parts: int, block_chars: int) -> DataF
             by_count = np.argsort(-np.bincount(at, minlength=len(words)), kind="stable")
             rank = np.empty(len(words), np.uint32)
             rank[by_count] = np.arange(len(words), dtype=np.uint32)
-            of = np.fromiter((xxhash.xxh64_intdigest(words[i]) % parts for i in by_count), np.uint16, len(words))
+            of = np.fromiter((xxhash.xxh64_intdigest(words[i]) % parts for i in by_count), np.uint32, len(words))
             order = np.argsort(of, kind="stable")
-            cut = np.searchsorted(of[order], np.arange(parts + 1))
+            first = np.flatnonzero(np.diff(of[order], prepend=np.uint32(parts)))
             dealt, payload = [], []
-            for p in np.flatnonzero(np.diff(cut)):
-                own = [words[by_count[j]] for j in order[cut[p]:cut[p + 1]]]
+            for p, places in zip(of[order][first], np.split(order, first[1:]) if len(first) else []):
+                own = [words[by_count[j]] for j in places]
                 lens = np.fromiter(map(len, own), np.uint32, len(own))
                 dealt.append(int(p))
                 payload.append(len(own).to_bytes(4, "little") + zstandard.ZstdCompressor(level=3).compress(
@@ -161,8 +160,8 @@ def _split(docs: DataFrame, pattern: str, parts: int, block_chars: int) -> DataF
 
         for b in batches:
             kind = b.column("doc_id").type
-            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                t = t or ""
+            for i, t in zip(b.column("doc_id"), b.column("text")):
+                i, t = i.as_py(), t.as_py() or ""
                 if ids and chars + len(t) > block_chars:
                     yield from rows()
                     number, idx, ids, counts, chars, block = _numbers(), array("I"), [], [], 0, block + 1
@@ -229,15 +228,15 @@ def _binary(data: np.ndarray, stops: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(stops), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def _assemble(rows: DataFrame, id_type) -> DataFrame:
-    """Rows sorted by (block, part), positions first, to (doc_id, n_tokens, ids)."""
+def _assembler():
+    """Of batches of rows sorted by (block, part), positions first: batches of (doc_id, n_tokens, ids)."""
 
     def put(head: dict, ids: list[bytes], kind) -> Iterator[pa.RecordBatch]:
         counts = np.array(head["counts"], np.int64)
         raw = zstandard.ZstdDecompressor().decompress(head["idx"])
         at = _planes(raw, np.uint32, len(raw) // 4)
         raw = zstandard.ZstdDecompressor().decompress(head["of"])
-        order = np.argsort(_planes(raw, np.uint16, len(raw) // 2), kind="stable")
+        order = np.argsort(_planes(raw, np.uint32, len(raw) // 4), kind="stable")
         lens, flat = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
         for x in ids:
             n, m = int.from_bytes(x[:4], "little"), int.from_bytes(x[4:12], "little")
@@ -276,37 +275,40 @@ def _assemble(rows: DataFrame, id_type) -> DataFrame:
         if head:
             yield from put(head, ids, kind)
 
-    return rows.mapInArrow(run, f"doc_id {id_type.simpleString()}, n_tokens bigint, ids binary")
+    return run
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers) of every row's whole text."""
+def _encoded_blocks(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int) -> DataFrame:
+    """Rows (block, part, ids, idx, of, doc_ids, counts), for ``_assembler``."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = min(MAX_PARTS, max(shuffles, -(-size // PART_BYTES)))
+    parts = max(shuffles, -(-size // PART_BYTES))
     split = _split(docs, pattern, parts, block_chars)
     # words by part; positions of a block (part -1) to any one
     deal = F.when(F.col("part") >= 0, F.col("part")).otherwise(F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int"))
-    ids = _encode_words(split.repartition(parts, deal).sortWithinPartitions("part"), spark.sparkContext.broadcast(ranks))
-    both = ids.repartition(max(shuffles, -(-size // block_chars)), "block").sortWithinPartitions("block", "part")
-    return _assemble(both, docs.schema["doc_id"].dataType)
+    ids = _encode_words(split.repartitionById(parts, deal).sortWithinPartitions("part"), spark.sparkContext.broadcast(ranks))
+    return ids.repartition(max(shuffles, -(-size // block_chars)), "block").sortWithinPartitions("block", "part")
 
 
-def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """``encoded`` with the column ``decoded`` (replacing one of that name): the bytes of the tokens in ``ids``."""
-    encoded = encoded.drop("decoded")
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers) of every row's whole text."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _encoded_blocks(docs, ranks, pattern, block_chars).mapInArrow(_assembler(), f"doc_id {kind}, n_tokens bigint, ids binary")
+
+
+def _decoder(spark, ranks: dict[bytes, int]):
+    """Of batches with a column ``ids``: the same with a last column ``decoded``."""
     tokens = sorted((i, t) for t, i in ranks.items())
     length = np.zeros(tokens[-1][0] + 1 if tokens else 0, np.int64)
     length[[i for i, _ in tokens]] = [len(t) for _, t in tokens]
-    shared = encoded.sparkSession.sparkContext.broadcast((b"".join(t for _, t in tokens), length))
-    at = encoded.columns.index("ids")
+    shared = spark.sparkContext.broadcast((b"".join(t for _, t in tokens), length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, length = shared.value
         flat, start = np.frombuffer(raw, np.uint8), np.cumsum(length) - length
         for b in batches:
-            lo = 0
+            lo, at = 0, b.schema.get_field_index("ids")
             while lo < b.num_rows:  # about _SLICE ids at a time
                 hi, held, parts = lo, 0, []
                 while hi < b.num_rows and (hi == lo or held < _SLICE):
@@ -322,13 +324,23 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
                                                  names=[*b.schema.names, "decoded"])
                 lo = hi
 
-    return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary")
+    return run
+
+
+def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """``encoded`` with the column ``decoded`` (replacing one of that name): the bytes of the tokens in ``ids``."""
+    encoded = encoded.drop("decoded")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary"
+    return encoded.mapInArrow(_decoder(encoded.sparkSession, ranks), schema)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids and the digests of the ids and of the decoded bytes."""
     ranks = load_ranks(path)
-    out = decode(encode(docs, ranks, pattern), ranks)
+    blocks, assemble, decoded = _encoded_blocks(docs, ranks, pattern, BLOCK_CHARS), _assembler(), _decoder(docs.sparkSession, ranks)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    # one Python worker does both
+    out = blocks.mapInArrow(lambda batches: decoded(assemble(batches)), f"doc_id {kind}, n_tokens bigint, ids binary, decoded binary")
     return out.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

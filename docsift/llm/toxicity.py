@@ -112,7 +112,8 @@ def ftrl(rows: list[tuple[np.ndarray, int]], bits: int, alpha: float, beta: floa
             sigma = (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / alpha
             z[i] += g - sigma * w
             n[i] += g * g
-    return weights(np.arange((1 << bits) + 1))
+    size = (1 << bits) + 1
+    return np.concatenate([weights(np.arange(lo, min(size, lo + (1 << 16)))) for lo in range(0, size, 1 << 16)])
 
 
 def train(docs: DataFrame, labels: DataFrame, bits: int = 22, per_class: int = 4000, negatives: int = 2, shards: int = 1,
@@ -130,11 +131,12 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 22, per_class: int = 4
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             slots = []
-            for lo, part in blocks(b.column("text").to_pylist()):
-                doc, slot = features(part, bits)
-                both = np.unique(doc << bits | slot)
-                cut = np.searchsorted(both, np.arange(1, len(part)) << bits)
-                slots += [(x & ((1 << bits) - 1)).astype(np.int32).tobytes() for x in np.split(both, cut)]
+            for at in range(0, b.num_rows, _ROWS):
+                for _, part in blocks(b.column("text").slice(at, _ROWS).to_pylist()):
+                    doc, slot = features(part, bits)
+                    both = np.unique(doc << bits | slot)
+                    cut = np.searchsorted(both, np.arange(1, len(part)) << bits)
+                    slots += [(x & ((1 << bits) - 1)).astype(np.int32).tobytes() for x in np.split(both, cut)]
             yield pa.RecordBatch.from_arrays([b.column("h"), b.column("label"), pa.array(slots, pa.binary())], names=["h", "label", "slots"])
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
