@@ -7,45 +7,64 @@ the caller writes them (e.g. Parquet into a new folder).
 
 Bulk actions (one row each):
 
-=============== ===============================================================
-``seq``          bigint, unique; the order of the request
-``op``           ``index`` | ``create`` | ``update`` | ``delete``
-``id``           document id
-``doc``          struct of document fields (update: partial, null = unset)
-``upsert``       struct, update only: document to create when missing
-``doc_as_upsert``boolean, update only: create from ``doc`` when missing
-``version``      bigint, with ``version_type`` ``external`` (>) / ``external_gte`` (>=)
-``if_seq_no``    bigint, with ``if_primary_term``: write only if the document
-                 still has these (checked against the stored document)
-=============== ===============================================================
-
-Semantics follow sequential application per id (an action sees the effect of
-the earlier ones), computed without putting a key's actions in one task:
-versions and conditions via segmented prefix scans (``scan.prefix_max``), the
-final document via one grouped aggregate of ``max(struct(...))`` values.
+=================== ===========================================================
+``seq``              bigint, unique; the order of the request
+``op``               ``index`` | ``create`` | ``update`` | ``delete``
+``id``               document id
+``doc``              struct of document fields (update: partial, null = unset;
+                     structs inside are merged field by field)
+``upsert``           struct, update only: document to create when missing
+``doc_as_upsert``    boolean, update only: create from ``doc`` when missing
+``detect_noop``      boolean (default true): an update by ``doc`` that changes
+                     nothing is a noop
+``script``           update only: name of one of the request's ``scripts``,
+                     applied to the document instead of ``doc``
+``params``           struct, read by the script as ``params.<field>``
+``scripted_upsert``  boolean: the script also runs when the document is missing,
+                     on ``upsert`` (or a document of nulls)
+``version``          bigint, with ``version_type`` ``external`` (>) / ``external_gte`` (>=)
+``if_seq_no``        bigint, with ``if_primary_term``: write only if the stored
+                     document has these and the request has not written it yet
+=================== ===========================================================
+
+Actions apply in order per id; each sees the effect of the earlier ones.  An
+action is a transition of the id's state (live, version, document): a failed one
+(``conflict``, ``not_found``) and a ``noop`` change nothing, a plain write adds
+one to the version, a versioned one sets it, and a deleted document's version
+stays behind for the actions after it.
+
+The transition is one expression, folded over an id's actions in the JVM
+(``aggregate``).  An id's actions are shuffled once; the base table is only read
+where an id matches.  At most ``chunk`` actions of an id meet in a row: a hotter
+id takes several rounds, each of which folds the next ``chunk`` actions of all such
+ids in parallel and writes their states.  Scripts may do anything with a
+document, so an id's actions have no shorter way than one after the other.
 
 Statuses: ``created``, ``updated``, ``deleted``, ``noop``, ``not_found``,
-``conflict``.  ``noop`` (detect_noop) is decided for an update that is the
-first effective action on its id, against the stored document.
+``conflict``.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsift.functions.scripts import as_script
+from docsift.functions.scripts import Script, as_script
 from docsift.operators.query import Ctx, Query
-from docsift.operators.scan import prefix_max
+from docsift.session import stored
 
 __all__ = ["BulkResult", "bulk", "update_by_query", "delete_by_query", "ACTION_COLUMNS"]
 
-ACTION_COLUMNS = ("seq", "op", "id", "doc", "upsert", "doc_as_upsert", "version", "version_type", "if_seq_no", "if_primary_term")
+ACTION_COLUMNS = ("seq", "op", "id", "doc", "upsert", "doc_as_upsert", "detect_noop", "script", "params", "scripted_upsert", "version",
+                  "version_type", "if_seq_no", "if_primary_term")
+CHUNK = 4096
 _META = ("_version", "_seq_no", "_primary_term")
+_BLOCK = 1 << 20  # consecutive values of seq in which an id's actions are numbered
 
 
 @dataclass
@@ -57,129 +76,168 @@ class BulkResult:
 def _normalize_actions(actions: DataFrame, doc_type: T.StructType) -> DataFrame:
     cols = set(actions.columns)
 
-    def opt(name: str, t: str) -> Column:
-        return F.col(name) if name in cols else F.lit(None).cast(t)
+    def opt(name: str, t) -> Column:
+        return (F.col(name) if name in cols else F.lit(None)).cast(t)
 
     return actions.select(
-        F.col("seq").cast("long").alias("seq"), F.lower(F.col("op")).alias("op"), F.col("id"),
-        opt("doc", doc_type.simpleString()).alias("doc"), opt("upsert", doc_type.simpleString()).alias("upsert"),
-        F.coalesce(opt("doc_as_upsert", "boolean"), F.lit(False)).alias("doc_as_upsert"),
-        opt("version", "long").alias("version"), opt("version_type", "string").alias("version_type"),
-        opt("if_seq_no", "long").alias("if_seq_no"), opt("if_primary_term", "long").alias("if_primary_term"),
-        F.coalesce(opt("detect_noop", "boolean"), F.lit(True)).alias("detect_noop"),
-    )
+        "id", F.struct(
+            F.col("seq").cast("long").alias("seq"), F.lower(F.col("op")).alias("op"), opt("doc", doc_type).alias("doc"), opt("upsert", doc_type).alias("upsert"),
+            F.coalesce(opt("doc_as_upsert", "boolean"), F.lit(False)).alias("doc_as_upsert"),
+            F.coalesce(opt("detect_noop", "boolean"), F.lit(True)).alias("detect_noop"),
+            opt("script", "string").alias("script"), (F.col("params") if "params" in cols else F.lit(None).cast("string")).alias("params"),
+            F.coalesce(opt("scripted_upsert", "boolean"), F.lit(False)).alias("scripted_upsert"),
+            opt("version", "long").alias("version"), opt("version_type", "string").alias("version_type"),
+            opt("if_seq_no", "long").alias("if_seq_no"), opt("if_primary_term", "long").alias("if_primary_term")).alias("a"))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _struct(fields: list[tuple[str, str]]) -> str:
+    return "named_struct(" + ", ".join(f"{_text(n)}, {v}" for n, v in fields) + ")"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``."""
+    return f"transform(array({value}), {_quoted(name)} -> {body})[0]"
+
+
+def _merged(old: str, patch: str, kind: T.DataType) -> str:
+    """SQL of the old value with what the patch sets; structs field by field."""
+    if not isinstance(kind, T.StructType):
+        return f"coalesce({patch}, {old})"
+    both = _struct([(f.name, _merged(f"{old}.{_quoted(f.name)}", f"{patch}.{_quoted(f.name)}", f.dataType)) for f in kind.fields])
+    return f"CASE WHEN {patch} IS NULL THEN {old} WHEN {old} IS NULL THEN {patch} ELSE {both} END"
+
 
+def _scripted(script: dict, doc: str, doc_type: T.StructType) -> str:
+    """SQL of (doc, op) after a script: expressions for fields, and ``_op`` (``index`` | ``none`` | ``delete``)."""
+    unknown = set(script) - {f.name for f in doc_type.fields} - {"_op"}
+    if unknown:
+        raise ValueError(f"a script sets unknown fields: {sorted(unknown)}")
+    sql = {k: v.sql() if isinstance(v, Script) else v for k, v in script.items()}
+    own = _struct([(f.name, f"CAST(({sql[f.name]}) AS {f.dataType.simpleString()})" if f.name in sql else f"{doc}.{_quoted(f.name)}") for f in doc_type.fields])
+    body = _struct([("doc", own), ("op", f"CAST(({sql['_op']}) AS STRING)" if "_op" in sql else "'index'")])
+    used = " ".join(sql.values())
+    for f in doc_type.fields:  # the fields that the script names stand for the document's
+        if re.search(rf"(?<!\w){re.escape(f.name)}(?!\w)", used):
+            body = _let(f.name, f"{doc}.{_quoted(f.name)}", body)
+    return _let("params", "a.params", body) if re.search(r"(?<!\w)params(?!\w)", used) else body
 
-def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = None) -> BulkResult:
+
+def _transition(doc_type: T.StructType, scripts: dict[str, dict]) -> str:
+    """SQL of the state after action ``a`` in state ``s``."""
+    external = ("a.version_type IS NULL OR s.version IS NULL AND a.version IS NOT NULL OR (a.version_type = 'external' AND a.version > s.version)"
+                " OR (a.version_type = 'external_gte' AND a.version >= s.version)")
+    numbered = "a.if_seq_no IS NULL OR (s.live AND s.writes = 0 AND a.if_seq_no = s.seq_no AND a.if_primary_term <=> s.term)"
+    nothing = f"CAST(NULL AS {doc_type.simpleString()})"
+    start = f"CASE WHEN s.live THEN s.doc WHEN a.upsert IS NOT NULL THEN a.upsert ELSE {_struct([(f.name, f'CAST(NULL AS {f.dataType.simpleString()})') for f in doc_type.fields])} END"
+    none = _struct([("doc", nothing), ("op", "CAST(NULL AS STRING)")])
+    if scripts:
+        cases = " ".join(f"WHEN a.script = {_text(name)} THEN {_scripted(script, 'old', doc_type)}" for name, script in scripts.items())
+        run = _let("old", start, f"CASE {cases} ELSE {none} END")
+        run = f"CASE WHEN a.op = 'update' AND a.script IS NOT NULL AND (s.live OR a.scripted_upsert) THEN {run} ELSE {none} END"
+    else:
+        run = none
+    known = "a.script IN (" + ", ".join(map(_text, scripts)) + ")" if scripts else "false"
+    names = {f.name for f in doc_type.fields}
+    merged = _merged("s.doc", "a.doc", doc_type) if names else "s.doc"
+    made = (f"CASE WHEN a.op IN ('index', 'create') THEN a.doc WHEN a.op <> 'update' THEN {nothing} WHEN a.script IS NOT NULL AND (s.live OR a.scripted_upsert)"
+            f" THEN run.doc WHEN s.live THEN {merged} WHEN a.doc_as_upsert THEN a.doc ELSE a.upsert END")
+    status = ("CASE WHEN NOT ok THEN 'conflict' WHEN a.op = 'index' THEN IF(s.live, 'updated', 'created') WHEN a.op = 'create' THEN IF(s.live, 'conflict', 'created')"
+              " WHEN a.op = 'delete' THEN IF(s.live, 'deleted', 'not_found') WHEN a.op = 'update' THEN"
+              f" CASE WHEN a.script IS NOT NULL AND NOT {known} THEN 'conflict'"
+              "  WHEN a.script IS NOT NULL AND (s.live OR a.scripted_upsert) THEN CASE WHEN run.op = 'delete' THEN IF(s.live, 'deleted', 'noop')"
+              "   WHEN run.op IN ('none', 'noop') THEN 'noop' ELSE IF(s.live, 'updated', 'created') END"
+              "  WHEN s.live THEN IF(a.detect_noop AND made <=> s.doc, 'noop', 'updated')"
+              "  WHEN a.upsert IS NOT NULL OR a.doc_as_upsert THEN 'created' ELSE 'not_found' END ELSE 'conflict' END")
+    reason = ("CASE WHEN NOT ok THEN 'version_conflict' WHEN a.op IS NULL OR a.op NOT IN ('index', 'create', 'update', 'delete') THEN 'unknown_op'"
+              f" WHEN a.op = 'update' AND a.script IS NOT NULL AND NOT {known} THEN 'unknown_script'"
+              " WHEN status = 'conflict' THEN 'document_exists' WHEN status = 'not_found' THEN 'document_missing' END")
+    wrote = "status IN ('created', 'updated', 'deleted')"
+    after = _struct([
+        ("live", f"CASE WHEN status IN ('created', 'updated') THEN true WHEN status = 'deleted' THEN false ELSE s.live END"),
+        ("version", f"CASE WHEN NOT {wrote} THEN s.version WHEN a.version_type IS NOT NULL THEN a.version ELSE coalesce(s.version, 0) + 1 END"),
+        ("seq_no", f"IF({wrote}, a.seq, s.seq_no)"), ("term", f"IF({wrote}, coalesce(s.term, 1L), s.term)"),
+        ("writes", f"s.writes + IF({wrote}, 1L, 0L)"),
+        ("doc", f"CASE WHEN status IN ('created', 'updated') THEN made WHEN status = 'deleted' THEN {nothing} ELSE s.doc END"),
+        ("items", f"concat(s.items, array({_struct([('seq', 'a.seq'), ('op', 'a.op'), ('status', 'status'), ('reason', reason)])}))")])
+    return _let("ok", f"coalesce({external}, false) AND coalesce({numbered}, false)", _let("run", run, _let("made", made, _let("status", status, after))))
+
+
+def _folded(actions: DataFrame, states: DataFrame, kind: T.StructType, step: str) -> DataFrame:
+    """(id, state): each id's state after its actions (id, a), from ``states`` (id, state) where it has one."""
+    acts = actions.groupBy("id").agg(F.collect_list("a").alias("acts"))
+    begin = {"live": F.lit(False), "writes": F.lit(0), "items": F.array()}
+    fresh = F.struct(*[begin.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields])
+    both = acts.join(states, "id", "left").withColumn("state", F.coalesce(F.col("state"), fresh).cast(kind))
+    ordered = "array_sort(acts, (l, r) -> CASE WHEN l.seq < r.seq THEN -1 WHEN l.seq > r.seq THEN 1 ELSE 0 END)"
+    return both.select("id", F.expr(f"aggregate({ordered}, state, (s, a) -> {step})").alias("state"))
+
+
+def _rounds(actions: DataFrame, chunk: int) -> DataFrame:
+    """``actions`` with ``round``: the how-manieth ``chunk`` of its id's actions one belongs to.
+
+    Numbered inside blocks of consecutive ``seq`` values, then by a running sum
+    over the blocks' counts, so a hot id is spread over its blocks.
+    """
+    a = actions.withColumn("block", F.floor(F.col("a.seq") / F.lit(_BLOCK)))
+    inside = F.row_number().over(Window.partitionBy("id", "block").orderBy(F.col("a.seq")))
+    earlier = Window.partitionBy("id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = a.groupBy("id", "block").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("id").alias("of"), F.col("block").alias("at"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    a = a.withColumn("inside", inside).join(sizes, F.col("id").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at")))
+    return a.select("id", "a", F.floor((F.col("before") + F.col("inside") - 1) / F.lit(chunk)).alias("round"))
+
+
+def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = None, scripts: dict[str, dict] | None = None) -> BulkResult:
+    """Apply ``actions`` to ``base``.
+
+    ``scripts``: name -> {field: SQL expression over the document's fields and
+    ``params``, or Script}; the key ``_op`` may give ``index``, ``none`` (noop) or
+    ``delete``.  ``chunk``: actions of an id that are folded in one row.
+    """
     doc_fields = [f for f in base.schema.fields if f.name != id_col and f.name not in _META]
-    doc_type = T.StructType(doc_fields)
+    doc_type = T.StructType([T.StructField(f.name, f.dataType) for f in doc_fields])
     names = [f.name for f in doc_fields]
-    meta = {m: (F.col(m) if m in base.columns else F.lit(None).cast("long")) for m in _META}
-    b = base.select(F.col(id_col).alias("id"), F.struct(*names).alias("__bdoc"), meta["_version"].alias("__bver"),
-                    meta["_seq_no"].alias("__bseq"), meta["_primary_term"].alias("__bterm"), F.lit(True).alias("__bexists"))
+    chunk = chunk or CHUNK
+    item = T.StructType([T.StructField("seq", T.LongType())] + [T.StructField(n, T.StringType()) for n in ("op", "status", "reason")])
+    kind = T.StructType([T.StructField("live", T.BooleanType()), *(T.StructField(n, T.LongType()) for n in ("version", "seq_no", "term", "writes")),
+                         T.StructField("doc", doc_type), T.StructField("items", T.ArrayType(item))])
+    step = _transition(doc_type, scripts or {})
     a = _normalize_actions(actions, doc_type)
-    a = a.join(b, "id", "left").withColumn("__bexists", F.coalesce("__bexists", F.lit(False)))
-    kw = {} if chunk is None else {"chunk": chunk}
-
-    # ---- scan 1: versions and seq_no conditions (skipped when the request has neither)
-    versioned = F.col("version_type").isNotNull()
-    cond = F.col("if_seq_no").isNotNull()
-    if not ({"version_type", "if_seq_no"} & set(actions.columns)):
-        a = a.withColumn("__ok", F.lit(True))
+    meta = {m: (F.col(m) if m in base.columns else F.lit(None)).cast("long") for m in _META}
+    state = F.struct(F.lit(True).alias("live"), meta["_version"].alias("version"), meta["_seq_no"].alias("seq_no"), meta["_primary_term"].alias("term"),
+                     F.lit(0).cast("long").alias("writes"), F.struct(*names).cast(doc_type).alias("doc"), F.array().cast(T.ArrayType(item)).alias("items"))
+    # only rows that an action names are folded; few ids are broadcast, by Spark's own size check
+    named = base.withColumn("id", F.col(id_col)).join(a.select("id").distinct(), "id", "left_semi").select("id", state.cast(kind).alias("state"))
+    most = a.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= chunk:
+        done = _folded(a, named, kind, step)
+        items = done
     else:
-        matches = cond & (F.col("if_seq_no") == F.col("__bseq")) & (F.col("if_primary_term").eqNullSafe(F.col("__bterm")))
-        a = prefix_max(a, ["id"], "seq", {
-            "__pv": F.when(versioned, F.col("version")),
-            "__p_uncond": F.when(~cond, F.col("seq")),
-            "__p_match": F.when(matches, F.col("seq")),
-        }, **kw)
-        cur_v = F.when(F.col("__pv").isNull(), F.col("__bver")).when(F.col("__bver").isNull(), F.col("__pv")).otherwise(
-            F.greatest("__pv", "__bver"))
-        vt = F.col("version_type")
-        ok_version = (~versioned) | cur_v.isNull() | ((vt == "external") & (F.col("version") > cur_v)) | (
-            (vt == "external_gte") & (F.col("version") >= cur_v))
-        ok_seq = (~cond) | (matches & F.col("__p_uncond").isNull() & F.col("__p_match").isNull())
-        a = a.withColumn("__ok", F.coalesce(ok_version & ok_seq, F.lit(False)))
-
-    # ---- scan 2: existence before each action (effective actions only)
-    is_abs = F.col("op").isin("index", "delete")
-    creator = (F.col("op") == "create") | ((F.col("op") == "update") & (F.col("upsert").isNotNull() | F.col("doc_as_upsert")))
-    a = prefix_max(a, ["id"], "seq", {
-        "__p_abs": F.when(F.col("__ok") & is_abs, F.struct(F.col("seq").alias("s"), F.col("op").alias("op"))),
-        "__p_cre": F.when(F.col("__ok") & creator, F.col("seq")),
-        "__p_eff": F.when(F.col("__ok"), F.col("seq")),
-    }, **kw)
-    pa = F.col("__p_abs")
-    exists_before = (F.when(pa.isNull(), F.col("__bexists") | F.col("__p_cre").isNotNull())
-                     .when(pa["op"] == "index", F.lit(True))
-                     .otherwise(F.coalesce(F.col("__p_cre") > pa["s"], F.lit(False))))
-    a = a.withColumn("__exists", exists_before)
-
-    op, ex = F.col("op"), F.col("__exists")
-    status = (F.when(~F.col("__ok"), F.lit("conflict"))
-              .when(op == "index", F.when(ex, F.lit("updated")).otherwise(F.lit("created")))
-              .when(op == "create", F.when(ex, F.lit("conflict")).otherwise(F.lit("created")))
-              .when(op == "delete", F.when(ex, F.lit("deleted")).otherwise(F.lit("not_found")))
-              .when(op == "update", F.when(ex, F.lit("updated"))
-                    .when(F.col("upsert").isNotNull() | F.col("doc_as_upsert"), F.lit("created")).otherwise(F.lit("not_found")))
-              .otherwise(F.lit("conflict")))
-    reason = (F.when(~F.col("__ok"), F.lit("version_conflict"))
-              .when((op == "create") & ex, F.lit("document_exists"))
-              .when(op.isin("update", "delete") & ~ex & ~(creator & (op == "update")), F.lit("document_missing"))
-              .when(~op.isin("index", "create", "update", "delete"), F.lit("unknown_op")))
-    a = a.withColumn("status", status).withColumn("reason", reason)
-    # ---- final state per id: one aggregate
-    st = F.col("status")
-    establishing = ((op == "index") & st.isin("created", "updated")) | (st == "created") | (st == "deleted")
-    doc0 = (F.when(op.isin("index", "create"), F.col("doc"))
-            .when(op == "update", F.when(F.col("doc_as_upsert"), F.col("doc")).otherwise(F.col("upsert"))))
-    kind = F.when(st == "deleted", F.lit("deleted")).otherwise(F.lit("live"))
-    upd0 = (op == "update") & (st == "updated")
-    # ---- scan 3: the document before each action -- the last establishing document and the last value set per field
-    before = {"__p_est": F.when(establishing, F.struct(F.col("seq").alias("s"), doc0.alias("doc")))}
-    before |= {f"__p_set_{n}": F.when(upd0 & F.col("doc")[n].isNotNull(), F.struct(F.col("seq").alias("s"), F.col("doc")[n].alias("v"))) for n in names}
-    a = prefix_max(a, ["id"], "seq", before, **kw)
-    est = F.col("__p_est")
-    unchanged = F.lit(True)
-    for n in names:
-        last = F.col(f"__p_set_{n}")
-        fresh = last.isNotNull() & (est.isNull() | (last["s"] > est["s"]))
-        current = F.when(fresh, last["v"]).when(est.isNotNull(), est["doc"][n]).otherwise(F.col("__bdoc")[n])
-        unchanged = unchanged & (F.col("doc")[n].isNull() | F.col("doc")[n].eqNullSafe(current))
-    a = a.withColumn("status", F.when(upd0 & F.col("detect_noop") & unchanged, F.lit("noop")).otherwise(st))
-    a = a.drop(*[f"__p_set_{n}" for n in names])
-    items = a.select("seq", "id", "op", "status", "reason")
-    est_incl = F.when(establishing, F.col("seq")).otherwise(F.col("__p_est")["s"])
-    upd = (op == "update") & (st == "updated")
-    aggs = [F.max(F.when(establishing, F.struct(F.col("seq").alias("s"), kind.alias("kind"), doc0.alias("doc")))).alias("__E"),
-            F.max(F.when(F.col("__ok") & versioned & st.isin("created", "updated", "deleted"), F.col("version"))).alias("__nv"),
-            F.count_if(st.isin("created", "updated", "deleted")).alias("__nw"),
-            F.max(F.when(st.isin("created", "updated", "deleted"), F.col("seq"))).alias("__lseq"),
-            F.first("__bdoc", ignorenulls=True).alias("__bdoc"), F.first("__bver", ignorenulls=True).alias("__bver"),
-            F.first("__bterm", ignorenulls=True).alias("__bterm"), F.max("__bexists").alias("__bexists")]
-    for n in names:
-        aggs.append(F.max(F.when(upd & F.col("doc")[n].isNotNull(),
-                                 F.struct(est_incl.alias("e"), F.col("seq").alias("s"), F.col("doc")[n].alias("v")))).alias(f"__P_{n}"))
-    g = a.groupBy("id").agg(*aggs)
-    E = F.col("__E")
-    fields = []
-    for f in doc_fields:
-        n = f.name
-        P = F.col(f"__P_{n}")
-        applies = P.isNotNull() & (P["e"].eqNullSafe(E["s"]))
-        fallback = F.when(E.isNotNull(), E["doc"][n]).otherwise(F.col("__bdoc")[n])
-        fields.append(F.when(applies, P["v"]).otherwise(fallback).cast(f.dataType).alias(n))
-    alive = F.when(E.isNull(), F.col("__bexists")).otherwise(E["kind"] == "live")
-    new_ver = F.coalesce(F.col("__nv"), F.coalesce(F.col("__bver"), F.lit(0)) + F.col("__nw"))
-    touched = g.select(F.col("id").alias(id_col), alive.alias("__alive"), F.col("__nw"), *fields,
-                       new_ver.cast("long").alias("_version"), F.col("__lseq").alias("_seq_no"),
-                       F.coalesce(F.col("__bterm"), F.lit(1)).cast("long").alias("_primary_term"))
-    touched = touched.filter(F.col("__nw") > 0)
-    keep_meta = [m for m in _META if m in base.columns]
-    untouched = base.join(touched.select(id_col), id_col, "left_anti")
-    new_rows = touched.filter("__alive").select(id_col, *names, *keep_meta)
-    table = untouched.select(id_col, *names, *keep_meta).unionByName(new_rows)
-    return BulkResult(table=table.select(*base.columns), items=items)
+        a, rounds, parts, states = stored(_rounds(a, chunk), "bulk-actions"), -(-most // chunk), [], named
+        again = a.groupBy("id").agg(F.max("round").alias("last"))
+        for r in range(rounds):
+            part = stored(_folded(a.where(F.col("round") == r).select("id", "a"), states, kind, step), "bulk-states")
+            parts.append(part)
+            states = part.select("id", F.col("state").withField("items", F.array().cast(T.ArrayType(item))).alias("state"))
+        items = parts[0].select("id", "state", F.lit(0).alias("round"))
+        for r, part in enumerate(parts[1:], 1):
+            items = items.unionByName(part.select("id", "state", F.lit(r).alias("round")))
+        done = items.join(again.select(F.col("id").alias("of"), "last"), F.col("id").eqNullSafe(F.col("of")) & (F.col("round") == F.col("last"))).select("id", "state")
+    items = items.select("id", F.explode("state.items").alias("i")).select("i.seq", "id", "i.op", "i.status", "i.reason")
+    changed = done.where(F.col("state.writes") > 0)
+    kept_meta = {"_version": F.col("state.version"), "_seq_no": F.col("state.seq_no"), "_primary_term": F.col("state.term")}
+    rows = changed.where("state.live").select(
+        F.col("id").cast(base.schema[id_col].dataType).alias(id_col), *(F.col("state.doc")[n].alias(n) for n in names), *(kept_meta[m].alias(m) for m in _META if m in base.columns))
+    untouched = base.join(changed.select(F.col("id").alias(id_col)), id_col, "left_anti")
+    return BulkResult(table=untouched.select(*base.columns).unionByName(rows.select(*base.columns)), items=items)
 
 
 def _assignments(assign: Any) -> dict[str, Column]:

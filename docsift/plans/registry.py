@@ -1246,87 +1246,121 @@ def r16_hybrid(spark, sf):
 
 from docsift.operators import writes as WR  # noqa: E402
 
-def _act_sql(versioned: bool) -> str:
-    """Oracle for bulk outcomes: plain per-id windows in action order."""
-    if versioned:
-        okv = """, v AS (SELECT *, max(version) OVER (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pv
-                   FROM a0),
-a AS (SELECT *, pv IS NULL OR (vtype = 'external' AND version > pv) OR (vtype = 'external_gte' AND version >= pv) AS ok FROM v)"""
-    else:
-        okv = """, a AS (SELECT *, true AS ok FROM a0)"""
-    return """
-base AS (SELECT c_custkey AS id, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer),
+def _bulk_sql(extra: str = "", ids: int = 1000, version: str = "NULL::BIGINT") -> str:
+    """Oracle for bulk requests: a recursive fold over each id's actions.
+
+    ``extra`` gives the actions' vtype, version, script, n and scripted_upsert,
+    where they have them; ``version`` the stored documents' versions.
+    """
+    extra = extra or "NULL::VARCHAR AS vtype, NULL::BIGINT AS version, NULL::VARCHAR AS script, 0 AS n, false AS scripted_upsert"
+    return f"""
+base AS (SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, c_acctbal AS bal, c_mktsegment AS seg, {version} AS version FROM customer),
 act AS (SELECT c_custkey AS seq,
     CASE WHEN c_custkey % 7 = 0 THEN 'delete' WHEN c_custkey % 7 = 1 THEN 'create' WHEN c_custkey % 7 <= 3 THEN 'update' ELSE 'index' END AS op,
-    c_custkey % 1000 + CASE WHEN c_custkey % 3 = 0 THEN 5000000 ELSE 0 END AS id,
+    c_custkey % {ids} + CASE WHEN c_custkey % 3 = 0 THEN 5000000 ELSE 0 END AS id,
     c_name AS d_name, c_nationkey AS d_nation, c_acctbal AS d_bal, c_mktsegment AS d_seg,
     c_acctbal + 1 AS u_bal, CASE WHEN c_custkey % 2 = 0 THEN 'UPDATED' END AS u_seg,
-    c_custkey % 5 = 0 AS has_upsert, c_custkey % 5 = 1 AS doc_as_upsert,
-    (c_custkey * 7919) % 1000 AS version, CASE WHEN c_custkey % 2 = 0 THEN 'external' ELSE 'external_gte' END AS vtype
+    c_custkey % 5 = 0 AS has_upsert, c_custkey % 5 = 1 AS doc_as_upsert, {extra}
   FROM customer),
-a0 AS (SELECT act.*, b.id IS NOT NULL AS bexists, b.c_name AS b_name, b.c_nationkey AS b_nation, b.c_acctbal AS b_bal,
-             b.c_mktsegment AS b_seg,
-             op = 'create' OR (op = 'update' AND (has_upsert OR doc_as_upsert)) AS creator
-      FROM act LEFT JOIN base b USING (id))""" + okv + """,
-s AS (SELECT *,
-    max(CASE WHEN ok AND op IN ('index', 'delete') THEN seq END) OVER w AS pabs_seq,
-    last_value(CASE WHEN ok AND op IN ('index', 'delete') THEN op END IGNORE NULLS) OVER w AS pabs_op,
-    max(CASE WHEN ok AND creator THEN seq END) OVER w AS pcre, max(CASE WHEN ok THEN seq END) OVER w AS peff
-  FROM a WINDOW w AS (PARTITION BY id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-e AS (SELECT *, CASE WHEN pabs_op IS NULL THEN bexists OR pcre IS NOT NULL WHEN pabs_op = 'index' THEN true
-                     ELSE coalesce(pcre > pabs_seq, false) END AS ex FROM s),
-items AS (SELECT *, CASE
-    WHEN NOT ok THEN 'conflict'
-    WHEN op = 'index' THEN CASE WHEN ex THEN 'updated' ELSE 'created' END
-    WHEN op = 'create' THEN CASE WHEN ex THEN 'conflict' ELSE 'created' END
-    WHEN op = 'delete' THEN CASE WHEN ex THEN 'deleted' ELSE 'not_found' END
-    ELSE CASE WHEN ex THEN CASE WHEN peff IS NULL AND bexists AND u_bal IS NOT DISTINCT FROM b_bal
-                                     AND (u_seg IS NULL OR u_seg IS NOT DISTINCT FROM b_seg) THEN 'noop' ELSE 'updated' END
-              WHEN has_upsert OR doc_as_upsert THEN 'created' ELSE 'not_found' END END AS status
-  FROM e)"""
-
-
-_ACT_SQL = _act_sql(False)
-
-
-@reg("w6_bulk_items", "WITH " + _ACT_SQL.strip() + """
-SELECT seq, id, op, status FROM items""")
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS rn FROM act),
+f AS (
+  SELECT i.id, 0::BIGINT AS rn, NULL::BIGINT AS seq, NULL::VARCHAR AS op, NULL::VARCHAR AS status, b.id IS NOT NULL AS live, b.version AS ver,
+         b.name, b.nation, b.bal, b.seg, 0::BIGINT AS writes
+  FROM (SELECT DISTINCT id FROM act) i LEFT JOIN base b USING (id)
+  UNION ALL
+  SELECT id, rn, seq, op, status, CASE WHEN status IN ('created', 'updated') THEN true WHEN status = 'deleted' THEN false ELSE live END,
+         CASE WHEN NOT wrote THEN ver WHEN vtype IS NOT NULL THEN version ELSE coalesce(ver, 0) + 1 END,
+         CASE WHEN wrote THEN n_name ELSE name END, CASE WHEN wrote THEN n_nation ELSE nation END, CASE WHEN wrote THEN n_bal ELSE bal END,
+         CASE WHEN wrote THEN n_seg ELSE seg END, writes + wrote::BIGINT
+  FROM (SELECT *, coalesce(status IN ('created', 'updated', 'deleted'), false) AS wrote FROM (
+    SELECT *, CASE
+        WHEN NOT ok THEN 'conflict'
+        WHEN op = 'index' THEN CASE WHEN live THEN 'updated' ELSE 'created' END
+        WHEN op = 'create' THEN CASE WHEN live THEN 'conflict' ELSE 'created' END
+        WHEN op = 'delete' THEN CASE WHEN live THEN 'deleted' ELSE 'not_found' END
+        WHEN run THEN CASE WHEN asked = 'none' THEN 'noop' WHEN asked = 'delete' THEN CASE WHEN live THEN 'deleted' ELSE 'noop' END
+                           WHEN live THEN 'updated' ELSE 'created' END
+        WHEN live THEN CASE WHEN n_bal IS NOT DISTINCT FROM bal AND n_seg IS NOT DISTINCT FROM seg THEN 'noop' ELSE 'updated' END
+        WHEN has_upsert OR doc_as_upsert THEN 'created' ELSE 'not_found' END AS status
+    FROM (SELECT *,
+        CASE WHEN op <> 'update' THEN d_name WHEN run THEN o_name WHEN live THEN name WHEN doc_as_upsert THEN NULL ELSE 'upserted' END AS n_name,
+        CASE WHEN op <> 'update' THEN d_nation WHEN run THEN o_nation WHEN live THEN nation WHEN doc_as_upsert THEN NULL ELSE 0 END AS n_nation,
+        CASE WHEN op <> 'update' THEN d_bal WHEN run THEN CASE WHEN script = 'add' THEN coalesce(o_bal, 0) + n ELSE o_bal END
+             WHEN live THEN coalesce(u_bal, bal) WHEN doc_as_upsert THEN u_bal ELSE 0.0 END AS n_bal,
+        CASE WHEN op <> 'update' THEN d_seg WHEN run THEN CASE WHEN script = 'tag' THEN concat(coalesce(o_seg, ''), '-', n) ELSE o_seg END
+             WHEN live THEN coalesce(u_seg, seg) WHEN doc_as_upsert THEN u_seg ELSE 'NEW' END AS n_seg,
+        CASE WHEN script = 'tag' AND length(o_seg) > 20 THEN 'none' WHEN script = 'tag' AND n = 6 THEN 'delete' ELSE 'index' END AS asked
+      FROM (SELECT *,
+          CASE WHEN live THEN name WHEN has_upsert THEN 'upserted' END AS o_name, CASE WHEN live THEN nation WHEN has_upsert THEN 0 END AS o_nation,
+          CASE WHEN live THEN bal WHEN has_upsert THEN 0.0 END AS o_bal, CASE WHEN live THEN seg WHEN has_upsert THEN 'NEW' END AS o_seg,
+          op = 'update' AND script IS NOT NULL AND (live OR scripted_upsert) AS run,
+          vtype IS NULL OR ver IS NULL OR (vtype = 'external' AND version > ver) OR (vtype = 'external_gte' AND version >= ver) AS ok
+        FROM (SELECT r.*, f.live, f.ver, f.name, f.nation, f.bal, f.seg, f.writes FROM f JOIN r ON r.id = f.id AND r.rn = f.rn + 1)))))),
+items AS (SELECT seq, id, op, status FROM f WHERE rn > 0),
+fin AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY id ORDER BY rn DESC) = 1),
+tab AS (SELECT id, name, nation, bal, seg, ver FROM fin WHERE writes > 0 AND live
+        UNION ALL SELECT * FROM base WHERE id NOT IN (SELECT id FROM fin WHERE writes > 0))"""
+
+
+@reg("w6_bulk_items", "WITH RECURSIVE " + _bulk_sql().strip() + """
+SELECT * FROM items""")
 def w6_items(spark, sf):
     r = WR.bulk(TB.read(spark, sf, "customer"), TB.customer_actions(spark, sf), "c_custkey")
     return r.items.select("seq", "id", "op", "status")
 
 
-@reg("w1_w4_bulk_table", "WITH " + _ACT_SQL.strip() + """,
-est AS (SELECT id, arg_max({'s': seq, 'kind': CASE WHEN status = 'deleted' THEN 'deleted' ELSE 'live' END,
-          'name': CASE WHEN op = 'update' THEN (CASE WHEN doc_as_upsert THEN NULL ELSE 'upserted' END) ELSE d_name END,
-          'nation': CASE WHEN op = 'update' THEN (CASE WHEN doc_as_upsert THEN NULL ELSE 0 END) ELSE d_nation END,
-          'bal': CASE WHEN op = 'update' THEN (CASE WHEN doc_as_upsert THEN u_bal ELSE 0.0 END) ELSE d_bal END,
-          'seg': CASE WHEN op = 'update' THEN (CASE WHEN doc_as_upsert THEN u_seg ELSE 'NEW' END) ELSE d_seg END}, seq) AS E
-        FROM items WHERE status IN ('created', 'deleted') OR (op = 'index' AND status = 'updated') GROUP BY id),
-upd AS (SELECT i.id, arg_max(u_bal, seq) FILTER (WHERE u_bal IS NOT NULL) AS p_bal, arg_max(u_seg, seq) FILTER (WHERE u_seg IS NOT NULL) AS p_seg
-        FROM items i LEFT JOIN est USING (id) WHERE op = 'update' AND status = 'updated' AND (E IS NULL OR seq > E.s) GROUP BY i.id),
-touched AS (SELECT DISTINCT id FROM items WHERE status IN ('created', 'updated', 'deleted')),
-fin AS (SELECT t.id,
-    CASE WHEN E IS NULL THEN b.id IS NOT NULL ELSE E.kind = 'live' END AS alive,
-    CASE WHEN E IS NULL THEN b.c_name ELSE E.name END AS c_name,
-    CASE WHEN E IS NULL THEN b.c_nationkey ELSE E.nation END AS c_nationkey,
-    coalesce(p_bal, CASE WHEN E IS NULL THEN b.c_acctbal ELSE E.bal END) AS c_acctbal,
-    coalesce(p_seg, CASE WHEN E IS NULL THEN b.c_mktsegment ELSE E.seg END) AS c_mktsegment
-  FROM touched t LEFT JOIN est USING (id) LEFT JOIN upd USING (id) LEFT JOIN base b ON b.id = t.id)
-SELECT id AS c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM fin WHERE alive
-UNION ALL SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6), c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT id FROM touched)""")
+_TAB_SQL = """
+SELECT id AS c_custkey, name AS c_name, nation AS c_nationkey, round(bal, 6) AS c_acctbal, seg AS c_mktsegment FROM tab"""
+
+
+@reg("w1_w4_bulk_table", "WITH RECURSIVE " + _bulk_sql().strip() + _TAB_SQL)
 def w1_table(spark, sf):
     r = WR.bulk(TB.read(spark, sf, "customer"), TB.customer_actions(spark, sf), "c_custkey")
     return rnd(r.table)
 
 
-@reg("w5_versioned_items", "WITH " + _act_sql(True).strip() + """
-SELECT seq, id, op, status FROM items""")
+@reg("w5_versioned_items", "WITH RECURSIVE " + _bulk_sql(
+    "CASE WHEN c_custkey % 2 = 0 THEN 'external' ELSE 'external_gte' END AS vtype, (c_custkey * 7919) % 1000 AS version, NULL::VARCHAR AS script, 0 AS n, "
+    "false AS scripted_upsert").strip() + """
+SELECT * FROM items""")
 def w5_versioned(spark, sf):
     r = WR.bulk(TB.read(spark, sf, "customer"), TB.customer_actions(spark, sf, versioned=True), "c_custkey")
     return r.items.select("seq", "id", "op", "status")
 
 
+# ids with many actions each: stored versions, plain and versioned writes, scripts in chains
+_MIXED_SQL = _bulk_sql(
+    "CASE WHEN c_custkey % 11 IN (2, 7) AND c_custkey % 7 NOT IN (2, 3) THEN CASE WHEN c_custkey % 2 = 0 THEN 'external' ELSE 'external_gte' END END AS vtype, "
+    "c_custkey // 97 * 3 + c_custkey % 5 AS version, CASE WHEN c_custkey % 4 = 0 THEN 'add' WHEN c_custkey % 4 = 1 THEN 'tag' END AS script, "
+    "(c_custkey % 13)::INT % 7 AS n, c_custkey % 6 < 3 AS scripted_upsert", ids=97, version="CASE WHEN c_custkey % 2 = 0 THEN c_custkey % 20 END")
+_MIXED_SCRIPTS = {"add": {"c_acctbal": "coalesce(c_acctbal, 0) + params.n"},
+                  "tag": {"c_mktsegment": "concat(coalesce(c_mktsegment, ''), '-', params.n)",
+                          "_op": "CASE WHEN length(c_mktsegment) > 20 THEN 'none' WHEN params.n = 6 THEN 'delete' ELSE 'index' END"}}
+
+
+def _mixed_bulk(spark, sf):
+    base = TB.read(spark, sf, "customer").withColumn("_version", F.when(F.col("c_custkey") % 2 == 0, F.col("c_custkey") % 20).cast("long"))
+    k = F.col("seq")
+    kind = F.when(k % 2 == 0, "external").otherwise("external_gte")
+    acts = TB.customer_actions(spark, sf, ids=97).withColumns({
+        "version_type": F.when((k % 11).isin(2, 7) & ~(k % 7).isin(2, 3), kind), "version": F.floor(k / 97) * 3 + k % 5,
+        "script": F.when(F.col("op") == "update", F.when(k % 4 == 0, "add").when(k % 4 == 1, "tag")),
+        "params": F.struct(((k % 13) % 7).cast("int").alias("n")), "scripted_upsert": k % 6 < 3})
+    return WR.bulk(base, acts, "c_custkey", scripts=_MIXED_SCRIPTS)
+
+
+@reg("w4_scripted_update", "WITH RECURSIVE " + _MIXED_SQL.strip() + """
+SELECT id AS c_custkey, name AS c_name, nation AS c_nationkey, round(bal, 6) AS c_acctbal, seg AS c_mktsegment, ver AS _version FROM tab""")
+def w4_scripted(spark, sf):
+    return rnd(_mixed_bulk(spark, sf).table.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "_version"))
+
+
+@reg("w5_w6_mixed_items", "WITH RECURSIVE " + _MIXED_SQL.strip() + """
+SELECT * FROM items""")
+def w5_mixed(spark, sf):
+    return _mixed_bulk(spark, sf).items.select("seq", "id", "op", "status")
+
+
 @reg("w7_update_by_query", """
 SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'P')::BIGINT AS total,
        (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority <> '1-URGENT')::BIGINT AS updated,

@@ -7,8 +7,9 @@ one in.  ``get_spark`` is a convenience for tests, the bench and examples.
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, partitions: int = 8, app: str = "docsift", checkpoint: str | None = None) -> SparkSession:
@@ -47,3 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(conf)
         d = spark.sparkContext.getCheckpointDir()
     return d
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the checkpoint folder and read back: the lineage ends there."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/docsift-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

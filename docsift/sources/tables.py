@@ -110,11 +110,11 @@ def doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(e, d.doc_id == e.vec_id, "inner").drop("vec_id")
 
 
-def customer_actions(spark: SparkSession, sf_dir: str, versioned: bool = False) -> DataFrame:
+def customer_actions(spark: SparkSession, sf_dir: str, versioned: bool = False, ids: int = 1000) -> DataFrame:
     """Bulk actions derived from every customer row (key k = c_custkey, seq = k).
 
     op by k mod 7: 0 delete, 1 create, 2-3 update, else index; target id
-    k mod 1000, moved to a missing id range (+5,000,000) when k mod 3 = 0.
+    k mod ``ids``, moved to a missing id range (+5,000,000) when k mod 3 = 0.
     Updates set c_acctbal + 1 and, for even k, c_mktsegment = 'UPDATED'; an
     update upserts when k mod 5 = 0 and is doc-as-upsert when k mod 5 = 1.
     ``versioned``: external (even k) / external_gte (odd k) versions
@@ -130,7 +130,7 @@ def customer_actions(spark: SparkSession, sf_dir: str, versioned: bool = False)
     ups = F.struct(F.lit("upserted").alias("c_name"), F.lit(0).alias("c_nationkey"), F.lit(0.0).alias("c_acctbal"),
                    F.lit("NEW").alias("c_mktsegment"))
     is_upd = op == "update"
-    cols = [k.alias("seq"), op.alias("op"), ((k % 1000) + F.when(k % 3 == 0, F.lit(5_000_000)).otherwise(F.lit(0))).alias("id"),
+    cols = [k.alias("seq"), op.alias("op"), ((k % ids) + F.when(k % 3 == 0, F.lit(5_000_000)).otherwise(F.lit(0))).alias("id"),
             F.when(is_upd, patch).when(op != "delete", full).alias("doc"),
             F.when(is_upd & (k % 5 == 0), ups).alias("upsert"), (is_upd & (k % 5 == 1)).alias("doc_as_upsert")]
     if versioned:

@@ -29,53 +29,56 @@ def test_prefix_max_matches_python(spark):
             assert got[s] == (max(prev) if prev else None)
 
 
-def _fold(base: dict, actions: list[dict]):
-    """Sequential reference semantics of a bulk request."""
-    table = {k: dict(v) for k, v in base.items()}
-    ver = {k: v.get("_version") for k, v in base.items()}
-    statuses = {}
-    maxv: dict = {}
+def _fold(base: dict, actions: list[dict], scripts: dict | None = None):
+    """Sequential reference semantics of a bulk request: (documents, outcomes by seq); ``_states`` has the rest."""
+    states, statuses = _states(base, actions, scripts or {})
+    return {i: s["doc"] for i, s in states.items() if s["live"]}, {k: status for k, (status, _) in statuses.items()}
+
+
+def _states(base: dict, actions: list[dict], scripts: dict):
+    """``base``: id -> document with optional _version, _seq_no, _primary_term; ``scripts``: name -> f(document, params) -> (document, op)."""
+    meta = ("_version", "_seq_no", "_primary_term")
+    states = {i: {"live": True, "version": d.get("_version"), "seq_no": d.get("_seq_no"), "term": d.get("_primary_term"), "writes": 0,
+                  "doc": {k: v for k, v in d.items() if k not in meta}} for i, d in base.items()}
+    out = {}
     for a in sorted(actions, key=lambda a: a["seq"]):
-        i, op = a["id"], a["op"]
-        vt, v = a.get("version_type"), a.get("version")
-        cur = maxv.get(i, ver.get(i))
-        if vt is not None and cur is not None and not (v > cur if vt == "external" else v >= cur):
-            ok = False
-        else:
-            ok = True
-        if vt is not None:
-            maxv[i] = v if maxv.get(i) is None else max(maxv[i], v)
+        s = states.setdefault(a["id"], {"live": False, "version": None, "seq_no": None, "term": None, "writes": 0, "doc": None})
+        kind, v, doc = a.get("version_type"), a.get("version"), a.get("doc")
+        ok = kind is None or s["version"] is None or (v > s["version"] if kind == "external" else v >= s["version"])
+        if a.get("if_seq_no") is not None:
+            ok = ok and s["live"] and not s["writes"] and (a["if_seq_no"], a.get("if_primary_term")) == (s["seq_no"], s["term"])
+        status, reason, made = "conflict", None, None
         if not ok:
-            statuses[a["seq"]] = "conflict"
-            continue
-        exists = i in table
-        if op == "index":
-            statuses[a["seq"]] = "updated" if exists else "created"
-            table[i] = dict(a["doc"])
-        elif op == "create":
-            if exists:
-                statuses[a["seq"]] = "conflict"
-            else:
-                statuses[a["seq"]] = "created"
-                table[i] = dict(a["doc"])
-        elif op == "delete":
-            statuses[a["seq"]] = "deleted" if exists else "not_found"
-            table.pop(i, None)
+            reason = "version_conflict"
+        elif a["op"] == "index":
+            status, made = "updated" if s["live"] else "created", doc
+        elif a["op"] == "create":
+            status, reason, made = ("conflict", "document_exists", None) if s["live"] else ("created", None, doc)
+        elif a["op"] == "delete":
+            status, reason = ("deleted", None) if s["live"] else ("not_found", "document_missing")
+        elif a["op"] != "update":
+            reason = "unknown_op"
+        elif a.get("script") is not None and a["script"] not in scripts:
+            reason = "unknown_script"
+        elif a.get("script") is not None and (s["live"] or a.get("scripted_upsert")):
+            old = s["doc"] if s["live"] else a.get("upsert") or {k: None for k in ("name", "score")}
+            made, op = scripts[a["script"]](old, a.get("params"))
+            status = ("deleted" if s["live"] else "noop") if op == "delete" else "noop" if op == "none" else "updated" if s["live"] else "created"
+        elif s["live"]:
+            made = s["doc"] | {k: x for k, x in doc.items() if x is not None}
+            status = "noop" if a.get("detect_noop", True) and made == s["doc"] else "updated"
+        elif a.get("doc_as_upsert"):  # wins over an upsert document
+            status, made = "created", doc
+        elif a.get("upsert") is not None:
+            status, made = "created", a["upsert"]
         else:
-            if exists:
-                patch = {k: v for k, v in a["doc"].items() if v is not None}
-                same = all(table[i].get(k) == v for k, v in patch.items())
-                statuses[a["seq"]] = "noop" if same else "updated"
-                table[i].update(patch)
-            elif a.get("doc_as_upsert"):  # doc_as_upsert wins over an upsert document
-                statuses[a["seq"]] = "created"
-                table[i] = dict(a["doc"])
-            elif a.get("upsert") is not None:
-                statuses[a["seq"]] = "created"
-                table[i] = dict(a["upsert"])
-            else:
-                statuses[a["seq"]] = "not_found"
-    return table, statuses
+            status, reason = "not_found", "document_missing"
+        if status in ("created", "updated", "deleted"):
+            s["live"], s["doc"] = status != "deleted", made if status != "deleted" else None
+            s["version"] = v if kind is not None else (s["version"] or 0) + 1
+            s["seq_no"], s["term"], s["writes"] = a["seq"], 1 if s["term"] is None else s["term"], s["writes"] + 1
+        out[a["seq"]] = (status, reason)
+    return states, out
 
 
 @pytest.mark.parametrize("seed,versioned", [(1, False), (2, False), (3, True), (4, True)])
@@ -109,6 +112,85 @@ def test_bulk_matches_sequential_fold(spark, seed, versioned):
         assert got_table == exp_table
 
 
+SCRIPTS = {
+    "add": {"score": "coalesce(score, 0) + params.n"},
+    "rename": {"name": "concat(coalesce(name, '?'), '+')", "_op": "CASE WHEN length(name) > 6 THEN 'none' WHEN params.n = 3 THEN 'delete' ELSE 'index' END"},
+    "swap score": {"name": "CAST(score AS STRING)", "score": "CAST(length(name) AS DOUBLE)"},
+}
+
+
+def _add(doc, params):
+    return doc | {"score": (doc["score"] or 0) + params}, "index"
+
+
+def _rename(doc, params):
+    op = "none" if doc["name"] is not None and len(doc["name"]) > 6 else "delete" if params == 3 else "index"
+    return doc | {"name": (doc["name"] or "?") + "+"}, op
+
+
+def _swap(doc, params):
+    return {"name": None if doc["score"] is None else repr(float(doc["score"])), "score": None if doc["name"] is None else float(len(doc["name"]))}, "index"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_bulk_with_versions_and_scripts_matches_sequential_fold(spark, seed):
+    rnd = random.Random(seed)
+    base = {i: {"name": f"n{i}", "score": i * 1.0, "_version": rnd.choice([None, 1, 10]), "_seq_no": 1000 + i, "_primary_term": 1} for i in range(6)}
+    actions = []
+    for s in range(150):
+        op = rnd.choice(["index", "create", "update", "update", "update", "update", "delete", "what"] if rnd.random() < 0.2 else ["update", "update", "index"])
+        part = op == "update"
+        a = {"seq": s * 3 + rnd.randint(0, 2), "op": op, "id": rnd.choice([0, 0, 0, *range(10)]),
+             "doc": {"name": rnd.choice([None, "same", f"x{s}"]) if part else f"x{s}", "score": rnd.choice([None, 1.0]) if part else float(s)},
+             "upsert": {"name": "up", "score": -1.0} if part and rnd.random() < 0.3 else None, "doc_as_upsert": part and rnd.random() < 0.2,
+             "detect_noop": rnd.random() < 0.8, "params": rnd.randint(0, 3), "scripted_upsert": rnd.random() < 0.4,
+             "script": rnd.choice([None, "add", "rename", "swap score", "missing"]) if part else None}
+        if not part and rnd.random() < 0.5:
+            a |= {"version": rnd.randint(0, 30), "version_type": rnd.choice(["external", "external_gte"])}
+        elif rnd.random() < 0.2:
+            a |= {"if_seq_no": 1000 + rnd.randint(0, 6), "if_primary_term": rnd.choice([1, 1, 2])}
+        actions.append(a)
+    states, expected = _states(base, actions, {"add": _add, "rename": _rename, "swap score": _swap})
+    pair = lambda d: None if d is None else (d["name"], d["score"])
+    bdf = spark.createDataFrame([(k, v["name"], v["score"], v["_version"], v["_seq_no"], v["_primary_term"]) for k, v in base.items()],
+                                "id int, name string, score double, _version long, _seq_no long, _primary_term long")
+    adf = spark.createDataFrame(
+        [(a["seq"], a["op"], a["id"], pair(a["doc"]), pair(a["upsert"]), a["doc_as_upsert"], a["detect_noop"], a["script"], (a["params"],), a["scripted_upsert"],
+          a.get("version"), a.get("version_type"), a.get("if_seq_no"), a.get("if_primary_term")) for a in actions],
+        "seq long, op string, id int, doc struct<name string, score double>, upsert struct<name string, score double>, doc_as_upsert boolean, detect_noop boolean, "
+        "script string, params struct<n int>, scripted_upsert boolean, version long, version_type string, if_seq_no long, if_primary_term long")
+    for chunk in (None, 7):
+        res = WR.bulk(bdf, adf, "id", chunk=chunk, scripts=SCRIPTS)
+        assert {r.seq: (r.status, r.reason) for r in res.items.collect()} == expected
+        got = {r.id: (r.name, r.score, r._version, r._seq_no, r._primary_term) for r in res.table.collect()}
+        assert got == {i: (s["doc"]["name"], s["doc"]["score"], s["version"], s["seq_no"], s["term"]) for i, s in states.items() if s["live"]}
+    assert {s for s, _ in expected.values()} >= {"created", "updated", "deleted", "conflict"}
+
+
+def test_failed_actions_leave_the_version(spark):
+    base = spark.createDataFrame([(1, "a", 100)], "id int, name string, _version long")
+
+    def statuses(*acts):
+        rows = [(s, op, 1, ("x",), v, "external" if v else None) for s, (op, v) in enumerate(acts)]
+        res = WR.bulk(base, spark.createDataFrame(rows, "seq long, op string, id int, doc struct<name string>, version long, version_type string"), "id")
+        return [r.status for r in res.items.orderBy("seq").collect()]
+
+    assert statuses(("create", 900), ("index", 500)) == ["conflict", "updated"]
+    assert statuses(("index", None), ("index", 101)) == ["updated", "conflict"]
+    assert statuses(("delete", None), ("create", 101), ("create", 102), ("delete", 102)) == ["deleted", "conflict", "created", "conflict"]
+
+
+def test_partial_updates_merge_structs_field_by_field(spark):
+    base = spark.createDataFrame([(1, ((1, "x"), 5))], "id int, d struct<in struct<a int, b string>, c int>")
+    acts = spark.createDataFrame([(1, "update", 1, (((None, "y"), None),)), (2, "update", 1, (((1, None), 5),))],
+                                 "seq long, op string, id int, doc struct<d struct<in struct<a int, b string>, c int>>")
+    res = WR.bulk(base, acts, "id")
+    assert [r.status for r in res.items.orderBy("seq").collect()] == ["updated", "noop"]
+    assert res.table.first().d.asDict(True) == {"in": {"a": 1, "b": "y"}, "c": 5}
+    with pytest.raises(ValueError):
+        WR.bulk(base, acts, "id", scripts={"bad": {"nothing": "1"}})
+
+
 def _slop_match(tokens, terms, slop):
     n = len(tokens)
     for i in range(n):
