@@ -58,6 +58,11 @@ def any_token_regex(terms: list[str]) -> str:
     return r"(?<![\p{L}\p{N}])(?:" + alt + r")(?![\p{L}\p{N}])"
 
 
+def has_token(text: Column, term: str) -> Column:
+    """``term`` is a token of a lower-cased text.  The plain search in front of the pattern rejects most texts at little cost."""
+    return text.contains(term) & text.rlike(any_token_regex([term]))
+
+
 def phrase_regex(terms: list[str], prefix_last: bool = False) -> str:
     """Regex for the terms as consecutive tokens (the last one may be a prefix)."""
     body = r"[^\p{L}\p{N}]+".join(terms)
@@ -65,38 +70,59 @@ def phrase_regex(terms: list[str], prefix_last: bool = False) -> str:
     return r"(?<![\p{L}\p{N}])" + body + tail
 
 
-def sloppy_phrase(texts: Column, terms: list[str], slop: int, prefix_last: bool) -> Column:
-    """True when one element of an array of lower-cased texts holds the terms with a
-    spread of at most ``slop``: take a position for each term, less the term's
-    place in the phrase; the largest and the smallest may differ by ``slop``.
-    One position serves one term.  The last term may be a prefix.
+def _meet(sets: list[Column]) -> Column:
+    """The values that all the arrays share."""
+    out = sets[0]
+    for x in sets[1:]:
+        out = F.array_intersect(out, x)
+    return out
 
-    Per text: a token array, one array of shifted positions per term, and a search
-    over the smallest shifted position.
-    """
-    n = len(terms)
 
-    def positions(toks: Column, k: int) -> Column:
-        here = lambda t: t.startswith(F.lit(terms[k])) if prefix_last and k == n - 1 else t == F.lit(terms[k])
-        marked = F.transform(toks, lambda t, i: F.when(here(t), i - F.lit(k)))
-        return F.filter(marked, lambda p: p.isNotNull())
+def phrase_at(at: list[Column], terms: list[str], slop: int, prefix_last: bool = False) -> Column:
+    """True when the ``terms``, whose positions are the arrays ``at``, make the phrase: take a position for each term, less
+    the term's place in the phrase; the largest and the smallest may differ by ``slop``.  One position serves one term.
 
-    def placed(at: Column, low: Column, k: int, chosen: list[Column]) -> Column:
-        if k == n:
+    Each position allows the smallest ones from ``slop`` below it up to itself; a smallest one that all terms allow is looked
+    for by hashing, so work is linear in the positions.  Only terms that may claim one position twice are tried out.
+    """
+    less = lambda p, k: F.transform(p, lambda x: x - F.lit(k))
+    shifted = [less(p, k) for k, p in enumerate(at)]
+    if not slop:
+        return F.size(_meet(shifted)) > 0
+    lows = _meet([F.flatten(F.transform(p, lambda x: F.sequence(x - F.lit(slop), x))) for p in shifted])
+    last = len(terms) - 1
+    shares = lambda j, k: terms[j] == terms[k] or (prefix_last and k == last and terms[j].startswith(terms[k]))
+    if not any(shares(j, k) for k in range(len(terms)) for j in range(k)):
+        return F.size(lows) > 0
+
+    def placed(low: Column, k: int, chosen: list[Column]) -> Column:
+        if k == len(terms):
             return F.lit(True)
 
         def fits(p: Column) -> Column:
             e = (p >= low) & (p <= low + F.lit(slop))
             for j, q in enumerate(chosen):
-                if terms[j] == terms[k] or (prefix_last and k == n - 1 and terms[j].startswith(terms[k])):
+                if shares(j, k):
                     e = e & (p + F.lit(k) != q + F.lit(j))
-            return e & placed(at, low, k + 1, [*chosen, p])
+            return e & placed(low, k + 1, [*chosen, p])
 
-        return F.exists(at[f"p{k}"], fits)
+        return F.exists(shifted[k], fits)
+
+    return F.exists(lows, lambda low: placed(low, 0, []))
+
+
+def sloppy_phrase(texts: Column, terms: list[str], slop: int, prefix_last: bool) -> Column:
+    """True when one element of an array of lower-cased texts holds the terms with a spread of at most ``slop``
+    (``phrase_at``).  The last term may be a prefix."""
+    n = len(terms)
+
+    def positions(toks: Column, k: int) -> Column:
+        here = lambda t: t.startswith(F.lit(terms[k])) if prefix_last and k == n - 1 else t == F.lit(terms[k])
+        marked = F.transform(toks, lambda t, i: F.when(here(t), i))
+        return F.filter(marked, lambda p: p.isNotNull())
 
-    shifted = F.transform(F.transform(texts, tokens), lambda t: F.struct(*[positions(t, k).alias(f"p{k}") for k in range(n)]))
-    lows = lambda at: F.array_distinct(F.flatten(F.array(*[at[f"p{k}"] for k in range(n)])))
-    return F.coalesce(F.exists(shifted, lambda at: F.exists(lows(at), lambda low: placed(at, low, 0, []))), F.lit(False))
+    placed = F.transform(F.transform(texts, tokens), lambda t: F.struct(*[positions(t, k).alias(f"p{k}") for k in range(n)]))
+    return F.coalesce(F.exists(placed, lambda at: phrase_at([at[f"p{k}"] for k in range(n)], terms, slop, prefix_last)), F.lit(False))
 
 
 def collection_stats(df, field: str):

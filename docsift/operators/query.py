@@ -18,6 +18,7 @@ applies them before the predicate is evaluated, so Catalyst sees one plan.
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass
 from typing import Any, Callable, Iterable, Sequence
@@ -44,8 +45,12 @@ class Ctx:
     """Resolves field paths to Columns and collects auxiliary plan pieces."""
 
     def __init__(self, df: DataFrame, id_col: str | None = None, corpus: DataFrame | None = None,
-                 prefetch: dict | None = None, inherit: "Ctx | None" = None, stats_tables: dict | None = None):
+                 prefetch: dict | None = None, inherit: "Ctx | None" = None, stats_tables: dict | None = None,
+                 text_indexes: dict | None = None):
         self.df = df
+        # field -> TextIndex: matches come from the postings, by a join on the id
+        self.text_indexes = text_indexes or {}
+        self._indexed: dict[Any, tuple[str, str]] = {}
         # field -> precomputed collection statistics (functions.text.collection_stats)
         self.stats_tables = stats_tables or {}
         # statistics columns already present in ``df`` (computed by the context it was derived from)
@@ -151,6 +156,20 @@ class Ctx:
             raise ValueError("joins are not available inside a nested scope")
         self._root._joins.append((keyed, left_key, right_key))
 
+    def indexed(self, name: str, terms: Sequence[str], slop: int | None = None) -> tuple[Column, Column] | None:
+        """(hits, score) of the terms (``slop`` set: of the phrase) from the field's postings, null where nothing matches;
+        None without postings of the field."""
+        index = self.text_indexes.get(name)
+        if index is None or self.in_nested or not self.id_col or not isinstance(self.dtype(name), T.StringType):
+            return None
+        r, key = self._root, (name, tuple(terms), slop)
+        if key not in r._indexed:
+            found = index.scores(list(terms)) if slop is None else index.phrase(list(terms), slop)
+            hits, score, of = self.fresh("hits"), self.fresh("text"), self.fresh("id")
+            self.attach(found.select(F.col("id").alias(of), F.col("hits").alias(hits), F.col("score").alias(score)), self.id_col, of)
+            r._indexed[key] = (hits, score)
+        return tuple(F.col(c) for c in r._indexed[key])
+
     def apply(self, df: DataFrame | None = None) -> DataFrame:
         df = self.df if df is None else df
         r = self._root
@@ -195,6 +214,8 @@ class Ctx:
         return self.derive(key, lambda: self._stats_subquery(name, terms), T.StructType())
 
     def _stats_subquery(self, name: str, terms: Sequence[str]) -> Column:
+        if not self._prefix and hasattr(self.stats_tables.get(name), "stats"):
+            return self.stats_tables[name].stats(list(terms))
         if not self._prefix and name in self.stats_tables:
             return TX.stats_from_table(self.stats_tables[name], list(terms))
         src = self.corpus
@@ -212,7 +233,7 @@ class Ctx:
         src = src.select(F.lower(c).alias("text")).filter("text IS NOT NULL")
         length = F.regexp_count("text", F.lit(TX.TOKEN_PATTERN))
         parts = [F.count(F.lit(1)).cast("double").alias("n"), F.avg(length).alias("avgdl")]
-        parts += [F.count_if(F.col("text").rlike(TX.any_token_regex([w]))).cast("double").alias(f"df{i}") for i, w in enumerate(terms)]
+        parts += [F.count_if(TX.has_token(F.col("text"), w)).cast("double").alias(f"df{i}") for i, w in enumerate(terms)]
         return src.select(F.struct(*parts).alias("s")).scalar()
 
     def text(self, name: str) -> Column:
@@ -660,18 +681,28 @@ class Match(Query):
         terms = self._terms()
         if not terms or not ctx.has(self.field):
             return F.lit(False)
+        need = self.need(terms)
+        found = ctx.indexed(self.field, terms)
+        if found:
+            return F.coalesce(found[0] >= need, F.lit(False))
         txt = ctx.text(self.field)
-        msm = MinimumShouldMatch.of(self.minimum_should_match)
-        need = len(terms) if self.operator.lower() == "and" else (msm.resolve(len(terms)) if msm else 1)
-        need = max(need, 1)
         if need == 1:
-            return F.coalesce(txt.rlike(TX.any_token_regex(terms)), F.lit(False))
-        return F.coalesce(_count_true([txt.rlike(TX.any_token_regex([w])) for w in terms]) >= F.lit(need), F.lit(False))
+            some = [TX.has_token(txt, w) for w in terms]
+            return F.coalesce(functools.reduce(lambda a, b: a | b, some), F.lit(False))
+        return F.coalesce(_count_true([TX.has_token(txt, w) for w in terms]) >= F.lit(need), F.lit(False))
+
+    def need(self, terms: list[str]) -> int:
+        """How many of the distinct terms a document must have."""
+        msm = MinimumShouldMatch.of(self.minimum_should_match)
+        return max(1, len(terms) if self.operator.lower() == "and" else (msm.resolve(len(terms)) if msm else 1))
 
     def score(self, ctx):
         terms = self._terms()
         if not terms or not ctx.has(self.field):
             return F.lit(0.0)
+        found = ctx.indexed(self.field, terms)
+        if found:
+            return F.coalesce(found[1], F.lit(0.0)) * F.lit(self._b())
         return _text_score(ctx, self.field, terms, ctx.tokens(self.field)) * F.lit(self._b())
 
 
@@ -690,17 +721,22 @@ class MatchPhrase(Query):
         terms = self._terms()
         if not terms or not ctx.has(self.field):
             return F.lit(False)
+        found = None if self.prefix else ctx.indexed(self.field, terms, self.slop)
+        if found:
+            return found[0].isNotNull()
         many = isinstance(ctx.dtype(self.field), T.ArrayType)
         src = ctx.col(self.field)
 
-        def somewhere(pattern: str) -> Column:  # in one element: a phrase does not cross elements
-            return F.exists(src, lambda x: F.lower(x).rlike(pattern)) if many else F.lower(src).rlike(pattern)
+        def somewhere(test: Callable[[Column], Column]) -> Column:  # in one element: a phrase does not cross elements
+            return F.exists(src, lambda x: test(F.lower(x))) if many else test(F.lower(src))
 
-        if self.slop == 0:  # adjacent tokens = separated by non-token characters only
-            return F.coalesce(somewhere(TX.phrase_regex(terms, self.prefix)), F.lit(False))
+        whole = _uniq(terms[:-1] if self.prefix else terms)
+        if self.slop == 0:  # adjacent tokens = separated by non-token characters only; cheap containment tests first
+            here = lambda x: functools.reduce(lambda a, b: a & b, [x.contains(w) for w in terms]) & x.rlike(TX.phrase_regex(terms, self.prefix))
+            return F.coalesce(somewhere(here), F.lit(False))
         pre = F.lit(True)
-        for w in _uniq(terms[:-1] if self.prefix else terms):  # cheap containment test first
-            pre = pre & F.coalesce(somewhere(TX.any_token_regex([w])), F.lit(False))
+        for w in whole:
+            pre = pre & F.coalesce(somewhere(functools.partial(TX.has_token, term=w)), F.lit(False))
         texts = F.transform(src, F.lower) if many else F.array(F.lower(src))
         return pre & TX.sloppy_phrase(F.when(pre, texts), terms, self.slop, self.prefix)
 
@@ -708,6 +744,9 @@ class MatchPhrase(Query):
         terms = _uniq(self._terms()[:-1] if self.prefix else self._terms())
         if not terms or not ctx.has(self.field):
             return F.lit(0.0) if not self.prefix else F.lit(self._b())
+        found = None if self.prefix else ctx.indexed(self.field, self._terms(), self.slop)
+        if found:
+            return F.coalesce(found[1], F.lit(0.0)) * F.lit(self._b())
         return _text_score(ctx, self.field, terms, ctx.tokens(self.field)) * F.lit(self._b())
 
 

@@ -1783,6 +1783,65 @@ def r1_stored_stats(spark, sf):
     return _scored(s.matched().select("doc_id", "_score"))
 
 
+# ----------------------------------------------------------------------------- postings
+
+from docsift.operators.text_index import TextIndex  # noqa: E402
+
+_INDEXES: dict = {}
+
+
+def _text_index(spark, sf, view: str, docs) -> TextIndex:
+    """Postings of ``text``, built once per application, input and view."""
+    key = (spark.sparkContext.applicationId, sf, view)
+    if key not in _INDEXES:
+        _INDEXES[key] = TextIndex.build(docs, "doc_id", "text")
+    return _INDEXES[key]
+
+
+def _indexed_docs(spark, sf) -> Search:
+    return _docs(spark, sf).with_text_index("text", _text_index(spark, sf, "documents", TB.read(spark, sf, "documents")), whole=True)
+
+
+@reg("p11_postings_match_bm25", SQL["p11_r1_match_bm25"])
+def p11_postings(spark, sf):
+    return _scored(_indexed_docs(spark, sf).query(Q.Match("text", "Und der XYLOPHON!")).matched().select("doc_id", "_score"))
+
+
+@reg("p11_postings_match_msm", SQL["p11_match_msm"])
+def p11_postings_msm(spark, sf):
+    return _scored(_indexed_docs(spark, sf).query(Q.Match("text", "the of und la", minimum_should_match="75%")).matched().select("doc_id", "_score"))
+
+
+@reg("p12_postings_phrase", SQL["p12_match_phrase"])
+def p12_postings(spark, sf):
+    return _scored(_indexed_docs(spark, sf).query(Q.MatchPhrase("text", "of the")).matched().select("doc_id", "_score"))
+
+
+@reg("p12_postings_phrase_slop", SQL["p12_match_phrase_slop"])
+def p12_postings_slop(spark, sf):
+    return _scored(_indexed_docs(spark, sf).query(Q.MatchPhrase("text", "the and", slop=2)).matched().select("doc_id", "_score"))
+
+
+@reg("r11_postings_rescore", SQL["r11_rescore"])
+def r11_postings(spark, sf):
+    s = _indexed_docs(spark, sf).query(Q.Match("text", "the")).rescore(
+        Rescore(Q.MatchPhrase("text", "of the"), window_size=30, rescore_query_weight=2.0)).size(15)
+    return _scored(s.hits().select("doc_id", "_score"))
+
+
+@reg("r16_postings_hybrid", SQL["r16_hybrid_knn_text"])
+def r16_postings(spark, sf):
+    docs = TB.doc_vectors(spark, sf)
+    s = Search(docs, "doc_id").with_text_index("text", _text_index(spark, sf, "doc_vectors", docs)).query(Q.Match("text", "und der"))
+    return _scored(s.knn(Knn("embedding", QV, k=10)).size(20).hits().select("doc_id", "_score"))
+
+
+@reg("r1_postings_top_k", f"""
+SELECT id AS doc_id, round(s, 6) AS _score FROM {bm25_sql('documents', 'doc_id', 'text', ['the', 'und', 'la'])} WHERE nhit >= 1 ORDER BY s DESC, id LIMIT 25""")
+def r1_postings_top(spark, sf):
+    return _scored(_indexed_docs(spark, sf).query(Q.Match("text", "the und la")).size(25).hits().select("doc_id", "_score"))
+
+
 @reg("f7_simple_expression_filter", """
 SELECT (SELECT count(*) FROM part WHERE p_retailprice < 930 OR p_retailprice >= 960)::BIGINT AS total_union,
        (SELECT count(*) FROM part WHERE p_retailprice >= 930 AND p_size > 25)::BIGINT AS total_intersect""")

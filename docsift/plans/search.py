@@ -23,8 +23,9 @@ from pyspark.sql import types as T
 
 from docsift.functions.scripts import as_script
 from docsift.operators.aggs import Agg, _Env, run_aggs
-from docsift.operators.query import Ctx, MatchAll, Query
+from docsift.operators.query import Ctx, Match, MatchAll, Query
 from docsift.operators.sort import Sort, as_sort
+from docsift.operators.text_index import TextIndex
 
 __all__ = ["Search", "SearchResult", "Rescore", "multi_search", "DEFAULT_SIZE"]
 
@@ -71,6 +72,8 @@ class Search:
     explain_: bool = False
     corpus: DataFrame | None = None
     text_stats: dict = dc_field(default_factory=dict)   # field -> collection_stats table
+    text_indexes: dict = dc_field(default_factory=dict)
+    whole_indexes: tuple = ()
 
     # ------------------------------------------------------------ builder
     def _with(self, **kw) -> "Search":
@@ -143,6 +146,12 @@ class Search:
         d[field] = table
         return self._with(text_stats=d)
 
+    def with_text_index(self, field: str, index: TextIndex, whole: bool = False) -> "Search":
+        """Match ``field`` by its postings.  ``whole``: the search's rows are all documents of the index, so the best hits of a
+        plain match may be chosen from the postings alone."""
+        return self._with(text_indexes={**self.text_indexes, field: index}, text_stats={**self.text_stats, field: index},
+                          whole_indexes=tuple(f for f in self.whole_indexes if f != field) + ((field,) if whole else ()))
+
     # ------------------------------------------------------------ compile
     def _base(self) -> DataFrame:
         df = self.df
@@ -157,7 +166,19 @@ class Search:
 
     def _ctx(self, df: DataFrame) -> Ctx:
         return Ctx(df, self.id_col, corpus=self.corpus if self.corpus is not None else df, prefetch=self._terms(),
-                   stats_tables=self.text_stats)
+                   stats_tables=self.text_stats, text_indexes=self.text_indexes)
+
+    def _page_of_postings(self) -> DataFrame | None:
+        """(id, hits, score) of as many best hits as the page and the rescores need, if postings alone tell them."""
+        q = self.query_
+        plain = (isinstance(q, Match) and q.field in self.whole_indexes and self.size_ is not None and self.knn_ is None and self.terminate_after_ is None
+                 and not (self.filters or self.post_filters or self.sorts or self.explain_ or self.runtime_fields))
+        if not plain:
+            return None
+        terms = q._terms()
+        if not terms or q.need(terms) > 1 or q._b() <= 0:
+            return None
+        return self.text_indexes[q.field].top_k(terms, max([self.from__ + self.size_, *(r.window_size for r in self.rescores)]))
 
     def _sorted_by_score(self) -> bool:
         return not self.sorts or any(s.field == "_score" for s in self.sorts)
@@ -232,6 +253,15 @@ class Search:
 
     # ------------------------------------------------------------ results
     def hits(self) -> DataFrame:
+        page = self._page_of_postings()
+        if page is not None:  # a few rows: the collection is read for them only
+            base = self._base()
+            ctx = self._ctx(base)
+            best = page.select(F.col("id").alias("__page_id"), (F.col("score") * F.lit(self.query_._b())).alias("_score"))
+            matched = base.join(best, F.col(self.id_col) == F.col("__page_id")).drop("__page_id")
+            if self.min_score_ is not None:
+                matched = matched.filter(F.col("_score") >= F.lit(float(self.min_score_)))
+            return self._hits_from(matched, ctx, [])
         matched, ctx, aux, _, _ = self._compile()
         return self._hits_from(self._post(matched, ctx), ctx, aux)
 
