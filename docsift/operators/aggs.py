@@ -270,9 +270,16 @@ class ScriptedMetric(Agg):
 
     ``map(state, pdf) -> state`` folds a pandas batch of one bucket into the
     partition-local state (``init()`` gives a fresh one), ``combine(state)``
-    turns it into a small picklable value; ``reduce(values) -> float`` merges
-    the per-partition values of a bucket.  Runs as ``mapInPandas`` followed by
-    a grouped ``applyInPandas`` over per-partition states only.
+    turns it into a small picklable value; ``reduce(values)`` makes the result.
+
+    Rows are sorted by bucket inside their partition (spilling to disk), so a
+    task holds one state at a time, however many buckets there are.
+
+    ``merge(values) -> value`` joins values of ``combine`` into one of the same
+    kind.  With it, a bucket's values are merged in levels of at most ``fan_in``
+    by partition number, and ``reduce`` gets the one or few that are left.
+    Without it, ``reduce`` needs all values of a bucket, one per partition, in one
+    call, as the script asks for them.
     """
 
     init: Callable = None
@@ -281,6 +288,8 @@ class ScriptedMetric(Agg):
     reduce: Callable = None
     fields: tuple = ()
     result_type: str = "double"
+    merge: Callable = None
+    fan_in: int = 64
 
 
 # --------------------------------------------------------------------------- buckets
@@ -836,46 +845,87 @@ def _own_frame(name: str, m: Agg, df: DataFrame, keys: list[str], v: str | None,
     return out
 
 
-def _scripted(name: str, m: ScriptedMetric, df: DataFrame, keys: list[str]) -> DataFrame:
+def _plain(key) -> tuple:
+    """A bucket key that equals itself (NaN does not)."""
+    import pandas as pd
+
+    return tuple(None if pd.isna(x) else x for x in (key if isinstance(key, tuple) else (key,)))
+
+
+def _states(m: ScriptedMetric, kdf: DataFrame, kn: list[str], schema: str) -> DataFrame:
+    """(keys, __part, __state): the combined state of each bucket in each partition."""
     import pickle
 
     import pandas as pd
 
-    fields = list(m.fields)
-    kdf = df.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *fields)
-    kn = [f"__k{i}" for i in range(len(keys))]
-    kschema = ", ".join(f"{c} {kdf.schema[c].dataType.simpleString()}" for c in kn)
-    st_schema = (kschema + ", " if kschema else "") + "__state binary"
+    fields, combine = list(m.fields), m.combine or (lambda s: s)
 
     def per_partition(it):
-        states: dict = {}
+        from pyspark import TaskContext
+
+        part, key, state, done = TaskContext.get().partitionId(), None, None, []
+        out = lambda: pd.DataFrame(done, columns=[*kn, "__part", "__state"])
         for pdf in it:
-            groups = pdf.groupby(kn, dropna=False, sort=False) if kn else [((), pdf)]
-            for key, g in groups:
-                key = key if isinstance(key, tuple) else (key,)
-                s = states.get(key)
-                if s is None:
-                    s = m.init() if m.init else {}
-                states[key] = m.map(s, g[fields])
-        rows = [list(k) + [pickle.dumps(m.combine(s) if m.combine else s)] for k, s in states.items()]
-        if rows:  # an empty partition yields no frame at all
-            yield pd.DataFrame(rows, columns=kn + ["__state"])
-
-    states = kdf.mapInPandas(per_partition, st_schema)
-    out_schema = (kschema + ", " if kschema else "") + f"{name} {m.result_type}"
+            for k, g in pdf.groupby(kn, dropna=False, sort=False) if kn else [((), pdf)]:
+                k = _plain(k)
+                if k != key:
+                    if key is not None:
+                        done.append([*key, part, pickle.dumps(combine(state))])
+                    key, state = k, m.init() if m.init else {}
+                state = m.map(state, g[fields])
+            if len(done) >= 1000:
+                yield out()
+                done = []
+        if key is not None:
+            done.append([*key, part, pickle.dumps(combine(state))])
+        if done:  # an empty partition yields no frame at all
+            yield out()
+
+    if kn:
+        kdf = kdf.sortWithinPartitions(*kn)
+    return kdf.mapInPandas(per_partition, schema)
+
+
+def _merged(m: ScriptedMetric, states: DataFrame, kn: list[str], schema: str, levels: int = 3) -> DataFrame:
+    """``states`` merged in levels: those whose partition numbers differ in the last digit only, base ``fan_in``, then the next one."""
+    import pickle
+
+    import pandas as pd
+
+    def join(pdf):
+        values = [pickle.loads(b) for b in pdf.sort_values("__part")["__state"]]
+        one = values[0] if len(values) == 1 else m.merge(values)
+        return pdf.iloc[:1].assign(__state=[pickle.dumps(one)])[[*kn, "__part", "__state"]]
+
+    for _ in range(levels):
+        states = states.withColumn("__part", F.floor(F.col("__part") / F.lit(m.fan_in + 0.0)).cast("int")).withColumn("__of", F.col("__part"))
+        states = states.groupBy(*kn, "__of").applyInPandas(lambda pdf: join(pdf), schema)
+    return states
+
+
+def _scripted(name: str, m: ScriptedMetric, df: DataFrame, keys: list[str]) -> DataFrame:
+    import pickle
+
+    import pandas as pd
+
+    kdf = df.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *m.fields)
+    kn = [f"__k{i}" for i in range(len(keys))]
+    kschema = "".join(f"{c} {kdf.schema[c].dataType.simpleString()}, " for c in kn)
+    schema = kschema + "__part int, __state binary"
+    states = _states(m, kdf, kn, schema)
+    if m.merge:
+        states = _merged(m, states, kn, schema)
 
     def reducer(pdf):
-        vals = [pickle.loads(b) for b in pdf["__state"]]
-        res = m.reduce(vals) if m.reduce else vals
+        vals = [pickle.loads(b) for b in pdf.sort_values("__part")["__state"]]
         row = {c: pdf[c].iloc[0] for c in kn}
-        row[name] = res
+        row[name] = m.reduce(vals) if m.reduce else vals
         return pd.DataFrame([row])
 
-    if kn:
-        red = states.groupBy(*kn).applyInPandas(reducer, out_schema)
+    if not kn:  # what is left: one state for each fan_in ** levels partitions
+        red = states.withColumn("__all", F.lit(1)).groupBy("__all").applyInPandas(lambda p: reducer(p), f"{name} {m.result_type}")
     else:
-        red = states.withColumn("__one", F.lit(1)).groupBy("__one").applyInPandas(
-            lambda p: reducer(p.drop(columns=["__one"])).assign(), f"{name} {m.result_type}")
+        red = states.groupBy(*kn).applyInPandas(reducer, f"{kschema}{name} {m.result_type}")
     return red.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], name)
 
 

@@ -321,6 +321,38 @@ def e12_scripted(spark, sf):
     return rnd(s.aggregations()["flag"], 2)
 
 
+def _histogram_map(state, pdf):
+    for k, n in pdf["l_quantity"].floordiv(10).value_counts().items():
+        state[int(k)] = state.get(int(k), 0) + int(n)
+    return state
+
+
+def _histogram_merge(states):
+    out: dict = {}
+    for s in states:
+        for k, n in s.items():
+            out[k] = out.get(k, 0) + n
+    return out
+
+
+def _histogram_metric() -> A.ScriptedMetric:
+    """The most frequent decade of quantities, smaller first: its states are merged in levels."""
+    return A.ScriptedMetric(init=dict, map=_histogram_map, merge=_histogram_merge, fan_in=4, fields=("l_quantity",), result_type="bigint",
+                            reduce=lambda states: min(_histogram_merge(states).items(), key=lambda x: (-x[1], x[0]))[0])
+
+
+@reg("e12_scripted_metric_merged", """
+WITH g AS (SELECT l_returnflag AS flag, l_linestatus AS status, floor(l_quantity / 10)::BIGINT AS k, count(*) AS n FROM lineitem GROUP BY 1, 2, 3),
+a AS (SELECT floor(l_quantity / 10)::BIGINT AS k, count(*) AS n FROM lineitem GROUP BY 1)
+SELECT flag, status, sum(n)::BIGINT AS doc_count, arg_min(k, {'n': -n, 'k': k}) AS mode, (SELECT arg_min(k, {'n': -n, 'k': k}) FROM a) AS mode_of_all
+FROM g GROUP BY 1, 2""")
+def e12_merged(spark, sf):
+    li = lineitem(spark, sf).repartition(24)
+    m = _histogram_metric()
+    found = Search(li, "l_id").aggs(all=m, flag=A.TermsAgg("l_returnflag", aggs={"status": A.TermsAgg("l_linestatus", aggs={"mode": m})})).aggregations()
+    return found["flag>status"].withColumn("mode_of_all", found["all"].scalar())
+
+
 @reg("e13_top_hits", """
 SELECT o_orderstatus AS status, rn AS _rank, o_orderkey, o_totalprice, n AS _total FROM (
   SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS rn,
