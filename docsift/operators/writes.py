@@ -71,6 +71,7 @@ _BLOCK = 1 << 20  # consecutive values of seq in which an id's actions are numbe
 class BulkResult:
     table: DataFrame   # new table (same columns as the base)
     items: DataFrame   # seq, id, op, status, reason
+    changes: DataFrame | None = None  # the written ids: id, document columns, _version, _seq_no, _primary_term and _live (false: deleted)
 
 
 def _normalize_actions(actions: DataFrame, doc_type: T.StructType) -> DataFrame:
@@ -195,9 +196,13 @@ def _rounds(actions: DataFrame, chunk: int) -> DataFrame:
     return a.select("id", "a", F.floor((F.col("before") + F.col("inside") - 1) / F.lit(chunk)).alias("round"))
 
 
-def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = None, scripts: dict[str, dict] | None = None) -> BulkResult:
+def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = None, scripts: dict[str, dict] | None = None,
+         tombstones: DataFrame | None = None) -> BulkResult:
     """Apply ``actions`` to ``base``.
 
+    ``tombstones``: deleted documents (id, _version, _seq_no, _primary_term) whose
+    versions still count.
+
     ``scripts``: name -> {field: SQL expression over the document's fields and
     ``params``, or Script}; the key ``_op`` may give ``index``, ``none`` (noop) or
     ``delete``.  ``chunk``: actions of an id that are folded in one row.
@@ -216,6 +221,10 @@ def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = N
                      F.lit(0).cast("long").alias("writes"), F.struct(*names).cast(doc_type).alias("doc"), F.array().cast(T.ArrayType(item)).alias("items"))
     # only rows that an action names are folded; few ids are broadcast, by Spark's own size check
     named = base.withColumn("id", F.col(id_col)).join(a.select("id").distinct(), "id", "left_semi").select("id", state.cast(kind).alias("state"))
+    if tombstones is not None:
+        gone = F.struct(F.lit(False).alias("live"), *(F.col(m).cast("long").alias(n) for m, n in zip(_META, ("version", "seq_no", "term"))),
+                        F.lit(0).cast("long").alias("writes"), F.lit(None).cast(doc_type).alias("doc"), F.array().cast(T.ArrayType(item)).alias("items"))
+        named = named.unionByName(tombstones.withColumn("id", F.col(id_col)).select("id", gone.cast(kind).alias("state")))
     most = a.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if most <= chunk:
         done = _folded(a, named, kind, step)
@@ -234,10 +243,11 @@ def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = N
     items = items.select("id", F.explode("state.items").alias("i")).select("i.seq", "id", "i.op", "i.status", "i.reason")
     changed = done.where(F.col("state.writes") > 0)
     kept_meta = {"_version": F.col("state.version"), "_seq_no": F.col("state.seq_no"), "_primary_term": F.col("state.term")}
-    rows = changed.where("state.live").select(
-        F.col("id").cast(base.schema[id_col].dataType).alias(id_col), *(F.col("state.doc")[n].alias(n) for n in names), *(kept_meta[m].alias(m) for m in _META if m in base.columns))
+    changes = changed.select(F.col("id").cast(base.schema[id_col].dataType).alias(id_col), *(F.col("state.doc")[n].alias(n) for n in names),
+                             *(c.alias(m) for m, c in kept_meta.items()), F.col("state.live").alias("_live"))
     untouched = base.join(changed.select(F.col("id").alias(id_col)), id_col, "left_anti")
-    return BulkResult(table=untouched.select(*base.columns).unionByName(rows.select(*base.columns)), items=items)
+    table = untouched.select(*base.columns).unionByName(changes.where("_live").select(*base.columns))
+    return BulkResult(table=table, items=items, changes=changes)
 
 
 def _assignments(assign: Any) -> dict[str, Column]:
