@@ -274,10 +274,8 @@ def encode_words(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray
     return ids, np.bincount(word, size, minlength=len(words)).astype(np.int64)
 
 
-def encode(docs: DataFrame, model: Model, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers, the end id last) of every row's whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    ids = docs.select("doc_id", "text")
+def _encoder(shared, block_chars: int):
+    """Of batches of (doc_id, text): batches of (doc_id, n_tokens, ids); ``shared`` is the broadcast model."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -319,6 +317,13 @@ def encode(docs: DataFrame, model: Model, block_chars: int = BLOCK_CHARS) -> Dat
         if doc_ids:
             yield from rows(number, idx, doc_ids, counts)
 
+    return run
+
+
+def encode(docs: DataFrame, model: Model, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit integers, the end id last) of every row's whole text."""
+    ids = docs.select("doc_id", "text")
+    run = _encoder(docs.sparkSession.sparkContext.broadcast(model), block_chars)
     return ids.mapInArrow(run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids binary")
 
 
@@ -344,20 +349,18 @@ def _repaired(raw: bytes) -> bytes:
         return re.sub("[\udc80-\udcff]", "�", raw.decode("utf-8", "surrogateescape")).encode()
 
 
-def decode(encoded: DataFrame, model: Model) -> DataFrame:
-    """``encoded`` with the column ``decoded`` (replacing one of that name): the UTF-8 text of ``ids``."""
-    encoded = encoded.drop("decoded")
+def _decoder(spark, model: Model):
+    """Of batches with a column ``ids``: the same with a last column ``decoded``."""
     tokens = piece_bytes(model)
     # a piece with a blank in front loses it where a text begins
     blank = np.array([p.startswith(BLANK) and k == NORMAL for p, k in zip(model.pieces, model.kinds)])
-    shared = encoded.sparkSession.sparkContext.broadcast((b"".join(tokens), np.array([len(t) for t in tokens], np.int64), blank, model.kinds))
-    at = encoded.columns.index("ids")
+    shared = spark.sparkContext.broadcast((b"".join(tokens), np.array([len(t) for t in tokens], np.int64), blank, model.kinds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, length, blank, kinds = shared.value
         flat, start = np.frombuffer(raw, np.uint8), np.cumsum(length) - length
         for b in batches:
-            lo = 0
+            lo, at = 0, b.schema.get_field_index("ids")
             while lo < b.num_rows:  # about _SLICE ids at a time
                 hi, held, parts = lo, 0, []
                 while hi < b.num_rows and (hi == lo or held < _SLICE):
@@ -386,28 +389,44 @@ def decode(encoded: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*piece.columns, out], names=[*b.schema.names, "decoded"])
                 lo = hi
 
-    return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary")
+    return run
 
 
-def listed(encoded: DataFrame, most: int) -> DataFrame:
-    """``encoded`` with ``listed`` (binary) in place of ``ids``: its ids, at most ``most``, as decimal numbers joined by one space."""
+def decode(encoded: DataFrame, model: Model) -> DataFrame:
+    """``encoded`` with the column ``decoded`` (replacing one of that name): the UTF-8 text of ``ids``."""
+    encoded = encoded.drop("decoded")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema) + ", decoded binary"
+    return encoded.mapInArrow(_decoder(encoded.sparkSession, model), schema)
+
+
+def _lister(spark, most: int):
+    """Of batches with a column ``ids``: the same with a last column ``listed``, the ids (at most ``most``) as decimal numbers
+    joined by one space."""
     text = [b"%d " % i for i in range(most + 1)]
-    shared = encoded.sparkSession.sparkContext.broadcast((b"".join(text), np.array([len(t) for t in text], np.int64)))
-    kept = [f for f in encoded.schema.fields if f.name not in ("ids", "listed")]
+    shared = spark.sparkContext.broadcast((b"".join(text), np.array([len(t) for t in text], np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, length = shared.value
         flat, start = np.frombuffer(raw, np.uint8), np.cumsum(length) - length
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                piece, out = b.slice(lo, 256), []
-                for x in piece.column("ids"):
-                    ids = np.frombuffer(x.as_py() or b"", np.uint32)
-                    out.append(_gather(flat, start[ids], length[ids]).tobytes()[:-1])
-                yield pa.RecordBatch.from_arrays([*(piece.column(f.name) for f in kept), pa.array(out, pa.binary())],
-                                                 names=[*(f.name for f in kept), "listed"])
+            out = []
+            for x in b.column("ids"):
+                ids = np.frombuffer(x.as_py() or b"", np.uint32)
+                parts = [_gather(flat, start[p], length[p]).tobytes() for p in np.split(ids, range(_SLICE, len(ids), _SLICE))]
+                out.append(b"".join(parts)[:-1])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "listed"])
+
+    return run
+
 
-    return encoded.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", listed binary")
+def round_trip(docs: DataFrame, model: Model, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """doc_id, n_tokens, ids and the digests of the ids and of the decoded text."""
+    ids, spark = docs.select("doc_id", "text"), docs.sparkSession
+    encoded, decoded, listed = _encoder(spark.sparkContext.broadcast(model), block_chars), _decoder(spark, model), _lister(spark, len(model.pieces))
+    # one Python worker does all
+    out = ids.mapInArrow(lambda batches: listed(decoded(encoded(batches))),
+                         f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, ids binary, decoded binary, listed binary")
+    return out.select("doc_id", "n_tokens", "ids", F.sha2("listed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op11(spark, sf_dir):
@@ -415,6 +434,4 @@ def op11(spark, sf_dir):
 
     from docsift.llm.common import read
 
-    model = load_model(public_tokenizers.path("piece_bpe_32k.model"))
-    out = listed(decode(encode(read(spark, sf_dir, "documents"), model), model), len(model.pieces))
-    return out.select("doc_id", "n_tokens", F.sha2("listed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip(read(spark, sf_dir, "documents"), load_model(public_tokenizers.path("piece_bpe_32k.model"))).drop("ids")
