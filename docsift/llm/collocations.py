@@ -39,8 +39,9 @@ from pyspark.sql import functions as F
 from docsift.llm.bpe import _numbers, _pack, _planes
 from docsift.llm.common import discard, read, written
 
-BLOCK_CHARS = 16 << 20
-POSITIONS = 1 << 23  # of which a task's candidates are made distinct at once
+BLOCK_CHARS = 8 << 20
+PAIRS = 1 << 21  # distinct candidates that a task holds before it passes them on
+SLICE = 1 << 19  # text positions moved on at once
 SHARD = 1 << 20  # phrases of a trie
 WORDS = 4
 _SPLITS = b".,;:!?\n\v\f\r"
@@ -131,10 +132,15 @@ class Trie:
         self.base[parent[lone]] = out[lone] - digit[lone]
         return out
 
-    def walk(self, words: np.ndarray, most: int = WORDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """After each word: (positions whose next words lead to a state, the states)."""
+    def walk(self, words: np.ndarray, most: int = WORDS, slice_: int = SLICE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(words read, positions whose next words lead to a state, the states), for some positions at a time."""
+        for lo in range(0, len(words), slice_):
+            for k, at, state in self._walk(words[lo:lo + slice_ + most - 1], slice_, most):
+                yield k, at + lo, state
+
+    def _walk(self, words: np.ndarray, starts: int, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         high, low = words >> self.bits, words & (self._digits - 1)
-        at = np.flatnonzero(words)
+        at = np.flatnonzero(words[:starts])
         state = np.zeros(len(at), np.int64)
         for k in range(most):
             inside = at + k < len(words)
@@ -145,7 +151,7 @@ class Trie:
                 to = self.base[state] + digits[at + k]
                 ok = self.check[to] == state
                 at, state = at[ok], to[ok].astype(np.int64)
-            yield at, state
+            yield k + 1, at, state
 
 
 def _unpack(raw: bytes) -> np.ndarray:
@@ -167,9 +173,10 @@ def _tokens(docs: DataFrame, block_chars: int) -> DataFrame:
                 words, n = list(number)[1:], len(number)
                 counts = np.bincount(at, minlength=n)[1:]
                 yield from pa.Table.from_arrays(
-                    [pa.array([block] * n, pa.int64()), pa.array([lang] * n, pa.string()), pa.array([*words, None], pa.binary()),
+                    [pa.array(np.full(n, block), pa.int64()), pa.array([lang], pa.string()).take(pa.array(np.zeros(n, np.int32))), pa.array([*words, None], pa.binary()),
                      pa.array(np.arange(1, n + 1), pa.int32()), pa.array(np.append(counts, 0), pa.int64()),
-                     pa.array([None] * (n - 1) + [_pack(at)], pa.binary())], names=["block", "lang", "word", "place", "n", "idx"]).to_batches(1 << 16)
+                     pa.concat_arrays([pa.nulls(n - 1, pa.binary()), pa.array([_pack(at)], pa.binary())])],
+                    names=["block", "lang", "word", "place", "n", "idx"]).to_batches(1 << 14)
 
         for b in batches:
             for lang, t in zip(b.column("lang"), b.column("text")):
@@ -228,19 +235,15 @@ def _numbered_texts(tokens: DataFrame, words: DataFrame) -> DataFrame:
     return own.join(known, ["block", "lang"]).select("idx", "places", "numbers").mapInArrow(run, "text binary")
 
 
-def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs and how often each occurs."""
-    width = int(b.max(initial=0)) + 1
-    if int(a.max(initial=0)) < (1 << 62) // width:
-        pair, n = np.unique(a * width + b, return_counts=True)
-        return pair // width, pair % width, n
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
+def _distinct_pairs(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs and the sum of their counts ``n``."""
+    order = np.argsort(a << 32 | b) if max(a.max(initial=0), b.max(initial=0)) < 1 << 31 else np.lexsort((b, a))
+    a, b, n = a[order], b[order], n[order]
     first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[:len(a)])
-    return a[first], b[first], np.diff(np.append(first, len(a)))
+    return a[first], b[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _candidates(texts: DataFrame, trie, offset: int, least: int, positions: int) -> DataFrame:
+def _candidates(texts: DataFrame, trie, offset: int, least: int, pairs: int) -> DataFrame:
     """(prefix, word, n): phrases whose first and last words are known, as the number of the first ones and the last word.
 
     ``trie``: broadcast trie of the phrases one word shorter (None: the words
@@ -249,24 +252,22 @@ def _candidates(texts: DataFrame, trie, offset: int, least: int, positions: int)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def rows() -> Iterator[pa.RecordBatch]:
-            a, b, n = _distinct_pairs(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]))
-            yield from pa.Table.from_arrays([pa.array(a), pa.array(b), pa.array(np.minimum(n, least), pa.int64())],
-                                            names=["prefix", "word", "n"]).to_batches(1 << 16)
-
+        none = np.zeros(0, np.int64)
+        held = none, none, none
         for batch in batches:
             for r in range(batch.num_rows):
                 text, ids, k = _marked(batch, r, trie, offset)
-                pair = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
-                held.append((ids[pair], text[pair + k]))
-                size += len(pair)
-                if size >= positions:
-                    yield from rows()
-                    held, size = [], 0
-        if held:
-            yield from rows()
+                for lo in range(0, len(text), SLICE):
+                    pair = lo + np.flatnonzero((ids[lo:lo + SLICE] != 0)[:len(ids) - 1 - lo] & (ids[lo + 1:lo + SLICE + 1] != 0))
+                    new = _distinct_pairs(ids[pair], text[pair + k], np.ones(len(pair), np.int64))
+                    held = _distinct_pairs(*(np.concatenate(x) for x in zip(held, new)))
+                    if len(held[0]) >= pairs:
+                        yield from rows(*held)
+                        held = none, none, none
+        yield from rows(*held)
+
+    def rows(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from pa.table([pa.array(a), pa.array(b), pa.array(np.minimum(n, least))], names=["prefix", "word", "n"]).to_batches(1 << 15)
 
     found = texts.mapInArrow(run, "prefix bigint, word bigint, n bigint")
     return found.groupBy("prefix", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("prefix", "word")
@@ -281,9 +282,9 @@ def _marked(batch: pa.RecordBatch, r: int, trie, offset: int) -> tuple[np.ndarra
     ids = np.zeros(len(text), np.int64)
     if batch.schema.get_field_index("ids") >= 0:
         ids[:] = np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column("ids")[r].as_py()), np.int64)
-    for at, state in tree.walk(text, k):
-        pass
-    ids[at] = tree.value[state] + offset
+    for read, at, state in tree.walk(text, k):
+        if read == k:
+            ids[at] = tree.value[state] + offset
     return text, ids, k
 
 
@@ -320,7 +321,7 @@ def _counts(texts: DataFrame, trie, offset: int) -> DataFrame:
         total = np.zeros(tree.size, np.int64)
         for batch in batches:
             for raw in batch.column("text"):
-                for _, state in tree.walk(_unpack(raw.as_py()).astype(np.int64), most):
+                for _, _, state in tree.walk(_unpack(raw.as_py()).astype(np.int64), most):
                     ends = tree.value[state]
                     total += np.bincount(ends[ends >= 0], minlength=tree.size)
         seen = np.flatnonzero(total)
@@ -330,7 +331,7 @@ def _counts(texts: DataFrame, trie, offset: int) -> DataFrame:
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, most: int = WORDS, shard: int = SHARD, block_chars: int = BLOCK_CHARS,
-                     positions: int = POSITIONS) -> tuple[DataFrame, DataFrame, DataFrame]:
+                     pairs: int = PAIRS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Words (lang, word, f, number), phrases of 2 to ``most`` words (words, a) of at least ``least`` occurrences, and (lang, n)."""
     tokens = written(_tokens(docs, block_chars), "phrases-tokens")
     counted = tokens.where("word IS NOT NULL").groupBy("lang", "word").agg(F.sum("n").alias("f"))
@@ -338,10 +339,10 @@ def frequent_phrases(docs: DataFrame, least: int = 30, most: int = WORDS, shard:
     words = _numbered(counted.where(F.col("f") >= least), "phrases-words", "number")
     texts = written(_numbered_texts(tokens, words), "phrases-texts")
     discard(tokens)
-    levels, known = [], None
+    levels, known, tries = [], None, []
     for k in range(2, most + 1):
         if k == 2:
-            found = _candidates(texts, None, 0, least, positions)
+            found = _candidates(texts, None, 0, least, pairs)
             found = found.select(F.array("prefix", "word").alias("words"))
         else:
             tries, marked = list(_tries(known, shard)), texts
@@ -349,21 +350,27 @@ def frequent_phrases(docs: DataFrame, least: int = 30, most: int = WORDS, shard:
                 break
             for trie, lo in tries[:-1]:
                 marked = written(_mark(marked, trie, lo), "phrases-marked")
-            found = _candidates(marked, *tries[-1], least, positions).join(known.withColumnRenamed("number", "prefix"), "prefix")
+            found = _candidates(marked, *tries[-1], least, pairs).join(known.withColumnRenamed("number", "prefix"), "prefix")
             found = found.select(F.concat("words", F.array("word")).alias("words"))
         known = _numbered(found, f"phrases-{k}", "number")
+        for trie, _ in tries:  # the result is written: workers need not keep the tries
+            trie.destroy()
         levels.append(known)
     phrases = levels[0].select("words")
     for level in levels[1:]:
         phrases = phrases.union(level.select("words"))
     phrases = _numbered(phrases, "phrases-candidates", "number")
-    parts = [_counts(texts, trie, lo) for trie, lo in _tries(phrases, shard)]
+    parts = []
+    for trie, lo in _tries(phrases, shard):
+        parts.append(written(_counts(texts, trie, lo), "phrases-counts"))
+        trie.destroy()
     if not parts:
         return words, phrases.select("words", F.lit(0).cast("long").alias("a")), sizes
     total = parts[0]
     for part in parts[1:]:
         total = total.union(part)
     total = written(phrases.join(total, "number").where(F.col("a") >= least).select("words", "a"), "phrases-counted")
+    discard(texts, *parts)
     return words, total, sizes
 
 

@@ -43,7 +43,7 @@ def corpus(n=120):
     return rows + [(1, "p q r s t " * 40, "de"), (2, "z " * 100, "de"), (2, "z " * 100, "de")]
 
 
-@pytest.mark.parametrize("options", [{}, {"least": 4, "top": 50}, {"least": 3, "shard": 7, "block_chars": 300, "positions": 50}, {"least": 2, "shard": 100}])
+@pytest.mark.parametrize("options", [{}, {"least": 4, "top": 50}, {"least": 3, "shard": 7, "block_chars": 300, "pairs": 50}, {"least": 2, "shard": 100}])
 def test_collocations_equal_brute_force(spark, options):
     rows = corpus() + [(i, t, "en") for i, t in HOSTILE if i != 7]
     got = C.collocations(docs(spark, rows), **options).collect()
@@ -69,7 +69,7 @@ def test_trie_finds_exactly_its_phrases():
         trie = C.Trie(table)
         text = np.array([x for p in rng.choices(rows, k=2000) for x in (*p, rng.choice([0, 1, top, 10 * top]))], np.int64)
         got, expected = Counter(), Counter()
-        for at, state in trie.walk(text):
+        for _, _, state in trie.walk(text, slice_=rng.choice([1 << 19, 7, 100])):
             ends = trie.value[state]
             got.update(rows[i] for i in ends[ends >= 0].tolist())
         for k in (2, 3, 4):
@@ -79,4 +79,4 @@ def test_trie_finds_exactly_its_phrases():
 
 def test_wide_pairs_are_counted():
     a, b = np.array([5, 5, 1 << 40, 5, 1 << 40]), np.array([1 << 40, 7, 1 << 40, 7, 1 << 40])
-    assert [x.tolist() for x in C._distinct_pairs(a, b)] == [[5, 5, 1 << 40], [7, 1 << 40, 1 << 40], [2, 1, 2]]
+    assert [x.tolist() for x in C._distinct_pairs(a, b, np.array([1, 1, 1, 2, 1]))] == [[5, 5, 1 << 40], [7, 1 << 40, 1 << 40], [3, 1, 2]]
