@@ -150,11 +150,16 @@ class Ctx:
         self.derive(key, build, dtype)
         return self._root._derived_keys[key]
 
-    def attach(self, keyed: DataFrame, left_key: str, right_key: str) -> None:
-        """Left-join a frame holding at most one row per key (aggregated side)."""
+    def attach(self, keyed: "DataFrame | Callable[[], DataFrame]", left_key: str, right_key: str, nulls: bool = False) -> None:
+        """Left-join a frame holding at most one row per key (aggregated side).
+
+        A callable is asked for the frame when the joins are applied, so nodes
+        compiled later may still add to it.  ``nulls``: the left key may be null
+        for many rows; these are spread instead of meeting in one partition.
+        """
         if self.in_nested:
             raise ValueError("joins are not available inside a nested scope")
-        self._root._joins.append((keyed, left_key, right_key))
+        self._root._joins.append((keyed, left_key, right_key, nulls))
 
     def indexed(self, name: str, terms: Sequence[str], slop: int | None = None) -> tuple[Column, Column] | None:
         """(hits, score) of the terms (``slop`` set: of the phrase) from the field's postings, null where nothing matches;
@@ -173,8 +178,18 @@ class Ctx:
     def apply(self, df: DataFrame | None = None) -> DataFrame:
         df = self.df if df is None else df
         r = self._root
-        for keyed, lk, rk in r._joins:
-            df = df.join(keyed, F.col(lk) == keyed[rk], "left").drop(keyed[rk])
+        for i, (keyed, lk, rk, nulls) in enumerate(r._joins):
+            if not isinstance(keyed, DataFrame):
+                keyed = keyed()
+                r._joins[i] = (keyed, lk, rk, nulls)
+            on = F.col(lk) == keyed[rk]
+            if nulls and self.id_col:  # a second key: always equal, but for null keys, which match nothing anyway
+                salt = f"__salt_{rk}"
+                keyed = keyed.withColumn(salt, F.when(F.col(rk).isNull(), F.lit(1)).otherwise(F.lit(0)))
+                on = (F.col(lk) == keyed[rk]) & (F.when(F.col(lk).isNull(), F.pmod(F.xxhash64(F.col(self.id_col)), F.lit(1 << 16)).cast("int")).otherwise(F.lit(0)) == keyed[salt])
+                df = df.join(keyed, on, "left").drop(keyed[rk], keyed[salt])
+            else:
+                df = df.join(keyed, on, "left").drop(keyed[rk])
         for name, c in r._derived.items():  # in order: later ones may use earlier ones
             df = df.withColumn(name, c)
         return df
@@ -182,8 +197,8 @@ class Ctx:
     def aux_columns(self) -> list[str]:
         r = self._root
         names = list(r._derived)
-        for keyed, _, rk in r._joins:
-            names += [c for c in keyed.columns if c != rk]
+        for keyed, _, rk, _ in r._joins:
+            names += [c for c in (keyed if isinstance(keyed, DataFrame) else keyed()).columns if c != rk]
         return names
 
     # -- text

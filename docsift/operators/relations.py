@@ -3,19 +3,44 @@
 
 Children are aggregated per parent id first (partial + final aggregation, so a
 parent with a huge number of children is combined map-side) and the result --
-at most one row per parent -- is left-joined back.  No pairs are emitted.
+at most one row per parent -- is left-joined back.  No pairs are emitted.  Only
+the score modes that the search asks for are computed.
+
+``store_families`` writes the collection bucketed by family: a child under its
+parent's id, a parent under its own.  A search over that table joins on the
+family, so relations need no shuffle of either side.  A family has two levels;
+where a document is both child and parent, use the plain layout.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsift.operators.query import Ctx, Query
+from docsift.session import checkpoint_dir
+
+__all__ = ["HasChild", "HasParent", "ParentId", "family_key", "score_agg", "store_families", "FAMILY"]
+
+FAMILY = "_family"
+
+
+def store_families(df: DataFrame, id_col: str, table: str | None = None, buckets: int = 64, join_field: str = "join", path: str | None = None) -> DataFrame:
+    """``df`` with the column ``_family``, written as a table bucketed and sorted by it, one file a bucket."""
+    spark = df.sparkSession
+    table = table or f"families_{uuid.uuid4().hex}"
+    path = path or f"{checkpoint_dir(spark).rstrip('/')}/{table}"
+    keyed = df.withColumn(FAMILY, F.coalesce(F.col(f"{join_field}.parent"), F.col(id_col)))
+    keyed.repartition(buckets, FAMILY).write.mode("overwrite").option("path", path).bucketBy(buckets, FAMILY).sortBy(FAMILY).saveAsTable(table)
+    return spark.table(table)
+
 
-__all__ = ["HasChild", "HasParent", "ParentId", "family_key", "score_agg"]
+def _by_family(ctx: Ctx) -> bool:
+    return FAMILY in ctx.df.columns and FAMILY in ctx.corpus.columns
 
 
 def score_agg(mode: str, s: Column, child_id: Column) -> Column:
@@ -62,41 +87,46 @@ class HasChild(Query):
     join_field: str = "join"
     boost: float | None = None
 
-    def _cols(self, ctx: Ctx) -> tuple[str, str]:
-        """(count column, score column).  Nodes over the same child query share
-        one child aggregate (all score modes in one groupBy) and one join."""
-        def build():
+    def _cols(self, ctx: Ctx) -> tuple[Column, Column | None]:
+        """(count, score) of a row's matching children.  Nodes over the same child
+        query share one child aggregate, of the modes that any of them asks for,
+        and one join."""
+        modes, cn = _memo(ctx, ("hc", self.type, self.join_field, id(self.query)), lambda: self._join(ctx))
+        mode = (self.score_mode or "none").lower()
+        if mode != "none":
+            score_agg(mode, F.lit(0.0), F.lit(0))  # an unknown mode raises here
+            modes.add(mode)
+        parent = F.col(FAMILY) == F.col(ctx.id_col) if _by_family(ctx) else F.lit(True)  # by family, children meet the counts too
+        return F.when(parent, F.col(cn)), F.when(parent, F.col(f"{cn}_{mode}")) if mode != "none" else None
+
+    def _join(self, ctx: Ctx) -> tuple[set, str]:
+        modes, cn = set(), ctx.fresh("hc_n")
+        key = FAMILY if _by_family(ctx) else f"{self.join_field}.parent"
+
+        def keyed() -> DataFrame:
             corpus = ctx.corpus
             cctx = Ctx(corpus, ctx.id_col)
             pred, score = self.query.predicate(cctx), self.query.score(cctx).cast("double")
-            kids = cctx.apply(corpus.filter(F.col(f"{self.join_field}.name") == F.lit(self.type))).filter(pred)
-            cn = ctx.fresh("hc_n")
-            modes = ("sum", "avg", "max", "min", "first", "multiply")
-            names = {m: f"{cn}_{m}" for m in modes}
-            keyed = kids.select(F.col(f"{self.join_field}.parent").alias("__hc_p"), score.alias("__s"),
-                                F.col(ctx.id_col).alias("__cid")) \
-                .groupBy("__hc_p").agg(F.count(F.lit(1)).alias(cn),
-                                       *[score_agg(m, F.col("__s"), F.col("__cid")).alias(names[m]) for m in modes])
-            keyed = keyed.withColumnRenamed("__hc_p", f"__hc_p_{cn}")
-            ctx.attach(keyed, ctx.id_col, f"__hc_p_{cn}")
-            return cn, names
-        cn, names = _memo(ctx, ("hc", self.type, self.join_field, id(self.query)), build)
-        mode = (self.score_mode or "none").lower()
-        return cn, (names[mode] if mode != "none" else None)
+            kids = corpus.filter((F.col(f"{self.join_field}.name") == F.lit(self.type)) & F.col(f"{self.join_field}.parent").isNotNull())
+            kids = cctx.apply(kids).filter(pred).select(F.col(key).alias(f"__hc_p_{cn}"), score.alias("__s"), F.col(ctx.id_col).alias("__cid"))
+            return kids.groupBy(f"__hc_p_{cn}").agg(F.count(F.lit(1)).alias(cn), *[score_agg(m, F.col("__s"), F.col("__cid")).alias(f"{cn}_{m}") for m in sorted(modes)])
+
+        ctx.attach(keyed, FAMILY if _by_family(ctx) else ctx.id_col, f"__hc_p_{cn}")
+        return modes, cn
 
     def predicate(self, ctx):
         cn, _ = self._cols(ctx)
         lo = max(1, self.min_children or 1)
-        e = F.col(cn) >= F.lit(lo)
+        e = cn >= F.lit(lo)
         if self.max_children is not None:
-            e = e & (F.col(cn) <= F.lit(self.max_children))
+            e = e & (cn <= F.lit(self.max_children))
         return F.coalesce(e, F.lit(False))
 
     def score(self, ctx):
         _, sn = self._cols(ctx)
         if sn is None:
             return F.lit(0.0)
-        return F.coalesce(F.col(sn), F.lit(0.0)) * F.lit(self._b())
+        return F.coalesce(sn, F.lit(0.0)) * F.lit(self._b())
 
 
 @dataclass(frozen=True)
@@ -117,14 +147,18 @@ class HasParent(Query):
             pred, score = self.query.predicate(pctx), self.query.score(pctx).cast("double")
             par = pctx.apply(corpus.filter(F.col(f"{self.join_field}.name") == F.lit(self.parent_type))).filter(pred)
             mn, sn = ctx.fresh("hp_m"), ctx.fresh("hp_s")
-            keyed = par.select(F.col(ctx.id_col).alias(f"__hp_k_{mn}"), F.lit(True).alias(mn), score.alias(sn))
-            ctx.attach(keyed, f"{self.join_field}.parent", f"__hp_k_{mn}")
+            of = f"__hp_k_{mn}"
+            if _by_family(ctx):  # a parent's family is its own id
+                keyed = par.where(F.col(FAMILY) == F.col(ctx.id_col)).select(F.col(FAMILY).alias(of), F.lit(True).alias(mn), score.alias(sn))
+                ctx.attach(keyed, FAMILY, of)
+            else:
+                ctx.attach(par.select(F.col(ctx.id_col).alias(of), F.lit(True).alias(mn), score.alias(sn)), f"{self.join_field}.parent", of, nulls=True)
             return mn, sn
         return _memo(ctx, ("hp", id(self)), build)
 
     def predicate(self, ctx):
         mn, _ = self._cols(ctx)
-        return F.coalesce(F.col(mn), F.lit(False))
+        return F.coalesce(F.col(mn) & F.col(f"{self.join_field}.parent").isNotNull(), F.lit(False))
 
     def score(self, ctx):
         _, sn = self._cols(ctx)

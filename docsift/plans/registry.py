@@ -1193,6 +1193,32 @@ def j3_has_parent(spark, sf):
     return _scored(Search(TB.order_family(spark, sf), "_id").query(q).matched().select("_id", "_score"))
 
 
+_FAMILIES: dict = {}
+
+
+def _families(spark, sf):
+    """The family table, bucketed by family, written once per application and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FAMILIES:
+        _FAMILIES[key] = RL.store_families(TB.order_family(spark, sf), "_id", buckets=16)
+    return _FAMILIES[key]
+
+
+@reg("j1_j2_stored_families", """
+WITH c AS (SELECT l_orderkey, l_quantity * 0.1 AS s FROM lineitem WHERE l_quantity >= 40 AND l_orderkey IN (SELECT o_orderkey FROM orders))
+SELECT 'o' || l_orderkey AS _id, round(sum(s) + max(s), 6) AS _score FROM c GROUP BY l_orderkey HAVING count(*) >= 2""")
+def j1_stored(spark, sf):
+    inner = SC.FunctionScore(Q.Range("l_quantity", gte=40), [SC.FieldValueFactor("l_quantity", factor=0.1)], boost_mode="replace")
+    q = Q.Bool(must=[RL.HasChild("line", inner, min_children=2, score_mode="sum"), RL.HasChild("line", inner, score_mode="max")])
+    return _scored(Search(_families(spark, sf), "_id").query(q).matched().select("_id", "_score"))
+
+
+@reg("j3_stored_families", SQL["j3_has_parent_score"])
+def j3_stored(spark, sf):
+    pq = SC.FunctionScore(Q.Term("o_orderstatus", "F"), [SC.FieldValueFactor("o_totalprice", factor=0.00001)], boost_mode="replace")
+    return _scored(Search(_families(spark, sf), "_id").query(RL.HasParent("order", pq, score_=True)).matched().select("_id", "_score"))
+
+
 @reg("j4_family_terms", """
 SELECT 'o' || o_orderkey AS family, (1 + count(l_orderkey))::BIGINT AS doc_count
 FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey

@@ -215,10 +215,13 @@ class Search:
         return matched, ctx, aux, df, pred
 
     def _post(self, matched: DataFrame, ctx: Ctx) -> DataFrame:
+        if not self.post_filters:
+            return matched
+        own = self._ctx(matched)  # a context of its own: what these filters join is joined to the matched rows
         p = F.lit(True)
         for f in self.post_filters:
-            p = p & f.cond(ctx)
-        return matched.filter(p) if self.post_filters else matched
+            p = p & f.cond(own)
+        return own.apply(matched).filter(p).select(*matched.columns)
 
     def _order(self, ctx: Ctx) -> list[Column]:
         cols: list[Column] = []
