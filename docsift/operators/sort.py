@@ -114,8 +114,9 @@ class Sort:
             return c
         return F.transform(arr, get)
 
-    def order_columns(self, ctx: Ctx) -> list[Column]:
-        v = self.value(ctx)
+    def order_columns(self, ctx: Ctx, when: Column | None = None) -> list[Column]:
+        """``when``: the rows that this sort orders; the others are all alike to it."""
+        v = self.value(ctx) if when is None else F.when(when, self.value(ctx))
         desc = self.direction() == "desc"
         miss = self.missing
         if miss is not None and miss not in ("_last", "_first"):

@@ -1841,6 +1841,20 @@ def r1_stored_stats(spark, sf):
     return _scored(s.matched().select("doc_id", "_score"))
 
 
+@reg("s12_multi_search_one_pass", f"""
+WITH t AS (SELECT id, s FROM {bm25_sql('documents', 'doc_id', 'text', ['the', 'and'])} WHERE nhit > 0),
+u AS (SELECT id, s FROM {bm25_sql('documents', 'doc_id', 'text', ['und'])} WHERE nhit > 0)
+SELECT * FROM (SELECT 0 AS query_id, id AS doc_id, round(s, 6) AS _score FROM t ORDER BY s DESC, id LIMIT 6 OFFSET 2)
+UNION ALL SELECT * FROM (SELECT 1, id, round(s, 6) FROM u ORDER BY s DESC, id LIMIT 4)
+UNION ALL SELECT * FROM (SELECT 2, doc_id, NULL::DOUBLE FROM documents WHERE lang = 'en' ORDER BY n_chars DESC, doc_id LIMIT 5)""")
+def s12_one_pass(spark, sf):
+    from docsift.plans.search import multi_search
+    d = _docs(spark, sf).source("doc_id")
+    found = multi_search([d.query(Q.Match("text", "the and")).size(6).offset(2), d.query(Q.Match("text", "und")).size(4),
+                          d.filter(Q.Term("lang", "en")).sort("-n_chars").size(5)])
+    return _scored(found.select("query_id", "doc_id", "_score"))
+
+
 # ----------------------------------------------------------------------------- postings
 
 from docsift.operators.text_index import TextIndex  # noqa: E402

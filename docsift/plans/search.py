@@ -230,7 +230,7 @@ class Search:
         cols.append(F.col(self.id_col).asc_nulls_last())
         return cols
 
-    def _project(self, df: DataFrame, aux: list[str]) -> DataFrame:
+    def _project(self, df: DataFrame, aux: list[str], *more: str) -> DataFrame:
         src_cols = [c for c in self.df.columns]
         keep: list[Any] = []
         if self.stored_fields_ is not None and len(self.stored_fields_) == 0:
@@ -252,7 +252,7 @@ class Search:
         score = [F.col("_score")]
         if self.explain_:
             score.append(F.col("_explanation"))
-        return df.select(*keep, *extra, *score)
+        return df.select(*keep, *extra, *score, *more)
 
     # ------------------------------------------------------------ results
     def hits(self) -> DataFrame:
@@ -454,11 +454,71 @@ def _explain(q: Query, ctx: Ctx) -> Column:
     return F.array(*parts)
 
 
+def _shares_pass(s: Search) -> tuple | None:
+    """What searches must have in common to be answered in one pass over the rows; None: this one needs its own."""
+    if s.size_ is None or s.rescores or s.knn_ is not None or s.terminate_after_ is not None or s.explain_ or s.whole_indexes:
+        return None
+    held = lambda d: tuple(sorted((k, id(v)) for k, v in d.items()))
+    return (id(s.df), s.id_col, id(s.corpus), s.runtime_fields, repr(s.source_), s.fields_, s.script_fields, repr(s.stored_fields_),
+            held(s.text_stats), held(s.text_indexes))
+
+
+def _one_pass(group: list[tuple[int, Search]]) -> DataFrame:
+    """Hits of several searches over the same rows: each row is tagged with the searches it matches, and each tag keeps its page.
+
+    One context serves all, so they share joins, analyzed texts and statistics.
+    The window's limit keeps a tag's best rows of each partition before the shuffle.
+    """
+    from pyspark.sql import Window
+
+    first = group[0][1]
+    base = first._base()
+    terms: dict[str, list[str]] = {}
+    for _, s in group:
+        for fld, words in s._terms().items():
+            terms[fld] = list(dict.fromkeys([*terms.get(fld, []), *words]))
+    ctx = Ctx(base, first.id_col, corpus=first.corpus if first.corpus is not None else base, prefetch=terms, stats_tables=first.text_stats,
+              text_indexes=first.text_indexes)
+    hits, some = [], F.lit(False)
+    for i, s in group:
+        q = s.query_ or MatchAll()
+        cond = q.cond(ctx)
+        for f in (*s.filters, *s.post_filters):
+            cond = cond & f.cond(ctx)
+        score = F.lit(0.0) if s.query_ is None and s.filters else q.score(ctx).cast("double")
+        kept = cond if s.min_score_ is None else cond & (score >= F.lit(float(s.min_score_)))
+        hits.append(F.when(kept, F.struct(F.lit(i).alias("query_id"), score.alias("_score"))))
+        some = some | cond
+    tag = F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("__hit")
+    rows = ctx.apply(base).filter(some)
+    rows = rows.select("*", tag).select(*rows.columns, F.col("__hit.query_id").alias("query_id"), F.col("__hit._score").alias("_score"))
+    silent = [i for i, s in group if not s._sorted_by_score() and not s.track_scores_]
+    rows = rows.withColumn("_score", F.when(~F.col("query_id").isin(silent), F.col("_score")) if silent else F.col("_score"))
+    order, cut = [], F.lit(False)
+    for i, s in group:
+        own = F.col("query_id") == F.lit(i)
+        for o in s.sorts or (Sort("_score", "desc"),):
+            order += o.order_columns(ctx, own)
+        cut = cut | (own & (F.col("__rank") > F.lit(s.from__)) & (F.col("__rank") <= F.lit(s.from__ + s.size_)))
+    order.append(F.col(first.id_col).asc_nulls_last())
+    rows = rows.withColumn("__rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+    rows = rows.where(F.col("__rank") <= max(s.from__ + s.size_ for _, s in group)).where(cut)
+    return first._project(rows, ctx.aux_columns(), "query_id", "__rank").orderBy("query_id", "__rank").drop("__rank")
+
+
 def multi_search(searches: list[Search]) -> DataFrame:
-    """Hits of several searches as one frame tagged by ``query_id`` (0-based,
-    in request order).  The searches share the scan when the source is cached."""
-    out = None
+    """Hits of several searches as one frame tagged by ``query_id`` (0-based, in request order).
+
+    Searches over the same DataFrame that return the same columns take one pass
+    over it, whatever their queries, sorts and pages; one that rescores, ranks by
+    vectors, explains, ends early or wants all its hits takes its own.
+    """
+    groups: dict = {}
     for i, s in enumerate(searches):
-        h = s.hits().withColumn("query_id", F.lit(i))
+        key = _shares_pass(s)
+        groups.setdefault(key if key is not None else ("alone", i), []).append((i, s))
+    out = None
+    for group in groups.values():
+        h = _one_pass(group) if len(group) > 1 else group[0][1].hits().withColumn("query_id", F.lit(group[0][0]))
         out = h if out is None else out.unionByName(h, allowMissingColumns=True)
     return out
