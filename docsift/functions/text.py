@@ -26,9 +26,38 @@ def tokens(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)
 
 
-def analyze(text: str) -> list[str]:
-    """Driver-side analysis of a *query string* (never of documents)."""
-    return [t for t in _PY_TOKEN.findall(text.lower())]
+def _simple(text: str) -> list[str]:
+    return re.findall(r"[^\W\d_]+", text.lower())
+
+
+# The common words that the "stop" analyzer leaves out.
+STOP_WORDS = frozenset(("a an and are as at be but by for if in into is it no not of on or such that the their then there these they "
+                        "this to was will with").split())
+# Analyzers of query strings by name; ``register_analyzer`` adds to them.
+ANALYZERS = {
+    "standard": lambda text: _PY_TOKEN.findall(text.lower()),
+    "simple": _simple,
+    "stop": lambda text: [w for w in _simple(text) if w not in STOP_WORDS],
+    "whitespace": lambda text: text.split(),
+    "keyword": lambda text: [text] if text else [],
+}
+
+
+def register_analyzer(name: str, analyzer) -> None:
+    """``analyzer``: query string -> terms."""
+    ANALYZERS[name] = analyzer
+
+
+def analyze(text: str, analyzer: str | None = None) -> list[str]:
+    """Driver-side analysis of a *query string* (never of documents, whose tokens ``tokens`` makes)."""
+    if analyzer is not None and analyzer not in ANALYZERS:
+        raise ValueError(f"unknown analyzer {analyzer}")
+    return list(ANALYZERS[analyzer or "standard"](text))
+
+
+def is_token(term: str) -> bool:
+    """Whether documents can hold the term: an analyzer of queries may make terms that they cannot."""
+    return _PY_TOKEN.fullmatch(term) is not None and term == term.lower()
 
 
 def term_freq(toks: Column, term: str) -> Column:
@@ -60,6 +89,8 @@ def any_token_regex(terms: list[str]) -> str:
 
 def has_token(text: Column, term: str) -> Column:
     """``term`` is a token of a lower-cased text.  The plain search in front of the pattern rejects most texts at little cost."""
+    if not is_token(term):
+        return F.lit(False)
     return text.contains(term) & text.rlike(any_token_regex([term]))
 
 

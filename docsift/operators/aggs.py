@@ -13,6 +13,7 @@ multi-value metrics use ``<name>_<stat>``.
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import dataclass, field as dc_field
 from typing import Any, Callable
@@ -256,12 +257,21 @@ class TopHits(Agg):
     """Top documents per bucket: ``row_number`` over the bucket keys ordered by
     ``sort`` (default _score desc, id asc), rows ``from+1 .. from+size``.
     The window group limit runs partially before the shuffle, so a hot bucket
-    only ships its own top rows."""
+    only ships its own top rows.
+
+    ``source``: top-level columns, ``source_includes`` / ``source_excludes``: dotted
+    paths with wildcards; ``fields`` and ``docvalue_fields``: names or (name, format),
+    as in ``Search``; ``max_score`` adds ``_max_score``, the best score of the bucket."""
 
     size: int = 3
     from_: int = 0
     sort: tuple = ()
     source: tuple | None = None
+    source_includes: tuple = ()
+    source_excludes: tuple = ()
+    fields: tuple = ()
+    docvalue_fields: tuple = ()
+    max_score: bool = False
 
 
 @dataclass(frozen=True)
@@ -433,6 +443,9 @@ class SignificantTerms(TermsAgg):
         raise NotImplementedError  # needs the rows: see _significant
 
 
+MAX_FILL = 1 << 22  # empty buckets that a histogram fills at most
+
+
 @dataclass(frozen=True)
 class Histogram(Bucket):
     """key = floor((x - offset) / interval) * interval + offset.  With
@@ -441,7 +454,9 @@ class Histogram(Bucket):
     ``max_buckets`` fails a request that would fill more per parent.
 
     Rows are grouped, joined and filled by the whole-number bucket index; the
-    key is computed from it at the end."""
+    key is computed from it at the end.  Values without one are left out: null,
+    NaN, infinite, or so far off that a double cannot count the intervals.  More
+    than ``MAX_FILL`` buckets are never filled, they fail the request."""
 
     field: str | None = None
     interval: float = 1.0
@@ -456,7 +471,8 @@ class Histogram(Bucket):
     aggs: dict = dc_field(default_factory=dict)
 
     def key_of(self, x: Column) -> Column:
-        return F.floor((x.cast("double") - F.lit(float(self.offset))) / F.lit(float(self.interval))).cast("long")
+        index = (x.cast("double") - F.lit(float(self.offset))) / F.lit(float(self.interval))
+        return F.when(F.abs(index) < F.lit(float(1 << 53)), F.floor(index).cast("long"))
 
     def key_out(self, index: Column) -> Column:
         return index * F.lit(float(self.interval)) + F.lit(float(self.offset))
@@ -470,9 +486,10 @@ class Histogram(Bucket):
         if self.missing is not None:
             k = F.coalesce(k, F.lit(self.missing)) if not arr else k
         if arr:
-            df = df.withColumn(name, F.explode(F.array_distinct(F.transform(F.filter(k, lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))), self.key_of))))
+            df = df.withColumn(name, F.explode(F.array_distinct(F.transform(k, self.key_of))))
         else:
-            df = df.filter(k.isNotNull() & ~F.isnan(k.cast("double"))).withColumn(name, self.key_of(k))
+            df = df.withColumn(name, self.key_of(k))
+        df = df.filter(F.col(name).isNotNull())
         if self.hard_bounds is not None:
             lo, hi = self.hard_bounds
             if lo is not None:
@@ -491,10 +508,10 @@ class Histogram(Bucket):
                 rng = rng.withColumn("__lo", F.least(F.coalesce("__lo", F.lit(elo)), F.lit(elo)))
             if ehi is not None:
                 rng = rng.withColumn("__hi", F.greatest(F.coalesce("__hi", F.lit(ehi)), F.lit(ehi)))
-        if self.max_buckets is not None:
-            n = F.floor((F.col("__hi") - F.col("__lo")) / F.lit(step)) + 1
-            error = F.raise_error(F.lit(f"too many buckets (> {self.max_buckets})")).cast("long")
-            rng = rng.withColumn("__hi", F.when(n > self.max_buckets, error).otherwise(F.col("__hi")))
+        most = MAX_FILL if self.max_buckets is None else self.max_buckets
+        n = F.floor((F.col("__hi") - F.col("__lo")) / F.lit(step)) + 1
+        error = F.raise_error(F.lit(f"too many buckets (> {most})")).cast("long")
+        rng = rng.withColumn("__hi", F.when(n > most, error).otherwise(F.col("__hi")))
         grid = rng.filter(F.col("__lo").isNotNull()).select(
             *keys, F.explode(F.sequence(F.col("__lo"), F.col("__hi"), F.lit(step).cast("long"))).alias(name))
         metric_cols = [c for c in res.columns if c not in keys and c != name]
@@ -938,14 +955,32 @@ def _top_hits(name: str, m: TopHits, df: DataFrame, keys: list[str], ctx: Ctx, i
     if id_col:
         order.append(F.col(id_col).asc())
     lo, hi = m.from_ + 1, m.from_ + m.size
-    cols = list(m.source) if m.source is not None else [c for c in df.columns if not c.startswith("__") and c not in keys]
+    cols: list = list(m.source) if m.source is not None else [c for c in df.columns if not c.startswith("__") and c not in keys]
+    added = []
+    if m.fields or m.docvalue_fields or m.source_includes or m.source_excludes:
+        from docsift.plans.search import _docvalue, _formatted, _source_filter
+
+        spec = lambda x: (x, None) if isinstance(x, str) else x
+        added = [_formatted(df, *spec(x)).alias(f"fields_{spec(x)[0]}") for x in m.fields]
+        added += [_docvalue(df, *spec(x)).alias(f"docvalue_{spec(x)[0]}") for x in m.docvalue_fields]
+        if m.source_includes or m.source_excludes:
+            kept = df.select(*[c for c in cols if c != "_score"])
+            cols = [*_source_filter(kept.schema, m.source_includes, m.source_excludes), *(["_score"] if "_score" in cols else [])]
+    best = []
+    if m.max_score:
+        score = F.max("_score") if "_score" in df.columns else F.max(F.lit(None).cast("double"))
+        tops = df.groupBy(*[F.col(k).alias(f"__of{i}") for i, k in enumerate(keys)]).agg(score.alias("__best"))
+        best = [F.col("__best").alias("_max_score")]
     if keys:  # per bucket: the window group limit runs partially before the shuffle
         w = Window.partitionBy(*keys).orderBy(*order)
         out = df.withColumn("_rank", F.row_number().over(w)).filter((F.col("_rank") >= lo) & (F.col("_rank") <= hi))
     else:  # whole result: distributed top-k first, then number only those rows (at most from + size)
         top = df.orderBy(*order).limit(hi)
         out = top.withColumn("_rank", F.row_number().over(Window.orderBy(*order))).filter(F.col("_rank") >= lo)
-    return out.select(*keys, "_rank", *[c for c in cols if c not in keys])
+    if m.max_score:  # a row per bucket, joined to the few rows that are left
+        out = out.join(tops, functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__of{i}")) for i, k in enumerate(keys)])) if keys else (
+            out.withColumn("__best", tops.select("__best").scalar()))
+    return out.select(*keys, "_rank", *[c for c in cols if not (isinstance(c, str) and c in keys)], *added, *best)
 
 
 def _significant(res: DataFrame, m: SignificantTerms, name: str, keys: list[str], totals: DataFrame, env: _Env) -> DataFrame:
@@ -1043,7 +1078,7 @@ def run_aggs(df: DataFrame, aggs: dict[str, Agg], env: _Env, keys: list[str] | N
             return d.select(*[F.col(k).alias(n) for k, n in zip(all_keys, all_public)], *[c for c in d.columns if c not in all_keys])
 
         def converted(d: DataFrame) -> DataFrame:
-            return d.select(*[outs[c](F.col(c)).alias(c) if c in outs else F.col(c) for c in d.columns])
+            return d.select(*[outs[c](F.col(c)).alias(c) if c in outs else F.col(f"`{c}`") for c in d.columns])
 
         res = shown(grouped)
         if isinstance(a, SignificantTerms):
@@ -1063,7 +1098,7 @@ def run_aggs(df: DataFrame, aggs: dict[str, Agg], env: _Env, keys: list[str] | N
             th = _top_hits(oname, m, rows, all_keys, rctx, env.id_col)
             if all_keys:  # total hits of the bucket: its doc_count (one row per kept bucket)
                 th = th.select(*[F.col(k).alias(n) for k, n in zip(all_keys, all_public)],
-                               *[c for c in th.columns if c not in all_keys and c not in all_public])
+                               *[F.col(f"`{c}`") for c in th.columns if c not in all_keys and c not in all_public])
                 th = converted(th.join(res.select(*all_public, F.col("doc_count").alias("_total")), all_public))
             else:
                 th = th.withColumn("_total", kdf.select(F.count(F.lit(1))).scalar())

@@ -4,7 +4,8 @@
 summing scores); ``KnnQuery`` is kNN as a query node (k, or radial by
 ``max_distance`` / ``min_score``).  Top-k is ``orderBy(score).limit(k)``:
 each partition keeps its own k best, then k x partitions rows are merged.  The
-result joins back on the id; Spark broadcasts it when it is small enough.
+result joins back on the id; Spark broadcasts it when it is small enough.  With a
+``VectorIndex`` of the field, a ``Knn`` that sets ``num_candidates`` is approximate.
 """
 
 from __future__ import annotations
@@ -39,7 +40,12 @@ def knn_top_k(df: DataFrame, id_col: str, field: str, vector, k: int, similarity
 class Knn:
     """Top-level kNN: ``k`` nearest by ``similarity`` (l2_norm, cosine,
     dot_product, max_inner_product) among rows passing ``filter``; scores are
-    multiplied by ``boost``.  ``num_candidates`` does not change exact results."""
+    multiplied by ``boost``.
+
+    ``num_candidates``: with a vector index, as many vectors are chosen by their
+    quantised forms, and ``oversample`` times ``k`` of them (default: all; 0: none)
+    are scored again on the exact ones; ``rescore_vector={"oversample": x}`` says the
+    same.  Without an index the result is exact, whatever these say."""
 
     field: str
     query_vector: tuple
@@ -49,9 +55,21 @@ class Knn:
     similarity: str = "l2_norm"
     boost: float = 1.0
     min_similarity: float | None = None
-
-    def top_k(self, base: DataFrame, id_col: str, ctx_for) -> DataFrame:
-        pred = self.filter.predicate(ctx_for(base)) if self.filter is not None else None
+    oversample: float | None = None
+    rescore_vector: dict | None = None
+
+    def top_k(self, base: DataFrame, id_col: str, ctx_for, index=None) -> DataFrame:
+        ctx = ctx_for(base)
+        pred = self.filter.predicate(ctx) if self.filter is not None else None
+        if index is not None and self.num_candidates is not None:
+            over = (self.rescore_vector or {}).get("oversample", self.oversample)
+            among = None if pred is None else ctx.apply(base).where(pred).select(F.col(id_col).alias("id"))
+            found = index.search(self.query_vector, self.k, self.num_candidates, self.similarity, over, among)
+            if self.min_similarity is not None:  # the bound is on the measure: take it from the score's side
+                exact = base.select(F.col(id_col).alias("of"), raw_similarity(self.similarity, F.col(self.field), self.query_vector).alias("raw"))
+                near = F.col("raw") <= self.min_similarity if self.similarity.lower() in _DISTANCES else F.col("raw") >= self.min_similarity
+                found = found.join(exact, F.col("id") == F.col("of")).where(near)
+            return found.select(F.col("id").alias(id_col), (F.col("score") * F.lit(float(self.boost))).alias("__knn_score"))
         t = knn_top_k(base, id_col, self.field, self.query_vector, self.k, self.similarity, pred, self.min_similarity)
         return t.select(id_col, (F.col("__knn_score") * F.lit(float(self.boost))).alias("__knn_score"))
 

@@ -688,9 +688,10 @@ class Match(Query):
     operator: str = "or"
     minimum_should_match: Any = None
     boost: float | None = None
+    analyzer: str | None = None  # of the query string
 
     def _terms(self) -> list[str]:
-        return _uniq(TX.analyze(self.query))
+        return _uniq(TX.analyze(self.query, self.analyzer))
 
     def predicate(self, ctx):
         terms = self._terms()
@@ -728,13 +729,14 @@ class MatchPhrase(Query):
     slop: int = 0
     prefix: bool = False
     boost: float | None = None
+    analyzer: str | None = None  # of the query string
 
     def _terms(self):
-        return TX.analyze(self.query)
+        return TX.analyze(self.query, self.analyzer)
 
     def predicate(self, ctx):
         terms = self._terms()
-        if not terms or not ctx.has(self.field):
+        if not terms or not ctx.has(self.field) or not all(map(TX.is_token, terms)):
             return F.lit(False)
         found = None if self.prefix else ctx.indexed(self.field, terms, self.slop)
         if found:
@@ -785,10 +787,11 @@ class MultiMatch(Query):
     operator: str = "or"
     minimum_should_match: Any = None
     boost: float | None = None
+    analyzer: str | None = None
 
-    def __init__(self, query, fields, type="best_fields", tie_breaker=0.0, operator="or", minimum_should_match=None, boost=None):
+    def __init__(self, query, fields, type="best_fields", tie_breaker=0.0, operator="or", minimum_should_match=None, boost=None, analyzer=None):
         for k, v in dict(query=query, fields=tuple(fields), type=type, tie_breaker=tie_breaker, operator=operator,
-                         minimum_should_match=minimum_should_match, boost=boost).items():
+                         minimum_should_match=minimum_should_match, boost=boost, analyzer=analyzer).items():
             object.__setattr__(self, k, v)
 
     def _subs(self) -> list[tuple[Query, float]]:
@@ -796,9 +799,9 @@ class MultiMatch(Query):
         for spec in self.fields:
             f, b = _field_boost(spec)
             if self.type in ("phrase", "phrase_prefix"):
-                q: Query = MatchPhrase(f, self.query, prefix=self.type == "phrase_prefix")
+                q: Query = MatchPhrase(f, self.query, prefix=self.type == "phrase_prefix", analyzer=self.analyzer)
             else:
-                q = Match(f, self.query, self.operator, self.minimum_should_match)
+                q = Match(f, self.query, self.operator, self.minimum_should_match, analyzer=self.analyzer)
             out.append((q, b))
         return out
 
@@ -809,7 +812,7 @@ class MultiMatch(Query):
 
     def predicate(self, ctx):
         if self.type == "cross_fields":
-            terms = _uniq(TX.analyze(self.query))
+            terms = _uniq(TX.analyze(self.query, self.analyzer))
             if not terms:
                 return F.lit(False)
             toks = self._cross_tokens(ctx)
@@ -826,7 +829,7 @@ class MultiMatch(Query):
     def score(self, ctx):
         if self.type == "cross_fields":
             # blended: each term scored per field, best field per term, summed
-            terms = _uniq(TX.analyze(self.query))
+            terms = _uniq(TX.analyze(self.query, self.analyzer))
             total = F.lit(0.0)
             for w in terms:
                 per = []
@@ -953,9 +956,9 @@ def collect_text_terms(*nodes: Any) -> dict[str, list[str]]:
     scope only), in first-seen order."""
     out: dict[str, list[str]] = {}
 
-    def add(fld: str, text_: str) -> None:
+    def add(fld: str, text_: str, analyzer: str | None) -> None:
         lst = out.setdefault(fld, [])
-        for w in TX.analyze(text_):
+        for w in TX.analyze(text_, analyzer):
             if w not in lst:
                 lst.append(w)
 
@@ -963,10 +966,10 @@ def collect_text_terms(*nodes: Any) -> dict[str, list[str]]:
         if isinstance(x, Nested):
             return  # nested scopes use their own element statistics
         if isinstance(x, (Match, MatchPhrase)):
-            add(x.field, x.query)
+            add(x.field, x.query, x.analyzer)
         elif isinstance(x, MultiMatch):
             for spec in x.fields:
-                add(_field_boost(spec)[0], x.query)
+                add(_field_boost(spec)[0], x.query, x.analyzer)
         if isinstance(x, (list, tuple)):
             for y in x:
                 walk(y)

@@ -58,7 +58,7 @@ from docsift.functions.scripts import Script, as_script
 from docsift.operators.query import Ctx, Query
 from docsift.session import stored
 
-__all__ = ["BulkResult", "bulk", "update_by_query", "delete_by_query", "ACTION_COLUMNS"]
+__all__ = ["BulkResult", "VersionConflict", "bulk", "update_by_query", "delete_by_query", "ACTION_COLUMNS"]
 
 ACTION_COLUMNS = ("seq", "op", "id", "doc", "upsert", "doc_as_upsert", "detect_noop", "script", "params", "scripted_upsert", "version",
                   "version_type", "if_seq_no", "if_primary_term")
@@ -256,29 +256,62 @@ def _assignments(assign: Any) -> dict[str, Column]:
     raise TypeError("assignments must be a dict of column -> SQL expression or Column")
 
 
+class VersionConflict(RuntimeError):
+    """Documents changed between being read and being written."""
+
+
+def _stamp(df: DataFrame) -> Column:
+    """What tells whether a row is as it was read: its version numbers, or else all its columns."""
+    meta = [m for m in _META if m in df.columns]
+    return F.struct(*meta) if meta else F.xxhash64(*sorted(df.columns))
+
+
 def update_by_query(df: DataFrame, id_col: str, query: Query, assign: dict, max_docs: int | None = None,
-                    conflicts: str = "abort") -> tuple[DataFrame, DataFrame]:
+                    conflicts: str = "abort", current: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Apply ``assign`` (column -> SQL expression / Column) to rows matching
     ``query`` (and to at most ``max_docs`` of them, lowest ids first).
 
-    Returns (new table, report with total, updated, noops).  Rows whose
-    assigned values do not change are noops.  ``conflicts`` is accepted for
-    API parity: a DataFrame rewrite has no concurrent writers to conflict with.
+    Returns (new table, report with total, updated, noops).  Rows whose assigned
+    values do not change are noops.  A changed row's ``_version``, where it has one,
+    grows by one.
+
+    ``current``: the table as it is at write time, where writers may have come
+    between.  A row is written only if it is still as it was read (its versions,
+    or all columns without any); others, and rows that are gone, are version
+    conflicts.  ``conflicts="abort"`` raises ``VersionConflict`` if there is one and
+    writes nothing; ``"proceed"`` leaves them and reports ``version_conflicts``.
     """
+    if conflicts not in ("abort", "proceed"):
+        raise ValueError(f"conflicts must be abort or proceed, not {conflicts}")
     ctx = Ctx(df, id_col)
     match = query.predicate(ctx)
     d = ctx.apply(df).withColumn("__m", match)
     if max_docs is not None:
         first = d.filter("__m").select(id_col).orderBy(id_col).limit(max_docs).withColumn("__sel", F.lit(True))
         d = d.join(first, id_col, "left").withColumn("__m", F.coalesce(F.col("__sel"), F.lit(False))).drop("__sel")
+    lost = None
+    if current is not None:
+        read = d.where("__m").select(F.col(id_col).alias("__id"), _stamp(df).alias("__read"))
+        now = current.withColumn("__now", _stamp(current))
+        d = now.join(read, F.col(id_col) == F.col("__id"), "left").withColumn("__m", F.col("__id").isNotNull() & F.col("__read").eqNullSafe(F.col("__now")))
+        asked = read.select(F.count(F.lit(1))).scalar()
+        lost = (asked - d.select(F.count_if("__m")).scalar()).cast("bigint")
+        if conflicts == "abort":
+            n = df.sparkSession.range(1).select(lost.alias("n")).first().n
+            if n:
+                raise VersionConflict(f"{n} documents changed since they were read")
     assigns = _assignments(assign)
-    new_vals = {k: F.when(F.col("__m"), v.cast(df.schema[k].dataType)).otherwise(F.col(k)) for k, v in assigns.items()}
     changed = F.lit(False)
     for k, v in assigns.items():
         changed = changed | ~v.cast(df.schema[k].dataType).eqNullSafe(F.col(k))
+    new_vals = {k: F.when(F.col("__m"), v.cast(df.schema[k].dataType)).otherwise(F.col(k)) for k, v in assigns.items()}
     d = d.withColumn("__chg", F.col("__m") & changed)
     report = d.agg(F.count_if("__m").cast("bigint").alias("total"), F.count_if("__chg").cast("bigint").alias("updated"),
                    F.count_if(F.col("__m") & ~F.col("__chg")).cast("bigint").alias("noops"))
+    if lost is not None:
+        report = report.withColumn("version_conflicts", lost).withColumn("total", F.col("total") + F.col("version_conflicts"))
+    if "_version" in df.columns and "_version" not in assigns:
+        new_vals["_version"] = F.when(F.col("__chg"), F.coalesce("_version", F.lit(0)) + 1).otherwise(F.col("_version")).cast(df.schema["_version"].dataType)
     out = d.withColumns(new_vals).select(*df.columns)
     return out, report
 

@@ -364,6 +364,21 @@ def e13_top_hits(spark, sf):
     return s.aggregations()["status>top"].withColumn("_rank", F.col("_rank").cast("bigint"))
 
 
+@reg("e13_top_hits_options", """
+WITH t AS (SELECT *, o_totalprice * 0.001 AS sc FROM orders)
+SELECT o_orderstatus AS status, row_number() OVER (PARTITION BY o_orderstatus ORDER BY sc DESC, o_orderkey) AS _rank, o_orderkey, o_orderpriority,
+       round(sc, 6) AS _score, [strftime(o_orderdate, '%Y/%m/%d')] AS fields_o_orderdate, [o_custkey] AS docvalue_o_custkey,
+       [epoch_ms(o_orderdate)::VARCHAR] AS docvalue_o_orderdate, round(max(sc) OVER (PARTITION BY o_orderstatus), 6) AS _max_score,
+       count(*) OVER (PARTITION BY o_orderstatus) AS _total
+FROM t QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY sc DESC, o_orderkey) <= 4""")
+def e13_options(spark, sf):
+    q = SC.FunctionScore(Q.MatchAll(), [SC.FieldValueFactor("o_totalprice", factor=0.001)], boost_mode="replace")
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").query(q).aggs(status=A.TermsAgg("o_orderstatus", aggs={"top": A.TopHits(
+        size=4, sort=("-_score",), source_includes=("o_order*",), source_excludes=("o_orderstatus", "*date"), fields=(("o_orderdate", "yyyy/MM/dd"),),
+        docvalue_fields=("o_custkey", ("o_orderdate", "epoch_millis")), max_score=True)}))
+    return rnd(s.aggregations()["status>top"].withColumn("_rank", F.col("_rank").cast("bigint")))
+
+
 # ----------------------------------------------------------------------------- buckets
 
 
@@ -680,6 +695,15 @@ def s11_stored(spark, sf):
     return s.size(None).stored_fields("o_orderkey", "o_totalprice").hits().drop("_score")
 
 
+@reg("s10_docvalue_fields", """
+SELECT o_orderkey, [round(o_totalprice, 6)] AS docvalue_o_totalprice, [o_orderpriority] AS docvalue_o_orderpriority, [strftime(o_orderdate, '%Y-%m')] AS docvalue_o_orderdate
+FROM orders WHERE o_orderstatus = 'F' ORDER BY o_totalprice DESC, o_orderkey LIMIT 30""")
+def s10_docvalue(spark, sf):
+    s = Search(TB.read(spark, sf, "orders"), "o_orderkey").filter(Q.Term("o_orderstatus", "F")).sort("-o_totalprice").size(30).source("o_orderkey")
+    h = s.docvalue_fields("o_totalprice", "o_orderpriority", ("o_orderdate", "yyyy-MM")).hits().drop("_score")
+    return h.withColumn("docvalue_o_totalprice", F.transform("docvalue_o_totalprice", lambda x: F.round(x, 6)))
+
+
 @reg("s12_multi_search", """
 SELECT * FROM (SELECT 0 AS query_id, o_orderkey FROM orders WHERE o_orderstatus = 'F' ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
 UNION ALL SELECT * FROM (SELECT 1, o_orderkey FROM orders WHERE o_orderpriority = '5-LOW' ORDER BY o_orderdate, o_orderkey LIMIT 7)""")
@@ -956,6 +980,16 @@ def p11_msm(spark, sf):
     return _scored(_docs(spark, sf).query(Q.Match("text", "the of und la", minimum_should_match="75%")).matched().select("doc_id", "_score"))
 
 
+@reg("p11_match_analyzer", f"""
+WITH a AS (SELECT id, s, nhit FROM {bm25_sql('documents', 'doc_id', 'text', ['river', 'und'])}),
+b AS (SELECT id, s, nhit FROM {bm25_sql('documents', 'doc_id', 'text', ['the'])})
+SELECT 'stop' AS analyzer, id AS doc_id, round(s, 6) AS _score FROM a WHERE nhit >= 1 UNION ALL SELECT 'whitespace', id, round(s, 6) FROM b WHERE nhit >= 1""")
+def p11_analyzer(spark, sf):
+    stop = _docs(spark, sf).query(Q.Match("text", "The river AND und", analyzer="stop")).matched()
+    words = _docs(spark, sf).query(Q.Match("text", "the UND river,", analyzer="whitespace")).matched()  # of these, documents can hold only "the"
+    return _scored(stop.select(F.lit("stop").alias("analyzer"), "doc_id", "_score").union(words.select(F.lit("whitespace"), "doc_id", "_score")))
+
+
 @reg("p12_match_phrase", f"""
 SELECT id AS doc_id, round(s, 6) AS _score FROM {bm25_sql('documents', 'doc_id', 'text', ['of', 'the'])}
 WHERE ' ' || array_to_string(tok, ' ') || ' ' LIKE '% of the %'""")
@@ -1430,6 +1464,26 @@ def w7_update(spark, sf):
     return rep.withColumn("urgent_after", new.filter(F.col("o_orderpriority") == "1-URGENT").select(F.count(F.lit(1))).scalar())
 
 
+@reg("w7_update_conflicts", """
+WITH moved AS (SELECT * FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 5 < 2)
+SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = 'P')::BIGINT AS total,
+       (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 5 >= 2 AND o_orderpriority <> '1-URGENT')::BIGINT AS updated,
+       (SELECT count(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 5 >= 2 AND o_orderpriority = '1-URGENT')::BIGINT AS noops,
+       (SELECT count(*) FROM moved)::BIGINT AS version_conflicts, true AS aborted""")
+def w7_conflicts(spark, sf):
+    """Between read and write, some documents get a new version and others are deleted."""
+    o = TB.read(spark, sf, "orders").withColumn("_version", F.lit(1).cast("long"))
+    now = o.where("o_orderkey % 5 <> 0").withColumn("_version", F.when(F.col("o_orderkey") % 5 == 1, 2).otherwise(1).cast("long"))
+    args = (o, "o_orderkey", Q.Term("o_orderstatus", "P"), {"o_orderpriority": "'1-URGENT'"})
+    _, rep = WR.update_by_query(*args, conflicts="proceed", current=now)
+    try:
+        WR.update_by_query(*args, current=now)
+        aborted = False
+    except WR.VersionConflict:
+        aborted = True
+    return rep.withColumn("aborted", F.lit(aborted))
+
+
 @reg("w8_delete_by_query", """
 SELECT (SELECT count(*) FROM orders WHERE o_totalprice < 50000)::BIGINT AS deleted,
        (SELECT count(*) FROM orders WHERE NOT (o_totalprice < 50000))::BIGINT AS remaining,
@@ -1554,6 +1608,17 @@ def a6_dyn(spark, sf):
     return d.select("event_id", "k", F.col("doc.meta.k").alias("k_set"))
 
 
+@reg("a6_schemaless_set", """
+SELECT event_id, json_extract(props, '$.k')::INT AS k, event_type AS kind, value::DOUBLE AS amount, user_id::BIGINT AS "user" FROM events""")
+def a6_set(spark, sf):
+    e = TB.read(spark, sf, "events")
+    for path, value in (("meta.kind", F.col("event_type")), ("meta.deep.amount", F.col("value")), ("meta.kind", F.upper("event_type")),
+                        ("meta.kind", F.col("event_type")), ("user", F.col("user_id"))):
+        e = SCH.dyn_set(e, "props", path, value)
+    return e.select("event_id", *(SCH.dyn_get(F.col("props"), p, t).alias(n) for n, p, t in (
+        ("k", "k", "int"), ("kind", "meta.kind", "string"), ("amount", "meta.deep.amount", "double"), ("user", "user", "bigint"))))
+
+
 @reg("a7_merge_documents", """
 SELECT c_custkey AS key, c_name AS name, c_nationkey AS nation, round(c_acctbal, 6) AS acctbal, c_mktsegment AS segment,
        'customer' AS _kind FROM customer
@@ -1855,6 +1920,27 @@ def s12_one_pass(spark, sf):
     return _scored(found.select("query_id", "doc_id", "_score"))
 
 
+_VECTORS: dict = {}
+
+
+@reg("r14_knn_vector_index", f"""
+SELECT * FROM (SELECT 'l2' AS kind, vec_id, round(1.0 / (1.0 + {_L2}), 6) AS _score FROM embeddings ORDER BY {_L2}, vec_id LIMIT 12)
+UNION ALL SELECT * FROM (SELECT 'cosine', vec_id, round((1 + {_DOT} / ({_NORM} * {_QN!r})) / 2, 6) FROM embeddings ORDER BY {_DOT} / {_NORM} DESC, vec_id LIMIT 12)""")
+def r14_index(spark, sf):
+    """As many candidates as there are vectors: every list is read, and the exact scores decide."""
+    from docsift.operators.vector_index import VectorIndex
+
+    e = TB.read(spark, sf, "embeddings")
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _VECTORS:
+        _VECTORS[key] = VectorIndex.build(e, "vec_id", "embedding")
+    s = Search(e, "vec_id").with_vector_index("embedding", _VECTORS[key]).size(12)
+    every = int(_VECTORS[key].sizes.sum())
+    parts = [s.knn(Knn("embedding", QV, k=12, num_candidates=every, similarity=name)).hits().select(F.lit(kind).alias("kind"), "vec_id", "_score")
+             for kind, name in (("l2", "l2_norm"), ("cosine", "cosine"))]
+    return _scored(parts[0].union(parts[1]))
+
+
 # ----------------------------------------------------------------------------- postings
 
 from docsift.operators.text_index import TextIndex  # noqa: E402

@@ -67,6 +67,7 @@ class Search:
     runtime_fields: tuple = ()          # ((name, script, type), ...)
     script_fields: tuple = ()           # ((name, script), ...)
     fields_: tuple = ()                 # ((name, format or None), ...)
+    docvalue_fields_: tuple = ()        # ((name, format or None), ...)
     stored_fields_: Any = None          # None (default), () = none, tuple of names
     knn_: Any = None
     explain_: bool = False
@@ -74,6 +75,7 @@ class Search:
     text_stats: dict = dc_field(default_factory=dict)   # field -> collection_stats table
     text_indexes: dict = dc_field(default_factory=dict)
     whole_indexes: tuple = ()
+    vector_indexes: dict = dc_field(default_factory=dict)
 
     # ------------------------------------------------------------ builder
     def _with(self, **kw) -> "Search":
@@ -131,6 +133,10 @@ class Search:
         norm = tuple((s, None) if isinstance(s, str) else (s[0], s[1]) for s in specs)
         return self._with(fields_=self.fields_ + norm)
 
+    def docvalue_fields(self, *specs: Any) -> "Search":
+        """Column values of fields, as ``docvalue_<name>``: names or (name, format)."""
+        return self._with(docvalue_fields_=self.docvalue_fields_ + tuple((s, None) if isinstance(s, str) else tuple(s) for s in specs))
+
     def stored_fields(self, *names: str) -> "Search":
         return self._with(stored_fields_=tuple(names))
 
@@ -152,6 +158,10 @@ class Search:
         return self._with(text_indexes={**self.text_indexes, field: index}, text_stats={**self.text_stats, field: index},
                           whole_indexes=tuple(f for f in self.whole_indexes if f != field) + ((field,) if whole else ()))
 
+    def with_vector_index(self, field: str, index: Any) -> "Search":
+        """Answer a ``Knn`` on ``field`` that sets ``num_candidates`` from a ``VectorIndex``."""
+        return self._with(vector_indexes={**self.vector_indexes, field: index})
+
     # ------------------------------------------------------------ compile
     def _base(self) -> DataFrame:
         df = self.df
@@ -195,7 +205,7 @@ class Search:
         score = F.lit(0.0) if self.query_ is None and self.filters else q.score(ctx).cast("double")
         knn_side = None
         if self.knn_ is not None:
-            knn_side = self.knn_.top_k(base, self.id_col, self._ctx)
+            knn_side = self.knn_.top_k(base, self.id_col, self._ctx, self.vector_indexes.get(self.knn_.field))
             if self.query_ is None:
                 pred = F.lit(False)
         df = ctx.apply(base)
@@ -249,6 +259,8 @@ class Search:
             extra.append(as_script(script).column().alias(name))
         for name, fmt in self.fields_:
             extra.append(_formatted(df, name, fmt).alias(f"fields_{name}"))
+        for name, fmt in self.docvalue_fields_:
+            extra.append(_docvalue(df, name, fmt).alias(f"docvalue_{name}"))
         score = [F.col("_score")]
         if self.explain_:
             score.append(F.col("_explanation"))
@@ -403,6 +415,29 @@ def _source_filter(schema: T.StructType, inc: tuple, exc: tuple) -> list[Column]
     return [c.alias(n) for n, c in cols if c is not None]
 
 
+def _docvalue(df: DataFrame, name: str, fmt: str | None) -> Column:
+    """Array of a field's column values, as a column store holds them: sorted, strings once each, nulls left out.
+
+    Dates and formatted numbers are strings (dates in milliseconds with
+    ``epoch_millis``); other values keep their type."""
+    c = F.col(name)
+    t = df.select(c).schema[0].dataType
+    inner = t.elementType if isinstance(t, T.ArrayType) else t
+    if isinstance(inner, (T.StructType, T.MapType)):
+        raise ValueError(f"{name} has no column values")
+    values = F.array_sort(F.filter(c if isinstance(t, T.ArrayType) else F.array(c), lambda x: x.isNotNull()))
+    values = F.coalesce(values, F.array().cast(T.ArrayType(inner)))
+    if isinstance(inner, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        if fmt == "epoch_millis":
+            return F.transform(values, lambda x: F.unix_millis(x.cast("timestamp")).cast("string"))
+        return F.transform(values, lambda x: F.date_format(x, fmt or "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+    if isinstance(inner, T.StringType):
+        return F.array_distinct(values)
+    if fmt and isinstance(inner, T.NumericType):
+        return F.transform(values, lambda x: F.format_number(x.cast("double"), int(fmt)))
+    return values
+
+
 def _formatted(df: DataFrame, name: str, fmt: str | None) -> Column:
     """array<string> of a field (a dotted path reaches into structs and arrays of structs)."""
     c = F.col(name)
@@ -437,7 +472,7 @@ def _explain(q: Query, ctx: Ctx) -> Column:
         parts.append(entry(path, desc, F.when(matched, node.score(ctx)).otherwise(F.lit(0.0))))
         if isinstance(node, (Match, MatchPhrase)) and ctx.has(node.field):
             toks = ctx.tokens(node.field)
-            for i, w in enumerate(_uniq(analyze(node.query))):  # per-term BM25 weights
+            for i, w in enumerate(_uniq(analyze(node.query, node.analyzer))):  # per-term BM25 weights
                 parts.append(entry(f"{path}.terms[{i}]", f"weight({node.field}:{w})",
                                    F.when(matched, _text_score(ctx, node.field, [w], toks) * F.lit(node._b())).otherwise(F.lit(0.0))))
         kids: list[tuple[str, Query]] = []
@@ -459,7 +494,7 @@ def _shares_pass(s: Search) -> tuple | None:
     if s.size_ is None or s.rescores or s.knn_ is not None or s.terminate_after_ is not None or s.explain_ or s.whole_indexes:
         return None
     held = lambda d: tuple(sorted((k, id(v)) for k, v in d.items()))
-    return (id(s.df), s.id_col, id(s.corpus), s.runtime_fields, repr(s.source_), s.fields_, s.script_fields, repr(s.stored_fields_),
+    return (id(s.df), s.id_col, id(s.corpus), s.runtime_fields, repr(s.source_), s.fields_, s.docvalue_fields_, s.script_fields, repr(s.stored_fields_),
             held(s.text_stats), held(s.text_indexes))
 
 

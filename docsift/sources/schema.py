@@ -130,8 +130,12 @@ def coerce(c: Column, target: str | T.DataType, as_term: bool = False) -> tuple[
     name = t.simpleString()
     s = c.cast("string")
     if name in INT_BOUNDS:
-        exact = F.coalesce(s.try_cast("decimal(38,9)"), s.try_cast("double").try_cast("decimal(38,9)"))
-        val = F.when(exact == F.floor(exact), exact.try_cast(name))  # null beyond the type's bounds
+        # the digits themselves say whether a number is whole; with an exponent, the double does
+        digits = F.regexp_extract(s, r"^\s*([+-]?\d*)(?:\.0*)?\s*$", 1)
+        whole = F.when(s.rlike(r"^\s*[+-]?(\d+\.?0*|\.0+)\s*$"), F.coalesce(digits.try_cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")))
+        double = F.when(s.rlike("[eE]"), s.try_cast("double"))
+        whole = F.coalesce(whole, F.when(double == F.floor(double), double.try_cast("decimal(38,0)")))
+        val = whole.try_cast(name)  # null beyond the type's bounds
         err = F.when(c.isNotNull() & val.isNull(), F.concat(F.lit(f"not a valid {name}: "), s))
         return val, err
     if name in ("float", "double"):
@@ -264,8 +268,17 @@ def dyn_get(c: Column, path: str, type_: str = "string") -> Column:
 
 
 def dyn_set(df: DataFrame, column: str, path: str, value: Column) -> DataFrame:
-    """Set a dotted path inside struct column ``column``, creating missing
-    levels.  A list (array) on the path is an error."""
+    """Set a dotted path inside ``column``, creating missing levels: a struct, a
+    VARIANT or a JSON string (which stays one).  A list or a plain value on the
+    path is an error, of the request for a struct, else of the row."""
+    if isinstance(df.schema[column].dataType, (T.VariantType, T.StringType)):
+        text = isinstance(df.schema[column].dataType, T.StringType)
+        old = F.try_parse_json(F.col(column)) if text else F.col(column)
+        kind = df.select(value.alias("v")).schema["v"].dataType
+        new = value if isinstance(kind, T.VariantType) else F.to_variant_object(value) if isinstance(kind, (T.StructType, T.MapType, T.ArrayType)) else (
+            value.cast("variant"))
+        out = _variant_set(old, path.split("."), 0, new)
+        return df.withColumn(column, F.to_json(out) if text else out)
     parts = path.split(".")
     t = df.schema[column].dataType
     c = F.col(column)
@@ -287,6 +300,19 @@ def dyn_set(df: DataFrame, column: str, path: str, value: Column) -> DataFrame:
     return df.withColumn(column, build(c, t, parts))
 
 
+def _variant_set(old: Column, path: list[str], at: int, value: Column) -> Column:
+    """The object ``old`` rebuilt with a new value at path[at:]."""
+    head, kind = path[at], F.schema_of_variant(old)
+    here = ".".join(path[:at]) or "the value"
+    fields = F.when(old.isNull() | F.is_variant_null(old), F.create_map().cast("map<string,variant>")).when(
+        kind.startswith("OBJECT"), old.cast("map<string,variant>")).otherwise(F.raise_error(F.concat(
+            F.when(kind.startswith("ARRAY"), F.lit("Cannot traverse through a list value: ")).otherwise(F.lit("Expected sub document for field: ")),
+            F.lit(here))).cast("map<string,variant>"))
+    inner = value if at == len(path) - 1 else _variant_set(fields[head], path, at + 1, value)
+    rest = F.map_filter(fields, lambda k, _: k != F.lit(head))
+    return F.to_variant_object(F.map_concat(rest, F.create_map(F.lit(head), inner)))
+
+
 # --------------------------------------------------------------------------- merging and templates
 
 
