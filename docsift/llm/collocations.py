@@ -42,7 +42,9 @@ from docsift.llm.common import discard, read, written
 BLOCK_CHARS = 8 << 20
 PAIRS = 1 << 21  # distinct candidates that a task holds before it passes them on
 SLICE = 1 << 19  # text positions moved on at once
-SHARD = 1 << 20  # phrases of a trie
+SHARD = 1 << 19  # phrases of a trie
+SPAN = 1 << 16  # phrases whose counts go together
+FAN_IN = 64  # arrays of counts that are added up at once
 WORDS = 4
 _SPLITS = b".,;:!?\n\v\f\r"
 _TABLE = bytes(0xFF if b in _SPLITS else b for b in range(256)).replace(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -313,10 +315,16 @@ def _tries(phrases: DataFrame, shard: int):
         yield spark.sparkContext.broadcast((Trie(table[:, 1:]), width)), lo
 
 
-def _counts(texts: DataFrame, trie, offset: int) -> DataFrame:
-    """(number, a): occurrences of each phrase of a trie."""
+def _counts(texts: DataFrame, trie, offset: int, tasks: int) -> DataFrame:
+    """(number, a): occurrences of each phrase of a trie.
+
+    A task passes its counts on as arrays, ``SPAN`` phrases each; these are summed
+    in levels of at most ``FAN_IN`` arrays, so nothing gathers in one task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         tree, most = trie.value
         total = np.zeros(tree.size, np.int64)
         for batch in batches:
@@ -324,10 +332,34 @@ def _counts(texts: DataFrame, trie, offset: int) -> DataFrame:
                 for _, _, state in tree.walk(_unpack(raw.as_py()).astype(np.int64), most):
                     ends = tree.value[state]
                     total += np.bincount(ends[ends >= 0], minlength=tree.size)
+        for lo in range(0, len(total), SPAN):
+            if total[lo:lo + SPAN].any():
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([lo], pa.int64()),
+                                                  pa.array([_pack(total[lo:lo + SPAN].astype(np.uint64))], pa.binary())], names=["part", "lo", "counts"])
+
+    def added(table: pa.Table) -> np.ndarray:
+        total = np.zeros(0, np.uint64)
+        for raw in table.column("counts"):
+            raw = zstandard.ZstdDecompressor().decompress(raw.as_py())
+            one = _planes(raw, np.uint64, len(raw) // 8)
+            total = one if not len(total) else total + one
+        return total
+
+    def join(table: pa.Table) -> pa.Table:
+        return pa.table([pa.array([table.column("part")[0].as_py()], pa.int32()), pa.array([table.column("lo")[0].as_py()], pa.int64()),
+                         pa.array([_pack(added(table))], pa.binary())], names=["part", "lo", "counts"])
+
+    def spread(table: pa.Table) -> pa.Table:
+        total = added(table).astype(np.int64)
         seen = np.flatnonzero(total)
-        yield from pa.Table.from_arrays([pa.array(seen + offset), pa.array(total[seen])], names=["number", "a"]).to_batches(1 << 16)
+        return pa.table([pa.array(seen + offset + table.column("lo")[0].as_py()), pa.array(total[seen])], names=["number", "a"])
 
-    return texts.mapInArrow(run, "number bigint, a bigint").groupBy("number").agg(F.sum("a").alias("a"))
+    counts = texts.mapInArrow(run, "part int, lo bigint, counts binary")
+    while tasks > FAN_IN:
+        counts = counts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int")).groupBy("lo", F.col("part").alias("of")).applyInArrow(
+            lambda table: join(table), "part int, lo bigint, counts binary")
+        tasks = -(-tasks // FAN_IN)
+    return counts.groupBy("lo").applyInArrow(lambda table: spread(table), "number bigint, a bigint")
 
 
 def frequent_phrases(docs: DataFrame, least: int = 30, most: int = WORDS, shard: int = SHARD, block_chars: int = BLOCK_CHARS,
@@ -339,30 +371,37 @@ def frequent_phrases(docs: DataFrame, least: int = 30, most: int = WORDS, shard:
     words = _numbered(counted.where(F.col("f") >= least), "phrases-words", "number")
     texts = written(_numbered_texts(tokens, words), "phrases-texts")
     discard(tokens)
-    levels, known, tries = [], None, []
+    levels, known = [], None
     for k in range(2, most + 1):
         if k == 2:
             found = _candidates(texts, None, 0, least, pairs)
             found = found.select(F.array("prefix", "word").alias("words"))
         else:
-            tries, marked = list(_tries(known, shard)), texts
-            if not tries:
+            marked, last = texts, None
+            for trie in _tries(known, shard):  # one at a time: the driver holds the tables of two at most
+                if last:
+                    before, marked = marked, written(_mark(marked, *last), "phrases-marked")
+                    last[0].destroy()
+                    if before is not texts:
+                        discard(before)
+                last = trie
+            if not last:
                 break
-            for trie, lo in tries[:-1]:
-                marked = written(_mark(marked, trie, lo), "phrases-marked")
-            found = _candidates(marked, *tries[-1], least, pairs).join(known.withColumnRenamed("number", "prefix"), "prefix")
+            found = _candidates(marked, *last, least, pairs).join(known.withColumnRenamed("number", "prefix"), "prefix")
             found = found.select(F.concat("words", F.array("word")).alias("words"))
         known = _numbered(found, f"phrases-{k}", "number")
-        for trie, _ in tries:  # the result is written: workers need not keep the tries
-            trie.destroy()
+        if k > 2:  # the result is written: workers need not keep the trie, nor the disk the marks
+            last[0].destroy()
+            if marked is not texts:
+                discard(marked)
         levels.append(known)
     phrases = levels[0].select("words")
     for level in levels[1:]:
         phrases = phrases.union(level.select("words"))
     phrases = _numbered(phrases, "phrases-candidates", "number")
-    parts = []
+    parts, tasks = [], texts.count()  # a task has one row of texts at least
     for trie, lo in _tries(phrases, shard):
-        parts.append(written(_counts(texts, trie, lo), "phrases-counts"))
+        parts.append(written(_counts(texts, trie, lo, tasks), "phrases-counts"))
         trie.destroy()
     if not parts:
         return words, phrases.select("words", F.lit(0).cast("long").alias("a")), sizes
