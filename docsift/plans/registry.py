@@ -1869,6 +1869,51 @@ def e10_default(spark, sf):
     return counts.select("percent", ((F.col("upto") >= target - error) & (F.col("below") <= target + error)).alias("within_rank_error"))
 
 
+_PARTIALS: dict = {}
+
+
+def _order_partials(spark, sf):
+    from docsift.operators.partials import Partials
+
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PARTIALS:
+        _PARTIALS[key] = Partials.build(TB.read(spark, sf, "orders"), ["o_orderstatus"], "o_orderdate", ["o_totalprice", "o_custkey"], unit="month")
+    return _PARTIALS[key]
+
+
+@reg("e8_e9_from_partials", """
+SELECT o_orderstatus, count(*)::BIGINT AS p_count, min(o_totalprice) AS p_min, max(o_totalprice) AS p_max, round(avg(o_totalprice), 6) AS p_avg,
+       round(sum(o_totalprice), 4) AS p_sum, round(var_pop(o_totalprice), 2) AS p_variance, round(stddev_pop(o_totalprice), 6) AS p_std_deviation
+FROM orders WHERE o_orderdate >= TIMESTAMP '1993-03-01' GROUP BY 1""")
+def e8_partials(spark, sf):
+    since = F.col("period") >= F.lit("1993-03-01").cast("timestamp")
+    out = _order_partials(spark, sf).stats(["o_orderstatus"], "o_totalprice", name="p", where=since)
+    return out.select("o_orderstatus", "p_count", "p_min", "p_max", F.round("p_avg", 6).alias("p_avg"), F.round("p_sum", 4).alias("p_sum"),
+                      F.round("p_variance", 2).alias("p_variance"), F.round("p_std_deviation", 6).alias("p_std_deviation"))
+
+
+@reg("e7_e10_e11_from_partials", """
+SELECT unnest(['p_1', 'p_5', 'p_25', 'p_50', 'p_75', 'p_95', 'p_99', 'deviation', 'cardinality']) AS measure, TRUE AS within_error""")
+def e10_partials(spark, sf):
+    """Merged over all months and states: ranks within twice the sketch's published error, distinct values within 5 percent."""
+    from docsift.operators.partials import rank_error
+
+    orders, parts = TB.read(spark, sf, "orders"), _order_partials(spark, sf)
+    price, cols = F.col("o_totalprice"), []
+    found = parts.percentiles([], "o_totalprice", name="p")
+    for p in A.DEFAULT_PERCENTS:
+        value = found.select("p_" + A.pct_name(p)).scalar()
+        cols.append(F.struct(F.lit("p_%g" % p).alias("measure"), F.lit(p / 100).alias("share"), F.count_if(price <= value).alias("upto"), F.count_if(price < value).alias("below")))
+    median = orders.select(F.median(price)).scalar()
+    away, value = F.abs(price - median), parts.deviation([], "o_totalprice", name="d").select("d").scalar()
+    cols.append(F.struct(F.lit("deviation").alias("measure"), F.lit(0.5).alias("share"), F.count_if(away <= value).alias("upto"), F.count_if(away < value).alias("below")))
+    counts = orders.agg(F.count(price).alias("n"), F.array(*cols).alias("c")).select("n", F.inline("c"))
+    error = F.col("n") * (2 * rank_error() + F.when(F.col("measure") == "deviation", 2 * rank_error() + 0.002).otherwise(0.0)) + 1
+    ranks = counts.select("measure", ((F.col("upto") >= F.col("share") * F.col("n") - error) & (F.col("below") <= F.col("share") * F.col("n") + error)).alias("within_error"))
+    exact = orders.select(F.count_distinct("o_custkey")).scalar()
+    return ranks.union(parts.cardinality([], "o_custkey", name="c").select(F.lit("cardinality"), F.abs(F.col("c") - exact) <= 0.05 * exact))
+
+
 @reg("e19_date_histogram_bounds", """
 WITH k AS (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS n FROM orders
            WHERE date_trunc('month', o_orderdate) BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-12-31' GROUP BY 1),
