@@ -1,6 +1,6 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every document gets a 60-bit hash of its id.  Sizes are summed by source and
+Every document gets a 60-bit hash of its id and text.  Sizes are summed by source and
 hash bucket; per source, the cumulative histogram finds the bucket in which the
 budget runs out, and only that bucket is split again by its next hash bits,
 until it holds one hash value.  What is below the resulting threshold is taken,
@@ -13,8 +13,8 @@ A target above the source's size takes whole copies of every document first
 selections for growing budgets are nested.
 
 Edge cases: a null text has size 0; a null source is a source of its own, last
-in order; rows that repeat a doc_id (or have none) share its hash and are taken
-or left together; an empty table gives an empty result; other columns are
+in order; rows equal in id and text share a hash and are taken or left together,
+others that share an id or have none are not; an empty table gives an empty result; other columns are
 ignored (``mix_sizes``) or kept (``mix_documents``).
 """
 
@@ -34,6 +34,12 @@ def id_hash(doc_id: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
+def row_hash(doc_id: Column, text: Column) -> Column:
+    """The same of the id and the text, so that texts which share an id, or have none, are taken apart."""
+    whole = F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit("")))
+    return F.conv(F.substring(F.md5(whole.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -116,7 +122,7 @@ def budgets(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 def mix_sizes(docs: DataFrame, weights: tuple = (5, 2, 1), max_repeat: int = 3) -> DataFrame:
     """doc_id, source, size, source_size, target, repeats (times the mix takes the document), taken (words)."""
-    sizes = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), id_hash(F.col("doc_id")).alias("h")),
+    sizes = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("h")),
                     "mix-sizes")
     plan = budgets(sizes, source_targets(sizes, weights, max_repeat)).withColumnRenamed("source", "s")
     out = sizes.join(plan, sizes["source"].eqNullSafe(plan["s"]))
@@ -127,11 +133,11 @@ def mix_sizes(docs: DataFrame, weights: tuple = (5, 2, 1), max_repeat: int = 3)
 
 def mix_documents(docs: DataFrame, weights: tuple = (5, 2, 1), max_repeat: int = 3) -> DataFrame:
     """The mixed corpus: every row of ``docs``, with all its columns, as often as the mix takes it."""
-    sizes = written(docs.select("source", word_count(F.col("text")).alias("size"), id_hash(F.col("doc_id")).alias("h")), "mix-sizes")
+    sizes = written(docs.select("source", word_count(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("h")), "mix-sizes")
     plan = budgets(sizes, source_targets(sizes, weights, max_repeat)).select(
         F.col("source").alias("__s"), F.col("copies").alias("__copies"), F.col("below").alias("__below"))
     out = docs.join(plan, docs["source"].eqNullSafe(plan["__s"]))
-    repeats = F.col("__copies") + (id_hash(docs["doc_id"]) < F.col("__below")).cast("long")
+    repeats = F.col("__copies") + (row_hash(docs["doc_id"], docs["text"]) < F.col("__below")).cast("long")
     out = out.select(*[docs[c] for c in docs.columns], repeats.cast("int").alias("__repeats")).where("__repeats > 0")
     return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__repeats")))).drop("__copy", "__repeats")
 
@@ -145,7 +151,7 @@ def op3(spark, sf_dir):
 OP3_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(length(regexp_replace(regexp_replace(text, '[^\x20\x09-\x0D]+', 'w', 'g'), '[^w]', '', 'g')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS h
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 p AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1 AS pos FROM s),
