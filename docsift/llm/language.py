@@ -27,12 +27,12 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docsift.llm.common import crc_fold
+from docsift.llm.common import crc_fold, written
 from docsift.llm.mixing import HASH_BITS, id_hash
 from docsift.llm.toxicity import blocks
 
 LENGTH = 300
-MAX_LANGUAGES = 4096  # profiles are broadcast: at most LENGTH * MAX_LANGUAGES rows
+LANGUAGES = 4096  # profiles of a broadcast; more languages take several, one after the other
 _LETTER = regex.compile(r"\p{L}")
 _CLASS = np.array([b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)], dtype=np.uint8)
 
@@ -57,13 +57,9 @@ def ngrams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def train(docs: DataFrame, length: int = LENGTH, per_lang: int = 5000) -> dict[str, np.ndarray]:
     """Profile of each language of ``docs`` (doc_id, text, lang): its n-gram codes, most frequent first."""
     docs = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not sizes:
-        return {}
-    below = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_lang / n))])
-    sample = docs.where(id_hash(F.col("doc_id")) < F.element_at(below, F.col("lang")) * float(1 << HASH_BITS))
+    sizes = written(docs.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n")), "language-sizes")
+    share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("n"))
+    sample = docs.join(sizes, F.col("lang") == F.col("of")).where(id_hash(F.col("doc_id")) < share * float(1 << HASH_BITS))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -83,8 +79,17 @@ def train(docs: DataFrame, length: int = LENGTH, per_lang: int = 5000) -> dict[s
     return {lang: g["code"].to_numpy(np.int64) for lang, g in rows.groupby("lang")}
 
 
-def predict(docs: DataFrame, profiles: dict[str, np.ndarray], length: int = LENGTH) -> DataFrame:
+def predict(docs: DataFrame, profiles: dict[str, np.ndarray], length: int = LENGTH, languages: int = LANGUAGES) -> DataFrame:
     """doc_id, lang_pred and score of every row (score: one less the distance as a share of the largest possible one)."""
+    ids, langs = docs.select("doc_id", "text"), sorted(profiles)
+    kind = ids.schema["doc_id"].dataType.simpleString()
+    out = ids.select("doc_id", "text", F.lit("und").alias("lang_pred"), F.lit(-1.0).alias("score"))
+    for lo in range(0, max(1, len(langs)), languages):  # each step carries the best language so far; the first of equals stays
+        out = _step(out, {x: profiles[x] for x in langs[lo:lo + languages]}, length, kind)
+    return out.select("doc_id", "lang_pred", F.greatest("score", F.lit(0.0)).alias("score"))
+
+
+def _step(docs: DataFrame, profiles: dict[str, np.ndarray], length: int, kind: str) -> DataFrame:
     langs = sorted(profiles)
     codes = np.unique(np.concatenate([profiles[x] for x in langs])) if langs else np.zeros(0, np.int64)
     ranks = np.full((len(langs), len(codes) + 1), -1, dtype=np.int64)
@@ -96,33 +101,31 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], length: int = LENG
         langs, codes, ranks = shared.value
         for b in batches:
             texts = b.column("text").to_pylist()
-            pred, score = ["und"] * len(texts), np.zeros(len(texts))
+            pred, score = b.column("lang_pred").to_pylist(), b.column("score").to_numpy().copy()
             for lo, part in blocks(texts) if langs else ():
                 doc, code, n = ngrams(part)
-                # by document, frequent first, then by code
-                key = np.sort(doc.astype(np.uint64) << np.uint64(48) | (0xFFFFFF - np.minimum(n, 0xFFFFFF)).astype(np.uint64) << np.uint64(24)
-                              | code.astype(np.uint64))
-                doc, code = (key >> np.uint64(48)).astype(np.int64), (key & np.uint64(0xFFFFFF)).astype(np.int64)
+                order = np.lexsort((code, -n, doc))  # by document, frequent first, then by code
+                doc, code = doc[order], code[order]
                 rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
                 top = rank < length
                 doc, code, rank = doc[top], code[top], rank[top]
                 at = np.searchsorted(codes, code)
                 at[(at == len(codes)) | (codes[np.minimum(at, len(codes) - 1)] != code)] = len(codes)
-                away = np.empty((len(langs), len(part)))
+                least, best = np.full(len(part), np.inf), np.zeros(len(part), np.int64)
                 for i in range(len(langs)):
                     r = ranks[i, at]
-                    away[i] = np.bincount(doc, np.where(r < 0, length, np.abs(r - rank)), minlength=len(part))
-                best = away.argmin(axis=0)
+                    away = np.bincount(doc, np.where(r < 0, length, np.abs(r - rank)), minlength=len(part))
+                    better = away < least
+                    least[better], best[better] = away[better], i
                 most = np.maximum(1, np.bincount(doc, minlength=len(part)) * length)
                 for j in range(len(part)):
-                    t = texts[lo + j]
-                    if t and _LETTER.search(t):
-                        pred[lo + j], score[lo + j] = langs[best[j]], 1 - away[best[j], j] / most[j]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1))],
-                                             names=["doc_id", "lang_pred", "score"])
-
-    ids = docs.select("doc_id", "text")
-    return ids.mapInArrow(run, f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+                    t, s = texts[lo + j], 1 - least[j] / most[j]
+                    if t and s > score[lo + j] and _LETTER.search(t):
+                        pred[lo + j], score[lo + j] = langs[best[j]], s
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(pred, pa.string()), pa.array(np.minimum(score, 1))],
+                                             names=["doc_id", "text", "lang_pred", "score"])
+
+    return docs.mapInArrow(run, f"doc_id {kind}, text string, lang_pred string, score double")
 
 
 def op5(spark, sf_dir):
