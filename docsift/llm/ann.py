@@ -31,6 +31,11 @@ def _in_order(a: np.ndarray) -> np.ndarray:
     return np.cumsum(a, axis=1)[:, -1]
 
 
+def _scaled(v: np.ndarray) -> np.ndarray:
+    """Rows with a largest component about 1: divided by powers of two, which changes no cosine and lets no square overflow."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1])
+
+
 def quantize(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 rows, their scales, the lengths of the quantized rows and of what rounding left of the unit vectors."""
     big = np.abs(v).max(axis=1, keepdims=True)
@@ -51,6 +56,7 @@ def _tile(k: int):
         ids, p = matrix(block)
         a, a_scale, a_len, a_left = quantize(q)
         b, b_scale, b_len, b_left = quantize(p)
+        q, p = _scaled(q), _scaled(p)
         kind = np.float32 if 127 * 127 * asked["dim"] < _EXACT else np.float64
         b = b.astype(kind).T
         out: list[tuple] = []

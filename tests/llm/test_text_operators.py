@@ -37,7 +37,7 @@ HOSTILE = [(1, None), (2, ""), (3, " \t\n "), (4, "one"), (5, "one"), (5, "one")
 
 def brute_mix(rows):
     size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _, _ in rows]
-    h = [int(hashlib.md5(("" if i is None else str(i)).encode()).hexdigest()[:15], 16) for i, *_ in rows]
+    h = [int(hashlib.md5((("" if r[0] is None else str(r[0])) + ":" + (r[1] or "")).encode()).hexdigest()[:15], 16) for r in rows]
     per = defaultdict(int)
     for r, n in zip(rows, size):
         per[r[3]] += n
@@ -91,6 +91,12 @@ def test_mix_documents_repeats_rows_and_keeps_columns(spark):
     assert mixing.mix_documents(empty).count() == 0 and mixing.mix_sizes(empty).count() == 0
 
 
+def test_texts_of_one_id_are_taken_apart(spark):
+    rows = [(7, "w " * 9 + f"x{i}", "en", "s") for i in range(60)] + [(None, "w " * 9 + f"y{i}", "en", "t") for i in range(60)] + [(100 + i, "w " * 10, "en", "u") for i in range(60)]
+    got = mixing.mix_sizes(docs(spark, rows)).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(got) == 3 and all(abs(r.taken - r.target) <= 5 for r in got)
+
+
 # --- secrets --------------------------------------------------------------
 
 def brute_spans(text):
@@ -316,6 +322,25 @@ def test_language_distance_equals_brute_force(spark):
     assert language.train(docs(spark, [])) == {}
 
 
+def test_more_languages_than_a_broadcast_holds(spark):
+    rng = random.Random(4)
+    word = lambda i: "".join("abcdefghijklmnopqrst"[(i * 7 + j * (i % 13 + 1)) % 20] for j in range(8)) + chr(0x400 + i % 60)
+    train = [(i, " ".join([word(i)] * 4), f"lang{i:05}") for i in range(4200)]
+    profiles = language.train(docs(spark, train), length=20)
+    assert len(profiles) == 4200
+    some = {f"lang{i:05}": profiles[f"lang{i:05}"] for i in rng.sample(range(4200), 30)}
+    tests = [(i, " ".join([word(rng.randrange(4200))] * 3)) for i in range(40)] + HOSTILE
+    one = sorted((str(r.doc_id), r.lang_pred, r.score) for r in language.predict(docs(spark, tests), some, 20).collect())
+    steps = sorted((str(r.doc_id), r.lang_pred, r.score) for r in language.predict(docs(spark, tests), some, 20, languages=7).collect())
+    assert one == steps
+
+
+def test_counts_beyond_three_bytes_keep_their_order(spark, monkeypatch):
+    monkeypatch.setattr(language, "ngrams", lambda texts: (np.zeros(2, np.int64), np.array([97, 98]), np.array([1 << 24, 1 << 25])))
+    r = language.predict(docs(spark, [(1, "ab")]), {"x": np.array([98, 97]), "y": np.array([97, 98])}, 2).first()
+    assert (r.lang_pred, r.score) == ("x", 1.0)
+
+
 # --- toxicity -------------------------------------------------------------
 
 def test_features_equal_word_by_word_hashing():

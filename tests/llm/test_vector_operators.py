@@ -97,3 +97,12 @@ def test_error_bound_holds():
         unit = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
         near = (q.astype(float) @ q.T.astype(float)) * scale[:, None] * scale
         assert (np.abs(near - unit @ unit.T) <= size[:, None] * left + left[:, None] + 1e-9).all()
+
+
+def test_cosines_of_very_long_and_very_short_vectors(spark):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 0.0]), (2, [1e-200, 1e-200]), (3, [-3e-160, 0.0]), (50, [1e308, 1e-308])]
+    d = spark.createDataFrame(rows, "id long, vec array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in ann.nearest(d, d.where("id % 50 = 0")).collect()}
+    exact = math.sqrt(0.5)
+    assert got[0, 1] == pytest.approx(exact) and got[0, 2] == pytest.approx(1.0) and got[0, 3] == pytest.approx(-exact)
+    assert got[50, 1] == pytest.approx(1.0) and got[50, 2] == pytest.approx(exact) and len(got) == 8
