@@ -171,12 +171,14 @@ def _transition(doc_type: T.StructType, scripts: dict[str, dict]) -> str:
     return _let("ok", f"coalesce({external}, false) AND coalesce({numbered}, false)", _let("run", run, _let("made", made, _let("status", status, after))))
 
 
-def _folded(actions: DataFrame, states: DataFrame, kind: T.StructType, step: str) -> DataFrame:
+def _folded(actions: DataFrame, states: DataFrame, kind: T.StructType, step: str, later: bool = False) -> DataFrame:
     """(id, state): each id's state after its actions (id, a), from ``states`` (id, state) where it has one."""
     acts = actions.groupBy("id").agg(F.collect_list("a").alias("acts"))
     begin = {"live": F.lit(False), "writes": F.lit(0), "items": F.array()}
     fresh = F.struct(*[begin.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields])
-    both = acts.join(states, "id", "left").withColumn("state", F.coalesce(F.col("state"), fresh).cast(kind))
+    known = states.select(F.col("id").alias("of"), "state")
+    # stored ids match as keys do; actions without an id are one document of the request, also from round to round
+    both = acts.join(known, F.col("id").eqNullSafe(F.col("of")) if later else F.col("id") == F.col("of"), "left").withColumn("state", F.coalesce(F.col("state"), fresh).cast(kind))
     ordered = "array_sort(acts, (l, r) -> CASE WHEN l.seq < r.seq THEN -1 WHEN l.seq > r.seq THEN 1 ELSE 0 END)"
     return both.select("id", F.expr(f"aggregate({ordered}, state, (s, a) -> {step})").alias("state"))
 
@@ -233,7 +235,7 @@ def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = N
         a, rounds, parts, states = stored(_rounds(a, chunk), "bulk-actions"), -(-most // chunk), [], named
         again = a.groupBy("id").agg(F.max("round").alias("last"))
         for r in range(rounds):
-            part = stored(_folded(a.where(F.col("round") == r).select("id", "a"), states, kind, step), "bulk-states")
+            part = stored(_folded(a.where(F.col("round") == r).select("id", "a"), states, kind, step, r > 0), "bulk-states")
             parts.append(part)
             states = part.select("id", F.col("state").withField("items", F.array().cast(T.ArrayType(item))).alias("state"))
         items = parts[0].select("id", "state", F.lit(0).alias("round"))

@@ -180,6 +180,16 @@ def test_failed_actions_leave_the_version(spark):
     assert statuses(("delete", None), ("create", 101), ("create", 102), ("delete", 102)) == ["deleted", "conflict", "created", "conflict"]
 
 
+def test_actions_without_an_id_are_one_document_in_every_round(spark):
+    base = spark.createDataFrame([(1, "a")], "id int, name string")
+    acts = spark.createDataFrame([(s, "create" if s == 0 else "update", None, (f"n{s}",)) for s in range(7)] + [(9, "update", 1, ("b",))],
+                                 "seq long, op string, id int, doc struct<name string>")
+    for chunk in (None, 2):
+        res = WR.bulk(base, acts, "id", chunk=chunk)
+        assert [r.status for r in res.items.orderBy("seq").collect()] == ["created"] + ["updated"] * 7
+        assert sorted(map(tuple, res.table.collect()), key=str) == [(1, "b"), (None, "n6")]
+
+
 def test_partial_updates_merge_structs_field_by_field(spark):
     base = spark.createDataFrame([(1, ((1, "x"), 5))], "id int, d struct<in struct<a int, b string>, c int>")
     acts = spark.createDataFrame([(1, "update", 1, (((None, "y"), None),)), (2, "update", 1, (((1, None), 5),))],
