@@ -227,7 +227,9 @@ class Search:
     def _post(self, matched: DataFrame, ctx: Ctx) -> DataFrame:
         if not self.post_filters:
             return matched
-        own = self._ctx(matched)  # a context of its own: what these filters join is joined to the matched rows
+        # a context of its own: what these filters join is joined to the matched rows, over the whole collection
+        own = Ctx(matched, self.id_col, corpus=self.corpus if self.corpus is not None else self._base(), prefetch=self._terms(),
+                  stats_tables=self.text_stats, text_indexes=self.text_indexes)
         p = F.lit(True)
         for f in self.post_filters:
             p = p & f.cond(own)

@@ -30,6 +30,14 @@ def test_both_layouts_find_the_same(spark):
         assert hits(stored) == hits(plain) == [i for i, _ in rows(plain)]
 
 
+def test_post_filters_look_at_the_whole_collection(spark):
+    for df in (family(spark), RL.store_families(family(spark), "id", buckets=4)):
+        s = Search(df, "id").query(Q.Term("join.name", "q"))
+        child = RL.HasChild("a", Q.Range("y", gte=5))
+        expected = sorted(r.id for r in s.filter(child).size(None).hits().collect())
+        assert sorted(r.id for r in s.post_filter(child).size(None).hits().collect()) == expected != []
+
+
 def test_stored_families_are_not_shuffled(spark):
     stored = RL.store_families(family(spark), "id", buckets=4)
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
