@@ -64,6 +64,7 @@ ACTION_COLUMNS = ("seq", "op", "id", "doc", "upsert", "doc_as_upsert", "detect_n
                   "version_type", "if_seq_no", "if_primary_term")
 CHUNK = 4096
 _META = ("_version", "_seq_no", "_primary_term")
+_RUN = 64  # actions of an id whose items are gathered together
 _BLOCK = 1 << 20  # consecutive values of seq in which an id's actions are numbered
 
 
@@ -167,20 +168,36 @@ def _transition(doc_type: T.StructType, scripts: dict[str, dict]) -> str:
         ("seq_no", f"IF({wrote}, a.seq, s.seq_no)"), ("term", f"IF({wrote}, coalesce(s.term, 1L), s.term)"),
         ("writes", f"s.writes + IF({wrote}, 1L, 0L)"),
         ("doc", f"CASE WHEN status IN ('created', 'updated') THEN made WHEN status = 'deleted' THEN {nothing} ELSE s.doc END"),
-        ("items", f"concat(s.items, array({_struct([('seq', 'a.seq'), ('op', 'a.op'), ('status', 'status'), ('reason', reason)])}))")])
+        ("item", _struct([("seq", "a.seq"), ("op", "a.op"), ("status", "status"), ("reason", reason)]))])
     return _let("ok", f"coalesce({external}, false) AND coalesce({numbered}, false)", _let("run", run, _let("made", made, _let("status", status, after))))
 
 
 def _folded(actions: DataFrame, states: DataFrame, kind: T.StructType, step: str, later: bool = False) -> DataFrame:
-    """(id, state): each id's state after its actions (id, a), from ``states`` (id, state) where it has one."""
+    """(id, state, items): each id's state after its actions (id, a), from ``states`` (id, state) where it has one, and their items.
+
+    Every step of an ``aggregate`` copies what it has gathered.  So a run of
+    actions gathers its own items only, and the id's actions its runs: no step
+    copies all items of an id.  A step takes up the item that the step before
+    left in the state.
+    """
     acts = actions.groupBy("id").agg(F.collect_list("a").alias("acts"))
-    begin = {"live": F.lit(False), "writes": F.lit(0), "items": F.array()}
+    begin = {"live": F.lit(False), "writes": F.lit(0)}
     fresh = F.struct(*[begin.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields])
     known = states.select(F.col("id").alias("of"), "state")
     # stored ids match as keys do; actions without an id are one document of the request, also from round to round
     both = acts.join(known, F.col("id").eqNullSafe(F.col("of")) if later else F.col("id") == F.col("of"), "left").withColumn("state", F.coalesce(F.col("state"), fresh).cast(kind))
     ordered = "array_sort(acts, (l, r) -> CASE WHEN l.seq < r.seq THEN -1 WHEN l.seq > r.seq THEN 1 ELSE 0 END)"
-    return both.select("id", F.expr(f"aggregate({ordered}, state, (s, a) -> {step})").alias("state"))
+    item = kind["item"].dataType.simpleString()
+    last = "concat(y.items, array(y.s.item))"
+    one = (f"aggregate(run, {_struct([('s', 'z.done.s'), ('items', f'CAST(array() AS array<{item}>)')])},"
+           f" (y, a) -> {_struct([('s', _let('s', 'y.s', step)), ('items', last)])}, y -> {_struct([('s', 'y.s'), ('items', f'slice({last}, 2, {_RUN})')])})")
+    none = _struct([("s", "state"), ("items", f"CAST(array() AS array<{item}>)")])
+    start = _struct([("done", none), ("runs", f"CAST(array() AS array<array<{item}>>)")])
+    runs = f"transform(sequence(0, (size(acts) - 1) div {_RUN}), i -> slice(ordered, CAST(i * {_RUN} + 1 AS INT), {_RUN}))"
+    all_runs = "concat(z.runs, array(z.done.items))"
+    fold = f"aggregate({runs}, {start}, (z, run) -> {_struct([('done', one), ('runs', all_runs)])}, z -> {_struct([('state', 'z.done.s'), ('items', f'flatten({all_runs})')])})"
+    done = both.select("id", F.expr(_let("ordered", ordered, fold)).alias("done"))
+    return done.select("id", F.col("done.state").cast(kind).alias("state"), "done.items")
 
 
 def _rounds(actions: DataFrame, chunk: int) -> DataFrame:
@@ -215,17 +232,17 @@ def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = N
     chunk = chunk or CHUNK
     item = T.StructType([T.StructField("seq", T.LongType())] + [T.StructField(n, T.StringType()) for n in ("op", "status", "reason")])
     kind = T.StructType([T.StructField("live", T.BooleanType()), *(T.StructField(n, T.LongType()) for n in ("version", "seq_no", "term", "writes")),
-                         T.StructField("doc", doc_type), T.StructField("items", T.ArrayType(item))])
+                         T.StructField("doc", doc_type), T.StructField("item", item)])
     step = _transition(doc_type, scripts or {})
     a = _normalize_actions(actions, doc_type)
     meta = {m: (F.col(m) if m in base.columns else F.lit(None)).cast("long") for m in _META}
     state = F.struct(F.lit(True).alias("live"), meta["_version"].alias("version"), meta["_seq_no"].alias("seq_no"), meta["_primary_term"].alias("term"),
-                     F.lit(0).cast("long").alias("writes"), F.struct(*names).cast(doc_type).alias("doc"), F.array().cast(T.ArrayType(item)).alias("items"))
+                     F.lit(0).cast("long").alias("writes"), F.struct(*names).cast(doc_type).alias("doc"), F.lit(None).cast(item).alias("item"))
     # only rows that an action names are folded; few ids are broadcast, by Spark's own size check
     named = base.withColumn("id", F.col(id_col)).join(a.select("id").distinct(), "id", "left_semi").select("id", state.cast(kind).alias("state"))
     if tombstones is not None:
         gone = F.struct(F.lit(False).alias("live"), *(F.col(m).cast("long").alias(n) for m, n in zip(_META, ("version", "seq_no", "term"))),
-                        F.lit(0).cast("long").alias("writes"), F.lit(None).cast(doc_type).alias("doc"), F.array().cast(T.ArrayType(item)).alias("items"))
+                        F.lit(0).cast("long").alias("writes"), F.lit(None).cast(doc_type).alias("doc"), F.lit(None).cast(item).alias("item"))
         named = named.unionByName(tombstones.withColumn("id", F.col(id_col)).select("id", gone.cast(kind).alias("state")))
     most = a.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if most <= chunk:
@@ -237,12 +254,12 @@ def bulk(base: DataFrame, actions: DataFrame, id_col: str, chunk: int | None = N
         for r in range(rounds):
             part = stored(_folded(a.where(F.col("round") == r).select("id", "a"), states, kind, step, r > 0), "bulk-states")
             parts.append(part)
-            states = part.select("id", F.col("state").withField("items", F.array().cast(T.ArrayType(item))).alias("state"))
-        items = parts[0].select("id", "state", F.lit(0).alias("round"))
+            states = part.select("id", "state")
+        items = parts[0].withColumn("round", F.lit(0))
         for r, part in enumerate(parts[1:], 1):
-            items = items.unionByName(part.select("id", "state", F.lit(r).alias("round")))
+            items = items.unionByName(part.withColumn("round", F.lit(r)))
         done = items.join(again.select(F.col("id").alias("of"), "last"), F.col("id").eqNullSafe(F.col("of")) & (F.col("round") == F.col("last"))).select("id", "state")
-    items = items.select("id", F.explode("state.items").alias("i")).select("i.seq", "id", "i.op", "i.status", "i.reason")
+    items = items.select("id", F.explode_outer("items").alias("i")).select("i.seq", "id", "i.op", "i.status", "i.reason")
     changed = done.where(F.col("state.writes") > 0)
     kept_meta = {"_version": F.col("state.version"), "_seq_no": F.col("state.seq_no"), "_primary_term": F.col("state.term")}
     changes = changed.select(F.col("id").cast(base.schema[id_col].dataType).alias(id_col), *(F.col("state.doc")[n].alias(n) for n in names),

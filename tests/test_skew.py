@@ -90,3 +90,25 @@ def test_top_level_top_hits_is_a_distributed_top_k(spark):
     exp = sorted(rows, key=lambda r: (-r[2], r[0]))[1:4]
     assert got == [(i + 2, r[0]) for i, r in enumerate(exp)]
     assert "TakeOrderedAndProject" in th._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_fold_of_one_ids_actions_takes_as_long_as_of_many_ids(spark):
+    """A step that copies all earlier items would make one id's actions quadratic: here some fifty times slower."""
+    import time
+
+    from docsift.operators import writes as WR
+
+    n = 12_000
+    base = spark.createDataFrame([(i, 0.0) for i in range(400)], "id long, score double")
+
+    def run(ids):
+        acts = spark.range(0, n, 1, 2).selectExpr("id AS seq", "'update' AS op", f"id % {ids} AS id", "named_struct('score', double(id)) AS doc")
+        began = time.monotonic()
+        items = WR.bulk(base, acts, "id", chunk=n).items.groupBy("status").count().collect()
+        return time.monotonic() - began, {r["status"]: r["count"] for r in items}
+
+    run(400)
+    many, spread = run(400)
+    one, hot = run(1)
+    assert spread == hot == {"noop": 1, "updated": n - 1}
+    assert one < 6 * many + 2
