@@ -277,7 +277,7 @@ def dyn_set(df: DataFrame, column: str, path: str, value: Column) -> DataFrame:
         kind = df.select(value.alias("v")).schema["v"].dataType
         new = value if isinstance(kind, T.VariantType) else F.to_variant_object(value) if isinstance(kind, (T.StructType, T.MapType, T.ArrayType)) else (
             value.cast("variant"))
-        out = _variant_set(old, path.split("."), 0, new)
+        out = _let(old, lambda v: _variant_set(v, path.split("."), 0, new))
         return df.withColumn(column, F.to_json(out) if text else out)
     parts = path.split(".")
     t = df.schema[column].dataType
@@ -300,17 +300,26 @@ def dyn_set(df: DataFrame, column: str, path: str, value: Column) -> DataFrame:
     return df.withColumn(column, build(c, t, parts))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _variant_set(old: Column, path: list[str], at: int, value: Column) -> Column:
-    """The object ``old`` rebuilt with a new value at path[at:]."""
-    head, kind = path[at], F.schema_of_variant(old)
-    here = ".".join(path[:at]) or "the value"
-    fields = F.when(old.isNull() | F.is_variant_null(old), F.create_map().cast("map<string,variant>")).when(
-        kind.startswith("OBJECT"), old.cast("map<string,variant>")).otherwise(F.raise_error(F.concat(
-            F.when(kind.startswith("ARRAY"), F.lit("Cannot traverse through a list value: ")).otherwise(F.lit("Expected sub document for field: ")),
-            F.lit(here))).cast("map<string,variant>"))
-    inner = value if at == len(path) - 1 else _variant_set(fields[head], path, at + 1, value)
-    rest = F.map_filter(fields, lambda k, _: k != F.lit(head))
-    return F.to_variant_object(F.map_concat(rest, F.create_map(F.lit(head), inner)))
+    """The object ``old`` (a name, as it is used several times) rebuilt with a new value at path[at:]."""
+    head, here = path[at], ".".join(path[:at]) or "the value"
+    kind = F.schema_of_variant(old)  # read on the way to an error only
+    error = F.raise_error(F.concat(F.when(kind.startswith("ARRAY"), F.lit("Cannot traverse through a list value: ")).otherwise(
+        F.lit("Expected sub document for field: ")), F.lit(here))).cast("map<string,variant>")
+    fields = F.when(old.isNull() | F.is_variant_null(old), F.create_map().cast("map<string,variant>")).otherwise(
+        F.coalesce(F.try_variant_get(old, "$", "map<string,variant>"), error))
+
+    def rebuilt(fields: Column) -> Column:
+        inner = value if at == len(path) - 1 else _let(fields[head], lambda v: _variant_set(v, path, at + 1, value))
+        rest = F.map_filter(fields, lambda k, _: k != F.lit(head))
+        return F.to_variant_object(F.map_concat(rest, F.create_map(F.lit(head), inner)))
+
+    return _let(fields, rebuilt)
 
 
 # --------------------------------------------------------------------------- merging and templates

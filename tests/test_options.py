@@ -91,3 +91,12 @@ def test_column_values_and_analyzers(spark):
     assert found(Q.Match("t", "nothing FOX", operator="and", analyzer="last")) == 1
     with pytest.raises(ValueError):
         found(Q.Match("t", "x", analyzer="none such"))
+
+
+def test_setting_a_path_reads_its_value_once(spark):
+    df = spark.createDataFrame([(1, '{"a": 1}')], "id long, doc string")
+    for path in ("b.c.d", "b.c.e", "f"):
+        df = SCH.dyn_set(df, "doc", path, F.col("id"))
+    assert df.first().doc == '{"a":1,"b":{"c":{"d":1,"e":1}},"f":1}'
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("parsejson") == 3
