@@ -27,11 +27,19 @@ from docsift.session import checkpoint_dir
 __all__ = ["HasChild", "HasParent", "ParentId", "family_key", "score_agg", "store_families", "FAMILY"]
 
 FAMILY = "_family"
+BUCKET_ROWS = 1 << 19
+MAX_BUCKETS = 100_000  # Spark's own limit (spark.sql.sources.bucketing.maxBuckets)
 
 
 def store_families(df: DataFrame, id_col: str, table: str | None = None, buckets: int = 64, join_field: str = "join", path: str | None = None) -> DataFrame:
-    """``df`` with the column ``_family``, written as a table bucketed and sorted by it, one file a bucket."""
+    """``df`` with the column ``_family``, written as a table bucketed and sorted by it, one file a bucket.
+
+    ``buckets`` is the least number of buckets: larger collections take more, of
+    ``BUCKET_ROWS`` rows on average, so that a bucket is sorted in memory when
+    written and when joined.
+    """
     spark = df.sparkSession
+    buckets = min(max(buckets, -(-df.count() // BUCKET_ROWS)), MAX_BUCKETS)
     table = table or f"families_{uuid.uuid4().hex}"
     path = path or f"{checkpoint_dir(spark).rstrip('/')}/{table}"
     keyed = df.withColumn(FAMILY, F.coalesce(F.col(f"{join_field}.parent"), F.col(id_col)))

@@ -68,3 +68,14 @@ def test_rows_without_a_parent_are_spread(spark):
     finally:
         for conf in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
             spark.conf.unset(conf)
+
+
+def test_larger_collections_take_more_buckets(spark, monkeypatch):
+    monkeypatch.setattr(RL, "BUCKET_ROWS", 10)
+    n = family(spark).count()
+    for least in (2, 64):
+        stored = RL.store_families(family(spark), "id", buckets=least)
+        files = {r.f for r in stored.selectExpr("input_file_name() AS f").distinct().collect()}
+        plan = stored.groupBy(RL.FAMILY).count()._jdf.queryExecution().executedPlan().toString()
+        assert f"SelectedBucketsCount: {max(least, -(-n // 10))} out of" in plan and "Exchange" not in plan and len(files) > 1
+        assert stored.count() == n
