@@ -2,7 +2,8 @@
 
 ``build`` analyzes every document once and writes one row per (term, block of
 documents): the documents' ids and lengths, and the term's frequencies and
-positions in them.  The rows are sorted by term, so a search reads its own terms
+positions in them.  The positions of a row's documents are one list, and
+``starts`` says where each document's begin; a search cuts it again.  The rows are sorted by term, so a search reads its own terms
 only (``term IN (...)`` reaches the Parquet scan), and only the columns that it
 needs: positions for phrases, neither positions nor ids for statistics.
 
@@ -36,6 +37,7 @@ __all__ = ["TextIndex"]
 
 BLOCK_DOCS = 4096
 BLOCK_TOKENS = 1 << 21
+RANGE_TOKENS = 1 << 21  # tokens in a sorted part of the table, on average
 SEEDS = 4  # blocks that ``top_k`` scores first
 
 
@@ -53,12 +55,13 @@ def _rows(ids: list, texts: list, block: int) -> pa.Table:
     rows = pa.array(np.append(first, len(new)), pa.int32())
     of = doc[new]
     lists = lambda values: pa.ListArray.from_arrays(rows, values)
-    places = pa.ListArray.from_arrays(pa.array(np.append(new, len(code)), pa.int32()), pa.array(at, pa.int32()))
+    spots = pa.ListArray.from_arrays(pa.array(np.append(new[first], len(code)), pa.int32()), pa.array(at, pa.int32()))
+    starts = new - np.repeat(new[first], np.diff(np.append(first, len(new)))) + 1
     n = len(first)
     table = pa.table({
         "term": coded.dictionary.take(pa.array(code[new][first])), "block": pa.array([block] * n, pa.int64()), "n": pa.array(np.diff(np.append(first, len(new))), pa.int64()),
         "tokens": pa.array([None] * n, pa.int64()), "ids": lists(pa.concat_arrays(ids).take(pa.array(of))), "sizes": lists(pa.array(lens[of], pa.int32())),
-        "tfs": lists(pa.array(tfs, pa.int32())), "places": lists(places)})
+        "tfs": lists(pa.array(tfs, pa.int32())), "starts": lists(pa.array(starts, pa.int32())), "places": spots})
     own = {"block": [block], "n": [len(lens)], "tokens": [int(lens.sum())]}
     return pa.concat_tables([table, pa.table([pa.array(own.get(f.name, [None]), f.type) for f in table.schema], schema=table.schema)])
 
@@ -84,30 +87,32 @@ def _postings(docs: DataFrame, block_docs: int, block_tokens: int) -> DataFrame:
         if ids:
             yield from _rows(ids, texts, block).to_batches(4096)
 
-    return docs.mapInArrow(run, f"term string, block bigint, n bigint, tokens bigint, ids array<{kind}>, sizes array<int>, tfs array<int>, places array<array<int>>")
+    return docs.mapInArrow(run, f"term string, block bigint, n bigint, tokens bigint, ids array<{kind}>, sizes array<int>, tfs array<int>, starts array<int>, places array<int>")
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    postings: DataFrame  # term, block, n, best, ids, sizes, tfs, places
+    postings: DataFrame  # term, block, n, best, ids, sizes, tfs, starts, places
     n_docs: float
     avg_size: float
 
     @staticmethod
     def build(df: DataFrame, id_col: str, field: str, path: str | None = None, block_docs: int = BLOCK_DOCS,
-              block_tokens: int = BLOCK_TOKENS) -> "TextIndex":
+              block_tokens: int = BLOCK_TOKENS, range_tokens: int = RANGE_TOKENS) -> "TextIndex":
         """Write the postings of ``field`` (a string column) to ``path`` (default: a new folder in the checkpoint folder)."""
         spark = df.sparkSession
         path = path or f"{checkpoint_dir(spark).rstrip('/')}/text-index-{uuid.uuid4().hex}"
         words = df.where(F.col(field).isNotNull()).select(F.col(id_col).alias("id"), TX.tokens(F.col(field)).alias("words"))
         rows = stored(_postings(words, block_docs, block_tokens), "text-index-rows")
         sums = rows.where("term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("n_docs"),
-                                              (F.sum("tokens") / F.sum("n")).alias("avg_size"))
+                                              (F.sum("tokens") / F.sum("n")).alias("avg_size"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
         sums.coalesce(1).write.mode("overwrite").parquet(f"{path}/sums")
-        avg = F.lit(spark.read.parquet(f"{path}/sums").first().avg_size or 0.0)
+        sums = spark.read.parquet(f"{path}/sums").first()
+        avg = F.lit(sums.avg_size or 0.0)
         best = F.array_max(F.zip_with("tfs", "sizes", lambda tf, size: TX.bm25_tf(tf, size, avg)))
         rows = rows.where("term IS NOT NULL").withColumn("best", best).drop("tokens")
-        rows.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{path}/postings")
+        parts = sums.tokens // range_tokens + 1  # a part is sorted in memory, however large the collection is
+        rows.repartitionByRange(parts, "term", "block").sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{path}/postings")
         return TextIndex.read(spark, path)
 
     @staticmethod
@@ -134,6 +139,8 @@ class TextIndex:
     # ------------------------------------------------------------ documents
     def _entries(self, rows: DataFrame, terms: list[str], *more: str) -> DataFrame:
         """(term, id, s, ...): one row per document of each row, with the term's part of its score."""
+        if "places" in more:
+            rows = rows.withColumn("places", F.expr("zip_with(starts, tfs, (at, n) -> slice(places, at, n))"))
         rows = rows.withColumn("idf", self._idf(terms)).select("term", "idf", F.explode(F.arrays_zip("ids", "sizes", "tfs", *more)).alias("e"))
         part = F.col("idf") * TX.bm25_tf(F.col("e.tfs"), F.col("e.sizes"), F.lit(self.avg_size))
         return rows.select("term", F.col("e.ids").alias("id"), part.alias("s"), *(F.col(f"e.{c}").alias(c) for c in more))

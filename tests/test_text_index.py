@@ -77,3 +77,14 @@ def test_rebuilt_index_reads_the_same_and_empty_tables_work(spark):
     assert Search(df.where("id < 0"), "id").with_text_index("text", none, whole=True).query(Q.Match("text", "w0")).hits().count() == 0
     strings = spark.createDataFrame([("a", "one two"), ("b", "two")], "id string, text string")
     assert [r.id for r in TextIndex.build(strings, "id", "text").top_k(["two"], 5).collect()] == ["b", "a"]
+
+
+def test_the_sorted_parts_grow_with_the_tokens(spark):
+    df = corpus(spark)
+    index = TextIndex.build(df, "id", "text", block_docs=5, range_tokens=100)
+    tokens = sum(index.postings.selectExpr("sum(aggregate(tfs, 0, (a, b) -> a + b)) AS n").first())
+    files = {r.f for r in index.postings.selectExpr("input_file_name() AS f").distinct().collect()}
+    assert tokens // 100 // 2 < len(files) <= tokens // 100 + 1
+    q = Q.MatchPhrase("text", "w0 w1", slop=1)
+    rows = lambda s: sorted((r.id, round(r._score, 9)) for r in s.query(q).matched().collect())
+    assert rows(Search(df, "id").with_text_index("text", index)) == rows(Search(df, "id")) != []
