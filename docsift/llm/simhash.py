@@ -18,6 +18,11 @@ needs one link to its cell's smallest point.  Work therefore grows with the
 number of points, however large a group is.  Cells are counted by grouping, which
 combines map-side, and the counts are joined back, so a hot cell is no one task's.
 
+A point has 33 or 65 cells, but Spark takes a table for about as large after an
+explode as before, and packed files for as large as their rows.  So cells are
+merged, never broadcast, and other tables are broadcast only up to
+``BROADCAST_ROWS`` rows (and Spark's own threshold).
+
 Components come from min-label propagation with pointer jumping over the links,
 checkpointed each round; a round's table is deleted once the next one stands.
 
@@ -43,6 +48,7 @@ from docsift.llm.common import discard, written
 
 SEGMENTS = 16
 DENSE = 24  # points of a cell from which it is refined instead of paired
+BROADCAST_ROWS = 100_000  # of a table of fingerprints; some 65 bytes each in the driver
 _LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _BLANKS = bytes(32 if 9 <= i <= 13 else i for i in range(256))
 _CHUNK = 1 << 16
@@ -113,19 +119,25 @@ def _cells(points: DataFrame, segments: int) -> DataFrame:
     return points.select("fp", F.explode(cells).alias("cell")).where("cell IS NOT NULL")
 
 
+def _merged(table: DataFrame, large: bool = True) -> DataFrame:
+    """``table``, not to be broadcast (nor what it is joined to) if ``large``."""
+    return table.hint("merge") if large else table
+
+
 def links(points: DataFrame, segments: int = SEGMENTS, dense: int = DENSE) -> DataFrame:
     """(a, b): links between distinct fingerprints ``points.fp`` at two or fewer
     differing bits.  Every such pair is linked directly, or, in a dense cell,
     through the cell's smallest point."""
     cells = _cells(points, segments)
     shared = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = written(cells.join(shared, "cell"), "simhash-cells")
+    met = written(cells.join(_merged(shared), "cell"), "simhash-cells")
     small = met.where(F.col("n") <= dense).groupBy("cell").agg(F.collect_list("fp").alias("fps"))
     small = small.select(F.explode("fps").alias("a"), "fps")
     near = F.filter("fps", lambda x: (x > F.col("a")) & (F.bit_count(x.bitwiseXOR(F.col("a"))) <= 2))
     small = small.select("a", F.explode(near).alias("b"))
     again = _cells(met.where(F.col("n") > dense).select("fp").distinct(), 64)
-    star = again.join(again.groupBy("cell").agg(F.min("fp").alias("a")), "cell").where("a < fp").select("a", F.col("fp").alias("b"))
+    least = again.groupBy("cell").agg(F.min("fp").alias("a"))
+    star = again.join(_merged(least), "cell").where("a < fp").select("a", F.col("fp").alias("b"))
     return small.union(star).distinct()
 
 
@@ -133,11 +145,12 @@ def components(edges: DataFrame) -> DataFrame:
     """(fp, root): the smallest fingerprint reachable over ``edges`` (a, b), for every linked one."""
     both = written(edges.union(edges.select("b", "a")), "simhash-links")
     label = written(both.groupBy(F.col("a").alias("fp")).agg(F.min(F.least("a", "b")).alias("root")), "simhash-label")
+    large = label.count() > BROADCAST_ROWS  # as many in each round
     while True:
-        seen = both.join(label, both["b"] == label["fp"]).groupBy(F.col("a").alias("fp")).agg(F.min("root").alias("near"))
-        step = label.join(seen, "fp").select("fp", F.col("root").alias("old"), F.least("root", "near").alias("root"))
+        seen = both.join(_merged(label, large), both["b"] == label["fp"]).groupBy(F.col("a").alias("fp")).agg(F.min("root").alias("near"))
+        step = label.join(_merged(seen, large), "fp").select("fp", F.col("root").alias("old"), F.least("root", "near").alias("root"))
         up = step.select(F.col("fp").alias("root"), F.col("root").alias("up"))
-        before, label = label, written(step.join(up, "root").select(
+        before, label = label, written(step.join(_merged(up, large), "root").select(
             "fp", F.col("up").alias("root"), (F.col("old") != F.col("up")).alias("moved")), "simhash-label")
         discard(before)
         if label.where("moved").isEmpty():
@@ -147,7 +160,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _classes(points: DataFrame, found: DataFrame) -> DataFrame:
     """(fp, least): the smallest ``first`` reachable from each of ``points`` (fp, first) over the links ``found``."""
-    rooted = points.join(components(found), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    roots = components(found)
+    rooted = points.join(_merged(roots, roots.count() > BROADCAST_ROWS), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("least"))
     return written(rooted.join(lowest, "root").select("fp", "least"), "simhash-classes")
 
@@ -156,7 +170,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id, fp, component_id of every row: the smallest doc_id reachable over links."""
     fps = written(fingerprints(docs.select("doc_id", "text"), shingle), "simhash-fps")
     points = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-points")
-    return fps.join(_classes(points, links(points.select("fp"))), "fp").select("doc_id", "fp", F.col("least").alias("component_id"))
+    classes = _classes(points, links(points.select("fp")))
+    return fps.join(_merged(classes, classes.count() > BROADCAST_ROWS), "fp").select("doc_id", "fp", F.col("least").alias("component_id"))
 
 
 def _text_key(text: Column) -> Column:

@@ -262,6 +262,51 @@ def test_rounds_leave_no_tables_behind(spark):
     assert keep[0].count() > 0
 
 
+def final_plans(monkeypatch):
+    """The plans, as executed, of all that ``simhash`` writes from now on."""
+    plans, write = [], simhash.written
+
+    def written(df, name):
+        df.collect()
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, name)
+
+    monkeypatch.setattr(simhash, "written", written)
+    return plans
+
+
+def cluster(n):
+    """A chain of near copies and their neighbours, and strangers, as signed fingerprints."""
+    rng = random.Random(5)
+    near = {sum(1 << b for b in range(i)) ^ (1 << j) for i in range(40) for j in range(40)}
+    return [x - (1 << 64) if x >> 63 else x for x in near | {rng.getrandbits(64) for _ in range(n)}]
+
+
+def test_cells_are_not_broadcast_however_small_the_points_seem(spark, monkeypatch):
+    points = simhash.written(spark.createDataFrame([(x,) for x in cluster(2000)], "fp long"), "points")
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    plans = final_plans(monkeypatch)
+    for dense in (24, 2):
+        assert simhash.written(simhash.links(points, dense=dense), "simhash-links").count() > 1000
+    assert [name for name, _ in plans] == ["simhash-cells", "simhash-links"] * 2
+    assert all("isFinalPlan=true" in plan and "SortMergeJoin" in plan for _, plan in plans)
+    assert not [name for name, plan in plans if "Broadcast" in plan]
+
+
+def test_components_broadcast_by_rows_not_by_file_size(spark, monkeypatch):
+    signed = cluster(50)
+    found = simhash.written(simhash.links(spark.createDataFrame([(x,) for x in signed], "fp long")), "links")
+    expected = sorted(simhash.components(found).collect())
+    assert len(expected) > 1000 and len({r.root for r in expected}) == 1
+    plans = final_plans(monkeypatch)
+    assert sorted(simhash.components(found).collect()) == expected
+    assert any("Broadcast" in plan for _, plan in plans)
+    plans.clear()
+    monkeypatch.setattr(simhash, "BROADCAST_ROWS", len(expected) - 1)
+    assert sorted(simhash.components(found).collect()) == expected
+    assert plans and not [name for name, plan in plans if "Broadcast" in plan]
+
+
 # --- BPE ------------------------------------------------------------------
 
 RANKS = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
